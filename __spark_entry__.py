@@ -33,8 +33,8 @@ from aerolake.operators import (FilterSpec, apply_filters, completed_flights, da
 from aerolake.operators.routes import oriented_coordinates  # noqa: E402
 from aerolake.plans import testbed  # noqa: E402
 from aerolake.plans.insights import yoy_with_fallback  # noqa: E402
-from aerolake.plans.transform import transform  # noqa: E402
 from aerolake.sources.csv import union_relaxed  # noqa: E402
+from aerolake.sources.sinks import YEAR_PARTITION  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -50,12 +50,17 @@ FILTER_SPEC = FilterSpec(
 
 # ---------------------------------------------------------------- inputs
 def _raw(spark, d):
-    return testbed.raw_flights(spark, d)
+    return testbed.raw_flights_table(spark, d)
 
 
 def _clean(spark, d, parse_times=True):
-    return transform(_raw(spark, d), testbed.airports(spark, d), testbed.airlines(spark, d),
-                     parse_times=parse_times)
+    """Clean flights; the timestamp version carries the ``ano_partida`` year
+    partition column (used for pruning, dropped from row outputs)."""
+    return testbed.clean_flights_table(spark, d, parse_times)
+
+
+def _rows(df: DataFrame) -> DataFrame:
+    return to_ascii_names(df.drop(YEAR_PARTITION))
 
 
 def _base(spark, d, limit=15):
@@ -124,7 +129,7 @@ def q_localise_times(spark, d):
 
 
 def q_clean_flights(spark, d):
-    return to_ascii_names(_clean(spark, d))
+    return _rows(_clean(spark, d))
 
 
 def q_union_relaxed(spark, d):
@@ -140,7 +145,7 @@ def q_union_relaxed(spark, d):
 
 
 def q_filter_flights(spark, d):
-    return to_ascii_names(apply_filters(_clean(spark, d), FILTER_SPEC))
+    return _rows(apply_filters(_clean(spark, d), FILTER_SPEC, year_col=YEAR_PARTITION))
 
 
 def q_filter_flights_text(spark, d):
@@ -180,11 +185,11 @@ def q_date_bounds(spark, d):
 
 
 def q_sample_rows(spark, d):
-    return to_ascii_names(sample_rows(_clean(spark, d), [COLS.dep_planned, COLS.flight_number], 1000))
+    return _rows(sample_rows(_clean(spark, d), [COLS.dep_planned, COLS.flight_number], 1000))
 
 
 def q_delay_base(spark, d):
-    return to_ascii_names(_base(spark, d))
+    return _rows(_base(spark, d))
 
 
 def q_delay_by_airport(spark, d):
@@ -230,7 +235,7 @@ def q_yoy_decreases(spark, d):
 def q_yoy_fallback(spark, d):
     clean = _clean(spark, d)
     one_year = FilterSpec(day_start="2000-01-01", day_end="2000-12-31")
-    dated = delay_base(apply_filters(clean, one_year), 15)
+    dated = delay_base(apply_filters(clean, one_year, year_col=YEAR_PARTITION), 15)
     undated = delay_base(apply_filters(clean, one_year.without_dates()), 15)
     return yoy_with_fallback(dated, undated).variation
 

@@ -1,8 +1,10 @@
 """Lookup joins and dictionary decodes of the flight records.
 
-All lookups are small dimension tables: they are de-duplicated, checked for
-size and broadcast, so the flight fact table streams through map-side hash
-joins with no shuffle of the big side.
+Lookups are dimension tables: they are de-duplicated and joined without a
+hint by default, so Spark broadcasts them only when the planner's size
+estimate or AQE's measured size is under the broadcast threshold (the flight
+table then streams through map-side hash joins), and plans a shuffle join
+otherwise. A caller may ask for a bounded row-count check instead.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from ..codes import (AIRPORT_SIZE_DEFAULT, AIRPORT_SIZES, CODE_NOT_FOUND, HELIPO
                      JUSTIFICATIONS, LINE_TYPES)
 from ..columns import AIRLINE_FIELDS, AIRPORT_FIELDS, COLS, FlightColumns
 from ..functions.decode import decode
-from ..session import bounded_broadcast
+from ..session import lookup_side
 from .projection import select_cast
 
 _ORD = "__ordinal"
@@ -56,10 +58,12 @@ def _endpoint(dim: DataFrame, key: str, names: dict[str, str]) -> DataFrame:
 
 
 def enrich_airports(flights: DataFrame, airports: DataFrame, cols: FlightColumns = COLS,
-                    decode_sizes: bool = True) -> DataFrame:
+                    decode_sizes: bool = True, broadcast: bool | int | None = None) -> DataFrame:
     """Join origin and destination airport attributes, keep flights whose two
-    endpoints are known and not heliports, and decode the airport size."""
-    dim = bounded_broadcast(airport_dimension(airports))
+    endpoints are known and not heliports, and decode the airport size.
+
+    ``broadcast``: see :func:`aerolake.session.lookup_side`."""
+    dim = lookup_side(airport_dimension(airports), broadcast)
     origin = _endpoint(dim, cols.origin_icao, {
         "name": cols.origin_name, "continent": cols.origin_continent,
         "iso_country": cols.origin_country, "municipality": cols.origin_city,
@@ -92,9 +96,10 @@ def known_endpoints(df: DataFrame, cols: FlightColumns = COLS) -> DataFrame:
     return df.filter(o.isNotNull() & (o != HELIPORT) & d.isNotNull() & (d != HELIPORT))
 
 
-def enrich_airline(flights: DataFrame, airlines: DataFrame, cols: FlightColumns = COLS) -> DataFrame:
+def enrich_airline(flights: DataFrame, airlines: DataFrame, cols: FlightColumns = COLS,
+                   broadcast: bool | int | None = None) -> DataFrame:
     """Left join of the airline name on the airline ICAO code; unmatched → null."""
-    dim = bounded_broadcast(airline_dimension(airlines))
+    dim = lookup_side(airline_dimension(airlines), broadcast)
     joined = flights.join(dim, F.col(f"`{cols.airline_icao}`") == dim["icao_empresa"], "left")
     return (joined.withColumn(cols.airline, F.col("empresa_nome"))
                   .drop("empresa_nome", "icao_empresa"))
@@ -111,14 +116,12 @@ def decode_codes(df: DataFrame, cols: FlightColumns = COLS,
 
 
 def decode_with_table(df: DataFrame, code_col: str, codes: DataFrame, out_col: str,
-                      default: str | None = CODE_NOT_FOUND) -> DataFrame:
-    """Decode through a (code, label) table, e.g. one read with ``read_code_map``.
-
-    For code lists that are not known when the job is written; the table is
-    size-checked and broadcast.
-    """
-    dim = bounded_broadcast(codes.select(F.col("code").alias("__code"),
-                                         F.col("label").alias("__label")))
+                      default: str | None = CODE_NOT_FOUND,
+                      broadcast: bool | int | None = None) -> DataFrame:
+    """Decode through a (code, label) table, e.g. one read with ``read_code_map``,
+    for code lists that are not known when the job is written."""
+    dim = lookup_side(codes.select(F.col("code").alias("__code"),
+                                         F.col("label").alias("__label")), broadcast)
     c = F.col(f"`{code_col}`")
     joined = df.join(dim, c == F.col("__code"), "left")
     label = F.col("__label") if default is None else F.coalesce(F.col("__label"), F.lit(default))

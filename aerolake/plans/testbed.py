@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..columns import COLS, FlightColumns
+from ..session import spread
+from ..sources.files import path_exists
 
 TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -21,14 +23,24 @@ AIRPORT_TYPES = ("large_airport", "medium_airport", "small_airport", "seaplane_b
 BR_NATIONS_BELOW = 15
 
 
+_SCANS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of one test table; the DataFrame (and its file listing) is reused
+    within a session, as a catalog table would be."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _SCANS[key] = df
+    return df
 
 
 def raw_flights(spark: SparkSession, sf_dir: str, cols: FlightColumns = COLS) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_returnflag", "l_linestatus")
+        "l_returnflag", "l_linestatus"))
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -96,3 +108,76 @@ def events_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..functions.times import calendar_parts
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
     return ev.withColumns(calendar_parts(F.col("ts")))
+
+
+# ---------------------------------------------------------------- materialised views
+INPUT_TABLES = ("lineitem", "orders", "customer", "supplier", "part", "nation", "region")
+_VIEWS: dict = {}
+
+
+def fingerprint(sf_dir: str, names=INPUT_TABLES) -> str:
+    """Identity of the input tables (path, size, mtime) for reuse decisions."""
+    import hashlib
+    import os
+    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    for n in names:
+        p = f"{sf_dir.rstrip('/')}/{n}.parquet"
+        try:
+            st = os.stat(p)
+            h.update(f"{n}:{st.st_size}:{int(st.st_mtime)}".encode())
+        except OSError:
+            h.update(f"{n}:?".encode())
+    return h.hexdigest()[:16]
+
+
+def materialized(spark: SparkSession, name: str, sf_dir: str, build, partition_by=None) -> DataFrame:
+    """Write ``build()`` once as a Parquet table under ``spark.checkpoint.dir``
+    (the cluster's shared folder) and read it back; the written table cuts the
+    lineage and survives executor loss. Without a configured checkpoint
+    folder the lazy plan is returned unchanged."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        return build()
+    path = f"{root.rstrip('/')}/aerolake-tables/{name}-{fingerprint(sf_dir)}"
+    if not path_exists(f"{path}/_SUCCESS"):
+        writer = build().write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
+        writer.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _memo(spark: SparkSession, key: tuple, make) -> DataFrame:
+    k = (id(spark),) + key
+    df = _VIEWS.get(k)
+    if df is None or df.sparkSession is not spark:
+        df = make()
+        _VIEWS[k] = df
+    return df
+
+
+def raw_flights_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw flight records as a table (materialised when a checkpoint
+    folder is configured), like the raw Parquet input of the batch job."""
+    return _memo(spark, ("raw", sf_dir), lambda: materialized(
+        spark, "raw_flights", sf_dir, lambda: raw_flights(spark, sf_dir)))
+
+
+def clean_flights_table(spark: SparkSession, sf_dir: str, parse_times: bool = True) -> DataFrame:
+    """The clean flight table built from :func:`raw_flights_table`.
+
+    With times parsed it is materialised partitioned by the planned departure
+    year (column ``ano_partida``) so day-range filters prune whole years.
+    """
+    from ..plans.transform import transform
+    from ..sources.sinks import YEAR_PARTITION, with_year_partition
+
+    def make():
+        return transform(raw_flights_table(spark, sf_dir), airports(spark, sf_dir),
+                         airlines(spark, sf_dir), parse_times=parse_times)
+
+    if not parse_times:
+        return _memo(spark, ("clean_text", sf_dir), make)
+    return _memo(spark, ("clean", sf_dir), lambda: materialized(
+        spark, "clean_flights", sf_dir, lambda: with_year_partition(make()),
+        partition_by=YEAR_PARTITION))

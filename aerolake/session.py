@@ -74,6 +74,34 @@ def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an under-partitioned input over the default parallelism.
+
+    A large table already scans as thousands of splits and is returned
+    unchanged; a file with a single row group (one split) would otherwise keep
+    all downstream per-row work in one task.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def lookup_side(df: DataFrame, broadcast: bool | int | None = None) -> DataFrame:
+    """How a lookup table joins the fact table.
+
+    ``None`` (default): no hint; Spark broadcasts it only below
+    ``spark.sql.autoBroadcastJoinThreshold`` (planner size estimate) or, with
+    AQE, once its measured size is below the adaptive threshold; otherwise it
+    is a shuffle join. An ``int`` runs the bounded row-count check of
+    :func:`bounded_broadcast`; ``True`` forces the hint (size known by the
+    caller).
+    """
+    if broadcast is None or broadcast is False:
+        return df
+    if broadcast is True:
+        return F.broadcast(df)
+    return bounded_broadcast(df, int(broadcast))
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
 
