@@ -47,9 +47,8 @@ def airport_dimension(airports: DataFrame) -> DataFrame:
 
 
 def airline_dimension(airlines: DataFrame) -> DataFrame:
-    name, code = AIRLINE_FIELDS
-    dim = select_cast(airlines, {name: "empresa_nome", code: "icao_empresa"})
-    return first_by_key(dim, "icao_empresa")
+    """Airline records → string table unique on ``Sigla`` (first wins)."""
+    return first_by_key(select_cast(airlines, AIRLINE_FIELDS), AIRLINE_FIELDS[1])
 
 
 def _endpoint(dim: DataFrame, key: str, names: dict[str, str]) -> DataFrame:
@@ -58,12 +57,15 @@ def _endpoint(dim: DataFrame, key: str, names: dict[str, str]) -> DataFrame:
 
 
 def enrich_airports(flights: DataFrame, airports: DataFrame, cols: FlightColumns = COLS,
-                    decode_sizes: bool = True, broadcast: bool | int | None = None) -> DataFrame:
+                    decode_sizes: bool = True, broadcast: bool | int | None = None,
+                    dedupe: bool = True) -> DataFrame:
     """Join origin and destination airport attributes, keep flights whose two
     endpoints are known and not heliports, and decode the airport size.
 
-    ``broadcast``: see :func:`aerolake.session.lookup_side`."""
-    dim = lookup_side(airport_dimension(airports), broadcast)
+    ``broadcast``: see :func:`aerolake.session.lookup_side`; ``dedupe=False``
+    when ``airports`` already is an :func:`airport_dimension`."""
+    dim = airport_dimension(airports) if dedupe else select_cast(airports, AIRPORT_FIELDS)
+    dim = lookup_side(dim, broadcast)
     origin = _endpoint(dim, cols.origin_icao, {
         "name": cols.origin_name, "continent": cols.origin_continent,
         "iso_country": cols.origin_country, "municipality": cols.origin_city,
@@ -97,9 +99,12 @@ def known_endpoints(df: DataFrame, cols: FlightColumns = COLS) -> DataFrame:
 
 
 def enrich_airline(flights: DataFrame, airlines: DataFrame, cols: FlightColumns = COLS,
-                   broadcast: bool | int | None = None) -> DataFrame:
+                   broadcast: bool | int | None = None, dedupe: bool = True) -> DataFrame:
     """Left join of the airline name on the airline ICAO code; unmatched → null."""
-    dim = lookup_side(airline_dimension(airlines), broadcast)
+    name, code = AIRLINE_FIELDS
+    dim = airline_dimension(airlines) if dedupe else select_cast(airlines, AIRLINE_FIELDS)
+    dim = lookup_side(dim.select(F.col(name).alias("empresa_nome"),
+                                 F.col(code).alias("icao_empresa")), broadcast)
     joined = flights.join(dim, F.col(f"`{cols.airline_icao}`") == dim["icao_empresa"], "left")
     return (joined.withColumn(cols.airline, F.col("empresa_nome"))
                   .drop("empresa_nome", "icao_empresa"))

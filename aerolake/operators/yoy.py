@@ -16,7 +16,7 @@ def delays_per_year_airport(base: DataFrame, cols: FlightColumns = COLS) -> Data
 
 
 def latest_two_years(per_year: DataFrame) -> DataFrame:
-    """The two largest years as ``(ano, slot)`` with slot ``prev``/``curr``.
+    """The two largest years as ``(ano, slot, ano_prev, ano_curr)``, slot ``prev``/``curr``.
 
     Empty when fewer than two years exist. Works on the distinct years only
     (a handful of rows) and is capped at two rows by construction, so it is
@@ -26,10 +26,11 @@ def latest_two_years(per_year: DataFrame) -> DataFrame:
                     .orderBy(F.desc("ano")).limit(2)
     everything = Window.partitionBy()
     return (years.withColumn("__n", F.count(F.lit(1)).over(everything))
-                 .withColumn("__max", F.max("ano").over(everything))
+                 .withColumn("ano_prev", F.min("ano").over(everything))
+                 .withColumn("ano_curr", F.max("ano").over(everything))
                  .where(F.col("__n") == 2)
-                 .select("ano", F.when(F.col("ano") == F.col("__max"), "curr")
-                                 .otherwise("prev").alias("slot")))
+                 .select("ano", F.when(F.col("ano") == F.col("ano_curr"), "curr")
+                                 .otherwise("prev").alias("slot"), "ano_prev", "ano_curr"))
 
 
 def yoy_variation(base: DataFrame, cols: FlightColumns = COLS) -> DataFrame:
@@ -43,8 +44,8 @@ def yoy_variation(base: DataFrame, cols: FlightColumns = COLS) -> DataFrame:
                         .cast("bigint").alias("y_prev"),
                        F.sum(F.when(F.col("slot") == "curr", F.col("qtd")).otherwise(0))
                         .cast("bigint").alias("y_curr"),
-                       F.max(F.when(F.col("slot") == "prev", F.col("ano"))).alias("ano_prev"),
-                       F.max(F.when(F.col("slot") == "curr", F.col("ano"))).alias("ano_curr"))
+                       F.max("ano_prev").alias("ano_prev"),
+                       F.max("ano_curr").alias("ano_curr"))
                   .withColumn("delta", F.col("y_curr") - F.col("y_prev")))
 
 

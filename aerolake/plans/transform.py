@@ -17,18 +17,19 @@ from ..sources.sinks import write_clean
 
 
 def map_rows(flights: DataFrame, airports: DataFrame, airlines: DataFrame,
-             cols: FlightColumns = COLS) -> DataFrame:
+             cols: FlightColumns = COLS, dedupe_lookups: bool = True) -> DataFrame:
     """Airport enrich (+ known/non-heliport endpoints, size decode), code
     decodes, airline enrich."""
     return (flights
-            .transform(lambda d: enrich_airports(d, airports, cols))
+            .transform(lambda d: enrich_airports(d, airports, cols, dedupe=dedupe_lookups))
             .transform(lambda d: decode_codes(d, cols))
-            .transform(lambda d: enrich_airline(d, airlines, cols)))
+            .transform(lambda d: enrich_airline(d, airlines, cols, dedupe=dedupe_lookups)))
 
 
 def transform(flights: DataFrame, airports: DataFrame, airlines: DataFrame,
               cols: FlightColumns = COLS, zone: str = LOCAL_ZONE,
-              strict_times: bool = False, parse_times: bool = True) -> DataFrame:
+              strict_times: bool = False, parse_times: bool = True,
+              dedupe_lookups: bool = True) -> DataFrame:
     """Raw flights → clean flights (the 24-column table).
 
     Steps are written in the original order; Catalyst pushes the status and
@@ -37,7 +38,7 @@ def transform(flights: DataFrame, airports: DataFrame, airlines: DataFrame,
     ``parse_times=False`` stops before the time parsing (times stay text).
     """
     out = (flights
-           .transform(lambda d: map_rows(d, airports, airlines, cols))
+           .transform(lambda d: map_rows(d, airports, airlines, cols, dedupe_lookups))
            .transform(lambda d: remove_invalid_flights(d, cols))
            .transform(lambda d: late_flag(d, cols))
            .transform(drop_unused))

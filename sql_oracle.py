@@ -252,15 +252,15 @@ def _yoy_cte(src: str = "base", name: str = "variation") -> str:
 ),
 {name}_years AS (
   SELECT ano, CASE WHEN ano = max(ano) OVER () THEN 'curr' ELSE 'prev' END AS slot,
-         count(*) OVER () AS n
+         count(*) OVER () AS n, min(ano) OVER () AS yp, max(ano) OVER () AS yc
   FROM (SELECT DISTINCT ano FROM {name}_py WHERE ano IS NOT NULL ORDER BY ano DESC LIMIT 2)
 ),
 {name} AS (
   SELECT aeroporto,
          CAST(sum(CASE WHEN slot = 'prev' THEN qtd ELSE 0 END) AS BIGINT) AS y_prev,
          CAST(sum(CASE WHEN slot = 'curr' THEN qtd ELSE 0 END) AS BIGINT) AS y_curr,
-         max(CASE WHEN slot = 'prev' THEN ano END) AS ano_prev,
-         max(CASE WHEN slot = 'curr' THEN ano END) AS ano_curr,
+         max(yp) AS ano_prev,
+         max(yc) AS ano_curr,
          CAST(sum(CASE WHEN slot = 'curr' THEN qtd ELSE 0 END) AS BIGINT)
            - CAST(sum(CASE WHEN slot = 'prev' THEN qtd ELSE 0 END) AS BIGINT) AS delta
   FROM {name}_py JOIN {name}_years USING (ano)
