@@ -21,7 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from aerolake.codes import LINE_TYPES  # noqa: E402
 from aerolake.columns import COLS, to_ascii_names  # noqa: E402
-from aerolake.functions.geo import in_box  # noqa: E402
+from aerolake.functions.geo import in_box, with_lon_lat  # noqa: E402
 from aerolake.operators import (FilterSpec, apply_filters, completed_flights, date_bounds,  # noqa: E402
                                 decode_codes, delay_base, delay_by_airline, delay_by_airport,
                                 delay_by_period, delay_by_weekday, delay_by_year, domestic_only,
@@ -30,7 +30,6 @@ from aerolake.operators import (FilterSpec, apply_filters, completed_flights, da
                                 route_nodes, sample_rows, status_distribution,
                                 top_airlines_per_year, top_routes, unique_values, yoy_decreases,
                                 yoy_increases, yoy_variation)
-from aerolake.operators.routes import oriented_coordinates  # noqa: E402
 from aerolake.plans import testbed  # noqa: E402
 from aerolake.plans.insights import yoy_with_fallback  # noqa: E402
 from aerolake.sources.csv import union_relaxed  # noqa: E402
@@ -241,13 +240,10 @@ def q_yoy_fallback(spark, d):
 
 
 def q_coord_orient(spark, d):
-    clean = _clean(spark, d)
-    text = F.col(f"`{COLS.origin_coords}`")
-    cols = [F.col(f"`{COLS.flight_number}`").alias("numero_voo"), text.alias("coordenadas_origem")]
+    out = _clean(spark, d).select(F.col(f"`{COLS.flight_number}`").alias("numero_voo"),
+                                  F.col(f"`{COLS.origin_coords}`").alias("coordenadas_origem"))
     for fmt, tag in (("auto", "auto"), ("lat,lon", "latlon"), ("lon,lat", "lonlat")):
-        lon, lat = oriented_coordinates(text, fmt)
-        cols += [lon.alias(f"lon_{tag}"), lat.alias(f"lat_{tag}")]
-    out = clean.select(*cols)
+        out = with_lon_lat(out, "coordenadas_origem", f"lon_{tag}", f"lat_{tag}", fmt)
     return out.withColumn("valido", in_box(F.col("lon_auto"), F.col("lat_auto")))
 
 

@@ -26,6 +26,22 @@ def parse_coordinates(text: Column | str) -> tuple[Column, Column]:
     return parse_number(F.get(parts, 0)), parse_number(F.get(parts, 1))
 
 
+def with_lon_lat(df, text: Column | str, lon_name: str, lat_name: str, fmt: str = "auto"):
+    """Add ``lon_name``/``lat_name`` parsed and oriented from coordinate text.
+
+    Built as stacked projections (split once, parse each part once, then
+    orient) so the parse is not repeated inside ``orient`` and the box test;
+    Catalyst keeps non-cheap expressions that are used several times in their
+    own projection instead of inlining them.
+    """
+    parts, a, b = f"__{lon_name}_parts", f"__{lon_name}_a", f"__{lon_name}_b"
+    out = df.withColumn(parts, F.split(F.regexp_replace(_c(text), r"\s+", ""), ","))
+    out = out.withColumns({a: parse_number(F.get(F.col(parts), 0)),
+                           b: parse_number(F.get(F.col(parts), 1))})
+    lon, lat = orient(F.col(a), F.col(b), fmt)
+    return out.withColumns({lon_name: lon, lat_name: lat}).drop(parts, a, b)
+
+
 def in_box(lon: Column, lat: Column, lon_min: float = LON_MIN, lon_max: float = LON_MAX,
            lat_min: float = LAT_MIN, lat_max: float = LAT_MAX) -> Column:
     return (lon.isNotNull() & lat.isNotNull()

@@ -15,16 +15,11 @@ from pyspark.sql import functions as F
 
 from ..codes import QUANTILE_HIGH, QUANTILE_LOW, ROUTE_MAP_TOP_DEFAULT, SCALE_RANGE_FLOOR
 from ..columns import COLS, FlightColumns
-from ..functions.geo import in_box, orient, parse_coordinates
+from ..functions.geo import in_box, with_lon_lat
 
 ROUTE_KEYS = ["origem_lon", "origem_lat", "destino_lon", "destino_lat"]
 
 
-def oriented_coordinates(text, fmt: str = "auto"):
-    a, b = parse_coordinates(text)
-    return orient(a, b, fmt)
-
-
 def route_map(df: DataFrame, fmt: str = "auto", top: int = ROUTE_MAP_TOP_DEFAULT,
               with_delay: bool = True, cols: FlightColumns = COLS) -> DataFrame:
     """Top ``top`` routes by flight count between valid coordinates, with the
@@ -36,18 +31,19 @@ def route_map(df: DataFrame, fmt: str = "auto", top: int = ROUTE_MAP_TOP_DEFAULT
         aggs += [F.sum("atraso_min").alias("__s"), F.count("atraso_min").alias("__c")]
     by_text = df.groupBy(oc.alias("__oc"), dc.alias("__dc")).agg(*aggs)
 
-    o_lon, o_lat = oriented_coordinates(F.col("__oc"), fmt)
-    d_lon, d_lat = oriented_coordinates(F.col("__dc"), fmt)
-    parsed = by_text.select(o_lon.alias("origem_lon"), o_lat.alias("origem_lat"),
-                            d_lon.alias("destino_lon"), d_lat.alias("destino_lat"),
-                            *[F.col(c) for c in by_text.columns if c.startswith("__") and c not in ("__oc", "__dc")])
-    parsed = parsed.filter(in_box(F.col("origem_lon"), F.col("origem_lat"))
-                           & in_box(F.col("destino_lon"), F.col("destino_lat")))
+    parsed = with_lon_lat(by_text, F.col("__oc"), "origem_lon", "origem_lat", fmt)
+    parsed = with_lon_lat(parsed, F.col("__dc"), "destino_lon", "destino_lat", fmt)
+    valid = (in_box(F.col("origem_lon"), F.col("origem_lat"))
+             & in_box(F.col("destino_lon"), F.col("destino_lat")))
 
-    raggs = [F.sum("__n").cast("bigint").alias("quantidade")]
+    # Validity is a function of the route keys, so it is carried as an
+    # aggregate (max) and applied after the regroup: a predicate on the keys
+    # would be pushed below the first group-by and re-parse every flight row.
+    raggs = [F.sum("__n").cast("bigint").alias("quantidade"),
+             F.max(F.coalesce(valid, F.lit(False))).alias("__ok")]
     if use_delay:
         raggs.append((F.sum("__s") / F.sum("__c")).alias("atraso_medio"))
-    routes = parsed.groupBy(*ROUTE_KEYS).agg(*raggs)
+    routes = parsed.groupBy(*ROUTE_KEYS).agg(*raggs).filter(F.col("__ok")).drop("__ok")
     return routes.orderBy(F.desc("quantidade"), *[F.asc(c) for c in ROUTE_KEYS]).limit(top)
 
 

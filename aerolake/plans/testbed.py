@@ -115,11 +115,27 @@ INPUT_TABLES = ("lineitem", "orders", "customer", "supplier", "part", "nation",
 _VIEWS: dict = {}
 
 
+def _code_version() -> str:
+    """Hash of this package's source: a changed pipeline never reuses a table
+    written by an older one."""
+    import hashlib
+    import os
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for base, _, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(base, f), "rb") as fh:
+                    h.update(f.encode() + fh.read())
+    return h.hexdigest()
+
+
 def fingerprint(sf_dir: str, names=INPUT_TABLES) -> str:
-    """Identity of the input tables (path, size, mtime) for reuse decisions."""
+    """Identity of the input tables (path, size, mtime) and of the code, for
+    reuse decisions."""
     import hashlib
     import os
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    h = hashlib.sha1(os.path.abspath(sf_dir).encode() + _code_version().encode())
     for n in names:
         p = f"{sf_dir.rstrip('/')}/{n}.parquet"
         try:

@@ -58,7 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         raise ValueError("spark.checkpoint.dir is not set and no fallback was given")
     if not configured:
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
