@@ -193,7 +193,8 @@ def clean_flights_table(spark: SparkSession, sf_dir: str, parse_times: bool = Tr
                          airlines(spark, sf_dir), parse_times=parse_times)
 
     if not parse_times:
-        return _memo(spark, ("clean_text", sf_dir), make)
+        return _memo(spark, ("clean_text", sf_dir), lambda: materialized(
+            spark, "clean_flights_text", sf_dir, make))
     return _memo(spark, ("clean", sf_dir), lambda: materialized(
         spark, "clean_flights", sf_dir, lambda: with_year_partition(make()),
         partition_by=YEAR_PARTITION))
