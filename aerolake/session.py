@@ -16,6 +16,7 @@ BASE_CONF: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

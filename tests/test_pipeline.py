@@ -114,3 +114,49 @@ def test_localise_strict_raises_on_gap(spark):
     assert localise(df).collect()[0][0] == dt.datetime(2018, 11, 4, 0, 30)
     with pytest.raises(Exception):
         localise(df, strict=True).collect()
+
+
+def test_decode_with_code_table(spark, tmp_path):
+    from aerolake.operators import decode_with_table
+    from aerolake.sources import read_code_map
+    p = tmp_path / "codes.json"
+    p.write_text('{"C": "Regular", "N": "Charter"}', encoding="utf-8")
+    df = spark.createDataFrame([("C",), ("X",), (None,)], "code string")
+    out = decode_with_table(df, "code", read_code_map(spark, str(p)), "label")
+    assert sorted(out.collect(), key=lambda r: (r.code is not None, r.code or "")) == \
+        [(None, None), ("C", "Regular"), ("X", CODE_NOT_FOUND)]
+
+
+def test_invalid_local_times_report(spark):
+    from aerolake.operators import invalid_local_times
+    df = spark.createDataFrame([("2018-11-04 00:30:00",), ("2021-06-01 12:00:00",), (None,)],
+                               f"`{COLS.dep_planned}` string")
+    bad = invalid_local_times(localise(df), [COLS.dep_planned])
+    assert bad.count() == 1
+
+
+def _explain(df, mode="extended") -> str:
+    import io
+    from contextlib import redirect_stdout
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()
+
+
+def test_broadcast_choices(spark):
+    from aerolake.session import bounded_broadcast, lookup_side
+    small = spark.range(10)
+    joined = spark.range(1000).join(bounded_broadcast(small, 100), "id")
+    assert "BroadcastHashJoin" in _explain(joined)
+    assert lookup_side(small, None) is small          # no hint: Spark's thresholds decide
+    big = bounded_broadcast(spark.range(500), 100)     # over the bound: no hint
+    assert "broadcast" not in _explain(big).lower()
+
+
+def test_checkpoint_table_cuts_lineage(spark):
+    from aerolake.session import checkpoint_table
+    df = spark.range(5).withColumnRenamed("id", "n")
+    out = checkpoint_table(df, "unit_ckpt")
+    assert sorted(r.n for r in out.collect()) == [0, 1, 2, 3, 4]
+    assert "Scan parquet" in _explain(out, "simple")
