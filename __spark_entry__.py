@@ -26,12 +26,14 @@ from aerolake.operators import (FilterSpec, apply_filters, completed_flights, da
                                 decode_codes, delay_base, delay_by_airline, delay_by_airport,
                                 delay_by_period, delay_by_weekday, delay_by_year, domestic_only,
                                 enrich_airline, enrich_airports, first_by_key, flights_per_day,
-                                kpis, late_flag, localise, route_intensity, route_map,
+                                invalid_local_times, kpis, late_flag, localise, route_intensity,
+                                route_map,
                                 route_nodes, sample_rows, status_distribution,
                                 top_airlines_per_year, top_routes, unique_values, yoy_decreases,
                                 yoy_increases, yoy_variation)
 from aerolake.plans import testbed  # noqa: E402
 from aerolake.plans.insights import yoy_with_fallback  # noqa: E402
+from aerolake.plans.report import map_input  # noqa: E402
 from aerolake.sources.csv import union_relaxed  # noqa: E402
 from aerolake.sources.sinks import YEAR_PARTITION  # noqa: E402
 
@@ -247,6 +249,20 @@ def q_coord_orient(spark, d):
     return out.withColumn("valido", in_box(F.col("lon_auto"), F.col("lat_auto")))
 
 
+def q_invalid_local_times(spark, d):
+    """Raw flights with a wall-clock time that does not exist or is ambiguous
+    in the local zone (the rows a strict localisation rejects)."""
+    raw = localise(_raw(spark, d).select(COLS.flight_number, *COLS.times))
+    return to_ascii_names(invalid_local_times(raw, COLS.times))
+
+
+def q_route_map_input(spark, d):
+    """Route map when the delay base is empty (threshold at the 180-minute
+    maximum): the map falls back to all filtered flights, counts only."""
+    clean = _clean(spark, d)
+    return route_map(map_input(delay_base(clean, 180), clean), "auto", 1000, True)
+
+
 def q_route_map(spark, d):
     return _routes(spark, d)
 
@@ -295,6 +311,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "yoy_decreases": q_yoy_decreases,
     "yoy_fallback": q_yoy_fallback,
     "coord_orient": q_coord_orient,
+    "invalid_local_times": q_invalid_local_times,
+    "route_map_input": q_route_map_input,
     "route_map": q_route_map,
     "route_nodes": q_route_nodes,
     "route_intensity": q_route_intensity,

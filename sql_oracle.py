@@ -245,6 +245,32 @@ routes AS (
 )"""
 
 
+def _routes_count_cte(src: str = "clean", top: int = 1000) -> str:
+    oa, ob = _coords('"Origem Coordenadas"')
+    da, db = _coords('"Destino Coordenadas"')
+    olon, olat = _orient("oa", "ob", "auto")
+    dlon, dlat = _orient("da", "db", "auto")
+    return f"""
+rc0 AS (SELECT {oa} AS oa, {ob} AS ob, {da} AS da, {db} AS db FROM {src}),
+rc1 AS (SELECT {olon} AS origem_lon, {olat} AS origem_lat, {dlon} AS destino_lon, {dlat} AS destino_lat FROM rc0),
+routes_count AS (
+  SELECT origem_lon, origem_lat, destino_lon, destino_lat, CAST(count(*) AS BIGINT) AS quantidade
+  FROM rc1
+  WHERE {_box('origem_lon', 'origem_lat')} AND {_box('destino_lon', 'destino_lat')}
+  GROUP BY 1, 2, 3, 4
+  ORDER BY quantidade DESC, origem_lon, origem_lat, destino_lon, destino_lat
+  LIMIT {top}
+)"""
+
+
+def _invalid_local(expr: str) -> str:
+    """Wall clock that does not exist (round trip moves it) or is ambiguous
+    (an hour earlier maps to an earlier instant) in ZONE."""
+    inst = f"timezone('{ZONE}', {expr})"
+    return (f"({expr} IS NOT NULL AND (timezone('{ZONE}', {inst}) <> {expr} "
+            f"OR timezone('{ZONE}', {expr} - INTERVAL 1 HOUR) + INTERVAL 1 HOUR < {inst}))")
+
+
 def _yoy_cte(src: str = "base", name: str = "variation") -> str:
     return f"""
 {name}_py AS (
@@ -401,6 +427,11 @@ def oracle_sql() -> dict[str, str]:
     d["coord_orient"] = w(RAW, f"co AS (SELECT \"Número Voo\" AS numero_voo, \"Origem Coordenadas\" AS coordenadas_origem, {oa} AS oa, {ob} AS ob FROM clean)") + (
         f"SELECT numero_voo, coordenadas_origem, {', '.join(cols_sql)}, "
         f"{_box(lon_a, lat_a)} AS valido FROM co")
+    parsed = ", ".join(f"{parse_ts(q(c))} AS {ASCII_NAMES[c]}" for c in times)
+    d["invalid_local_times"] = w(RAW, f"lt AS (SELECT \"Número Voo\" AS numero_voo, {parsed} FROM raw_flights)") + (
+        "SELECT * FROM lt WHERE " + " OR ".join(_invalid_local(ASCII_NAMES[c]) for c in times))
+    d["route_map_input"] = w(RAW, base_cte(limit=180, name="base180"), _routes_count_cte()) + (
+        "SELECT * FROM routes_count WHERE (SELECT count(*) FROM base180) = 0")
     d["route_map"] = w(RAW, base, _routes_cte()) + "SELECT * FROM routes"
     d["route_nodes"] = w(RAW, base, _routes_cte()) + (
         "SELECT lon, lat, CAST(sum(quantidade) AS BIGINT) AS quantidade FROM ("
