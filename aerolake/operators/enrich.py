@@ -1,10 +1,8 @@
 """Lookup joins and dictionary decodes of the flight records.
 
-Lookups are dimension tables: they are de-duplicated and joined without a
-hint by default, so Spark broadcasts them only when the planner's size
-estimate or AQE's measured size is under the broadcast threshold (the flight
-table then streams through map-side hash joins), and plans a shuffle join
-otherwise. A caller may ask for a bounded row-count check instead.
+Lookups are dimension tables: they are de-duplicated and broadcast after a
+bounded row-count check (the flight table then streams through map-side hash
+joins with no shuffle); a lookup over the bound is joined with a shuffle join.
 """
 
 from __future__ import annotations
@@ -65,7 +63,7 @@ def enrich_airports(flights: DataFrame, airports: DataFrame, cols: FlightColumns
     ``broadcast``: see :func:`aerolake.session.lookup_side`; ``dedupe=False``
     when ``airports`` already is an :func:`airport_dimension`."""
     dim = airport_dimension(airports) if dedupe else select_cast(airports, AIRPORT_FIELDS)
-    dim = lookup_side(dim, broadcast)
+    dim = lookup_side(dim, broadcast, source=airports)
     origin = _endpoint(dim, cols.origin_icao, {
         "name": cols.origin_name, "continent": cols.origin_continent,
         "iso_country": cols.origin_country, "municipality": cols.origin_city,
@@ -104,7 +102,7 @@ def enrich_airline(flights: DataFrame, airlines: DataFrame, cols: FlightColumns
     name, code = AIRLINE_FIELDS
     dim = airline_dimension(airlines) if dedupe else select_cast(airlines, AIRLINE_FIELDS)
     dim = lookup_side(dim.select(F.col(name).alias("empresa_nome"),
-                                 F.col(code).alias("icao_empresa")), broadcast)
+                                 F.col(code).alias("icao_empresa")), broadcast, source=airlines)
     joined = flights.join(dim, F.col(f"`{cols.airline_icao}`") == dim["icao_empresa"], "left")
     return (joined.withColumn(cols.airline, F.col("empresa_nome"))
                   .drop("empresa_nome", "icao_empresa"))
@@ -126,7 +124,7 @@ def decode_with_table(df: DataFrame, code_col: str, codes: DataFrame, out_col: s
     """Decode through a (code, label) table, e.g. one read with ``read_code_map``,
     for code lists that are not known when the job is written."""
     dim = lookup_side(codes.select(F.col("code").alias("__code"),
-                                         F.col("label").alias("__label")), broadcast)
+                                   F.col("label").alias("__label")), broadcast, source=codes)
     c = F.col(f"`{code_col}`")
     joined = df.join(dim, c == F.col("__code"), "left")
     label = F.col("__label") if default is None else F.coalesce(F.col("__label"), F.lit(default))

@@ -21,9 +21,10 @@ BASE_CONF: dict[str, str] = {
     "spark.ui.showConsoleProgress": "false",
 }
 
-# Largest lookup (airports, airlines, code lists) that is shipped to every task.
-# Real airport lists are ~10^5 rows, airline lists ~10^3.
-MAX_BROADCAST_ROWS = 2_000_000
+# Largest lookup (airports, airlines, code lists) that is shipped to every task:
+# narrow string rows, so ~100 MB at most. Real airport lists are ~10^5 rows,
+# airline lists ~10^3.
+MAX_BROADCAST_ROWS = 500_000
 
 
 def build_session(master: str | None = None, app_name: str = "aerolake",
@@ -87,21 +88,26 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
-def lookup_side(df: DataFrame, broadcast: bool | int | None = None) -> DataFrame:
+def lookup_side(df: DataFrame, broadcast: bool | int | None = None,
+                source: DataFrame | None = None) -> DataFrame:
     """How a lookup table joins the fact table.
 
-    ``None`` (default): no hint; Spark broadcasts it only below
-    ``spark.sql.autoBroadcastJoinThreshold`` (planner size estimate) or, with
-    AQE, once its measured size is below the adaptive threshold; otherwise it
-    is a shuffle join. An ``int`` runs the bounded row-count check of
-    :func:`bounded_broadcast`; ``True`` forces the hint (size known by the
-    caller).
+    ``None`` (default) or an ``int`` bound: broadcast only after a bounded
+    row-count check (``MAX_BROADCAST_ROWS`` or the given bound) on ``source``
+    (the raw lookup, an upper bound of the de-duplicated ``df``, checked
+    without a shuffle); above the bound, a shuffle join. The planner's own
+    estimate is not relied on: without statistics it multiplies join inputs
+    and can miss a 25-row table, and AQE would switch only after the fact
+    table was already shuffled. ``True`` forces the hint (size proven by the
+    caller); ``False`` leaves the choice to Spark's thresholds.
     """
-    if broadcast is None or broadcast is False:
+    if broadcast is False:
         return df
     if broadcast is True:
         return F.broadcast(df)
-    return bounded_broadcast(df, int(broadcast))
+    bound = MAX_BROADCAST_ROWS if broadcast is None else int(broadcast)
+    probe = df if source is None else source
+    return F.broadcast(df) if probe.limit(bound + 1).count() <= bound else df
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

@@ -149,7 +149,9 @@ def test_broadcast_choices(spark):
     small = spark.range(10)
     joined = spark.range(1000).join(bounded_broadcast(small, 100), "id")
     assert "BroadcastHashJoin" in _explain(joined)
-    assert lookup_side(small, None) is small          # no hint: Spark's thresholds decide
+    assert lookup_side(small, False) is small         # no hint: Spark's thresholds decide
+    assert "BroadcastHashJoin" in _explain(spark.range(1000).join(lookup_side(small), "id"))
+    assert "broadcast" not in _explain(lookup_side(spark.range(50), 10)).lower()
     big = bounded_broadcast(spark.range(500), 100)     # over the bound: no hint
     assert "broadcast" not in _explain(big).lower()
 
