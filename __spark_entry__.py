@@ -23,6 +23,7 @@ from aerolake.codes import LINE_TYPES  # noqa: E402
 from aerolake.columns import COLS, to_ascii_names  # noqa: E402
 from aerolake.functions.geo import in_box, with_lon_lat  # noqa: E402
 from aerolake.operators import (FilterSpec, apply_filters, completed_flights, date_bounds,  # noqa: E402
+                                filter_options,
                                 decode_codes, delay_base, delay_by_airline, delay_by_airport,
                                 delay_by_period, delay_by_weekday, delay_by_year, domestic_only,
                                 enrich_airline, enrich_airports, first_by_key, flights_per_day,
@@ -181,6 +182,15 @@ def q_unique_values(spark, d):
     return unique_values(_clean(spark, d), COLS.airline)
 
 
+# The six filter lists of the dashboard sidebar.
+FILTER_COLUMNS = (COLS.airline, COLS.situation, COLS.status, COLS.line_type,
+                  COLS.origin_name, COLS.dest_name)
+
+
+def q_filter_options(spark, d):
+    return filter_options(_clean(spark, d), FILTER_COLUMNS)
+
+
 def q_date_bounds(spark, d):
     return date_bounds(_clean(spark, d), COLS.dep_planned)
 
@@ -296,6 +306,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_routes": q_top_routes,
     "kpis": q_kpis,
     "unique_values": q_unique_values,
+    "filter_options": q_filter_options,
     "date_bounds": q_date_bounds,
     "sample_rows": q_sample_rows,
     "delay_base": q_delay_base,

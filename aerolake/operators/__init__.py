@@ -1,7 +1,7 @@
 """DataFrame → DataFrame operators of the flight-operations engine."""
 
-from .aggregates import (date_bounds, flights_per_day, kpis, sample_rows, status_distribution,
-                         top_routes, unique_values)
+from .aggregates import (date_bounds, filter_options, flights_per_day, kpis, sample_rows,
+                         status_distribution, top_routes, unique_values)
 from .clean import (completed_flights, domestic_only, drop_unused, invalid_local_times,
                     late_flag, localise, remove_invalid_flights)
 from .delay import (delay_base, delay_by_airline, delay_by_airport, delay_by_period,

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,6 +81,24 @@ def unique_values(df: DataFrame, column: str, limit: int = UNIQUE_VALUES_LIMIT)
              .orderBy("valor").limit(limit)
 
 
+def filter_options(df: DataFrame, columns: Sequence[str],
+                   limit: int = UNIQUE_VALUES_LIMIT) -> DataFrame:
+    """The distinct-value lists of several filter columns in one pass.
+
+    Rows ``(coluna, valor)``: non-null values as text, sorted, at most
+    ``limit`` per column. One scan emits (column, value) pairs, ``distinct``
+    combines them map-side, and the per-column cut is a ``row_number`` limit
+    that Spark applies partially before the shuffle, so no task receives
+    more than ``limit`` values per column from each input partition.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("coluna"), _col(c).cast("string").alias("valor"))
+                      for c in columns])
+    values = df.select(F.inline(pairs)).where(F.col("valor").isNotNull()).distinct()
+    w = Window.partitionBy("coluna").orderBy("valor")
+    return (values.withColumn("__rn", F.row_number().over(w))
+                  .where(F.col("__rn") <= limit).drop("__rn"))
+
+
 def date_bounds(df: DataFrame, column: str) -> DataFrame:
     """One row ``(inicio, fim)``: min and max of a date/timestamp column,
     nulls ignored; nulls when the column is absent or not temporal."""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..columns import COLS, FlightColumns
-from ..session import spread
+from ..session import lookup_side, spread
 from ..sources.files import path_exists
 
 TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -47,10 +47,13 @@ def raw_flights(spark: SparkSession, sf_dir: str, cols: FlightColumns = COLS) ->
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
 
-    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-           .join(customer, orders.o_custkey == customer.c_custkey)
-           .join(supplier, li.l_suppkey == supplier.s_suppkey)
-           .join(part, li.l_partkey == part.p_partkey))
+    # Join order is written by hand (no CBO): orders meet customer first, so the
+    # lineitem-sized intermediate is shuffled once per remaining key at most;
+    # supplier and part are broadcast while a bounded count proves them small.
+    oc = orders.join(lookup_side(customer, source=customer), orders.o_custkey == customer.c_custkey)
+    j = (li.join(oc, li.l_orderkey == oc.o_orderkey)
+           .join(lookup_side(supplier, source=supplier), li.l_suppkey == supplier.s_suppkey)
+           .join(lookup_side(part, source=part), li.l_partkey == part.p_partkey))
 
     dep = F.timestamp_add("HOUR", F.pmod(F.col("l_partkey"), F.lit(24)).cast("int"), F.col("o_orderdate"))
     shift = F.floor(F.col("l_quantity") * 3 - 30).cast("int")

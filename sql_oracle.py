@@ -378,6 +378,13 @@ def oracle_sql() -> dict[str, str]:
     d["unique_values"] = w(RAW) + (
         "SELECT DISTINCT \"Empresa Aérea\" AS valor FROM clean WHERE \"Empresa Aérea\" IS NOT NULL "
         "ORDER BY valor LIMIT 20000")
+    opts = " UNION ALL ".join(
+        f"SELECT DISTINCT {s(c)} AS coluna, CAST({q(c)} AS VARCHAR) AS valor FROM clean WHERE {q(c)} IS NOT NULL"
+        for c in ("Empresa Aérea", "Situação Voo", "Status do Voo", "Tipo Linha",
+                  "Aeródromo Origem", "Aeródromo Destino"))
+    d["filter_options"] = w(RAW) + (
+        "SELECT coluna, valor FROM (SELECT coluna, valor, row_number() OVER "
+        f"(PARTITION BY coluna ORDER BY valor) AS rn FROM ({opts})) WHERE rn <= 20000")
     d["date_bounds"] = w(RAW) + (
         "SELECT min(\"Partida Prevista\") AS inicio, max(\"Partida Prevista\") AS fim FROM clean")
     d["sample_rows"] = w(RAW) + (

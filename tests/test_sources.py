@@ -99,3 +99,31 @@ def test_writers_and_load_or_build(spark, tmpdir_str):
     assert spark.read.parquet(os.path.join(tmpdir_str, "p")).count() == 2
     assert spark.read.option("header", True).csv(os.path.join(tmpdir_str, "c")).columns == \
         ["Número Voo", "Partida Prevista"]
+
+
+def test_run_batch_csv_to_clean_parquet(spark, tmpdir_str):
+    from aerolake.columns import CLEAN_COLUMNS
+    from aerolake.plans import run_batch
+    from aerolake.sources import YEAR_PARTITION
+    head = ("ICAO Empresa Aérea;Número Voo;Código Autorização (DI);Código Tipo Linha;"
+            "ICAO Aeródromo Origem;ICAO Aeródromo Destino;Partida Prevista;Partida Real;"
+            "Chegada Prevista;Chegada Real;Situação Voo;Código Justificativa")
+    row = "GLO;0042;X;C;SBGR;SBSP;2021-05-03 10:00:00;2021-05-03 10:30:00;2021-05-03 12:00:00;2021-05-03 12:10:00;REALIZADO;AA"
+    _write(os.path.join(tmpdir_str, "jan.csv"), head + "\n" + row + "\n")
+    # second extract: columns reordered, one row cancelled
+    head2 = ";".join(reversed(head.split(";")))
+    row2 = ";".join(reversed(row.replace("REALIZADO", "CANCELADO").split(";")))
+    _write(os.path.join(tmpdir_str, "feb.csv"), head2 + "\n" + row2 + "\n")
+    airports = [{"icao_code": c, "name": n, "continent": "SA", "iso_country": "BR",
+                 "municipality": "SP", "gps_code": c, "coordinates": xy, "type": "large_airport"}
+                for c, n, xy in (("SBGR", "Guarulhos", "-46.47,-23.43"), ("SBSP", "Congonhas", "-46.65,-23.62"))]
+    _write(os.path.join(tmpdir_str, "airports.json"), json.dumps(airports))
+    _write(os.path.join(tmpdir_str, "airlines.json"), json.dumps([{"Nome": "Gol", "Sigla": "GLO"}]))
+    out = run_batch(spark, out_path=os.path.join(tmpdir_str, "clean"),
+                    airports_path=os.path.join(tmpdir_str, "airports.json"),
+                    airlines_path=os.path.join(tmpdir_str, "airlines.json"),
+                    csv_glob=os.path.join(tmpdir_str, "*.csv"))
+    assert sorted(out.columns) == sorted(list(CLEAN_COLUMNS) + [YEAR_PARTITION])
+    r = out.collect()
+    assert len(r) == 1 and r[0]["Número Voo"] == "0042" and r[0]["Status do Voo"] == "Atrasado"
+    assert r[0]["Empresa Aérea"] == "Gol" and r[0][YEAR_PARTITION] == 2021
