@@ -158,7 +158,7 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, build, partition_b
     if not root:
         return build()
     path = f"{root.rstrip('/')}/aerolake-tables/{name}-{fingerprint(sf_dir)}"
-    if not path_exists(f"{path}/_SUCCESS"):
+    if not path_exists(f"{path}/_SUCCESS", spark):
         writer = build().write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(partition_by)

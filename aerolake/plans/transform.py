@@ -50,7 +50,7 @@ def run_batch(spark: SparkSession, *, out_path: str, airports_path: str, airline
               airports_fmt: str = "array", partition_by_year: bool = True,
               cols: FlightColumns = COLS) -> DataFrame:
     """Source choice → clean → write; returns the written table read back."""
-    if raw_parquet and path_exists(raw_parquet):
+    if raw_parquet and path_exists(raw_parquet, spark):
         raw = spark.read.parquet(raw_parquet)
     elif csv_glob:
         raw = read_flights_csv(spark, csv_glob)
@@ -68,7 +68,7 @@ def load_or_build(spark: SparkSession, clean_path: str, build: Callable[[], Data
 
     Unlike a silent no-op, a missing table without a way to build it raises.
     """
-    if not rebuild and path_exists(clean_path):
+    if not rebuild and path_exists(clean_path, spark):
         return spark.read.parquet(clean_path)
     if build is None:
         raise FileNotFoundError(f"{clean_path} does not exist and no build step was given")

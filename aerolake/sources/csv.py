@@ -24,10 +24,22 @@ def split_header(line: str, sep: str) -> list[str]:
     return next(_csv.reader([line], delimiter=sep))
 
 
-def header_groups(paths: Sequence[str], sep: str) -> dict[tuple[str, ...], list[str]]:
+def file_header(path: str, sep: str, spark: SparkSession | None = None) -> list[str]:
+    """Column names of one CSV file: its first line (read directly when the
+    file system is reachable from the driver, else through Spark's reader)."""
+    try:
+        return split_header(read_first_line(path), sep)
+    except Exception:
+        if spark is None:
+            raise
+    return spark.read.option("header", True).option("sep", sep).csv(path).columns
+
+
+def header_groups(paths: Sequence[str], sep: str,
+                  spark: SparkSession | None = None) -> dict[tuple[str, ...], list[str]]:
     groups: dict[tuple[str, ...], list[str]] = {}
     for p in paths:
-        groups.setdefault(tuple(split_header(read_first_line(p), sep)), []).append(p)
+        groups.setdefault(tuple(file_header(p, sep, spark)), []).append(p)
     return groups
 
 
@@ -36,11 +48,11 @@ def read_flights_csv(spark: SparkSession, paths: str | Iterable[str], sep: str =
     """Read every CSV matched by ``paths`` (a glob or a list of files) and
     union them by column name; all columns are text (flight numbers and
     codes keep their leading zeros), a column missing from a file is null."""
-    files = expand_glob(paths) if isinstance(paths, str) else [str(p) for p in paths]
+    files = expand_glob(paths, spark) if isinstance(paths, str) else [str(p) for p in paths]
     if not files:
         raise FileNotFoundError(f"no CSV file matches {paths!r}")
     frames = []
-    for header, group in header_groups(files, sep).items():
+    for header, group in header_groups(files, sep, spark).items():
         frames.append(spark.read.schema(string_schema(header))
                       .option("header", True).option("sep", sep)
                       .option("encoding", encoding).option("mode", "PERMISSIVE")
@@ -50,7 +62,7 @@ def read_flights_csv(spark: SparkSession, paths: str | Iterable[str], sep: str =
 
 def read_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """Single CSV with header, all columns as text."""
-    header = split_header(read_first_line(path), sep)
+    header = file_header(path, sep, spark)
     return (spark.read.schema(string_schema(header)).option("header", True)
             .option("sep", sep).csv(path))
 

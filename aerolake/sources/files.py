@@ -1,4 +1,10 @@
-"""File-system helpers (local paths and URIs via pyarrow's public FS API)."""
+"""File-system helpers.
+
+Local paths use the OS; URIs use pyarrow's file systems and, for schemes
+pyarrow does not know (e.g. ``s3a://``, ``abfss://``), Spark's own readers:
+listing through the ``binaryFile`` source (paths only, no content is read),
+CSV headers through the CSV reader, existence by reading the path.
+"""
 
 from __future__ import annotations
 
@@ -17,19 +23,45 @@ def _fs(path: str):
     return pafs.FileSystem.from_uri(path)
 
 
-def path_exists(path: str) -> bool:
+def path_exists(path: str, spark=None) -> bool:
     if not _is_uri(path):
         return os.path.exists(path)
-    from pyarrow import fs as pafs
-    filesystem, p = _fs(path)
-    return filesystem.get_file_info(p).type != pafs.FileType.NotFound
+    try:
+        from pyarrow import fs as pafs
+        filesystem, p = _fs(path)
+        return filesystem.get_file_info(p).type != pafs.FileType.NotFound
+    except Exception:
+        if spark is None:
+            raise
+    return _spark_readable(spark, path)
+
 
+def _spark_readable(spark, path: str) -> bool:
+    """A committed Parquet table (or its ``_SUCCESS`` marker's directory) at ``path``."""
+    from pyspark.errors import AnalysisException
+    target = path[: -len("/_SUCCESS")] if path.endswith("/_SUCCESS") else path
+    try:
+        spark.read.parquet(target)
+        return True
+    except AnalysisException:
+        return False
 
-def expand_glob(pattern: str) -> list[str]:
+
+def expand_glob(pattern: str, spark=None) -> list[str]:
     """Expand a file glob to a sorted list of paths (local or URI)."""
     pattern = str(pattern)
     if not _is_uri(pattern):
         return sorted(_glob.glob(pattern))
+    try:
+        return _expand_glob_arrow(pattern)
+    except Exception:
+        if spark is None:
+            raise
+    rows = spark.read.format("binaryFile").load(pattern).select("path").collect()
+    return sorted(r.path for r in rows)
+
+
+def _expand_glob_arrow(pattern: str) -> list[str]:
     from pyarrow import fs as pafs
     filesystem, p = _fs(pattern)
     base = p.rsplit("/", 1)[0] if any(ch in p for ch in "*?[") else p

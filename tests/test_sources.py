@@ -127,3 +127,16 @@ def test_run_batch_csv_to_clean_parquet(spark, tmpdir_str):
     r = out.collect()
     assert len(r) == 1 and r[0]["Número Voo"] == "0042" and r[0]["Status do Voo"] == "Atrasado"
     assert r[0]["Empresa Aérea"] == "Gol" and r[0][YEAR_PARTITION] == 2021
+
+
+def test_spark_fallbacks_for_listing_and_headers(spark, tmpdir_str):
+    from aerolake.sources.csv import file_header
+    from aerolake.sources.files import _spark_readable
+    _write(os.path.join(tmpdir_str, "x.csv"), "a;b\n1;2\n")
+    uri = "file://" + os.path.join(tmpdir_str, "x.csv")
+    assert spark.read.format("binaryFile").load("file://" + tmpdir_str + "/*.csv") \
+        .select("path").collect()[0].path.endswith("x.csv")
+    assert file_header(uri, ";", spark) == ["a", "b"]
+    assert not _spark_readable(spark, "file://" + os.path.join(tmpdir_str, "missing"))
+    spark.range(3).write.parquet(os.path.join(tmpdir_str, "t"))
+    assert _spark_readable(spark, "file://" + os.path.join(tmpdir_str, "t") + "/_SUCCESS")
