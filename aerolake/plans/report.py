@@ -11,6 +11,7 @@ from ..operators.aggregates import (flights_per_day, kpis, sample_rows, status_d
                                     top_routes)
 from ..operators.delay import delay_base
 from ..operators.filters import FilterSpec, apply_filters
+from ..sources.sinks import YEAR_PARTITION
 from .insights import delay_insights, route_bundle
 
 
@@ -30,11 +31,15 @@ def report(clean: DataFrame, spec: FilterSpec | None = None,
     lineage). Call ``unpersist_report`` when done.
     """
     spec = spec or FilterSpec()
-    filtered = apply_filters(clean, spec, cols)
+    # A clean table written by write_clean carries the year partition column:
+    # day ranges then also prune whole years.
+    year_col = YEAR_PARTITION if YEAR_PARTITION in clean.columns else None
+    filtered = apply_filters(clean, spec, cols, year_col)
     base = delay_base(filtered, delay_limit, cols)
     base_no_dates = None
     if spec.has_dates:
-        base_no_dates = delay_base(apply_filters(clean, spec.without_dates(), cols), delay_limit, cols)
+        base_no_dates = delay_base(apply_filters(clean, spec.without_dates(), cols, year_col),
+                                   delay_limit, cols)
     if persist:
         filtered = filtered.persist(StorageLevel.MEMORY_AND_DISK)
         base = base.persist(StorageLevel.MEMORY_AND_DISK)

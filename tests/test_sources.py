@@ -140,3 +140,27 @@ def test_spark_fallbacks_for_listing_and_headers(spark, tmpdir_str):
     assert not _spark_readable(spark, "file://" + os.path.join(tmpdir_str, "missing"))
     spark.range(3).write.parquet(os.path.join(tmpdir_str, "t"))
     assert _spark_readable(spark, "file://" + os.path.join(tmpdir_str, "t") + "/_SUCCESS")
+
+
+def test_cli_run_builds_then_reports(spark, tmpdir_str):
+    from aerolake.cli import main
+    from aerolake.plans import testbed
+    from conftest import SF001
+    raw = testbed.raw_flights(spark, SF001)
+    raw_path = os.path.join(tmpdir_str, "raw")
+    raw.write.parquet(raw_path)
+    testbed.airports(spark, SF001).coalesce(1).write.json(os.path.join(tmpdir_str, "airports"))
+    airlines = os.path.join(tmpdir_str, "airlines.json")
+    _write(airlines, json.dumps([r.asDict() for r in testbed.airlines(spark, SF001).collect()]))
+    out = os.path.join(tmpdir_str, "report")
+    clean = os.path.join(tmpdir_str, "clean")
+    args = ["run", "--clean", clean, "--raw-parquet", raw_path,
+            "--airports", os.path.join(tmpdir_str, "airports"), "--airports-fmt", "ndjson",
+            "--airlines", airlines, "--out", out, "--statuses", "Atrasado", "--day-start", "1996-01-01"]
+    assert main(args, spark) == 0
+    names = sorted(os.listdir(out))
+    assert {"kpis", "top_routes", "rotas", "companhias", "variacao"} <= set(names)
+    kpis = spark.read.parquet(os.path.join(out, "kpis")).collect()[0]
+    assert kpis.voos == spark.read.parquet(clean).where("`Status do Voo` = 'Atrasado' AND "
+                                                        "`Partida Prevista` >= '1996-01-01'").count()
+    assert main(["report", "--clean", clean, "--out", out], spark) == 0
