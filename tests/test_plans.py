@@ -83,3 +83,35 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_an_oracle():
     assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+def test_no_python_evaluation_in_any_query(spark):
+    for name, fn in entry.queries().items():
+        p = plan(fn(spark, SF001))
+        for node in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
+                     "MapInPandas", "CartesianProduct"):
+            assert node not in p, (name, node)
+
+
+def test_invariants(spark):
+    from pyspark.sql import functions as F
+    q = entry.queries()
+    raw_n = testbed.raw_flights_table(spark, SF001).count()
+    clean_n = q["clean_flights"](spark, SF001).count()
+    assert 0 < clean_n <= raw_n
+    assert sum(r.quantidade for r in q["status_distribution"](spark, SF001).collect()) == clean_n
+    assert sum(r.voos for r in q["flights_per_day"](spark, SF001).collect()) == clean_n
+    assert q["kpis"](spark, SF001).collect()[0].voos == clean_n
+    routes = q["route_map"](spark, SF001).agg(F.sum("quantidade")).collect()[0][0]
+    nodes = q["route_nodes"](spark, SF001).agg(F.sum("quantidade")).collect()[0][0]
+    assert nodes == 2 * routes
+    var = q["yoy_variation"](spark, SF001)
+    assert var.where("delta <> y_curr - y_prev").count() == 0
+    late = q["late_flag"](spark, SF001)
+    wrong = late.where(
+        "(status_voo = 'Atrasado') <> coalesce(partida_real > partida_prevista "
+        "OR chegada_real > chegada_prevista, false)")
+    assert wrong.count() == 0
+    base = q["delay_base"](spark, SF001)
+    assert base.where("atraso_min <= 15").count() == 0
+    assert q["delay_by_year"](spark, SF001).agg(F.sum("quantidade_atrasos")).collect()[0][0] == base.count()
