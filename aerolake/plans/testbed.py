@@ -9,6 +9,8 @@ Everything is a lazy join over the whole tables.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,6 +118,7 @@ def events_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- materialised views
 INPUT_TABLES = ("lineitem", "orders", "customer", "supplier", "part", "nation", "region")
 _VIEWS: dict = {}
+_WRITE_LOCK = threading.RLock()
 
 
 def _code_version() -> str:
@@ -158,11 +161,12 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, build, partition_b
     if not root:
         return build()
     path = f"{root.rstrip('/')}/aerolake-tables/{name}-{fingerprint(sf_dir)}"
-    if not path_exists(f"{path}/_SUCCESS", spark):
-        writer = build().write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
-        writer.parquet(path)
+    with _WRITE_LOCK:          # queries built from several threads write once
+        if not path_exists(f"{path}/_SUCCESS", spark):
+            writer = build().write.mode("overwrite")
+            if partition_by:
+                writer = writer.partitionBy(partition_by)
+            writer.parquet(path)
     return spark.read.parquet(path)
 
 

@@ -116,6 +116,10 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     The check is a bounded count (``limit(max_rows + 1)``) on the lookup side
     only; above the bound the plain DataFrame is returned and Spark plans a
     shuffle join (AQE may still switch to broadcast from runtime sizes).
+    The count needs no columns, stops reading each partition after
+    ``max_rows + 1`` rows, and moves at most that many zero-width rows per
+    partition, which is never more than the shuffle join it falls back to
+    would move.
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
