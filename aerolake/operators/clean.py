@@ -86,9 +86,20 @@ def localise(df: DataFrame, prefixes: Iterable[str] = COLS.times, zone: str = LO
 
 def invalid_local_times(df: DataFrame, columns: Iterable[str] = COLS.times,
                         zone: str = LOCAL_ZONE) -> DataFrame:
-    """Rows with at least one non-existent or ambiguous local time."""
+    """Rows with at least one non-existent or ambiguous local time.
+
+    The validity test reads each time several times. A plain filter would be
+    pushed into the projection that parses the times and repeat the parse
+    for every reference, so the times first pass through a generator
+    (``inline`` of a one-element array): filters are not pushed below it, and
+    each time is parsed once per row.
+    """
+    columns = list(columns)
+    others = [c for c in df.columns if c not in columns]
+    once = F.inline(F.array(F.struct(*[_col(c).alias(c) for c in columns])))
+    pinned = df.select(*[_col(c) for c in others], once)
     bad = None
     for c in columns:
-        cond = _col(c).isNotNull() & ~valid_local_time(_col(c), zone)
+        cond = ~valid_local_time(_col(c), zone)          # null time → null → not kept
         bad = cond if bad is None else (bad | cond)
-    return df.filter(bad)
+    return pinned.filter(bad).select(*[_col(c) for c in df.columns])
