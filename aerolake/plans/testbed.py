@@ -45,17 +45,18 @@ def raw_flights(spark: SparkSession, sf_dir: str, cols: FlightColumns = COLS) ->
         "l_returnflag", "l_linestatus"))
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    customer_t, supplier_t, part_t = (table(spark, sf_dir, n) for n in ("customer", "supplier", "part"))
+    customer = customer_t.select("c_custkey", "c_nationkey", "c_mktsegment")
+    supplier = supplier_t.select("s_suppkey", "s_nationkey")
+    part = part_t.select("p_partkey", "p_type")
 
     # Join order is written by hand (no CBO): orders meet customer first, so the
     # lineitem-sized intermediate is shuffled once per remaining key at most;
     # supplier and part are broadcast while a bounded count proves them small.
-    oc = orders.join(lookup_side(customer, source=customer), orders.o_custkey == customer.c_custkey)
+    oc = orders.join(lookup_side(customer, source=customer_t), orders.o_custkey == customer.c_custkey)
     j = (li.join(oc, li.l_orderkey == oc.o_orderkey)
-           .join(lookup_side(supplier, source=supplier), li.l_suppkey == supplier.s_suppkey)
-           .join(lookup_side(part, source=part), li.l_partkey == part.p_partkey))
+           .join(lookup_side(supplier, source=supplier_t), li.l_suppkey == supplier.s_suppkey)
+           .join(lookup_side(part, source=part_t), li.l_partkey == part.p_partkey))
 
     dep = F.timestamp_add("HOUR", F.pmod(F.col("l_partkey"), F.lit(24)).cast("int"), F.col("o_orderdate"))
     shift = F.floor(F.col("l_quantity") * 3 - 30).cast("int")
@@ -81,6 +82,11 @@ def raw_flights(spark: SparkSession, sf_dir: str, cols: FlightColumns = COLS) ->
 
 
 def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Airport records derived from ``nation`` (one DataFrame per session)."""
+    return _memo(spark, ("airports", sf_dir), lambda: _airports(spark, sf_dir))
+
+
+def _airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     k = F.col("n_nationkey")
@@ -103,9 +109,10 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = table(spark, sf_dir, "supplier")
-    return supplier.where(F.col("s_acctbal") > 500).select(
-        F.col("s_name").alias("Nome"), F.col("s_suppkey").cast("string").alias("Sigla"))
+    """Airline records derived from ``supplier`` (one DataFrame per session)."""
+    return _memo(spark, ("airlines", sf_dir), lambda: table(spark, sf_dir, "supplier")
+                 .where(F.col("s_acctbal") > 500)
+                 .select(F.col("s_name").alias("Nome"), F.col("s_suppkey").cast("string").alias("Sigla")))
 
 
 def events_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,7 +108,22 @@ def lookup_side(df: DataFrame, broadcast: bool | int | None = None,
         return F.broadcast(df)
     bound = MAX_BROADCAST_ROWS if broadcast is None else int(broadcast)
     probe = df if source is None else source
-    return F.broadcast(df) if probe.limit(bound + 1).count() <= bound else df
+    return F.broadcast(df) if _at_most(probe, bound) else df
+
+
+# Results of bounded counts per DataFrame object. A DataFrame keeps the file
+# listing it was created with, so its row count cannot change while it lives.
+_CHECKED: dict[int, tuple] = {}
+
+
+def _at_most(df: DataFrame, bound: int) -> bool:
+    key = (id(df), bound)
+    hit = _CHECKED.get(key)
+    if hit is not None and hit[0]() is df:
+        return hit[1]
+    ok = df.limit(bound + 1).count() <= bound
+    _CHECKED[key] = (weakref.ref(df), ok)
+    return ok
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -121,5 +137,4 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     partition, which is never more than the shuffle join it falls back to
     would move.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if _at_most(df, max_rows) else df
