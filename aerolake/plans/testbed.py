@@ -43,18 +43,20 @@ def raw_flights(spark: SparkSession, sf_dir: str, cols: FlightColumns = COLS) ->
     li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_returnflag", "l_linestatus"))
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    orders_t = table(spark, sf_dir, "orders")
+    orders = orders_t.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     customer_t, supplier_t, part_t = (table(spark, sf_dir, n) for n in ("customer", "supplier", "part"))
     customer = customer_t.select("c_custkey", "c_nationkey", "c_mktsegment")
     supplier = supplier_t.select("s_suppkey", "s_nationkey")
     part = part_t.select("p_partkey", "p_type")
 
     # Join order is written by hand (no CBO): orders meet customer first, so the
-    # lineitem-sized intermediate is shuffled once per remaining key at most;
-    # supplier and part are broadcast while a bounded count proves them small.
+    # lineitem-sized intermediate is shuffled once per remaining key at most.
+    # Every side is broadcast only while a bounded count proves it small; the
+    # orders-customer side has at most as many rows as orders (one customer
+    # per order), so orders is its probe.
     oc = orders.join(lookup_side(customer, source=customer_t), orders.o_custkey == customer.c_custkey)
-    j = (li.join(oc, li.l_orderkey == oc.o_orderkey)
+    j = (li.join(lookup_side(oc, source=orders_t), li.l_orderkey == oc.o_orderkey)
            .join(lookup_side(supplier, source=supplier_t), li.l_suppkey == supplier.s_suppkey)
            .join(lookup_side(part, source=part_t), li.l_partkey == part.p_partkey))
 
