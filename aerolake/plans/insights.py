@@ -48,6 +48,7 @@ def delay_insights(base: DataFrame, base_without_dates: DataFrame | None = None,
         "por_ano": delay_by_year(base),
         "dias_semana": delay_by_weekday(base),
         "periodos": delay_by_period(base),
+        "companhias_por_ano": delay_by_airline(base, cols),
         "companhias": top_airlines_per_year(base, TOP_AIRLINES_PER_YEAR, cols),
     }
 

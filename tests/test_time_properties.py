@@ -62,3 +62,47 @@ def test_localise_instant_column(spark):
     df = spark.sql("SELECT TIMESTAMP'2021-07-01 15:00:00' AS `Partida Prevista`")
     out = localise(df).collect()[0][0]
     assert out == dt.datetime(2021, 7, 1, 12, 0)
+
+
+# ---- coordinates: Spark parse vs a plain statement of the rule -----------------
+import re  # noqa: E402
+
+from aerolake.functions import orient, parse_coordinates  # noqa: E402
+
+_NUM = re.compile(r"[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?")
+
+
+def _py_parse(text):
+    if text is None:
+        return None, None
+    parts = re.sub(r"\s+", "", text).split(",")
+
+    def num(i):
+        if i >= len(parts) or not _NUM.fullmatch(parts[i]):
+            return None
+        return float(parts[i])
+    return num(0), num(1)
+
+
+coord_text = st.one_of(
+    st.none(),
+    st.text(alphabet=" ,.-+0123456789eEa\t", max_size=14),
+    st.builds(lambda a, b, sep: f"{a}{sep}{b}",
+              st.floats(-90, 90, allow_nan=False).map(lambda x: round(x, 4)),
+              st.floats(-90, 90, allow_nan=False).map(lambda x: round(x, 4)),
+              st.sampled_from([",", ", ", " , ", ",,"])),
+)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(coord_text, min_size=10, max_size=40))
+def test_parse_coordinates_matches_rule(spark, texts):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    a, b = parse_coordinates(F.col("t"))
+    lon, lat = orient(a, b, "lat,lon")
+    got = [(r[0], r[1], r[2], r[3]) for r in df.select(a, b, lon, lat).collect()]
+    for t, (ga, gb, glon, glat) in zip(texts, got):
+        wa, wb = _py_parse(t)
+        assert (ga, gb) == (wa, wb), (t, ga, gb, wa, wb)
+        assert (glon, glat) == (wb, wa)
