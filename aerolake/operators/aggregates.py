@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,20 +83,22 @@ def unique_values(df: DataFrame, column: str, limit: int = UNIQUE_VALUES_LIMIT)
 
 def filter_options(df: DataFrame, columns: Sequence[str],
                    limit: int = UNIQUE_VALUES_LIMIT) -> DataFrame:
-    """The distinct-value lists of several filter columns in one pass.
-
-    Rows ``(coluna, valor)``: non-null values as text, sorted, at most
-    ``limit`` per column. One scan emits (column, value) pairs, ``distinct``
-    combines them map-side, and the per-column cut is a ``row_number`` limit
-    that Spark applies partially before the shuffle, so no task receives
-    more than ``limit`` values per column from each input partition.
+    """The distinct-value lists of several filter columns, as rows
+    ``(coluna, valor)``: non-null values as text, sorted, at most ``limit``
+    per column.
+
+    Each column is its own distinct (combined map-side) and top-k
+    (``TakeOrderedAndProject`` keeps at most ``limit`` rows per task, so a
+    high-cardinality column never lands whole in one task); the lists are
+    unioned. A Parquet scan reads only the one column each list needs, so
+    the lists together read the same bytes as a single pass.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("coluna"), _col(c).cast("string").alias("valor"))
-                      for c in columns])
-    values = df.select(F.inline(pairs)).where(F.col("valor").isNotNull()).distinct()
-    w = Window.partitionBy("coluna").orderBy("valor")
-    return (values.withColumn("__rn", F.row_number().over(w))
-                  .where(F.col("__rn") <= limit).drop("__rn"))
+    parts = [unique_values(df.select(_col(c).cast("string").alias("__v")), "__v", limit)
+             .select(F.lit(c).alias("coluna"), F.col("valor")) for c in columns]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def date_bounds(df: DataFrame, column: str) -> DataFrame:
