@@ -10,6 +10,7 @@ Everything is a lazy join over the whole tables.
 from __future__ import annotations
 
 import threading
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -171,12 +172,16 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, build, partition_b
         return build()
     path = f"{root.rstrip('/')}/aerolake-tables/{name}-{fingerprint(sf_dir)}"
     with _WRITE_LOCK:          # queries built from several threads write once
-        if not path_exists(f"{path}/_SUCCESS", spark):
-            writer = build().write.mode("overwrite")
-            if partition_by:
-                writer = writer.partitionBy(partition_by)
-            writer.parquet(path)
-    return spark.read.parquet(path)
+        try:
+            if not path_exists(f"{path}/_SUCCESS", spark):
+                writer = build().write.mode("overwrite")
+                if partition_by:
+                    writer = writer.partitionBy(partition_by)
+                writer.parquet(path)
+            return spark.read.parquet(path)
+        except Exception as exc:   # e.g. a read-only folder: same result, lazily
+            warnings.warn(f"cannot materialise {name} under {root}: {exc}; using the lazy plan")
+            return build()
 
 
 def _memo(spark: SparkSession, key: tuple, make) -> DataFrame:
