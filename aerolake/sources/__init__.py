@@ -4,6 +4,6 @@ from .csv import common_type, read_csv, read_flights_csv, union_relaxed
 from .files import expand_glob, path_exists, read_first_line
 from .lookups import read_code_map, read_lookup_records
 from .sinks import (YEAR_PARTITION, csv_to_ndjson, export_csv, export_parquet, read_parquet,
-                    with_year_partition, write_clean)
+                    read_parquet_bytes, with_year_partition, write_clean)
 
 __all__ = [name for name in dir() if not name.startswith("_")]

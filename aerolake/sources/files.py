@@ -84,3 +84,16 @@ def read_first_line(path: str, encoding: str = "utf-8", max_bytes: int = 1 << 20
     line = head.split(b"\n", 1)[0].rstrip(b"\r")
     text = line.decode(encoding)
     return text[1:] if text.startswith("﻿") else text
+
+
+def write_bytes(path: str, data: bytes) -> None:
+    """Write ``data`` to ``path`` (local or a URI pyarrow can open)."""
+    if not _is_uri(path):
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "wb") as fh:
+            fh.write(data)
+        return
+    filesystem, p = _fs(path)
+    filesystem.create_dir(p.rsplit("/", 1)[0], recursive=True)
+    with filesystem.open_output_stream(p) as fh:
+        fh.write(data)

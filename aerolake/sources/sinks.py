@@ -42,3 +42,15 @@ def csv_to_ndjson(spark: SparkSession, src: str, dst: str, mode: str = "overwrit
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def read_parquet_bytes(spark: SparkSession, data: bytes, name: str = "upload.parquet") -> DataFrame:
+    """A Parquet file handed over as bytes (e.g. an upload): landed once under
+    the shared checkpoint folder, then read by Spark like any table."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from .files import write_bytes
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing/{uuid.uuid4().hex}/{name}"
+    write_bytes(path, data)
+    return spark.read.parquet(path)

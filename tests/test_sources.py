@@ -164,3 +164,14 @@ def test_cli_run_builds_then_reports(spark, tmpdir_str):
     assert kpis.voos == spark.read.parquet(clean).where("`Status do Voo` = 'Atrasado' AND "
                                                         "`Partida Prevista` >= '1996-01-01'").count()
     assert main(["report", "--clean", clean, "--out", out], spark) == 0
+
+
+def test_read_parquet_bytes(spark):
+    import io
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from aerolake.sources import read_parquet_bytes
+    buf = io.BytesIO()
+    pq.write_table(pa.table({"Número Voo": ["0042", "0043"], "n": [1, 2]}), buf)
+    df = read_parquet_bytes(spark, buf.getvalue())
+    assert sorted(rows(df)) == [("0042", 1), ("0043", 2)]
