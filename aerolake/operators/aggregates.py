@@ -24,6 +24,12 @@ def _col(name: str):
     return F.col(f"`{name}`")
 
 
+def empty_result(df: DataFrame, fields: Sequence[tuple[str, str]]) -> DataFrame:
+    """The typed empty answer for an input that lacks the needed columns
+    (derived from ``df`` itself, so it stays lazy and costs nothing)."""
+    return df.limit(0).select(*[F.lit(None).cast(t).alias(n) for n, t in fields])
+
+
 def flights_per_day(df: DataFrame, cols: FlightColumns = COLS, column: str | None = None) -> DataFrame:
     """Flights per local day of the planned departure, day ascending.
 
@@ -31,6 +37,8 @@ def flights_per_day(df: DataFrame, cols: FlightColumns = COLS, column: str | Non
     its first 10 characters, ``(dia_str, voos)``.
     """
     column = column or cols.dep_planned
+    if column not in df.columns:
+        return empty_result(df, [("dia", "date"), ("voos", "bigint")])
     if is_temporal(column_type(df, column)):
         key = local_day(_col(column)).alias("dia")
     else:
@@ -42,12 +50,17 @@ def flights_per_day(df: DataFrame, cols: FlightColumns = COLS, column: str | Non
 def status_distribution(df: DataFrame, cols: FlightColumns = COLS) -> DataFrame:
     """Count per late status (or per flight situation if the status is absent)."""
     col = cols.status if cols.status in df.columns else cols.situation
+    if col not in df.columns:
+        return empty_result(df, [("status", "string"), ("quantidade", "bigint")])
     out = df.groupBy(_col(col).alias("status")).agg(F.count(F.lit(1)).alias("quantidade"))
     return out.orderBy(F.desc("quantidade"), F.asc("status"))
 
 
 def top_routes(df: DataFrame, n: int = TOP_ROUTES, cols: FlightColumns = COLS) -> DataFrame:
     """The ``n`` (origin, destination) pairs with most flights."""
+    if cols.origin_icao not in df.columns or cols.dest_icao not in df.columns:
+        return empty_result(df, [("origem", "string"), ("destino", "string"),
+                                 ("quantidade", "bigint"), ("rota", "string")])
     out = (df.groupBy(_col(cols.origin_icao).alias("origem"), _col(cols.dest_icao).alias("destino"))
              .agg(F.count(F.lit(1)).alias("quantidade")))
     out = out.orderBy(F.desc("quantidade"), F.asc("origem"), F.asc("destino")).limit(n)
@@ -76,6 +89,8 @@ def kpis(df: DataFrame, cols: FlightColumns = COLS) -> DataFrame:
 
 def unique_values(df: DataFrame, column: str, limit: int = UNIQUE_VALUES_LIMIT) -> DataFrame:
     """Sorted non-null distinct values of ``column``, at most ``limit``."""
+    if column not in df.columns:
+        return empty_result(df, [("valor", "string")])
     c = _col(column)
     return df.select(c.alias("valor")).where(F.col("valor").isNotNull()).distinct() \
              .orderBy("valor").limit(limit)
@@ -107,7 +122,7 @@ def date_bounds(df: DataFrame, column: str) -> DataFrame:
     dtype = column_type(df, column)
     if not is_temporal(dtype):
         null = F.lit(None).cast(T.TimestampNTZType())
-        return df.sparkSession.range(1).select(null.alias("inicio"), null.alias("fim"))
+        return df.agg(F.count(F.lit(1))).select(null.alias("inicio"), null.alias("fim"))
     c = _col(column)
     return df.agg(F.min(c).alias("inicio"), F.max(c).alias("fim"))
 

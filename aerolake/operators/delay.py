@@ -9,6 +9,7 @@ from ..codes import DELAY_LIMIT_DEFAULT, LOCAL_ZONE, TOP_AIRLINES_PER_YEAR
 from ..columns import COLS, FlightColumns
 from ..functions.labels import day_period, weekday_label
 from ..functions.times import calendar_parts, delay_minutes
+from .aggregates import empty_result
 
 N = "quantidade_atrasos"
 
@@ -22,9 +23,12 @@ def delay_base(df: DataFrame, limit: int = DELAY_LIMIT_DEFAULT, cols: FlightColu
     """Add ``atraso_min`` (real − planned departure, whole minutes),
     ``ano``/``dia_sem``/``hora`` of the planned departure, and keep rows with
     ``atraso_min > limit`` (strict)."""
-    missing = [c for c in (cols.dep_planned, cols.dep_real) if c not in df.columns]
-    if missing:
-        raise ValueError(f"delay base needs columns {missing}")
+    if cols.dep_planned not in df.columns or cols.dep_real not in df.columns:
+        # No departure times: no delayed flight (typed, empty, still lazy).
+        return df.limit(0).withColumns({"atraso_min": F.lit(None).cast("bigint"),
+                                        "ano": F.lit(None).cast("int"),
+                                        "dia_sem": F.lit(None).cast("int"),
+                                        "hora": F.lit(None).cast("int")})
     parts = calendar_parts(_col(cols.dep_planned))
     out = df.withColumns({
         "atraso_min": delay_minutes(_col(cols.dep_planned), _col(cols.dep_real), zone),
@@ -37,30 +41,44 @@ def _count() -> F.Column:
     return F.count(F.lit(1)).alias(N)
 
 
+def _lacks(base: DataFrame, *names: str) -> bool:
+    return any(n not in base.columns for n in names)
+
+
 def delay_by_airport(base: DataFrame, top: int | None = None, cols: FlightColumns = COLS) -> DataFrame:
     """Delayed departures per origin airport, most first."""
+    if _lacks(base, cols.origin_name):
+        return empty_result(base, [("aeroporto", "string"), (N, "bigint")])
     out = base.groupBy(_col(cols.origin_name).alias("aeroporto")).agg(_count())
     out = out.orderBy(F.desc(N), F.asc("aeroporto"))
     return out.limit(top) if top else out
 
 
 def delay_by_year(base: DataFrame) -> DataFrame:
+    if _lacks(base, "ano"):
+        return empty_result(base, [("ano", "int"), (N, "bigint")])
     return base.groupBy("ano").agg(_count()).orderBy("ano")
 
 
 def delay_by_weekday(base: DataFrame) -> DataFrame:
     """Per year and ISO weekday, with the weekday label (1 → Seg … 7 → Dom)."""
+    if _lacks(base, "ano", "dia_sem"):
+        return empty_result(base, [("ano", "int"), ("dia_sem", "int"), (N, "bigint"), ("dia", "string")])
     out = base.groupBy("ano", "dia_sem").agg(_count())
     out = out.withColumn("dia", weekday_label("dia_sem"))
     return out.orderBy(F.asc("ano"), F.desc(N), F.asc("dia_sem"))
 
 
 def delay_by_period(base: DataFrame) -> DataFrame:
+    if _lacks(base, "ano", "hora"):
+        return empty_result(base, [("ano", "int"), ("periodo", "string"), (N, "bigint")])
     out = base.groupBy("ano", day_period("hora").alias("periodo")).agg(_count())
     return out.orderBy(F.asc("ano"), F.desc(N), F.asc("periodo"))
 
 
 def delay_by_airline(base: DataFrame, cols: FlightColumns = COLS) -> DataFrame:
+    if _lacks(base, "ano", cols.airline):
+        return empty_result(base, [("ano", "int"), ("empresa", "string"), (N, "bigint")])
     out = base.groupBy("ano", _col(cols.airline).alias("empresa")).agg(_count())
     return out.orderBy(F.asc("ano"), F.desc(N), F.asc("empresa"))
 
@@ -72,6 +90,8 @@ def top_airlines_per_year(base: DataFrame, n: int = TOP_AIRLINES_PER_YEAR,
     Ranks the already aggregated (year, airline) counts; Spark adds a
     partial ``WindowGroupLimit`` before the shuffle by year.
     """
+    if _lacks(base, "ano", cols.airline):
+        return empty_result(base, [("ano", "int"), ("empresa", "string"), (N, "bigint")])
     per = base.groupBy("ano", _col(cols.airline).alias("empresa")).agg(_count())
     w = Window.partitionBy("ano").orderBy(F.desc(N))
     out = per.withColumn("__rk", F.dense_rank().over(w)).filter(F.col("__rk") <= n).drop("__rk")

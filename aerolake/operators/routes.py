@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..codes import QUANTILE_HIGH, QUANTILE_LOW, ROUTE_MAP_TOP_DEFAULT, SCALE_RANGE_FLOOR
 from ..columns import COLS, FlightColumns
 from ..functions.geo import in_box, with_lon_lat
+from .aggregates import empty_result
 
 ROUTE_KEYS = ["origem_lon", "origem_lat", "destino_lon", "destino_lat"]
 
@@ -24,6 +25,10 @@ def route_map(df: DataFrame, fmt: str = "auto", top: int = ROUTE_MAP_TOP_DEFAULT
               with_delay: bool = True, cols: FlightColumns = COLS) -> DataFrame:
     """Top ``top`` routes by flight count between valid coordinates, with the
     mean delay when asked for and available."""
+    use_delay = with_delay and "atraso_min" in df.columns
+    if cols.origin_coords not in df.columns or cols.dest_coords not in df.columns:
+        fields = [(k, "double") for k in ROUTE_KEYS] + [("quantidade", "bigint")]
+        return empty_result(df, fields + ([("atraso_medio", "double")] if use_delay else []))
     oc, dc = F.col(f"`{cols.origin_coords}`"), F.col(f"`{cols.dest_coords}`")
     use_delay = with_delay and "atraso_min" in df.columns
     aggs = [F.count(F.lit(1)).alias("__n")]

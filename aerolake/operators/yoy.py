@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..codes import YOY_TOP
 from ..columns import COLS, FlightColumns
+from .aggregates import empty_result
 
 
 def delays_per_year_airport(base: DataFrame, cols: FlightColumns = COLS) -> DataFrame:
@@ -36,6 +37,9 @@ def latest_two_years(per_year: DataFrame) -> DataFrame:
 def yoy_variation(base: DataFrame, cols: FlightColumns = COLS) -> DataFrame:
     """Per airport: delays in the previous and current year (0 when absent) and
     ``delta = y_curr − y_prev``; also the two years compared."""
+    if "ano" not in base.columns or cols.origin_name not in base.columns:
+        return empty_result(base, [("aeroporto", "string"), ("y_prev", "bigint"), ("y_curr", "bigint"),
+                                   ("ano_prev", "int"), ("ano_curr", "int"), ("delta", "bigint")])
     per_year = delays_per_year_airport(base, cols)
     slots = F.broadcast(latest_two_years(per_year))
     tagged = per_year.join(slots, "ano")
@@ -59,4 +63,6 @@ def yoy_decreases(variation: DataFrame, n: int = YOY_TOP) -> DataFrame:
 
 def has_two_years(base: DataFrame) -> bool:
     """One small job: are there at least two distinct non-null years?"""
+    if "ano" not in base.columns:
+        return False
     return base.select("ano").where(F.col("ano").isNotNull()).distinct().limit(2).count() >= 2

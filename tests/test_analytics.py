@@ -128,3 +128,32 @@ def test_partitioning_invariance(spark, parts):
     df = spark.createDataFrame(data, SCHEMA).repartition(parts)
     assert rows(kpis(df)) == [(6, 2, 1)]
     assert sorted(rows(yoy_variation(delay_base(df, 15)), "aeroporto", "delta")) == [("A", -3), ("B", 2)]
+
+
+def test_guards_on_column_poor_input(spark):
+    from aerolake.operators import (delay_by_airline, delay_by_airport, delay_by_period,
+                                    delay_by_year, status_distribution, unique_values)
+    df = spark.createDataFrame([(1,)], "x int")
+    base = delay_base(df)
+    assert base.count() == 0 and {"atraso_min", "ano", "dia_sem", "hora"} <= set(base.columns)
+    checks = {
+        "per_day": (flights_per_day(df), ["dia", "voos"]),
+        "status": (status_distribution(df), ["status", "quantidade"]),
+        "routes": (top_routes(df), ["origem", "destino", "quantidade", "rota"]),
+        "unique": (unique_values(df, "nope"), ["valor"]),
+        "airport": (delay_by_airport(base), ["aeroporto", "quantidade_atrasos"]),
+        "year": (delay_by_year(base), ["ano", "quantidade_atrasos"]),
+        "weekday": (delay_by_weekday(base), ["ano", "dia_sem", "quantidade_atrasos", "dia"]),
+        "period": (delay_by_period(base), ["ano", "periodo", "quantidade_atrasos"]),
+        "airline": (delay_by_airline(base), ["ano", "empresa", "quantidade_atrasos"]),
+        "top": (top_airlines_per_year(base), ["ano", "empresa", "quantidade_atrasos"]),
+        "yoy": (yoy_variation(base), ["aeroporto", "y_prev", "y_curr", "ano_prev", "ano_curr", "delta"]),
+        "map": (route_map(base), ["origem_lon", "origem_lat", "destino_lon", "destino_lat",
+                                  "quantidade", "atraso_medio"]),
+    }
+    for name, (out, cols) in checks.items():
+        assert out.columns == cols, name
+        assert out.count() == 0, name
+    assert rows(kpis(df)) == [(1, 0, 0)]
+    assert rows(date_bounds(df, "x")) == [(None, None)]
+    assert yoy_with_fallback(base, base).variation.count() == 0
