@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..codes import QUANTILE_HIGH, QUANTILE_LOW, ROUTE_MAP_TOP_DEFAULT, SCALE_RANGE_FLOOR
+from ..codes import (QUANTILE_HIGH, QUANTILE_LOW, ROUTE_MAP_TOP_DEFAULT, ROUTE_MAP_TOP_MAX,
+                     SCALE_RANGE_FLOOR)
 from ..columns import COLS, FlightColumns
 from ..functions.geo import in_box, with_lon_lat
 from .aggregates import empty_result
@@ -24,7 +25,14 @@ ROUTE_KEYS = ["origem_lon", "origem_lat", "destino_lon", "destino_lat"]
 def route_map(df: DataFrame, fmt: str = "auto", top: int = ROUTE_MAP_TOP_DEFAULT,
               with_delay: bool = True, cols: FlightColumns = COLS) -> DataFrame:
     """Top ``top`` routes by flight count between valid coordinates, with the
-    mean delay when asked for and available."""
+    mean delay when asked for and available.
+
+    ``top`` is the map's route budget (100-5,000 in the original view); it
+    bounds what :func:`route_intensity` ranks in one window, so values above
+    ``ROUTE_MAP_TOP_MAX * 10`` are refused.
+    """
+    if not 1 <= int(top) <= ROUTE_MAP_TOP_MAX * 10:
+        raise ValueError(f"route budget {top} outside 1..{ROUTE_MAP_TOP_MAX * 10}")
     use_delay = with_delay and "atraso_min" in df.columns
     if cols.origin_coords not in df.columns or cols.dest_coords not in df.columns:
         fields = [(k, "double") for k in ROUTE_KEYS] + [("quantidade", "bigint")]
@@ -70,8 +78,9 @@ def route_intensity(routes: DataFrame, metric: str | None = None) -> DataFrame:
     """Robust 0-1 scaling of a route metric: ``(x − p05) / max(p95 − p05, 1e-6)``
     clipped to [0, 1]; the metric is the mean delay if present, else the count.
 
-    The input is the top-N route list (at most a few thousand rows), so the
-    exact percentiles are taken over one window on it.
+    The input is the top-N route list of :func:`route_map` (at most
+    ``ROUTE_MAP_TOP_MAX * 10`` rows by its check), so the exact percentiles are
+    taken over one window on it.
     """
     if metric is None:
         metric = "atraso_medio" if "atraso_medio" in routes.columns else "quantidade"

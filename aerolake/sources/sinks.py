@@ -19,7 +19,11 @@ def with_year_partition(df: DataFrame, cols: FlightColumns = COLS,
 def write_clean(df: DataFrame, path: str, partition_by_year: bool = True,
                 cols: FlightColumns = COLS, mode: str = "overwrite") -> None:
     """Persist the clean table as Parquet, partitioned by the planned
-    departure year so that day-range filters prune whole years."""
+    departure year so that day-range filters prune whole years.
+
+    Rows are not repartitioned by year first: one year can hold a third of
+    all flights, which would put it in one task. Each task writes its own
+    file per year it holds instead."""
     writer_df = with_year_partition(df, cols) if partition_by_year else df
     writer = writer_df.write.mode(mode)
     if partition_by_year:
