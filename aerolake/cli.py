@@ -40,12 +40,18 @@ def spec_from_args(a: argparse.Namespace) -> FilterSpec:
 
 
 def write_report(out: dict, out_dir: str) -> list[str]:
-    """Write each DataFrame of a report bundle to ``out_dir/<name>``."""
+    """Write each DataFrame of a report bundle to ``out_dir/<name>``, and the
+    expected columns missing from the input to ``missing_columns.json``."""
+    import json
+
+    from .sources.files import write_bytes
     written = []
     for name, df in out.items():
         if isinstance(df, DataFrame) and name not in ("filtered", "delay_base"):
             df.write.mode("overwrite").parquet(os.path.join(out_dir, name))
             written.append(name)
+    missing = json.dumps(out.get("missing_columns", []), ensure_ascii=False).encode("utf-8")
+    write_bytes(os.path.join(out_dir, "missing_columns.json"), missing)
     return written
 
 

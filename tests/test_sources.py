@@ -159,7 +159,9 @@ def test_cli_run_builds_then_reports(spark, tmpdir_str):
             "--airlines", airlines, "--out", out, "--statuses", "Atrasado", "--day-start", "1996-01-01"]
     assert main(args, spark) == 0
     names = sorted(os.listdir(out))
-    assert {"kpis", "top_routes", "rotas", "companhias", "variacao"} <= set(names)
+    assert {"kpis", "top_routes", "rotas", "companhias", "variacao", "missing_columns.json"} <= set(names)
+    with open(os.path.join(out, "missing_columns.json"), encoding="utf-8") as fh:
+        assert json.load(fh) == []
     kpis = spark.read.parquet(os.path.join(out, "kpis")).collect()[0]
     assert kpis.voos == spark.read.parquet(clean).where("`Status do Voo` = 'Atrasado' AND "
                                                         "`Partida Prevista` >= '1996-01-01'").count()
