@@ -115,3 +115,19 @@ def test_invariants(spark):
     base = q["delay_base"](spark, SF001)
     assert base.where("atraso_min <= 15").count() == 0
     assert q["delay_by_year"](spark, SF001).agg(F.sum("quantidade_atrasos")).collect()[0][0] == base.count()
+
+
+def test_streaming_rejects_drifted_header(spark, tmp_path):
+    import pytest
+    from aerolake.streaming import read_flights_stream
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.csv").write_text("b;a\n1;2\n", encoding="utf-8")     # columns swapped
+    stream = read_flights_stream(spark, str(src), ["a", "b"])
+    q = (stream.writeStream.format("memory").queryName("drift_check")
+         .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
+    with pytest.raises(Exception):
+        q.awaitTermination(120)
+        if q.exception() is not None:
+            raise q.exception()
+    q.stop()
