@@ -36,8 +36,10 @@ def expected_minutes(planned: dt.datetime, real: dt.datetime) -> int:
 def test_delay_minutes_matches_zoneinfo(spark, pairs):
     rows = []
     for planned, delta in pairs:
-        planned = planned.replace(microsecond=0)
-        real = planned + dt.timedelta(seconds=delta)
+        # The text carries no fold: an ambiguous wall clock means the earlier
+        # instant (fold=0), which is the contract under test.
+        planned = planned.replace(microsecond=0, fold=0)
+        real = (planned + dt.timedelta(seconds=delta)).replace(fold=0)
         rows.append((planned.strftime("%Y-%m-%d %H:%M:%S"), real.strftime("%Y-%m-%d %H:%M:%S"),
                      expected_minutes(planned, real)))
     df = spark.createDataFrame(rows, "p string, r string, want long")
