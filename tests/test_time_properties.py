@@ -31,7 +31,7 @@ def expected_minutes(planned: dt.datetime, real: dt.datetime) -> int:
     return int(secs / 60)                      # truncation toward zero
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=12, deadline=None)
 @given(st.lists(st.tuples(local_times, deltas), min_size=20, max_size=60))
 def test_delay_minutes_matches_zoneinfo(spark, pairs):
     rows = []
@@ -96,7 +96,7 @@ coord_text = st.one_of(
 )
 
 
-@settings(max_examples=20, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(st.lists(coord_text, min_size=10, max_size=40))
 def test_parse_coordinates_matches_rule(spark, texts):
     from pyspark.sql import functions as F
