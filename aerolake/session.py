@@ -113,7 +113,7 @@ def lookup_side(df: DataFrame, broadcast: bool | int | None = None,
 
 # Results of bounded counts per DataFrame object. A DataFrame keeps the file
 # listing it was created with, so its row count cannot change while it lives.
-_CHECKED: dict[int, tuple] = {}
+_CHECKED: dict[tuple[int, int], tuple] = {}
 
 
 def _at_most(df: DataFrame, bound: int) -> bool:
