@@ -62,14 +62,26 @@ def utc_to_local(instant: Column | str, zone: str = LOCAL_ZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), u)
 
 
-def valid_local_time(ts: Column | str, zone: str = LOCAL_ZONE) -> Column:
+# Sizes of real-world clock changes (most zones 1 h; a few 30 min or 2 h).
+CLOCK_SHIFTS_MINUTES = (30, 60, 120)
+
+
+def valid_local_time(ts: Column | str, zone: str = LOCAL_ZONE,
+                     shifts_minutes=CLOCK_SHIFTS_MINUTES) -> Column:
     """False for a wall-clock time that does not exist (gap) or occurs twice
-    (overlap) in ``zone``; null for null."""
+    (overlap) in ``zone``; null for null.
+
+    A gap time does not survive the round trip local → UTC → local. An
+    ambiguous time maps to its earlier instant ``u``; ``u`` plus the size of
+    the clock change shows the same wall clock again, which never happens
+    for an ordinary time.
+    """
     t = _c(ts)
     u = local_instant(t, zone)
-    back = utc_to_local(u, zone)
-    later = utc_to_local(u + F.expr("INTERVAL 1 HOUR"), zone)
-    return (back == t) & (later != t)
+    ok = utc_to_local(u, zone) == t
+    for m in shifts_minutes:
+        ok = ok & (utc_to_local(u + F.expr(f"INTERVAL {int(m)} MINUTES"), zone) != t)
+    return ok
 
 
 def delay_minutes(planned: Column | str, real: Column | str, zone: str = LOCAL_ZONE) -> Column:

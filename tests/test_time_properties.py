@@ -108,3 +108,23 @@ def test_parse_coordinates_matches_rule(spark, texts):
         wa, wb = _py_parse(t)
         assert (ga, gb) == (wa, wb), (t, ga, gb, wa, wb)
         assert (glon, glat) == (wb, wa)
+
+
+def test_validity_in_a_half_hour_dst_zone(spark):
+    from aerolake.functions import valid_local_time
+    zone = "Australia/Lord_Howe"            # clocks move by 30 minutes
+    cases = ["2021-04-04 01:45:00",          # repeated (fall back 02:00 → 01:30)
+             "2021-10-03 02:15:00",          # skipped (spring 02:00 → 02:30)
+             "2021-04-04 01:15:00", "2021-10-03 02:45:00", "2021-07-01 12:00:00"]
+
+    def py_valid(text):
+        naive = dt.datetime.strptime(text, "%Y-%m-%d %H:%M:%S")
+        z = ZoneInfo(zone)
+        a = naive.replace(tzinfo=z, fold=0)
+        b = naive.replace(tzinfo=z, fold=1)
+        round_trip = a.astimezone(UTC).astimezone(z).replace(tzinfo=None) == naive
+        return round_trip and a.utcoffset() == b.utcoffset()
+
+    df = spark.createDataFrame([(c,) for c in cases], "t string")
+    got = [r[0] for r in df.select(valid_local_time(parse_local_time("t"), zone)).collect()]
+    assert got == [py_valid(c) for c in cases] == [False, False, True, True, True]
