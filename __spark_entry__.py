@@ -22,16 +22,13 @@ from pyspark.sql import functions as F  # noqa: E402
 from aerolake.codes import LINE_TYPES  # noqa: E402
 from aerolake.columns import COLS, to_ascii_names  # noqa: E402
 from aerolake.functions.geo import in_box, with_lon_lat  # noqa: E402
-from aerolake.operators import (FilterSpec, apply_filters, completed_flights, date_bounds,  # noqa: E402
-                                filter_options,
-                                decode_codes, delay_base, delay_by_airline, delay_by_airport,
-                                delay_by_period, delay_by_weekday, delay_by_year, domestic_only,
-                                enrich_airline, enrich_airports, first_by_key, flights_per_day,
-                                invalid_local_times, kpis, late_flag, localise, route_intensity,
-                                route_map,
-                                route_nodes, sample_rows, status_distribution,
-                                top_airlines_per_year, top_routes, unique_values, yoy_decreases,
-                                yoy_increases, yoy_variation)
+from aerolake.operators import (  # noqa: E402
+    FilterSpec, apply_filters, completed_flights, date_bounds, decode_codes, delay_base,
+    delay_by_airline, delay_by_airport, delay_by_period, delay_by_weekday, delay_by_year,
+    domestic_only, enrich_airline, enrich_airports, filter_options, first_by_key, flights_per_day,
+    invalid_local_times, kpis, late_flag, localise, route_intensity, route_map, route_nodes,
+    sample_rows, status_distribution, top_airlines_per_year, top_routes, unique_values,
+    yoy_decreases, yoy_increases, yoy_variation)
 from aerolake.plans import testbed  # noqa: E402
 from aerolake.plans.insights import yoy_with_fallback  # noqa: E402
 from aerolake.plans.report import map_input  # noqa: E402
