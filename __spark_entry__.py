@@ -8,6 +8,7 @@ the 1,000-row sample, the 20,000-value distinct list).
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -333,6 +334,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_top_routes(spark, SMOKE_DIR)
 
 
+def _installed(module: str) -> bool:
+    """Whether an optional part of the library is there (it may be left out whole)."""
+    spec = importlib.util.find_spec(module)
+    return spec is not None and spec.origin is not None
+
+
+def _all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    out = dict(_QUERIES)
+    if _installed("aerolake.llm"):
+        from aerolake.llm.queries import QUERIES
+        out.update(QUERIES)
+        if _installed("corpus_pipeline"):
+            import corpus_pipeline
+            out["pipeline"] = corpus_pipeline.run
+    return out
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -341,10 +359,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             return fn(spark, sf_dir)
         run.__name__ = fn.__name__
         return run
-    return {name: bind(fn) for name, fn in _QUERIES.items()}
+    return {name: bind(fn) for name, fn in _all_queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
     from sql_oracle import oracle_sql as _sql
     sql = _sql()
-    return {k: sql[k] for k in _QUERIES if k in sql}
+    out = {k: sql[k] for k in _QUERIES if k in sql}
+    if _installed("aerolake.llm"):
+        from aerolake.llm.queries import SQL
+        out.update(SQL)
+        if _installed("corpus_pipeline"):
+            import corpus_pipeline
+            if corpus_pipeline.ORACLE_SQL:
+                out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
