@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, language_id, mixing, quality, token_file, url_filter
+from . import (chat_format, decontaminate, exact_dedup, language_id, mixing, near_dup, quality, token_file,
+               url_filter)
 from .common import held_out, shared_dir
 
 # Fixed by the queries' contract.
@@ -42,6 +43,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("row.doc_id", *mixing.LEAF, "n_tokens", "copies")
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.repair_chats(table(spark, sf_dir, "conversations"))
+
+
 def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "tokens")
     token_file.write_tokens(table(spark, sf_dir, "documents"), folder, public_tokenizer("word_bpe_49k.json"),
@@ -65,6 +70,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -79,9 +88,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_mixing": op3_mixing,
+    "op4_chat_format": op4_chat_format,
     "op5_token_file": op5_token_file,
     "op6_url_filter": op6_url_filter,
     "op7_quality": op7_quality,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_decontaminate": op9_decontaminate,
     "op10_language_id": op10_language_id,
 }
