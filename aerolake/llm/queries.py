@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, decontaminate, exact_dedup, language_id, mixing, near_dup, quality, token_file,
-               url_filter)
+from . import (chat_format, decontaminate, exact_dedup, language_id, mixing, near_dup, quality, substring_dedup,
+               token_file, url_filter)
 from .common import held_out, shared_dir
 
 # Fixed by the queries' contract.
@@ -32,6 +32,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(spark, f"{sf_dir}/documents.parquet").withColumnRenamed("digest", "text_sha256")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
+    return substring_dedup.repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def domain_of(source: Column) -> Column:
     """The sources' numbers, modulo four, name their domain in the test tables."""
     number = F.regexp_extract(source, "[0-9]+", 0).try_cast("long")
@@ -87,6 +93,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_mixing": op3_mixing,
     "op4_chat_format": op4_chat_format,
     "op5_token_file": op5_token_file,
