@@ -28,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import materialize, text_chunks
+from .common import materialize, schema, text_chunks
 
 ROLES = ("system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -139,9 +140,8 @@ def _borders(chunks: DataFrame) -> DataFrame:
             rows.append((pdf["conv_id"].iloc[0], chunk, int(choice[state]), int(state), not rows))
             state = choice[state]
         return pd.DataFrame(rows, columns=["conv_id", "chunk", "enter", "leave", "last"])
-    id_type = chunks.schema["conv_id"].dataType.simpleString()
     return chunks.groupBy("conv_id").applyInPandas(
-        walk, f"conv_id {id_type}, chunk bigint, enter int, leave int, last boolean")
+        walk, schema(chunks.schema["conv_id"], "chunk bigint, enter int, leave int, last boolean"))
 
 
 def _groups(batches):
@@ -166,7 +166,8 @@ def repair_chats(turns: DataFrame, chunk_turns: int = CHUNK_TURNS) -> DataFrame:
     # Null turn numbers sort behind the largest possible chunk.
     rows = rows.withColumn("chunk", F.coalesce(F.floor(F.col("turn") / chunk_turns), F.lit((1 << 62) // chunk_turns)).cast("long"))
     spans = rows.groupBy("conv_id").agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi")).where("lo < hi")
-    id_type = rows.schema["conv_id"].dataType.simpleString()
+    conv_id = rows.schema["conv_id"]
+    id_arrow = to_arrow_type(conv_id.dataType)
 
     def sum_up(batches):
         for (conv, chunk), group in _groups(batches):
@@ -174,12 +175,10 @@ def repair_chats(turns: DataFrame, chunk_turns: int = CHUNK_TURNS) -> DataFrame:
             yield pa.record_batch([pa.array([conv], id_arrow), pa.array([chunk], pa.int64()), pa.array([costs], pa.list_(pa.float64()))],
                                   names=["conv_id", "chunk", "costs"])
 
-    from pyspark.sql.pandas.types import to_arrow_type
-    id_arrow = to_arrow_type(rows.schema["conv_id"].dataType)
     order = [F.col(c).asc_nulls_last() for c in ("conv_id", "chunk", "turn", "role", "text")]
     long = rows.join(spans.select("conv_id"), "conv_id", "left_semi").select("conv_id", "chunk", "turn", "role", "text")
     chunks = (long.repartition("conv_id", "chunk").sortWithinPartitions(*order).select("conv_id", "chunk", "turn", "role")
-              .mapInArrow(sum_up, f"conv_id {id_type}, chunk bigint, costs array<double>"))
+              .mapInArrow(sum_up, schema(conv_id, "chunk bigint, costs array<double>")))
     borders = _borders(materialize(chunks, "chat-chunks"))
 
     def render(batches):
@@ -208,5 +207,5 @@ def repair_chats(turns: DataFrame, chunk_turns: int = CHUNK_TURNS) -> DataFrame:
                                                F.lit(None).cast("string").alias("text")))
     order.insert(2, F.col("kind").asc())
     return tagged.repartition("conv_id", "chunk").sortWithinPartitions(*order).mapInArrow(
-        render, f"conv_id {id_type}, chunk bigint, seq bigint, turn bigint, role_in string, action string, role string, "
-                "cost double, piece string")
+        render, schema(conv_id, "chunk bigint, seq bigint, turn bigint, role_in string, action string, role string, "
+                                "cost double, piece string"))

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 # Spaces of the word and normalisation rules: [\x20\x09-\x0D].
 SPACES = r"[\x20\x09-\x0D]+"
@@ -43,6 +44,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 2_000_000) -> DataFrame:
+    """For tables of a few numbers a row: broadcast up to ``rows`` (about 64 MB),
+    a plain join beyond."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def held_out(doc_id: Column) -> Column:
     """The rows no model may learn from: crc32 of the id's text, mod 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
@@ -69,7 +76,12 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
             yield batch.slice(start)
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str,
+def schema(first: StructField, rest: str) -> StructType:
+    """A schema of a given field, renamed or not, and fields in DDL."""
+    return StructType([first, *StructType.fromDDL(rest).fields])
+
+
+def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType,
               text: str = "text") -> DataFrame:
     """``mapInArrow`` over slices of bounded text size."""
     def run(batches):

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, materialize, ship
+from .common import arrow_map, materialize, schema, ship
 
 # Letters to lower case, digits and non-ASCII bytes kept, all else a separator.
 _KEEP = bytes(c + 32 if 0x41 <= c <= 0x5A else
@@ -173,7 +173,7 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, n: int = 10,
     """``doc_id, text, n_words, spans, items``: which words of each document lie
     in a benchmark window, and the ids (as text, sorted) of the items found.
 
-    The items travel to the tasks in blocks of about ``block_bytes`` of text,
+    ``doc_id`` may be of any type. The items travel to the tasks in blocks of about ``block_bytes`` of text,
     one block after the other when there is more than one; no shuffle.
     """
     spark = docs.sparkSession
@@ -183,8 +183,7 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, n: int = 10,
     blocks = int(size // block_bytes) + 1
     out = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.lit(0).cast("bigint").alias("n_words"),
                       F.array().cast(_SPANS).alias("spans"), F.array().cast("array<string>").alias("items"))
-    id_type = out.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, text string, n_words bigint, spans {_SPANS}, items array<string>"
+    fields = schema(out.schema["doc_id"], f"text string, n_words bigint, spans {_SPANS}, items array<string>")
     for k in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
         tables = ship(spark, Benchmark([tuple(r) for r in part.collect()], n))
@@ -200,7 +199,7 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, n: int = 10,
                 pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], _ARROW_SPANS),
                 pa.array(names, pa.list_(pa.string()))], names=batch.schema.names)
 
-        out = arrow_map(out, scan, schema)
+        out = arrow_map(out, scan, fields)
         if k < blocks - 1:
             out = materialize(out, "decontaminate")
     return out

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, held_out, sampled, ship
+from .common import arrow_map, held_out, sampled, schema, ship
 
 UNDETERMINED = "und"
 _START = "▁"  # the vocabulary's mark of a word start
@@ -241,9 +241,8 @@ def fit(docs: DataFrame, vocab_path: str, train_docs: int = 4000) -> Model:
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` whose names do not clash, after ``doc_id, lang_pred, score``."""
+    """``doc_id, lang_pred, score`` of every row; ``doc_id`` may be of any type."""
     tables = ship(docs.sparkSession, model)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
         langs, posts = tables().predict(batch.column(1).to_pylist())
@@ -251,18 +250,4 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                                names=["doc_id", "lang_pred", "score"])
 
     return arrow_map(docs.select("doc_id", F.col("text").cast("string").alias("text")), score,
-                     f"doc_id {id_type}, lang_pred string, score double")
-
-
-def with_language(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` unchanged, with ``lang_pred`` and ``lang_score``."""
-    tables = ship(docs.sparkSession, model)
-    names = docs.columns
-
-    def score(batch: pa.RecordBatch) -> pa.RecordBatch:
-        langs, posts = tables().predict(batch.column(names.index("text")).to_pylist())
-        return pa.record_batch([*batch.columns, pa.array(langs, pa.string()), pa.array(posts, pa.float64())],
-                               names=[*names, "lang_pred", "lang_score"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return arrow_map(docs, score, f"{fields}, lang_pred string, lang_score double")
+                     schema(docs.schema["doc_id"], "lang_pred string, score double"))

@@ -27,13 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, materialize, text_chunks
+from .common import arrow_map, broadcast_if_small, materialize, schema, text_chunks
 from .graph import components
 
 TREES, DEPTH, RECALL = 28, 8, 0.9995
 BLOCK = 256
-# Rows of two numbers that may be broadcast (about 64 MB).
-BROADCAST_ROWS = 2_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _COLUMNS = 1 << 13  # distinct shingles per step of a tile's products
 
@@ -92,7 +90,6 @@ def labels(flat: np.ndarray, ends: np.ndarray, trees: int = TREES, depth: int =
 
 def signatures(docs: DataFrame, n: int = 5) -> DataFrame:
     """``doc_id, digest, labels``: a digest of the shingle set and its label in every tree."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
         flat, ends = shingles(batch.column(1).to_pylist(), n)
@@ -108,7 +105,7 @@ def signatures(docs: DataFrame, n: int = 5) -> DataFrame:
                                names=["doc_id", "digest", "labels"])
 
     return arrow_map(docs.select("doc_id", F.col("text").cast("string").alias("text")), sign,
-                     f"doc_id {id_type}, digest binary, labels array<binary>")
+                     schema(docs.schema["doc_id"], "digest binary, labels array<binary>"))
 
 
 def verify_tile(left: list[tuple[int, str]], right: list[tuple[int, str]] | None, threshold: float, n: int):
@@ -200,10 +197,6 @@ def _verify(candidates: DataFrame, threshold: float, n: int) -> DataFrame:
     return tiles.mapInArrow(run, "doc_id bigint, links bigint, root bigint, tiles bigint")
 
 
-def _broadcast_if_small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def jaccard_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5) -> DataFrame:
     """``doc_id, class_id, n_links, n_copies`` of every document.
 
@@ -225,7 +218,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5) -> Data
                          .select(F.col("id").alias("doc_id"), "component"), "candidates")
     sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
     members = materialize(groups.join(sizes, "component"), "candidates")
-    found = materialize(_verify(docs.join(_broadcast_if_small(members), "doc_id"), threshold, n), "links")
+    found = materialize(_verify(docs.join(broadcast_if_small(members), "doc_id"), threshold, n), "links")
     links = found.groupBy("doc_id").agg(F.sum("links").alias("n_links"), F.min("root").alias("root"),
                                         F.max("tiles").alias("tiles"))
     # Links inside one tile are complete there; groups of several tiles are joined up.

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, held_out, sampled, ship
+from .common import arrow_map, held_out, sampled, schema, ship
 
 FEATURES = ("log_chars", "log_words", "word_length", "long_words", "upper", "digits", "stops", "symbols",
             "non_ascii", "spaces", "distinct_words", "top_word", "repeats", "line_words", "distinct_lines",
@@ -178,11 +178,10 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = 12000) -> Additive
 def score(docs: DataFrame, model: Additive) -> DataFrame:
     """``doc_id, score``: the probability of label 1."""
     tables = ship(docs.sparkSession, model)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.record_batch([batch.column(0), pa.array(tables().score(_matrix(batch.column(1).to_pylist())))],
                                names=["doc_id", "score"])
 
     return arrow_map(docs.select("doc_id", F.col("text").cast("string").alias("text")), run,
-                     f"doc_id {id_type}, score double")
+                     schema(docs.schema["doc_id"], "score double"))
