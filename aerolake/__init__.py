@@ -1,9 +1,9 @@
 """aerolake — flight-operations cleaning and analytics on Spark DataFrames."""
 
 from .columns import CLEAN_COLUMNS, COLS, FlightColumns, missing_columns, to_ascii_names
-from .session import bounded_broadcast, build_session, checkpoint_table, ensure_checkpoint_dir
+from .session import build_session, ensure_checkpoint_dir
 
 __version__ = "0.1.0"
 
 __all__ = ["CLEAN_COLUMNS", "COLS", "FlightColumns", "missing_columns", "to_ascii_names",
-           "bounded_broadcast", "build_session", "checkpoint_table", "ensure_checkpoint_dir"]
+           "build_session", "ensure_checkpoint_dir"]

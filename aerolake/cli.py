@@ -50,8 +50,9 @@ def write_report(out: dict, out_dir: str) -> list[str]:
         if isinstance(df, DataFrame) and name not in ("filtered", "delay_base"):
             df.write.mode("overwrite").parquet(os.path.join(out_dir, name))
             written.append(name)
+    spark = SparkSession.getActiveSession()
     missing = json.dumps(out.get("missing_columns", []), ensure_ascii=False).encode("utf-8")
-    write_bytes(os.path.join(out_dir, "missing_columns.json"), missing)
+    write_bytes(spark, os.path.join(out_dir, "missing_columns.json"), missing)
     return written
 
 

@@ -81,7 +81,7 @@ DROPPED_AFTER_CLEAN = (
     COLS.dest_country, COLS.authorization, COLS.line_type_code,
 )
 
-# --- FIXED VALUES: ASCII snake_case names used for exported / compared rows ---
+# ASCII snake_case names of exported and compared rows.
 ASCII_NAMES: dict[str, str] = {
     "ICAO Empresa Aérea": "icao_empresa",
     "Número Voo": "numero_voo",
@@ -128,17 +128,6 @@ def missing_columns(df: DataFrame, expected=CLEAN_COLUMNS) -> list[str]:
     return [c for c in expected if c not in have]
 
 
-def require_columns(df: DataFrame, expected, what: str = "input") -> None:
-    missing = missing_columns(df, expected)
-    if missing:
-        raise ValueError(f"{what} lacks columns: {missing}")
-
-
-def has_columns(df: DataFrame, *names: str) -> bool:
-    have = set(df.columns)
-    return all(n in have for n in names)
-
-
 def column_type(df: DataFrame, name: str) -> T.DataType | None:
     for f in df.schema.fields:
         if f.name == name:

@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..codes import SAMPLE_ROWS, TOP_ROUTES, UNIQUE_VALUES_LIMIT
+from ..codes import SAMPLE_ROWS, TOP_ROUTES
 from ..columns import COLS, FlightColumns, column_type, is_temporal
 from ..functions.labels import route_key, route_label
 from ..functions.times import local_day, text_day
@@ -73,47 +73,51 @@ def _distinct_with_null(c) -> F.Column:
 
 
 def kpis(df: DataFrame, cols: FlightColumns = COLS) -> DataFrame:
-    """One row: flights, distinct airlines, distinct routes (0 when a column is absent)."""
-    aggs = [F.count(F.lit(1)).cast("bigint").alias("voos")]
+    """One row: flights, distinct airlines, distinct routes (0 when a column is absent).
+
+    Flights are first counted per airline and route, combined map-side; the
+    distinct counts then run over these few rows.
+    """
+    keys = {}
     if cols.airline in df.columns:
-        aggs.append(_distinct_with_null(_col(cols.airline)).alias("empresas"))
-    else:
-        aggs.append(F.lit(0).cast("bigint").alias("empresas"))
+        keys["empresa"] = _col(cols.airline)
     if cols.origin_icao in df.columns and cols.dest_icao in df.columns:
-        aggs.append(_distinct_with_null(route_key(_col(cols.origin_icao), _col(cols.dest_icao)))
-                    .alias("rotas"))
-    else:
-        aggs.append(F.lit(0).cast("bigint").alias("rotas"))
-    return df.agg(*aggs)
-
-
-def unique_values(df: DataFrame, column: str, limit: int = UNIQUE_VALUES_LIMIT) -> DataFrame:
-    """Sorted non-null distinct values of ``column``, at most ``limit``."""
+        keys.update(origem=_col(cols.origin_icao), destino=_col(cols.dest_icao))
+    if not keys:
+        return df.agg(F.count(F.lit(1)).cast("bigint").alias("voos"), F.lit(0).cast("bigint").alias("empresas"),
+                      F.lit(0).cast("bigint").alias("rotas"))
+    per = df.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(F.count(F.lit(1)).alias("n"))
+    zero = F.lit(0).cast("bigint")
+    return per.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("voos"),
+        (_distinct_with_null(F.col("empresa")) if "empresa" in keys else zero).alias("empresas"),
+        (_distinct_with_null(route_key(F.col("origem"), F.col("destino"))) if "origem" in keys else zero).alias("rotas"))
+
+
+def unique_values(df: DataFrame, column: str, limit: int | None = None) -> DataFrame:
+    """Sorted non-null distinct values of ``column``: all, or the first ``limit``
+    (the original's selection lists stop at ``UNIQUE_VALUES_LIMIT``)."""
     if column not in df.columns:
         return empty_result(df, [("valor", "string")])
-    c = _col(column)
-    return df.select(c.alias("valor")).where(F.col("valor").isNotNull()).distinct() \
-             .orderBy("valor").limit(limit)
+    out = df.select(_col(column).alias("valor")).where(F.col("valor").isNotNull()).distinct().orderBy("valor")
+    return out if limit is None else out.limit(limit)
 
 
-def filter_options(df: DataFrame, columns: Sequence[str],
-                   limit: int = UNIQUE_VALUES_LIMIT) -> DataFrame:
+def filter_options(df: DataFrame, columns: Sequence[str], limit: int | None = None) -> DataFrame:
     """The distinct-value lists of several filter columns, as rows
-    ``(coluna, valor)``: non-null values as text, sorted, at most ``limit``
-    per column.
-
-    Each column is its own distinct (combined map-side) and top-k
-    (``TakeOrderedAndProject`` keeps at most ``limit`` rows per task, so a
-    high-cardinality column never lands whole in one task); the lists are
-    unioned. A Parquet scan reads only the one column each list needs, so
-    the lists together read the same bytes as a single pass.
+    ``(coluna, valor)``: non-null values as text, all or the first ``limit`` of
+    each column.
+
+    One scan: every row gives its (column, value) pairs, which are made
+    distinct map-side before the one shuffle. A limit ranks the distinct
+    values of each column, cut per task first (``WindowGroupLimit``).
     """
-    parts = [unique_values(df.select(_col(c).cast("string").alias("__v")), "__v", limit)
-             .select(F.lit(c).alias("coluna"), F.col("valor")) for c in columns]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("coluna"), _col(c).cast("string").alias("valor")) for c in columns]))
+    out = df.select(pairs).where(F.col("valor").isNotNull()).distinct()
+    if limit is None:
+        return out
+    rank = F.row_number().over(Window.partitionBy("coluna").orderBy("valor"))
+    return out.withColumn("__rk", rank).where(F.col("__rk") <= limit).drop("__rk")
 
 
 def date_bounds(df: DataFrame, column: str) -> DataFrame:

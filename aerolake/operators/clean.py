@@ -103,3 +103,15 @@ def invalid_local_times(df: DataFrame, columns: Iterable[str] = COLS.times,
         cond = ~valid_local_time(_col(c), zone)          # null time → null → not kept
         bad = cond if bad is None else (bad | cond)
     return pinned.filter(bad).select(*[_col(c) for c in df.columns])
+
+
+def unparsable_times(df: DataFrame, columns: Iterable[str] = COLS.times) -> DataFrame:
+    """Per time column, how many texts are present but not a whole timestamp:
+    ``coluna, presentes, ilegiveis``. (They stay null after ``localise``.)
+
+    One pass; each column's counts are combined map-side.
+    """
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("coluna"), _col(c).cast("string").alias("valor")) for c in columns]))
+    bad = F.col("valor").isNotNull() & parse_local_time("valor").isNull()
+    return (df.select(pairs).groupBy("coluna")
+              .agg(F.count("valor").alias("presentes"), F.count_if(bad).alias("ilegiveis")))

@@ -22,7 +22,12 @@ def delay_base(df: DataFrame, limit: int = DELAY_LIMIT_DEFAULT, cols: FlightColu
                zone: str = LOCAL_ZONE) -> DataFrame:
     """Add ``atraso_min`` (real − planned departure, whole minutes),
     ``ano``/``dia_sem``/``hora`` of the planned departure, and keep rows with
-    ``atraso_min > limit`` (strict)."""
+    ``atraso_min > limit`` (strict).
+
+    The delay passes through a generator (``inline`` of one row): Catalyst does
+    not push the filter below it, where it would repeat the parsing of the
+    times for every flight of a lazily cleaned table, before the joins.
+    """
     if cols.dep_planned not in df.columns or cols.dep_real not in df.columns:
         # No departure times: no delayed flight (typed, empty, still lazy).
         return df.limit(0).withColumns({"atraso_min": F.lit(None).cast("bigint"),
@@ -30,10 +35,9 @@ def delay_base(df: DataFrame, limit: int = DELAY_LIMIT_DEFAULT, cols: FlightColu
                                         "dia_sem": F.lit(None).cast("int"),
                                         "hora": F.lit(None).cast("int")})
     parts = calendar_parts(_col(cols.dep_planned))
-    out = df.withColumns({
-        "atraso_min": delay_minutes(_col(cols.dep_planned), _col(cols.dep_real), zone),
-        **parts,
-    })
+    delay = delay_minutes(_col(cols.dep_planned), _col(cols.dep_real), zone)
+    once = F.inline(F.array(F.struct(delay.alias("atraso_min"), *[c.alias(n) for n, c in parts.items()])))
+    out = df.select(*[_col(c) for c in df.columns if c not in ("atraso_min", *parts)], once)
     return out.filter(F.col("atraso_min").isNotNull() & (F.col("atraso_min") > F.lit(limit)))
 
 

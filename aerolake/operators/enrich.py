@@ -1,12 +1,13 @@
 """Lookup joins and dictionary decodes of the flight records.
 
-Lookups are dimension tables: they are de-duplicated and broadcast after a
-bounded row-count check (the flight table then streams through map-side hash
-joins with no shuffle); a lookup over the bound is joined with a shuffle join.
+Lookups are dimension tables: they are de-duplicated, and broadcast if their
+measured bytes are few (the flight table then streams through map-side hash
+joins with no shuffle); a larger lookup is joined with a shuffle join.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,20 +21,28 @@ from .projection import select_cast
 _ORD = "__ordinal"
 
 
+def _source_order(df: DataFrame) -> list[Column]:
+    """Where a row stood in its source: file, then place in the file."""
+    place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
+    try:
+        if df._jdf.queryExecution().analyzed().collectLeaves().size() != 1:  # joined tables: no one file
+            place = []
+        df.select(*place)
+    except AnalysisException:  # rows that come from no file
+        place = []
+    return [*place, F.monotonically_increasing_id()]
+
+
 def first_by_key(df: DataFrame, key: str, order_by: str | Column | None = None) -> DataFrame:
     """Keep the first row per ``key`` (null key kept once as its own group).
 
-    "First" is the smallest ``order_by``; without one, the source order given
-    by ``monotonically_increasing_id`` (stable for a given file layout). Runs
-    as ``min_by`` with partial aggregation, so a hot key is combined map-side
-    before the shuffle.
+    "First" is the smallest ``order_by``; without one, the source order: files
+    by path, rows as they stand in a file. Runs as ``min_by`` with partial
+    aggregation, so a hot key is combined map-side before the shuffle.
     """
     others = [c for c in df.columns if c != key]
-    if order_by is None:
-        ordinal = F.monotonically_increasing_id()
-    else:
-        ordinal = F.col(order_by) if isinstance(order_by, str) else order_by
-    keyed = df.withColumn(_ORD, ordinal)
+    order = _source_order(df) if order_by is None else [F.col(order_by) if isinstance(order_by, str) else order_by]
+    keyed = df.withColumn(_ORD, F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]))
     packed = F.struct(*[F.col(f"`{c}`") for c in others])
     out = keyed.groupBy(F.col(f"`{key}`")).agg(F.min_by(packed, F.col(_ORD)).alias("__row"))
     return out.select(F.col(f"`{key}`"), *[F.col("__row").getField(c).alias(c) for c in others])
@@ -63,7 +72,7 @@ def enrich_airports(flights: DataFrame, airports: DataFrame, cols: FlightColumns
     ``broadcast``: see :func:`aerolake.session.lookup_side`; ``dedupe=False``
     when ``airports`` already is an :func:`airport_dimension`."""
     dim = airport_dimension(airports) if dedupe else select_cast(airports, AIRPORT_FIELDS)
-    dim = lookup_side(dim, broadcast, source=airports)
+    dim = lookup_side(dim, broadcast)
     origin = _endpoint(dim, cols.origin_icao, {
         "name": cols.origin_name, "continent": cols.origin_continent,
         "iso_country": cols.origin_country, "municipality": cols.origin_city,
@@ -102,7 +111,7 @@ def enrich_airline(flights: DataFrame, airlines: DataFrame, cols: FlightColumns
     name, code = AIRLINE_FIELDS
     dim = airline_dimension(airlines) if dedupe else select_cast(airlines, AIRLINE_FIELDS)
     dim = lookup_side(dim.select(F.col(name).alias("empresa_nome"),
-                                 F.col(code).alias("icao_empresa")), broadcast, source=airlines)
+                                 F.col(code).alias("icao_empresa")), broadcast)
     joined = flights.join(dim, F.col(f"`{cols.airline_icao}`") == dim["icao_empresa"], "left")
     return (joined.withColumn(cols.airline, F.col("empresa_nome"))
                   .drop("empresa_nome", "icao_empresa"))
@@ -122,9 +131,9 @@ def decode_with_table(df: DataFrame, code_col: str, codes: DataFrame, out_col: s
                       default: str | None = CODE_NOT_FOUND,
                       broadcast: bool | int | None = None) -> DataFrame:
     """Decode through a (code, label) table, e.g. one read with ``read_code_map``,
-    for code lists that are not known when the job is written."""
-    dim = lookup_side(codes.select(F.col("code").alias("__code"),
-                                   F.col("label").alias("__label")), broadcast, source=codes)
+    for code lists that are not known when the job is written; of equal codes the first counts."""
+    dim = lookup_side(first_by_key(codes.select("code", "label"), "code")
+                      .select(F.col("code").alias("__code"), F.col("label").alias("__label")), broadcast)
     c = F.col(f"`{code_col}`")
     joined = df.join(dim, c == F.col("__code"), "left")
     label = F.col("__label") if default is None else F.coalesce(F.col("__label"), F.lit(default))

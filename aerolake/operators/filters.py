@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +39,41 @@ class FilterSpec:
         return self.day_start is not None or self.day_end is not None
 
 
-def _day_text(d) -> str:
-    return d.isoformat() if isinstance(d, dt.date) else str(d)[:10]
+def _day_text(d: str | dt.date) -> str:
+    """``YYYY-MM-DD`` of a date, a datetime or a text that starts with a whole date."""
+    if isinstance(d, dt.date):
+        return d.strftime("%Y-%m-%d")
+    day = dt.date.fromisoformat(str(d)[:10])
+    if len(str(d)) > 10:
+        dt.datetime.fromisoformat(str(d))
+    return day.strftime("%Y-%m-%d")
+
+
+def day_condition(df: DataFrame, spec: FilterSpec, cols: FlightColumns = COLS,
+                  year_col: str | None = None) -> Column | None:
+    """The inclusive day range alone; None without one."""
+    if not spec.has_dates or cols.dep_planned not in df.columns:
+        return None
+    c = F.col(f"`{cols.dep_planned}`")
+    if is_temporal(column_type(df, cols.dep_planned)):
+        day = F.to_date(c)
+        bound = lambda d: F.lit(_day_text(d)).cast("date")
+    else:
+        # Textual times: compare the YYYY-MM-DD prefix so the end day is kept whole.
+        day = F.substring(c, 1, 10)
+        bound = lambda d: F.lit(_day_text(d))
+    conds = []
+    if spec.day_start is not None:
+        conds.append(day >= bound(spec.day_start))
+    if spec.day_end is not None:
+        conds.append(day <= bound(spec.day_end))
+    # Extra predicate on a year partition column → partition pruning.
+    if year_col and year_col in df.columns:
+        if spec.day_start is not None:
+            conds.append(F.col(year_col) >= int(_day_text(spec.day_start)[:4]))
+        if spec.day_end is not None:
+            conds.append(F.col(year_col) <= int(_day_text(spec.day_end)[:4]))
+    return reduce(and_, conds)
 
 
 def filter_condition(df: DataFrame, spec: FilterSpec, cols: FlightColumns = COLS,
@@ -52,32 +87,11 @@ def filter_condition(df: DataFrame, spec: FilterSpec, cols: FlightColumns = COLS
         if values:
             conds.append(F.col(f"`{name}`").isin(list(values)))
 
-    if spec.has_dates and cols.dep_planned in df.columns:
-        c = F.col(f"`{cols.dep_planned}`")
-        if is_temporal(column_type(df, cols.dep_planned)):
-            day = F.to_date(c)
-            bound = lambda d: F.lit(_day_text(d)).cast("date")
-        else:
-            # Textual times: compare the YYYY-MM-DD prefix so the end day is kept whole.
-            day = F.substring(c, 1, 10)
-            bound = lambda d: F.lit(_day_text(d))
-        if spec.day_start is not None:
-            conds.append(day >= bound(spec.day_start))
-        if spec.day_end is not None:
-            conds.append(day <= bound(spec.day_end))
-        # Extra predicate on a year partition column → partition pruning.
-        if year_col and year_col in df.columns:
-            if spec.day_start is not None:
-                conds.append(F.col(year_col) >= int(_day_text(spec.day_start)[:4]))
-            if spec.day_end is not None:
-                conds.append(F.col(year_col) <= int(_day_text(spec.day_end)[:4]))
-
-    if not conds:
-        return None
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
+    days = day_condition(df, spec, cols, year_col)
+    if days is not None:
+        conds.append(days)
+
+    return reduce(and_, conds) if conds else None
 
 
 def apply_filters(df: DataFrame, spec: FilterSpec | None, cols: FlightColumns = COLS,

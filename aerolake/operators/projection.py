@@ -1,4 +1,4 @@
-"""Projection helpers: cast-and-alias select, rename, strict drop."""
+"""Projection helpers: cast-and-alias select, strict drop."""
 
 from __future__ import annotations
 
@@ -15,10 +15,6 @@ def select_cast(df: DataFrame, columns: Mapping[str, str] | Iterable[str],
     return df.select([F.col(f"`{src}`").cast(dtype).alias(dst) for src, dst in mapping.items()])
 
 
-def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    return df.withColumnsRenamed(dict(mapping))
-
-
 def drop_strict(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Drop columns; naming an absent column is an error (Spark's own ``drop``
     silently ignores it)."""

@@ -10,11 +10,10 @@ carried as (sum, count).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..codes import (QUANTILE_HIGH, QUANTILE_LOW, ROUTE_MAP_TOP_DEFAULT, ROUTE_MAP_TOP_MAX,
-                     SCALE_RANGE_FLOOR)
+from ..codes import QUANTILE_HIGH, QUANTILE_LOW, ROUTE_MAP_TOP_DEFAULT, SCALE_RANGE_FLOOR
 from ..columns import COLS, FlightColumns
 from ..functions.geo import in_box, with_lon_lat
 from .aggregates import empty_result
@@ -22,17 +21,12 @@ from .aggregates import empty_result
 ROUTE_KEYS = ["origem_lon", "origem_lat", "destino_lon", "destino_lat"]
 
 
-def route_map(df: DataFrame, fmt: str = "auto", top: int = ROUTE_MAP_TOP_DEFAULT,
+def route_map(df: DataFrame, fmt: str = "auto", top: int | None = ROUTE_MAP_TOP_DEFAULT,
               with_delay: bool = True, cols: FlightColumns = COLS) -> DataFrame:
-    """Top ``top`` routes by flight count between valid coordinates, with the
-    mean delay when asked for and available.
-
-    ``top`` is the map's route budget (100-5,000 in the original view); it
-    bounds what :func:`route_intensity` ranks in one window, so values above
-    ``ROUTE_MAP_TOP_MAX * 10`` are refused.
-    """
-    if not 1 <= int(top) <= ROUTE_MAP_TOP_MAX * 10:
-        raise ValueError(f"route budget {top} outside 1..{ROUTE_MAP_TOP_MAX * 10}")
+    """The ``top`` routes (None: all) by flight count between valid coordinates,
+    with the mean delay when asked for and available."""
+    if top is not None and int(top) < 1:
+        raise ValueError(f"route budget {top} is not positive")
     use_delay = with_delay and "atraso_min" in df.columns
     if cols.origin_coords not in df.columns or cols.dest_coords not in df.columns:
         fields = [(k, "double") for k in ROUTE_KEYS] + [("quantidade", "bigint")]
@@ -57,7 +51,7 @@ def route_map(df: DataFrame, fmt: str = "auto", top: int = ROUTE_MAP_TOP_DEFAULT
     if use_delay:
         raggs.append((F.sum("__s") / F.sum("__c")).alias("atraso_medio"))
     routes = parsed.groupBy(*ROUTE_KEYS).agg(*raggs).filter(F.col("__ok")).drop("__ok")
-    return routes.orderBy(F.desc("quantidade"), *[F.asc(c) for c in ROUTE_KEYS]).limit(top)
+    return routes if top is None else routes.orderBy(F.desc("quantidade"), *[F.asc(c) for c in ROUTE_KEYS]).limit(top)
 
 
 def route_nodes(routes: DataFrame) -> DataFrame:
@@ -78,15 +72,14 @@ def route_intensity(routes: DataFrame, metric: str | None = None) -> DataFrame:
     """Robust 0-1 scaling of a route metric: ``(x − p05) / max(p95 − p05, 1e-6)``
     clipped to [0, 1]; the metric is the mean delay if present, else the count.
 
-    The input is the top-N route list of :func:`route_map` (at most
-    ``ROUTE_MAP_TOP_MAX * 10`` rows by its check), so the exact percentiles are
-    taken over one window on it.
+    The percentiles are a one-row aggregate that every row reads as a scalar;
+    persist or write ``routes`` first if computing them is dear, they are read twice.
     """
     if metric is None:
         metric = "atraso_medio" if "atraso_medio" in routes.columns else "quantidade"
     x = F.col(metric).cast("double")
-    everything = Window.partitionBy()
-    lo = F.percentile(x, F.lit(QUANTILE_LOW)).over(everything)
-    hi = F.percentile(x, F.lit(QUANTILE_HIGH)).over(everything)
+    bounds = routes.agg(F.struct(F.percentile(x, F.lit(QUANTILE_LOW)).alias("lo"),
+                                 F.percentile(x, F.lit(QUANTILE_HIGH)).alias("hi"))).scalar()
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
     scaled = (x - lo) / F.greatest(hi - lo, F.lit(SCALE_RANGE_FLOOR))
     return routes.withColumn("intensidade", F.least(F.greatest(scaled, F.lit(0.0)), F.lit(1.0)))

@@ -2,49 +2,27 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from pyspark.sql import Column, DataFrame
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from ..codes import ROUTE_MAP_TOP_DEFAULT, TOP_AIRLINES_PER_YEAR, TOP_DELAY_AIRPORTS, YOY_TOP
+from ..codes import ROUTE_MAP_TOP_DEFAULT, TOP_AIRLINES_PER_YEAR, TOP_DELAY_AIRPORTS
 from ..columns import COLS, FlightColumns
 from ..operators.delay import (delay_by_airline, delay_by_airport, delay_by_period,
                                delay_by_weekday, delay_by_year, top_airlines_per_year)
 from ..operators.routes import route_intensity, route_map, route_nodes
-from ..operators.yoy import has_two_years, yoy_decreases, yoy_increases, yoy_variation
-
-
-@dataclass
-class YoyResult:
-    variation: DataFrame
-    increases: DataFrame
-    decreases: DataFrame
-    used_fallback: bool
-
-
-def yoy_with_fallback(base: DataFrame, base_without_dates: DataFrame | None,
-                      top: int = YOY_TOP, cols: FlightColumns = COLS) -> YoyResult:
-    """Year-over-year on the date-filtered base; if it spans fewer than two
-    years, on the base built with every filter except the day range."""
-    used = False
-    src = base
-    if base_without_dates is not None and not has_two_years(base):
-        src, used = base_without_dates, True
-    var = yoy_variation(src, cols).withColumn("usou_fallback", F.lit(used))
-    return YoyResult(var, yoy_increases(var, top), yoy_decreases(var, top), used)
+from ..operators.yoy import yoy_decreases, yoy_increases, yoy_variation_with_fallback
 
 
-def delay_insights(base: DataFrame, base_without_dates: DataFrame | None = None,
+def delay_insights(base: DataFrame, base_without_dates: DataFrame | None = None, in_range: Column | None = None,
                    cols: FlightColumns = COLS) -> dict[str, DataFrame]:
-    """Every delay breakdown of one base (lazy; persist ``base`` when several
-    of them are executed)."""
-    yoy = yoy_with_fallback(base, base_without_dates, cols=cols)
+    """Every delay breakdown of one base. With a day range, ``base_without_dates``
+    and the range as ``in_range`` serve the year-over-year fallback."""
+    src = base if base_without_dates is None else base_without_dates
+    variation = yoy_variation_with_fallback(src, None if base_without_dates is None else in_range, cols)
     return {
         "aeroportos": delay_by_airport(base, TOP_DELAY_AIRPORTS, cols),
-        "variacao": yoy.variation,
-        "aumentos": yoy.increases,
-        "quedas": yoy.decreases,
+        "variacao": variation,
+        "aumentos": yoy_increases(variation),
+        "quedas": yoy_decreases(variation),
         "por_ano": delay_by_year(base),
         "dias_semana": delay_by_weekday(base),
         "periodos": delay_by_period(base),
@@ -53,7 +31,10 @@ def delay_insights(base: DataFrame, base_without_dates: DataFrame | None = None,
     }
 
 
-def route_bundle(df: DataFrame, fmt: str = "auto", top: int = ROUTE_MAP_TOP_DEFAULT,
+def route_bundle(df: DataFrame, fmt: str = "auto", top: int | None = ROUTE_MAP_TOP_DEFAULT,
                  with_delay: bool = True, cols: FlightColumns = COLS) -> dict[str, DataFrame]:
-    routes = route_map(df, fmt, top, with_delay, cols)
+    """Routes, their nodes and intensities. The routes (few, already aggregated)
+    are persisted, so that the three outputs compute them once; unpersist them
+    when done."""
+    routes = route_map(df, fmt, top, with_delay, cols).persist()
     return {"rotas": routes, "nos": route_nodes(routes), "intensidade": route_intensity(routes)}

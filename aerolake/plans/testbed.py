@@ -9,57 +9,52 @@ Everything is a lazy join over the whole tables.
 
 from __future__ import annotations
 
-import threading
-import warnings
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..columns import COLS, FlightColumns
-from ..session import lookup_side, spread
-from ..sources.files import path_exists
+from ..session import MAX_BROADCAST_BYTES, lookup_side, lookup_sides, sizes
 
 TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
-# --- FIXED VALUES: airport type by nation key mod 5 ---
+# Airport type by nation key mod 5.
 AIRPORT_TYPES = ("large_airport", "medium_airport", "small_airport", "seaplane_base", "heliport")
 BR_NATIONS_BELOW = 15
 
 
-_SCANS: dict = {}
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one test table; the DataFrame (and its file listing) is reused
-    within a session, as a catalog table would be."""
-    key = (id(spark), sf_dir.rstrip("/"), name)
-    df = _SCANS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        _SCANS[key] = df
-    return df
+def _scanned(df: DataFrame) -> DataFrame:
+    """A table that scans as a single split (one row group) is dealt out, or one
+    task would do all the work on its rows; any other is left as it scans."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if df.rdd.getNumPartitions() == 1 else df
 
 
 def raw_flights(spark: SparkSession, sf_dir: str, cols: FlightColumns = COLS) -> DataFrame:
-    li = spread(table(spark, sf_dir, "lineitem").select(
+    li = _scanned(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_returnflag", "l_linestatus"))
-    orders_t = table(spark, sf_dir, "orders")
-    orders = orders_t.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    customer_t, supplier_t, part_t = (table(spark, sf_dir, n) for n in ("customer", "supplier", "part"))
-    customer = customer_t.select("c_custkey", "c_nationkey", "c_mktsegment")
-    supplier = supplier_t.select("s_suppkey", "s_nationkey")
-    part = part_t.select("p_partkey", "p_type")
-
     # Join order is written by hand (no CBO): orders meet customer first, so the
     # lineitem-sized intermediate is shuffled once per remaining key at most.
-    # Every side is broadcast only while a bounded count proves it small; the
-    # orders-customer side has at most as many rows as orders (one customer
-    # per order), so orders is its probe.
-    oc = orders.join(lookup_side(customer, source=customer_t), orders.o_custkey == customer.c_custkey)
-    j = (li.join(lookup_side(oc, source=orders_t), li.l_orderkey == oc.o_orderkey)
-           .join(lookup_side(supplier, source=supplier_t), li.l_suppkey == supplier.s_suppkey)
-           .join(lookup_side(part, source=part_t), li.l_partkey == part.p_partkey))
+    # Each side is broadcast only while its measured bytes are small; orders with
+    # its customers is measured as joined, if orders alone is small.
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    sides = [
+        table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.substring("c_mktsegment", 1, 2).alias("c_segment")),
+        table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"),
+        table(spark, sf_dir, "part").select("p_partkey", F.substring("p_type", 1, 1).alias("p_line"))]
+    measured = sizes([orders, *sides])
+    small = measured[0] <= MAX_BROADCAST_BYTES
+    customer, supplier, part = lookup_sides(sides, measured=measured[1:])
+    oc = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
+        "o_orderkey", "o_orderdate", "c_nationkey",
+        F.when(F.col("o_orderstatus") != "O", F.upper("c_segment")).alias("reason"))
+    oc = lookup_side(oc) if small else oc
+    j = (li.join(oc, li.l_orderkey == oc.o_orderkey)
+           .join(supplier, li.l_suppkey == supplier.s_suppkey)
+           .join(part, li.l_partkey == part.p_partkey))
 
     dep = F.timestamp_add("HOUR", F.pmod(F.col("l_partkey"), F.lit(24)).cast("int"), F.col("o_orderdate"))
     shift = F.floor(F.col("l_quantity") * 3 - 30).cast("int")
@@ -71,7 +66,7 @@ def raw_flights(spark: SparkSession, sf_dir: str, cols: FlightColumns = COLS) ->
         F.concat(F.lpad(F.col("l_linenumber").cast("string"), 2, "0"), F.lit("-"),
                  F.col("l_orderkey").cast("string")).alias(cols.flight_number),
         F.col("l_linestatus").alias(cols.authorization),
-        F.substring("p_type", 1, 1).alias(cols.line_type_code),
+        F.col("p_line").alias(cols.line_type_code),
         F.col("s_nationkey").cast("string").alias(cols.origin_icao),
         F.col("c_nationkey").cast("string").alias(cols.dest_icao),
         F.date_format(dep, TEXT_FORMAT).alias(cols.dep_planned),
@@ -79,17 +74,12 @@ def raw_flights(spark: SparkSession, sf_dir: str, cols: FlightColumns = COLS) ->
         F.date_format(F.timestamp_add("HOUR", two_h, dep), TEXT_FORMAT).alias(cols.arr_planned),
         F.date_format(F.timestamp_add("HOUR", two_h, real), TEXT_FORMAT).alias(cols.arr_real),
         F.when(F.col("l_returnflag") == "R", "CANCELADO").otherwise("REALIZADO").alias(cols.situation),
-        F.when(F.col("o_orderstatus") != "O", F.upper(F.substring("c_mktsegment", 1, 2)))
-         .alias(cols.reason_code),
+        F.col("reason").alias(cols.reason_code),
     )
 
 
 def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Airport records derived from ``nation`` (one DataFrame per session)."""
-    return _memo(spark, ("airports", sf_dir), lambda: _airports(spark, sf_dir))
-
-
-def _airports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Airport records derived from ``nation``."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     k = F.col("n_nationkey")
@@ -112,10 +102,9 @@ def _airports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Airline records derived from ``supplier`` (one DataFrame per session)."""
-    return _memo(spark, ("airlines", sf_dir), lambda: table(spark, sf_dir, "supplier")
-                 .where(F.col("s_acctbal") > 500)
-                 .select(F.col("s_name").alias("Nome"), F.col("s_suppkey").cast("string").alias("Sigla")))
+    """Airline records derived from ``supplier`` (those above a balance, so that some flights stay unmatched)."""
+    return table(spark, sf_dir, "supplier").where(F.col("s_acctbal") > 500) \
+        .select(F.col("s_name").alias("Nome"), F.col("s_suppkey").cast("string").alias("Sigla"))
 
 
 def events_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,97 +114,7 @@ def events_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.withColumns(calendar_parts(F.col("ts")))
 
 
-# ---------------------------------------------------------------- materialised views
-INPUT_TABLES = ("lineitem", "orders", "customer", "supplier", "part", "nation", "region")
-_VIEWS: dict = {}
-_WRITE_LOCK = threading.RLock()
-
-
-def _code_version() -> str:
-    """Hash of this package's source: a changed pipeline never reuses a table
-    written by an older one."""
-    import hashlib
-    import os
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    h = hashlib.sha1()
-    for base, _, files in sorted(os.walk(root)):
-        for f in sorted(files):
-            if f.endswith(".py"):
-                with open(os.path.join(base, f), "rb") as fh:
-                    h.update(f.encode() + fh.read())
-    return h.hexdigest()
-
-
-def fingerprint(sf_dir: str, names=INPUT_TABLES) -> str:
-    """Identity of the input tables (path, size, mtime) and of the code, for
-    reuse decisions."""
-    import hashlib
-    import os
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode() + _code_version().encode())
-    for n in names:
-        p = f"{sf_dir.rstrip('/')}/{n}.parquet"
-        try:
-            st = os.stat(p)
-            h.update(f"{n}:{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:
-            h.update(f"{n}:?".encode())
-    return h.hexdigest()[:16]
-
-
-def materialized(spark: SparkSession, name: str, sf_dir: str, build, partition_by=None) -> DataFrame:
-    """Write ``build()`` once as a Parquet table under ``spark.checkpoint.dir``
-    (the cluster's shared folder) and read it back; the written table cuts the
-    lineage and survives executor loss. Without a configured checkpoint
-    folder the lazy plan is returned unchanged."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        return build()
-    path = f"{root.rstrip('/')}/aerolake-tables/{name}-{fingerprint(sf_dir)}"
-    with _WRITE_LOCK:          # queries built from several threads write once
-        try:
-            if not path_exists(f"{path}/_SUCCESS", spark):
-                writer = build().write.mode("overwrite")
-                if partition_by:
-                    writer = writer.partitionBy(partition_by)
-                writer.parquet(path)
-            return spark.read.parquet(path)
-        except Exception as exc:   # e.g. a read-only folder: same result, lazily
-            warnings.warn(f"cannot materialise {name} under {root}: {exc}; using the lazy plan")
-            return build()
-
-
-def _memo(spark: SparkSession, key: tuple, make) -> DataFrame:
-    k = (id(spark),) + key
-    df = _VIEWS.get(k)
-    if df is None or df.sparkSession is not spark:
-        df = make()
-        _VIEWS[k] = df
-    return df
-
-
-def raw_flights_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw flight records as a table (materialised when a checkpoint
-    folder is configured), like the raw Parquet input of the batch job."""
-    return _memo(spark, ("raw", sf_dir), lambda: materialized(
-        spark, "raw_flights", sf_dir, lambda: raw_flights(spark, sf_dir)))
-
-
-def clean_flights_table(spark: SparkSession, sf_dir: str, parse_times: bool = True) -> DataFrame:
-    """The clean flight table built from :func:`raw_flights_table`.
-
-    With times parsed it is materialised partitioned by the planned departure
-    year (column ``ano_partida``) so day-range filters prune whole years.
-    """
-    from ..plans.transform import transform
-    from ..sources.sinks import YEAR_PARTITION, with_year_partition
-
-    def make():
-        return transform(raw_flights_table(spark, sf_dir), airports(spark, sf_dir),
-                         airlines(spark, sf_dir), parse_times=parse_times)
-
-    if not parse_times:
-        return _memo(spark, ("clean_text", sf_dir), lambda: materialized(
-            spark, "clean_flights_text", sf_dir, make))
-    return _memo(spark, ("clean", sf_dir), lambda: materialized(
-        spark, "clean_flights", sf_dir, lambda: with_year_partition(make()),
-        partition_by=YEAR_PARTITION))
+def clean_flights(spark: SparkSession, sf_dir: str, parse_times: bool = True) -> DataFrame:
+    """The clean flights, built from the given tables."""
+    from .transform import transform
+    return transform(raw_flights(spark, sf_dir), airports(spark, sf_dir), airlines(spark, sf_dir), parse_times=parse_times)

@@ -11,7 +11,7 @@ from ..columns import AIRLINE_FIELDS, AIRPORT_FIELDS, COLS, FlightColumns
 from ..operators.clean import drop_unused, late_flag, localise, remove_invalid_flights
 from ..operators.enrich import decode_codes, enrich_airline, enrich_airports
 from ..sources.csv import read_flights_csv
-from ..sources.files import path_exists
+from ..sources.files import is_committed
 from ..sources.lookups import read_lookup_records
 from ..sources.sinks import write_clean
 
@@ -50,7 +50,7 @@ def run_batch(spark: SparkSession, *, out_path: str, airports_path: str, airline
               airports_fmt: str = "array", partition_by_year: bool = True,
               cols: FlightColumns = COLS) -> DataFrame:
     """Source choice → clean → write; returns the written table read back."""
-    if raw_parquet and path_exists(raw_parquet, spark):
+    if raw_parquet and is_committed(spark, raw_parquet):
         raw = spark.read.parquet(raw_parquet)
     elif csv_glob:
         raw = read_flights_csv(spark, csv_glob)
@@ -64,11 +64,11 @@ def run_batch(spark: SparkSession, *, out_path: str, airports_path: str, airline
 
 def load_or_build(spark: SparkSession, clean_path: str, build: Callable[[], DataFrame] | None = None,
                   rebuild: bool = False) -> DataFrame:
-    """Reuse the clean table when present, else run ``build`` (which writes it).
+    """Reuse the clean table when its write finished, else run ``build`` (which writes it).
 
     Unlike a silent no-op, a missing table without a way to build it raises.
     """
-    if not rebuild and path_exists(clean_path, spark):
+    if not rebuild and is_committed(spark, clean_path):
         return spark.read.parquet(clean_path)
     if build is None:
         raise FileNotFoundError(f"{clean_path} does not exist and no build step was given")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import weakref
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings every job relies on: wall-clock semantics need a UTC session zone,
 # ANSI keeps casts honest, AQE re-plans joins/partitions from runtime sizes.
@@ -22,10 +22,9 @@ BASE_CONF: dict[str, str] = {
     "spark.ui.showConsoleProgress": "false",
 }
 
-# Largest lookup (airports, airlines, code lists) that is shipped to every task:
-# narrow string rows, so ~100 MB at most. Real airport lists are ~10^5 rows,
-# airline lists ~10^3.
-MAX_BROADCAST_ROWS = 500_000
+# Largest lookup (airports, airlines, code lists) that is shipped to every
+# task, in bytes of its rows. Real airport lists are ~10 MB.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def build_session(master: str | None = None, app_name: str = "aerolake",
@@ -66,75 +65,44 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return path
 
 
-def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint dir.
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of one row: 8 for each column, and the text of text columns."""
+    width = F.lit(16 + 8 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        elif not isinstance(f.dataType, T.AtomicType):
+            return F.lit(None).cast("long")  # nested values are not measured, and not broadcast
+    return width
 
-    Survives executor loss (unlike cached blocks) and is re-read lazily.
-    """
-    spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    path = os.path.join(root, "tables", name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
 
+def sizes(frames: Sequence[DataFrame]) -> list[int | None]:
+    """Measured bytes of each frame, in one job: a one-row aggregate of each."""
+    one = None
+    for k, df in enumerate(frames):
+        row = df.agg(F.lit(k).alias("k"), F.sum(row_bytes(df)).alias("bytes"), F.count("*").alias("n"))
+        one = row if one is None else one.unionAll(row)
+    found = {r.k: 0 if not r.n else r.bytes for r in one.collect()}
+    return [found[k] for k in range(len(frames))]
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an under-partitioned input over the default parallelism.
 
-    A large table already scans as thousands of splits and is returned
-    unchanged; a file with a single row group (one split) would otherwise keep
-    all downstream per-row work in one task.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
-def lookup_side(df: DataFrame, broadcast: bool | int | None = None,
-                source: DataFrame | None = None) -> DataFrame:
-    """How a lookup table joins the fact table.
-
-    ``None`` (default) or an ``int`` bound: broadcast only after a bounded
-    row-count check (``MAX_BROADCAST_ROWS`` or the given bound) on ``source``
-    (the raw lookup, an upper bound of the de-duplicated ``df``, checked
-    without a shuffle); above the bound, a shuffle join. The planner's own
-    estimate is not relied on: without statistics it multiplies join inputs
-    and can miss a 25-row table, and AQE would switch only after the fact
-    table was already shuffled. ``True`` forces the hint (size proven by the
-    caller); ``False`` leaves the choice to Spark's thresholds.
+def lookup_sides(frames: Sequence[DataFrame], limit: int = MAX_BROADCAST_BYTES,
+                 measured: Sequence[int | None] | None = None) -> list[DataFrame]:
+    """How lookups join the fact table: broadcast while the measured bytes stay
+    within ``limit``, else a shuffle join.
+
+    The planner's own estimate is not relied on: without statistics it
+    multiplies join inputs and can miss a 25-row table, and adaptive execution
+    would switch only after the fact table was already shuffled.
     """
+    return [F.broadcast(df) if size is not None and size <= limit else df
+            for df, size in zip(frames, sizes(frames) if measured is None else measured)]
+
+
+def lookup_side(df: DataFrame, broadcast: bool | int | None = None) -> DataFrame:
+    """One lookup: ``None`` measures it against ``MAX_BROADCAST_BYTES``, an ``int``
+    against that many bytes; ``False`` leaves the choice to Spark's thresholds."""
     if broadcast is False:
         return df
-    if broadcast is True:
-        return F.broadcast(df)
-    bound = MAX_BROADCAST_ROWS if broadcast is None else int(broadcast)
-    probe = df if source is None else source
-    return F.broadcast(df) if _at_most(probe, bound) else df
-
-
-# Results of bounded counts per DataFrame object. A DataFrame keeps the file
-# listing it was created with, so its row count cannot change while it lives.
-_CHECKED: dict[tuple[int, int], tuple] = {}
-
-
-def _at_most(df: DataFrame, bound: int) -> bool:
-    key = (id(df), bound)
-    hit = _CHECKED.get(key)
-    if hit is not None and hit[0]() is df:
-        return hit[1]
-    ok = df.limit(bound + 1).count() <= bound
-    _CHECKED[key] = (weakref.ref(df), ok)
-    return ok
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
-
-    The check is a bounded count (``limit(max_rows + 1)``) on the lookup side
-    only; above the bound the plain DataFrame is returned and Spark plans a
-    shuffle join (AQE may still switch to broadcast from runtime sizes).
-    The count needs no columns, stops reading each partition after
-    ``max_rows + 1`` rows, and moves at most that many zero-width rows per
-    partition, which is never more than the shuffle join it falls back to
-    would move.
-    """
-    return F.broadcast(df) if _at_most(df, max_rows) else df
+    limit = MAX_BROADCAST_BYTES if broadcast is None or broadcast is True else int(broadcast)
+    return lookup_sides([df], limit)[0]

@@ -1,7 +1,7 @@
 """Sources and sinks."""
 
 from .csv import common_type, read_csv, read_flights_csv, union_relaxed
-from .files import expand_glob, path_exists, read_first_line
+from .files import expand_glob, first_lines, is_committed, path_exists
 from .lookups import read_code_map, read_lookup_records
 from .sinks import (YEAR_PARTITION, csv_to_ndjson, export_csv, export_parquet, read_parquet,
                     read_parquet_bytes, with_year_partition, write_clean)

@@ -1,99 +1,64 @@
-"""File-system helpers.
-
-Local paths use the OS; URIs use pyarrow's file systems and, for schemes
-pyarrow does not know (e.g. ``s3a://``, ``abfss://``), Spark's own readers:
-listing through the ``binaryFile`` source (paths only, no content is read),
-CSV headers through the CSV reader, existence by reading the path.
-"""
+"""File-system helpers. Every path goes through Spark's Hadoop file systems, so
+any scheme that Spark reads works here too (local paths included)."""
 
 from __future__ import annotations
 
-import fnmatch
-import glob as _glob
-import os
-from urllib.parse import urlparse
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.sql import SparkSession
 
-def _is_uri(path: str) -> bool:
-    return "://" in path or path.startswith("file:")
+# Files whose header is read at the same time.
+HEADER_THREADS = 32
 
 
-def _fs(path: str):
-    from pyarrow import fs as pafs
-    return pafs.FileSystem.from_uri(path)
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def path_exists(path: str, spark=None) -> bool:
-    if not _is_uri(path):
-        return os.path.exists(path)
-    try:
-        from pyarrow import fs as pafs
-        filesystem, p = _fs(path)
-        return filesystem.get_file_info(p).type != pafs.FileType.NotFound
-    except Exception:
-        if spark is None:
-            raise
-    return _spark_readable(spark, path)
-
-
-def _spark_readable(spark, path: str) -> bool:
-    """A committed Parquet table (or its ``_SUCCESS`` marker's directory) at ``path``."""
-    from pyspark.errors import AnalysisException
-    target = path[: -len("/_SUCCESS")] if path.endswith("/_SUCCESS") else path
-    try:
-        spark.read.parquet(target)
-        return True
-    except AnalysisException:
+def _fs(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return _fs(spark, path).exists(_path(spark, path))
+
+
+def is_committed(spark: SparkSession, path: str) -> bool:
+    """A table whose write finished (its folder holds the commit marker), or a single file."""
+    fs, where = _fs(spark, path), _path(spark, path)
+    if not fs.exists(where):
         return False
+    return fs.getFileStatus(where).isFile() or fs.exists(_path(spark, f"{path.rstrip('/')}/_SUCCESS"))
+
+
+def expand_glob(spark: SparkSession, pattern: str) -> list[str]:
+    """The files that a path or glob names, wildcards in folder names included, sorted."""
+    found = _fs(spark, pattern).globStatus(_path(spark, pattern))
+    return sorted(s.getPath().toString() for s in found or [] if s.isFile())
+
+
+def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str:
+    """First line of a text file, however long; undecodable bytes raise."""
+    jvm = spark._jvm
+    decoder = jvm.java.nio.charset.Charset.forName(encoding).newDecoder()
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+        _fs(spark, path).open(_path(spark, path)), decoder))
+    try:
+        return (reader.readLine() or "").removeprefix("﻿")
+    finally:
+        reader.close()
+
+
+def first_lines(spark: SparkSession, paths: Iterable[str], encoding: str = "UTF-8") -> list[str]:
+    """First lines of many files; only these lines are read."""
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        return list(pool.map(lambda p: first_line(spark, p, encoding), paths))
 
 
-def expand_glob(pattern: str, spark=None) -> list[str]:
-    """Expand a file glob to a sorted list of paths (local or URI)."""
-    pattern = str(pattern)
-    if not _is_uri(pattern):
-        return sorted(_glob.glob(pattern))
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    out = _fs(spark, path).create(_path(spark, path), True)
     try:
-        return _expand_glob_arrow(pattern)
-    except Exception:
-        if spark is None:
-            raise
-    rows = spark.read.format("binaryFile").load(pattern).select("path").collect()
-    return sorted(r.path for r in rows)
-
-
-def _expand_glob_arrow(pattern: str) -> list[str]:
-    from pyarrow import fs as pafs
-    filesystem, p = _fs(pattern)
-    base = p.rsplit("/", 1)[0] if any(ch in p for ch in "*?[") else p
-    infos = filesystem.get_file_info(pafs.FileSelector(base, recursive=False))
-    scheme = urlparse(pattern)
-    prefix = f"{scheme.scheme}://{scheme.netloc}" if scheme.netloc else f"{scheme.scheme}://"
-    return sorted(prefix + i.path for i in infos
-                  if i.type == pafs.FileType.File and fnmatch.fnmatch(i.path, p))
-
-
-def read_first_line(path: str, encoding: str = "utf-8", max_bytes: int = 1 << 20) -> str:
-    """First line of a text file (only the first block is read)."""
-    if not _is_uri(path):
-        with open(path, "rb") as fh:
-            head = fh.read(max_bytes)
-    else:
-        filesystem, p = _fs(path)
-        with filesystem.open_input_stream(p) as fh:
-            head = fh.read(max_bytes)
-    line = head.split(b"\n", 1)[0].rstrip(b"\r")
-    text = line.decode(encoding)
-    return text[1:] if text.startswith("﻿") else text
-
-
-def write_bytes(path: str, data: bytes) -> None:
-    """Write ``data`` to ``path`` (local or a URI pyarrow can open)."""
-    if not _is_uri(path):
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        with open(path, "wb") as fh:
-            fh.write(data)
-        return
-    filesystem, p = _fs(path)
-    filesystem.create_dir(p.rsplit("/", 1)[0], recursive=True)
-    with filesystem.open_output_stream(p) as fh:
-        fh.write(data)
+        out.write(bytearray(data))
+    finally:
+        out.close()

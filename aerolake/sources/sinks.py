@@ -17,18 +17,19 @@ def with_year_partition(df: DataFrame, cols: FlightColumns = COLS,
 
 
 def write_clean(df: DataFrame, path: str, partition_by_year: bool = True,
-                cols: FlightColumns = COLS, mode: str = "overwrite") -> None:
+                cols: FlightColumns = COLS, mode: str = "overwrite",
+                rows_per_file: int = 20_000_000) -> None:
     """Persist the clean table as Parquet, partitioned by the planned
     departure year so that day-range filters prune whole years.
 
-    Rows are not repartitioned by year first: one year can hold a third of
-    all flights, which would put it in one task. Each task writes its own
-    file per year it holds instead."""
-    writer_df = with_year_partition(df, cols) if partition_by_year else df
-    writer = writer_df.write.mode(mode)
-    if partition_by_year:
-        writer = writer.partitionBy(YEAR_PARTITION)
-    writer.parquet(path)
+    Rows are rebalanced by year: adaptive execution splits a year that holds
+    most of the flights over several tasks and puts small years together, so
+    there are files in proportion to the data, not tasks times years."""
+    if not partition_by_year:
+        df.write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(path)
+        return
+    (with_year_partition(df, cols).hint("rebalance", F.col(YEAR_PARTITION))
+     .write.mode(mode).option("maxRecordsPerFile", rows_per_file).partitionBy(YEAR_PARTITION).parquet(path))
 
 
 def export_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -36,7 +37,8 @@ def export_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",") -> None:
-    df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
+    """CSV with header; quotes inside fields are doubled, as other tools expect."""
+    df.write.mode(mode).option("header", True).option("sep", sep).option("escape", '"').csv(path)
 
 
 def csv_to_ndjson(spark: SparkSession, src: str, dst: str, mode: str = "overwrite") -> None:
@@ -56,5 +58,5 @@ def read_parquet_bytes(spark: SparkSession, data: bytes, name: str = "upload.par
     from ..session import ensure_checkpoint_dir
     from .files import write_bytes
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing/{uuid.uuid4().hex}/{name}"
-    write_bytes(path, data)
+    write_bytes(spark, path, data)
     return spark.read.parquet(path)

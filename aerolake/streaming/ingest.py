@@ -31,7 +31,7 @@ def read_flights_stream(spark: SparkSession, source_dir: str, header: Sequence[s
     columns; such files belong to another stream or to the batch reader.
     """
     reader = (spark.readStream.schema(string_schema(header))
-              .option("header", True).option("sep", sep).option("enforceSchema", False))
+              .option("header", True).option("sep", sep).option("escape", '"').option("enforceSchema", False))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(source_dir)

@@ -1,14 +1,81 @@
 """Independent DuckDB SQL for every registered query (the correctness oracle).
 
 The SQL re-derives the flight-shaped view from the TPC-H-like tables and
-re-states each operator in plain SQL. Label lists are taken from
-``aerolake.codes`` (fixed values), everything else is written out here.
+re-states each operator in plain SQL, label lists included; only the ASCII
+column names come from the library.
 """
 
 from __future__ import annotations
 
-from aerolake.codes import (AIRPORT_SIZES, CODE_NOT_FOUND, JUSTIFICATIONS, LINE_TYPES,
-                            WEEKDAY_LABELS)
+# --- FIXED VALUES: labels written out a second time, so that a wrong one shows ---
+AIRPORT_SIZES = {
+    'large_airport': 'Grande Porte',
+    'medium_airport': 'Médio Porte',
+    'small_airport': 'Pequeno Porte',
+}
+LINE_TYPES = {
+    'C': 'Transporte Aéreo Público Regular',
+    'N': 'Transporte Aéreo Público Não Regular (Charter/Fretamento)',
+    'G': 'Aviação Geral',
+    'S': 'Serviços Aéreos Especializados',
+    'E': 'Experimental',
+    'M': 'Militar',
+    'T': 'Táxi Aéreo',
+    'P': 'Aviação Privada',
+}
+JUSTIFICATIONS = {
+    'AA': 'ATRASO AEROPORTO DE ALTERNATIVA – ORDEM TÉCNICA',
+    'AF': 'FACILIDADES DO AEROPORTO - RESTRIÇÕES DE APOIO',
+    'AG': 'MIGRAÇÃO/ALFÂNDEGA/SAÚDE',
+    'AI': 'AEROPORTO DE ORIGEM INTERDITADO',
+    'AJ': 'AEROPORTO DE DESTINO INTERDITADO',
+    'AM': 'ATRASO AEROPORTO DE ALTERNATIVA – CONDIÇÕES METEOROLÓGICAS',
+    'AS': 'SEGURANÇA/PAX/CARGA/ALARME',
+    'AR': 'AEROPORTO COM RESTRIÇÕES OPERACIONAIS',
+    'AT': 'LIBERAÇÃO SERV. TRÁFEGO AÉREO/ANTECIPAÇÃO',
+    'DF': 'AVARIA DURANTE OPERAÇÕES EM VÔO',
+    'DG': 'AVARIA DURANTE OPERAÇÕES EM SOLO',
+    'FP': 'PLANO DE VÔO - APROVAÇÃO',
+    'GF': 'ABASTECIMENTO/DESTANQUEIO',
+    'MA': 'FALHA EQUIPO AUTOMOTIVO E DE ATENDIMENTO DE PAX',
+    'MX': 'ATRASOS NÃO ESPECÍFICOS – OUTROS',
+    'OA': 'AUTORIZADO',
+    'RA': 'CONEXÃO DE AERONAVE',
+    'RI': 'CONEXÃO AERONAVE/VOLTA – VÔO DE IDA NÃO PENALIZADO AEROPORTO INTERDITADO',
+    'RM': 'CONEXÃO AERONAVE/VOLTA – VÔO DE IDA NÃO PENALIZADO CONDIÇÕES METEOROLÓGICAS',
+    'TC': 'TROCA DE AERONAVE',
+    'TD': 'DEFEITOS DA AERONAVE',
+    'WA': 'ALTERNATIVA ABAIXO DOS LIMITES',
+    'WI': 'DEGELO E REMOÇÃO DE NEVE E/OU LAMA EM AERONAVE',
+    'WR': 'ATRASO DEVIDO RETORNO – CONDIÇÕES METEOROLÓGICAS',
+    'WO': 'AEROPORTO ORIGEM ABAIXO DOS LIMITES',
+    'WP': 'ATRASO DEVIDO RETORNO – ORDEM TÉCNICA',
+    'WT': 'AEROPORTO DESTINO ABAIXO DOS LIMITES',
+    'WS': 'REMOÇÃO GELO/ÁGUA/LAMA/AREIA-EM AEROPORTO',
+    'XA': 'PROGRAMADO – FERIADO NACIONAL',
+    'XB': 'AUTORIZADO',
+    'XI': 'DEVIDO AEROPORTO DE ORIGEM INTERDITADO',
+    'XJ': 'DEVIDO AEROPORTO DE DESTINO INTERDITADO',
+    'XL': 'FALTA PAX COM PASSAGEM MARCADA – (APENAS PARA AS LINHAS AÉREAS DOMÉSTICAS REGIONAIS)',
+    'XM': 'CANCELAMENTO – CONEXÃO AERONAVE/VOLTA – VÔO DE IDA CANCELADO – AEROPORTO INTERDITADO',
+    'XN': 'CANCELAMENTO POR MOTIVOS TÉCNICOS – OPERACIONAIS',
+    'XO': 'CANCELAMENTO – AEROPORTO ORIGEM ABAIXO LIMITES',
+    'XT': 'CANCELAMENTO – AEROPORTO DESTINO ABAIXO LIMITES',
+    'XR': 'CANCELAMENTO DE VÔOS OPERADOS EM “CODE SHARING”',
+    'XS': 'CANCELAMENTO – CONEXÃO AERONAVE/VOLTA – VÔO DE IDA CANCELADO – CONDIÇÕES METEOROLÓGICAS',
+    'ST': 'INCLUSÃO DE ETAPA DEVIDO CANCELAMENTO DE ESCALAS PREVISTAS – (EXCLUSIVO PARA LINHAS SUPLEMENTADAS)',
+    'IR': 'INCLUSÃO DE ETAPA (AEROPORTO DE ALTERNATIVA) DEVIDO A UM VÔO ESPECIAL RETORNO',
+    'VR': 'VÔO ESPECIAL DE RETORNO (EXCLUSIVO PARA RETORNO AO AEROPORTO DE ORIGEM)',
+    'VE': 'ESPECÍFICO PARA VÔO ESPECIAL DE EXPERIÊNCIA',
+    'VI': 'ESPECÍFICO PARA VÔO ESPECIAL DE INSTRUÇÃO',
+    'HA': 'AUTORIZADA',
+    'HB': 'OPERAÇÃO DE VÔO COM MAIS DE 04 HORAS DE ATRASO PANE AERONAVE',
+    'HC': 'OPERAÇÃO DE VÔO COM MAIS DE 04 HORAS DE ATRASO AEROPORTO INTERDITADO',
+    'HD': 'ANTECIPAÇÃO DE HORÁRIO AUTORIZADA',
+    'HI': 'ANTECIPAÇÃO DE HORÁRIO AUTORIZADA – ESPECÍFICO VÔOS INTERNACIONAIS',
+}
+CODE_NOT_FOUND = 'Código não encontrado'
+WEEKDAY_LABELS = ('Seg', 'Ter', 'Qua', 'Qui', 'Sex', 'Sáb', 'Dom')
 
 ZONE = "America/Sao_Paulo"
 FMT = "%Y-%m-%d %H:%M:%S"
@@ -146,7 +213,6 @@ def base_cte(src: str = "clean", name: str = "base", limit: int = 15) -> str:
 {name} AS (SELECT * FROM {name}0 WHERE atraso_min IS NOT NULL AND atraso_min > {limit})"""
 
 
-# --- FIXED VALUES: ASCII output names of flight columns (same list as aerolake.columns) ---
 from aerolake.columns import ASCII_NAMES  # noqa: E402
 
 
@@ -220,7 +286,7 @@ def _orient(a: str, b: str, fmt: str) -> tuple[str, str]:
     return (f"CASE WHEN {keep} THEN {a} ELSE {b} END", f"CASE WHEN {keep} THEN {b} ELSE {a} END")
 
 
-def _routes_cte(src: str = "base", top: int = 1000) -> str:
+def _routes_cte(src: str = "base", top: int | None = 1000) -> str:
     oa, ob = _coords('"Origem Coordenadas"')
     da, db = _coords('"Destino Coordenadas"')
     olon, olat = _orient("oa", "ob", "auto")
@@ -240,8 +306,7 @@ routes AS (
   FROM rt1
   WHERE {_box('origem_lon', 'origem_lat')} AND {_box('destino_lon', 'destino_lat')}
   GROUP BY 1, 2, 3, 4
-  ORDER BY quantidade DESC, origem_lon, origem_lat, destino_lon, destino_lat
-  LIMIT {top}
+  {"" if top is None else f"ORDER BY quantidade DESC, origem_lon, origem_lat, destino_lon, destino_lat LIMIT {top}"}
 )"""
 
 
@@ -450,4 +515,95 @@ def oracle_sql() -> dict[str, str]:
         "SELECT origem_lon, origem_lat, destino_lon, destino_lat, quantidade, atraso_medio, "
         "round(least(greatest((atraso_medio - lo) / greatest(hi - lo, 1e-6), 0.0), 1.0), 6) AS intensidade "
         "FROM routes, qs")
+    d["unique_values_all"] = w(RAW) + (
+        "SELECT DISTINCT \"Empresa Aérea\" AS valor FROM clean WHERE \"Empresa Aérea\" IS NOT NULL")
+    three = ("dated AS (SELECT * FROM clean WHERE CAST(\"Partida Prevista\" AS DATE) "
+             "BETWEEN DATE '1994-07-01' AND DATE '1996-03-31')")
+    d["yoy_no_fallback"] = w(RAW, three, base_cte("dated", "base_dated"), _yoy_cte("base_dated", "var_dated")) + (
+        "SELECT *, false AS usou_fallback FROM var_dated")
+    unread = " UNION ALL ".join(
+        f"SELECT {s(c)} AS coluna, count({q(c)}) AS presentes, "
+        f"count(*) FILTER (WHERE {q(c)} IS NOT NULL AND {parse_ts(q(c))} IS NULL) AS ilegiveis FROM bad" for c in times)
+    d["unparsable_times"] = w(RAW, f"bad AS (SELECT {bad} FROM raw_flights)") + unread
+    lacking = [c for c in CLEAN_COLS if c not in RAW_COLS or c == "Partida Real"]
+    d["missing_columns"] = w(RAW, "n AS (SELECT count(*) AS voos FROM raw_flights)") + " UNION ALL ".join(
+        f"SELECT {s(c)} AS coluna, voos, CAST(0 AS BIGINT) AS atrasos FROM n" for c in lacking)
+    d["status_by_situation"] = w(RAW) + (
+        "SELECT \"Situação Voo\" AS status, count(*) AS quantidade FROM raw_flights GROUP BY 1")
+    d["route_map_base"] = d["route_map"]
+    d["route_map_all"] = w(RAW, base, _routes_cte(top=None)) + "SELECT * FROM routes"
+    awkward = ("awkward AS (SELECT * REPLACE (CASE \"Código Tipo Linha\" "
+               "WHEN 'L' THEN 'x \"y\"; ' || \"ICAO Empresa Aérea\" "
+               "WHEN 'E' THEN \"ICAO Empresa Aérea\" || chr(10) || 'linha 2 é, ç' "
+               "WHEN 'S' THEN '\"' || \"ICAO Empresa Aérea\" ELSE \"ICAO Empresa Aérea\" END AS \"ICAO Empresa Aérea\") FROM {src})")
+    reason = "CASE WHEN \"Situação Voo\" = 'REALIZADO' THEN \"Código Justificativa\" END"
+    d["csv_roundtrip"] = w(RAW, awkward.format(src="raw_flights")) + (
+        f"SELECT {ascii_select([c for c in RAW_COLS if c != 'Código Justificativa'])}, {reason} AS codigo_justificativa FROM awkward")
+    lines = "lined AS (SELECT *, substr(\"Tipo Linha\", 1, 1) AS \"Código Tipo Linha\" FROM clean_text)"
+    # Spark's writers give empty text for the empty size label, read back as null.
+    blank = {c: f"nullif({q(c)}, '') AS {ASCII_NAMES[c]}" for c in ("Tamanho Origem", "Tamanho Destino")}
+    d["csv_export"] = w(RAW, lines, awkward.format(src="lined")) + "SELECT " + ", ".join(
+        blank.get(c, f"{q(c)} AS {ASCII_NAMES[c]}") for c in CLEAN_COLS) + " FROM awkward"
+    d["ndjson_roundtrip"] = w(RAW) + f"SELECT {ascii_select(RAW_COLS[1:])} FROM raw_flights"
+    d["lookup_records"] = w(RAW) + (
+        "SELECT icao_code, name, continent, iso_country, municipality, gps_code, coordinates, type FROM airports")
+    d["code_map"] = (
+        "SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS codigo, "
+        f"CASE WHEN c_nationkey IS NULL THEN NULL ELSE coalesce(n_name, {s(CODE_NOT_FOUND)}) END AS rotulo "
+        "FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey % 3 <> 0")
+    d["first_by_key_source_order"] = (
+        "SELECT c_mktsegment, arg_min(c_custkey, (CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE 1 END, c_custkey)) AS c_custkey "
+        "FROM customer GROUP BY 1")
+    d["batch_publish"] = w(RAW) + f"SELECT {ascii_select(CLEAN_COLS)}, CAST(year(\"Partida Prevista\") AS INTEGER) AS ano_partida FROM clean"
+    d["union_relaxed_numeric"] = (
+        "SELECT c_custkey AS a, CAST(c_custkey AS DOUBLE) AS b, CAST(c_acctbal AS DECIMAL(12, 2)) AS c, "
+        "CAST(c_nationkey AS DOUBLE) AS e FROM customer UNION ALL "
+        "SELECT s_suppkey, CAST(CAST(s_acctbal AS FLOAT) AS DOUBLE), s_nationkey, s_acctbal FROM supplier")
+    d["report"] = _report_sql()
     return d
+
+
+def _report_sql() -> str:
+    """The report's outputs for completed flights of 1995-06-01 to 1995-12-31; the
+    year-over-year change falls back to all days, as there is one year only."""
+    base = base_cte("filtered", "base")
+    undated = base_cte("clean", "base_all")
+    kept = ("filtered AS (SELECT * FROM clean WHERE \"Situação Voo\" = 'REALIZADO' AND "
+            "CAST(\"Partida Prevista\" AS DATE) BETWEEN DATE '1995-06-01' AND DATE '1995-12-31')")
+
+    def part(name: str, keys: list[str], values: list[str], source: str) -> str:
+        text = lambda cols: "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in cols) + ")"
+        return f"SELECT {s(name)} AS nome, {text(keys)} AS chave, {text(values)} AS valor FROM ({source})"
+
+    n = "count(*) AS quantidade_atrasos"
+    pair = "\"ICAO Aeródromo Origem\" AS origem, \"ICAO Aeródromo Destino\" AS destino"
+    rank = "dense_rank() OVER (PARTITION BY ano ORDER BY count(*) DESC) AS rk"
+    parts = [
+        part("kpis", ["voos"], ["empresas", "rotas"],
+             f"SELECT count(*) AS voos, {_dist_null(q('Empresa Aérea'))} AS empresas, "
+             "count(DISTINCT (\"ICAO Aeródromo Origem\", \"ICAO Aeródromo Destino\")) AS rotas FROM filtered"),
+        part("per_day", ["dia"], ["voos"], "SELECT CAST(\"Partida Prevista\" AS DATE) AS dia, count(*) AS voos FROM filtered GROUP BY 1"),
+        part("status", ["status"], ["quantidade"], "SELECT \"Status do Voo\" AS status, count(*) AS quantidade FROM filtered GROUP BY 1"),
+        part("top_routes", ["origem", "destino"], ["quantidade"],
+             f"SELECT {pair}, count(*) AS quantidade FROM filtered GROUP BY 1, 2 ORDER BY quantidade DESC, origem, destino LIMIT 20"),
+        part("sample", ["numero_voo"], ["partida"],
+             "SELECT \"Número Voo\" AS numero_voo, \"Partida Prevista\" AS partida FROM filtered ORDER BY 2, 1 LIMIT 1000"),
+        part("aeroportos", ["aeroporto"], ["quantidade_atrasos"],
+             f"SELECT \"Aeródromo Origem\" AS aeroporto, {n} FROM base GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 25"),
+        part("variacao", ["aeroporto"], ["y_prev", "y_curr", "delta", "true"], "SELECT * FROM variation"),
+        part("aumentos", ["aeroporto"], ["delta"], "SELECT * FROM variation ORDER BY delta DESC, aeroporto LIMIT 10"),
+        part("quedas", ["aeroporto"], ["delta"], "SELECT * FROM variation ORDER BY delta, aeroporto LIMIT 10"),
+        part("por_ano", ["ano"], ["quantidade_atrasos"], f"SELECT ano, {n} FROM base GROUP BY 1"),
+        part("dias_semana", ["ano", "dia"], ["quantidade_atrasos"],
+             f"SELECT ano, {_weekday_case('dia_sem')} AS dia, {n} FROM base GROUP BY 1, 2"),
+        part("periodos", ["ano", "periodo"], ["quantidade_atrasos"],
+             f"SELECT ano, {_period_case('hora')} AS periodo, {n} FROM base GROUP BY 1, 2"),
+        part("companhias", ["ano", "empresa"], ["quantidade_atrasos"],
+             f"SELECT ano, empresa, quantidade_atrasos FROM (SELECT ano, \"Empresa Aérea\" AS empresa, {n}, {rank} "
+             "FROM base GROUP BY 1, 2) WHERE rk <= 15"),
+        part("rotas", ["origem_lon", "origem_lat", "destino_lon", "destino_lat"], ["quantidade"], "SELECT * FROM routes"),
+        part("nos", ["lon", "lat"], ["quantidade"],
+             "SELECT lon, lat, CAST(sum(quantidade) AS BIGINT) AS quantidade FROM (SELECT origem_lon AS lon, origem_lat AS lat, quantidade "
+             "FROM routes UNION ALL SELECT destino_lon, destino_lat, quantidade FROM routes) GROUP BY 1, 2"),
+    ]
+    return w(RAW, kept, base, undated, _yoy_cte("base_all", "variation"), _routes_cte()) + " UNION ALL ".join(parts)

@@ -2,13 +2,14 @@ import datetime as dt
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from aerolake.columns import COLS
 from aerolake.operators import (FilterSpec, apply_filters, date_bounds, delay_base,
                                 delay_by_weekday, flights_per_day, kpis, route_intensity,
                                 route_map, route_nodes, status_distribution, top_airlines_per_year,
                                 top_routes, unique_values, yoy_decreases, yoy_increases,
-                                yoy_variation)
-from aerolake.plans.insights import yoy_with_fallback
+                                yoy_variation, yoy_variation_with_fallback)
 from conftest import rows
 
 SCHEMA = (f"`{COLS.airline}` string, `{COLS.origin_icao}` string, `{COLS.dest_icao}` string, "
@@ -93,9 +94,22 @@ def test_yoy_one_year_then_fallback(spark):
     base = delay_base(spark.createDataFrame(data, SCHEMA), 15)
     one = base.filter("ano = 2021")
     assert yoy_variation(one).count() == 0
-    res = yoy_with_fallback(one, base)
-    assert res.used_fallback and rows(res.variation, "aeroporto", "delta") == [("A", -2)]
-    assert not yoy_with_fallback(base, base).used_fallback
+    for in_range, used in ((F.col("ano") == 2021, True), (F.col("ano") >= 2020, False), (F.lit(False), True), (None, False)):
+        assert rows(yoy_variation_with_fallback(base, in_range), "aeroporto", "delta", "usou_fallback") == [("A", -2, used)]
+    # The range decides by its own years, also when other years are later.
+    data += _late("A", 2022, 9)
+    base = delay_base(spark.createDataFrame(data, SCHEMA), 15)
+    got = rows(yoy_variation_with_fallback(base, F.col("ano") < 2022), "aeroporto", "delta", "ano_curr", "usou_fallback")
+    assert got == [("A", -2, 2021, False)]
+
+
+def test_yoy_reads_the_base_once(spark, tmpdir_str):
+    base = delay_base(spark.createDataFrame(_late("A", 2020, 3) + _late("A", 2021, 1), SCHEMA), 15)
+    base.write.parquet(f"{tmpdir_str}/base")
+    stored = spark.read.parquet(f"{tmpdir_str}/base")
+    for df in (yoy_variation(stored), yoy_variation_with_fallback(stored, F.col("ano") == 2021)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1
 
 
 def test_dense_rank_ties_kept(spark):
@@ -156,4 +170,4 @@ def test_guards_on_column_poor_input(spark):
         assert out.count() == 0, name
     assert rows(kpis(df)) == [(1, 0, 0)]
     assert rows(date_bounds(df, "x")) == [(None, None)]
-    assert yoy_with_fallback(base, base).variation.count() == 0
+    assert yoy_variation_with_fallback(base, None).count() == 0

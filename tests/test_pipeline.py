@@ -1,3 +1,4 @@
+from conftest import rows
 import datetime as dt
 
 import pytest
@@ -145,20 +146,42 @@ def _explain(df, mode="extended") -> str:
 
 
 def test_broadcast_choices(spark):
-    from aerolake.session import bounded_broadcast, lookup_side
+    from pyspark.sql import functions as F
+
+    from aerolake.session import lookup_side, sizes
     small = spark.range(10)
-    joined = spark.range(1000).join(bounded_broadcast(small, 100), "id")
-    assert "BroadcastHashJoin" in _explain(joined)
     assert lookup_side(small, False) is small         # no hint: Spark's thresholds decide
     assert "BroadcastHashJoin" in _explain(spark.range(1000).join(lookup_side(small), "id"))
-    assert "broadcast" not in _explain(lookup_side(spark.range(50), 10)).lower()
-    big = bounded_broadcast(spark.range(500), 100)     # over the bound: no hint
-    assert "broadcast" not in _explain(big).lower()
+    assert "broadcast" not in _explain(lookup_side(spark.range(50), 100)).lower()
+    # Bytes count, not rows: few rows of long text are not broadcast.
+    wide = spark.range(3).withColumn("text", F.repeat(F.lit("x"), 1000))
+    assert sizes([wide, small, wide.limit(0)]) == [3 * (16 + 16 + 1000), 10 * 24, 0]
+    assert "broadcast" not in _explain(lookup_side(wide, 2000)).lower()
+
+
+def test_code_table_with_repeated_codes(spark):
+    from aerolake.operators import decode_with_table
+    codes = spark.createDataFrame([("A", "first"), ("A", "second")], "code string, label string").coalesce(1)
+    out = decode_with_table(spark.createDataFrame([("A",)], "c string"), "c", codes, "label")
+    assert rows(out) == [("A", "first")]
+
+
+def test_unparsable_times_are_counted(spark):
+    from aerolake.operators import unparsable_times
+    df = spark.createDataFrame([("2021-01-05 03:04:05",), ("2021-1-5 3:04:05",), ("05/01/2021 03:04",), (None,)],
+                               f"`{COLS.dep_planned}` string")
+    assert rows(unparsable_times(df, [COLS.dep_planned])) == [(COLS.dep_planned, 3, 2)]
+
+
+def test_day_range_bounds(spark):
+    import datetime as dt
 
+    import pytest
 
-def test_checkpoint_table_cuts_lineage(spark):
-    from aerolake.session import checkpoint_table
-    df = spark.range(5).withColumnRenamed("id", "n")
-    out = checkpoint_table(df, "unit_ckpt")
-    assert sorted(r.n for r in out.collect()) == [0, 1, 2, 3, 4]
-    assert "Scan parquet" in _explain(out, "simple")
+    from aerolake.operators import FilterSpec, apply_filters
+    df = spark.createDataFrame([("2021-05-31 10:00:00",)], f"`{COLS.dep_planned}` string")
+    for start in (dt.datetime(2021, 5, 31), dt.datetime(2021, 5, 31, 23), dt.date(2021, 5, 31), "2021-05-31", "2021-05-31 00:00:00"):
+        assert apply_filters(df, FilterSpec(day_start=start)).count() == 1
+    for wrong in ("31/05/2021", "2021-05-31 soon", "2021"):
+        with pytest.raises(ValueError):
+            apply_filters(df, FilterSpec(day_start=wrong))

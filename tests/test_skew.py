@@ -21,7 +21,7 @@ def test_shuffle_join_fallback_equals_broadcast(spark):
     raw = skewed_raw(spark)
     airlines = testbed.airlines(spark, SF001)
     sel = [COLS.flight_number, COLS.airline]
-    broadcast = enrich_airline(raw, airlines, broadcast=True).select(*sel)
+    broadcast = enrich_airline(raw, airlines, broadcast=64 << 20).select(*sel)
     shuffled = enrich_airline(raw, airlines, broadcast=False).select(*sel)
     assert sorted(map(tuple, broadcast.collect())) == sorted(map(tuple, shuffled.collect()))
     hot = raw.where(F.col(f"`{COLS.airline_icao}`") == "1").count()

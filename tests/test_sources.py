@@ -129,17 +129,99 @@ def test_run_batch_csv_to_clean_parquet(spark, tmpdir_str):
     assert r[0]["Empresa Aérea"] == "Gol" and r[0][YEAR_PARTITION] == 2021
 
 
-def test_spark_fallbacks_for_listing_and_headers(spark, tmpdir_str):
-    from aerolake.sources.csv import file_header
-    from aerolake.sources.files import _spark_readable
-    _write(os.path.join(tmpdir_str, "x.csv"), "a;b\n1;2\n")
-    uri = "file://" + os.path.join(tmpdir_str, "x.csv")
-    assert spark.read.format("binaryFile").load("file://" + tmpdir_str + "/*.csv") \
-        .select("path").collect()[0].path.endswith("x.csv")
-    assert file_header(uri, ";", spark) == ["a", "b"]
-    assert not _spark_readable(spark, "file://" + os.path.join(tmpdir_str, "missing"))
+def test_paths_and_headers(spark, tmpdir_str):
+    from aerolake.sources.files import expand_glob, first_lines, is_committed, path_exists
+    os.makedirs(os.path.join(tmpdir_str, "2021"))
+    os.makedirs(os.path.join(tmpdir_str, "2022"))
+    long = ";".join(f"c{i}" for i in range(300_000))      # a header of over a megabyte
+    _write(os.path.join(tmpdir_str, "2021", "x.csv"), long + "\n1\n")
+    _write(os.path.join(tmpdir_str, "2022", "y.csv"), "\ufeffa;b\n1;2\n")
+    uri = "file://" + tmpdir_str
+    found = expand_glob(spark, uri + "/20*/*.csv")
+    assert [p.rsplit("/", 2)[1:] for p in found] == [["2021", "x.csv"], ["2022", "y.csv"]]
+    assert expand_glob(spark, os.path.join(tmpdir_str, "none*")) == []
+    assert first_lines(spark, found) == [long, "a;b"]
     spark.range(3).write.parquet(os.path.join(tmpdir_str, "t"))
-    assert _spark_readable(spark, "file://" + os.path.join(tmpdir_str, "t") + "/_SUCCESS")
+    assert is_committed(spark, uri + "/t") and is_committed(spark, os.path.join(tmpdir_str, "t"))
+    os.makedirs(os.path.join(tmpdir_str, "half"))
+    assert path_exists(spark, uri + "/half") and not is_committed(spark, uri + "/half")
+    assert not is_committed(spark, uri + "/missing")
+
+
+def test_half_written_table_is_built_again(spark, tmpdir_str):
+    from aerolake.plans import load_or_build
+    half = os.path.join(tmpdir_str, "half")
+    os.makedirs(half)
+    assert load_or_build(spark, half, lambda: "built") == "built"
+    with pytest.raises(FileNotFoundError):
+        load_or_build(spark, half)
+    spark.range(2).write.mode("overwrite").parquet(half)
+    assert load_or_build(spark, half, lambda: "built").count() == 2
+
+
+def test_csv_dialect(spark, tmpdir_str):
+    from aerolake.sources import export_csv, read_csv, read_flights_csv
+    path = os.path.join(tmpdir_str, "latin.csv")
+    with open(path, "wb") as fh:
+        fh.write("Número Voo;Situação Voo\n0042;\"x \"\"y\"\" z; é\"\n".encode("iso-8859-1"))
+    df = read_flights_csv(spark, path, encoding="ISO-8859-1")
+    assert df.columns == ["Número Voo", "Situação Voo"] and rows(df) == [("0042", 'x "y" z; é')]
+    with pytest.raises(Exception):                        # undecodable header
+        read_flights_csv(spark, path)
+    for ragged in ("a;b\n1;2\n3;4;5\n", "a;b\n1\n"):
+        _write(os.path.join(tmpdir_str, "ragged.csv"), ragged)
+        with pytest.raises(Exception):
+            read_flights_csv(spark, os.path.join(tmpdir_str, "ragged.csv")).collect()
+    assert rows(read_flights_csv(spark, os.path.join(tmpdir_str, "ragged.csv"), mode="PERMISSIVE")) == [("1", None)]
+    _write(os.path.join(tmpdir_str, "lines.csv"), 'a,b\n"one\ntwo",3\n')
+    assert rows(read_csv(spark, os.path.join(tmpdir_str, "lines.csv"), multi_line=True)) == [("one\ntwo", "3")]
+    export_csv(spark.createDataFrame([('he said "hi", twice', "a\\b")], "t string, u string").coalesce(1), os.path.join(tmpdir_str, "out"))
+    part = [f for f in os.listdir(os.path.join(tmpdir_str, "out")) if f.endswith(".csv")][0]
+    with open(os.path.join(tmpdir_str, "out", part), encoding="utf-8", newline="") as fh:
+        import csv
+        assert list(csv.reader(fh)) == [["t", "u"], ['he said "hi", twice', "a\\b"]]
+
+
+def test_common_type_of_every_numeric_pair(spark):
+    from pyspark.sql import types as T
+
+    from aerolake.sources import common_type
+    wide = {  # (narrow, wide) by what holds the values of both
+        ("byte", "short"): "short", ("byte", "int"): "int", ("byte", "long"): "long", ("short", "int"): "int",
+        ("short", "long"): "long", ("int", "long"): "long", ("byte", "float"): "float", ("short", "float"): "float",
+        ("int", "float"): "double", ("long", "float"): "double", ("byte", "double"): "double", ("short", "double"): "double",
+        ("int", "double"): "double", ("long", "double"): "double", ("float", "double"): "double",
+        ("byte", "dec"): T.DecimalType(12, 2), ("short", "dec"): T.DecimalType(12, 2), ("int", "dec"): T.DecimalType(12, 2),
+        ("long", "dec"): T.DecimalType(21, 2), ("float", "dec"): "double", ("double", "dec"): "double"}
+    kinds = {"byte": T.ByteType(), "short": T.ShortType(), "int": T.IntegerType(), "long": T.LongType(),
+             "float": T.FloatType(), "double": T.DoubleType(), "dec": T.DecimalType(12, 2)}
+    for a in kinds:
+        assert common_type([kinds[a], kinds[a]]) == kinds[a]
+        assert common_type([kinds[a], T.NullType()]) == kinds[a]
+        assert common_type([kinds[a], T.StringType()]) == T.StringType()
+    for (a, b), want in wide.items():
+        want = kinds.get(want, want) if isinstance(want, str) else want
+        assert common_type([kinds[a], kinds[b]]) == common_type([kinds[b], kinds[a]]) == want
+    assert common_type([T.DecimalType(10, 4), T.DecimalType(12, 2)]) == T.DecimalType(14, 4)
+
+
+def test_first_by_key_in_source_order_over_files(spark, tmpdir_str):
+    from aerolake.operators import first_by_key
+    _write(os.path.join(tmpdir_str, "a.json"), '{"k": "x", "v": "first"}\n')
+    _write(os.path.join(tmpdir_str, "b.json"), "".join('{"k": "x", "v": "second %d"}\n' % i for i in range(2000)))
+    df = spark.read.schema("k string, v string").json(os.path.join(tmpdir_str, "*.json"))
+    assert rows(first_by_key(df, "k")) == [("x", "first")]
+
+
+def test_write_clean_files_follow_the_data(spark, tmpdir_str):
+    from pyspark.sql import functions as F
+
+    from aerolake.sources import write_clean
+    day = F.expr(f"make_timestamp_ntz(2000 + cast(id % 4 as int), 1, 1, 0, 0, 0)")
+    df = spark.range(0, 4000, numPartitions=40).select(day.alias("Partida Prevista"), "id")
+    write_clean(df, os.path.join(tmpdir_str, "clean"))
+    files = [f for _, _, names in os.walk(os.path.join(tmpdir_str, "clean")) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 8 and spark.read.parquet(os.path.join(tmpdir_str, "clean")).count() == 4000
 
 
 def test_cli_run_builds_then_reports(spark, tmpdir_str):
