@@ -33,6 +33,9 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    # A run has few, large batches: stores are closed after each, or every
+    # partition's open store would hold preallocated files on its executor.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 
