@@ -2,7 +2,7 @@ import hashlib
 import random
 
 from aerolake.llm import decontaminate
-from conftest_words import words_of_letters
+from .plain_words import words_of_letters
 
 
 def expected(rows, items, n=10):

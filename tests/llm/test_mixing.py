@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from aerolake.llm import mixing
 from aerolake.llm.queries import MIX_WEIGHTS, domain_of, mix_sql
-from conftest_words import words_of_spaces
+from .plain_words import words_of_spaces
 
 
 def cases(seed=1):

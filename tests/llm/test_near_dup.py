@@ -1,7 +1,7 @@
 import numpy as np
 
 from aerolake.llm import graph, near_dup
-from conftest_words import words_of_spaces
+from .plain_words import words_of_spaces
 
 
 def expected(rows, n=5, threshold=0.8):
@@ -66,3 +66,19 @@ def test_components(spark):
     pairs = [(i, i + 1) for i in range(0, 60)] + [(100, 90), (90, 80), (7, 7), (80, 100)]
     got = {r.id: r.component for r in graph.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 80, 90: 80, 80: 80}
+
+
+def test_recall_on_pairs_at_the_threshold(spark, make_docs):
+    """Many pairs just above the threshold: all, or nearly all, are found."""
+    import random
+    rng = random.Random(9)
+    rows, pairs = [], 0
+    for i in range(0, 240, 2):
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(120)]
+        other = list(words)
+        for at in (rng.randrange(5, 50), rng.randrange(60, 115)):  # two edits change ten shingles at most
+            other[at] = f"x{rng.randrange(10 ** 6)}"
+        rows += [(i, " ".join(words)), (i + 1, " ".join(other))]
+    want = [r for r in expected(rows) if r[2]]
+    got = {tuple(r) for r in near_dup.jaccard_classes(make_docs(rows)).collect()}
+    assert len(want) > 200 and sum(r in got for r in want) >= 0.99 * len(want)

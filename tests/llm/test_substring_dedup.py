@@ -3,7 +3,7 @@ import random
 import pytest
 
 from aerolake.llm import substring_dedup
-from conftest_words import words_of_spaces
+from .plain_words import words_of_spaces
 
 
 def expected(rows, n=13):
