@@ -1,4 +1,4 @@
-"""The registered queries of the operators and the SQL that checks them."""
+"""The registered queries of the operators; ``sql`` has the SQL that checks them."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import (chat_format, decontaminate, exact_dedup, language_id, mixing, near_dup, quality, substring_dedup,
                token_file, url_filter)
 from .common import held_out, shared_dir
+from .sql import SQL, mix_sql  # noqa: F401
 
 # Fixed by the queries' contract.
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
@@ -103,60 +104,3 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_language_id": op10_language_id,
 }
-_DOMAIN_SQL = """(['web', 'news', 'books', 'forum'])[
-    coalesce(try_cast(regexp_extract(coalesce(source, ''), '[0-9]+') AS BIGINT), 0) % 4 + 1]"""
-_LANG_WEIGHT = "CASE lang WHEN 'en' THEN 5 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END"
-_DOMAIN_WEIGHT = "CASE domain WHEN 'web' THEN 4 WHEN 'news' THEN 3 WHEN 'books' THEN 2 ELSE 1 END"
-
-
-def _fill_sql(name: str, nodes: str, parent: list[str], node: str) -> str:
-    """Water-filling of one level: ``nodes`` has cap, weight and given."""
-    over = f"PARTITION BY {', '.join(parent)}" if parent else ""
-    return f"""
-    {name}_a AS (SELECT *, CAST(cap AS DOUBLE) * CAST(sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE)
-            <= CAST(given - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
-               * CAST(weight AS DOUBLE) AS filled
-        FROM {nodes} WINDOW o AS ({over} ORDER BY cap / weight, {node})),
-    {name}_b AS (SELECT *, given - sum(CASE WHEN filled THEN cap ELSE 0 END) OVER ({over}) AS rest,
-            CASE WHEN filled THEN 0 ELSE weight END AS ow FROM {name}_a),
-    {name}_c AS (SELECT *, sum(ow) OVER ({over}) AS all_w, sum(ow) OVER ({over} ORDER BY {node}) AS upto FROM {name}_b),
-    {name} AS (SELECT * EXCLUDE (rest, ow, all_w, upto, filled), CAST(CASE WHEN filled THEN cap ELSE
-            (CASE WHEN upto = all_w THEN rest ELSE floor(CAST(rest AS DOUBLE) * CAST(upto AS DOUBLE) / CAST(all_w AS DOUBLE)) END)
-          - (CASE WHEN upto - ow = all_w THEN rest
-                  ELSE floor(CAST(rest AS DOUBLE) * CAST(upto - ow AS DOUBLE) / CAST(all_w AS DOUBLE)) END)
-            END AS BIGINT) AS budget FROM {name}_c)"""
-
-
-def mix_sql(source: str, share: float, epochs: int) -> str:
-    """CTEs ending in ``mixed``: doc_id, leaf, n_tokens, copies of the documents in ``source``."""
-    return f"""
-    tagged AS (SELECT doc_id, {_DOMAIN_SQL} AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
-            CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens FROM {source}),
-    leaves AS (SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM tagged GROUP BY ALL),
-    total AS (SELECT least(CAST(floor(sum(tokens) * CAST({share} AS DOUBLE)) AS BIGINT), CAST(sum(tokens) AS BIGINT) * {epochs}) AS given
-        FROM leaves),
-    level1 AS (SELECT domain, CAST(sum(tokens) AS BIGINT) * {epochs} AS cap, {_DOMAIN_WEIGHT} AS weight, any_value(given) AS given
-        FROM leaves, total GROUP BY domain),{_fill_sql("fill1", "level1", [], "domain")},
-    level2 AS (SELECT l.domain, lang, CAST(sum(tokens) AS BIGINT) * {epochs} AS cap, {_LANG_WEIGHT} AS weight, any_value(budget) AS given
-        FROM leaves l JOIN fill1 f ON l.domain = f.domain GROUP BY l.domain, lang),{_fill_sql("fill2", "level2", ["domain"], "lang")},
-    level3 AS (SELECT l.domain, l.lang, source, tokens * {epochs} AS cap, 1 AS weight, budget AS given
-        FROM leaves l JOIN fill2 f ON l.domain = f.domain AND l.lang = f.lang),{_fill_sql("fill3", "level3", ["domain", "lang"], "source")},
-    spent AS (SELECT domain, lang, source, CASE WHEN cap = 0 THEN 0 ELSE budget // (cap // {epochs}) END AS whole,
-            CASE WHEN cap = 0 THEN 0 ELSE budget % (cap // {epochs}) END AS rest FROM fill3),
-    keyed AS (SELECT t.*, whole, rest, sha256('mix:' || whole || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key
-        FROM tagged t JOIN spent USING (domain, lang, source)),
-    ordered AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key, doc_id, n_tokens
-            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM keyed),
-    cuts AS (SELECT domain, lang, source, max(key) AS cut FROM ordered WHERE before < rest GROUP BY ALL),
-    mixed AS (SELECT doc_id, k.domain, k.lang, k.source, n_tokens,
-            CAST(whole + CASE WHEN key <= cut THEN 1 ELSE 0 END AS BIGINT) AS copies
-        FROM keyed k LEFT JOIN cuts c ON k.domain = c.domain AND k.lang = c.lang AND k.source = c.source)"""
-
-
-SQL: dict[str, str] = {
-    "op1_exact_dedup": """
-        WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS n FROM documents)
-        SELECT doc_id, min(doc_id) OVER (PARTITION BY n) AS keep_id, count(*) OVER (PARTITION BY n) AS group_size,
-               doc_id = min(doc_id) OVER (PARTITION BY n) AS kept, sha256(n) AS text_sha256 FROM t""",
-    "op3_mixing": "WITH " + mix_sql("documents", 0.6, 4) + " SELECT * FROM mixed",
-}
