@@ -9,6 +9,9 @@ ones (DST overlap) take the earlier instant.
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,6 +67,23 @@ def utc_to_local(instant: Column | str, zone: str = LOCAL_ZONE) -> Column:
 
 # Sizes of real-world clock changes (most zones 1 h; a few 30 min or 2 h).
 CLOCK_SHIFTS_MINUTES = (30, 60, 120)
+LAST_YEAR = 2100
+
+
+@lru_cache(maxsize=32)
+def clock_change_days(zone: str = LOCAL_ZONE) -> tuple[dt.date, ...]:
+    """The local days on which the clocks of ``zone`` change, from Spark's own
+    zone rules (the recurring ones up to ``LAST_YEAR``)."""
+    from pyspark.sql import SparkSession
+    rules = SparkSession.getActiveSession()._jvm.java.time.ZoneId.of(zone).getRules()
+    changes = list(rules.getTransitions())
+    while changes and (after := rules.nextTransition(changes[-1].getInstant())) is not None \
+            and after.getDateTimeBefore().getYear() <= LAST_YEAR:
+        changes.append(after)
+    days = {dt.date.fromisoformat(t.toLocalDate().toString())
+            for c in changes for t in (c.getDateTimeBefore(), c.getDateTimeAfter())}
+    # An overlap that ends at midnight lies on the day before.
+    return tuple(sorted(days | {d - dt.timedelta(days=1) for d in days}))
 
 
 def valid_local_time(ts: Column | str, zone: str = LOCAL_ZONE,
@@ -71,17 +91,21 @@ def valid_local_time(ts: Column | str, zone: str = LOCAL_ZONE,
     """False for a wall-clock time that does not exist (gap) or occurs twice
     (overlap) in ``zone``; null for null.
 
-    A gap time does not survive the round trip local → UTC → local. An
-    ambiguous time maps to its earlier instant ``u``; ``u`` plus the size of
-    the clock change shows the same wall clock again, which never happens
-    for an ordinary time.
+    Only times on a day of a clock change are looked at closely, the others are
+    told by a set of days. A gap time does not survive the round trip local →
+    UTC → local. An ambiguous time maps to its earlier instant ``u``; ``u`` plus
+    the size of the clock change shows the same wall clock again, which never
+    happens for an ordinary time.
     """
     t = _c(ts)
+    days = clock_change_days(zone)
+    if not days:
+        return F.when(t.isNotNull(), F.lit(True))
     u = local_instant(t, zone)
     ok = utc_to_local(u, zone) == t
     for m in shifts_minutes:
         ok = ok & (utc_to_local(u + F.expr(f"INTERVAL {int(m)} MINUTES"), zone) != t)
-    return ok
+    return ~F.to_date(t).isin(list(days)) | ok
 
 
 def delay_minutes(planned: Column | str, real: Column | str, zone: str = LOCAL_ZONE) -> Column:
