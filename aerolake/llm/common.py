@@ -33,7 +33,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir is not set")
         root = tempfile.mkdtemp(prefix="aerolake-llm-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    # With its file system's scheme, so that it means the same to every reader.
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return f"{fs.makeQualified(path).toString().rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -76,6 +79,14 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
             yield batch.slice(start)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let Spark hand Python workers batches of at most ``CHUNK_CHARS`` bytes: the
+    default of 64 MB, copied a few times, is much for documents."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key, "67108864b").rstrip("b")) > CHUNK_CHARS:
+        spark.conf.set(key, f"{CHUNK_CHARS}b")
+
+
 def schema(first: StructField, rest: str) -> StructType:
     """A schema of a given field, renamed or not, and fields in DDL."""
     return StructType([first, *StructType.fromDDL(rest).fields])
@@ -84,10 +95,13 @@ def schema(first: StructField, rest: str) -> StructType:
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType,
               text: str = "text") -> DataFrame:
     """``mapInArrow`` over slices of bounded text size."""
+    bound_batches(df.sparkSession)
+
     def run(batches):
         import pyarrow.compute  # noqa: F401  (pa.compute inside the worker)
         for chunk in text_chunks(batches, text):
             yield fn(chunk)
+            pa.default_memory_pool().release_unused()
     return df.mapInArrow(run, schema)
 
 

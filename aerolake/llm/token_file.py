@@ -27,6 +27,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_chunks
+from .common import bound_batches, text_chunks
 
 HEAD, HEAD_SIZE = "<4sIII", 16
 FOOT, FOOT_SIZE = "<QQQ4s", 28
@@ -42,8 +43,11 @@ BLOCK_IDS = 1 << 14
 NO_ID = -(1 << 63)
 # Ids held at once while reading back.
 _READ_IDS = 1 << 20
-# Distinct words whose ids a task remembers.
-_KNOWN = 1 << 19
+# Distinct runs whose ids a task remembers, and words encoded in one call.
+_KNOWN, _AT_ONCE = 1 << 18, 2000
+_MARK = "\x01"
+# ASCII punctuation but the apostrophe, which may start a contraction.
+_PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def bits_for(vocab_size: int) -> int:
@@ -62,6 +66,8 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
 
 def unpack(raw: bytes, bits: int, count: int) -> np.ndarray:
     """The first ``count`` ids of a packed block."""
+    if bits == 16:
+        return np.frombuffer(raw, "<u2", count).astype(np.uint32)
     words = np.concatenate([np.frombuffer(raw, "<u8"), np.zeros(1, np.uint64)])
     at = np.arange(count, dtype=np.uint64) * np.uint64(bits)
     slot, low = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
@@ -71,8 +77,10 @@ def unpack(raw: bytes, bits: int, count: int) -> np.ndarray:
 
 
 def open_store(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri) if "://" in uri else \
-        fs.FileSystem.from_uri("file://" + uri.removeprefix("file:"))
+    """The file system and path of a folder, as Spark names it."""
+    if "://" not in uri:
+        return fs.FileSystem.from_uri("file://" + uri.removeprefix("file:"))
+    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
 class ShardWriter:
@@ -180,50 +188,132 @@ class Shard:
         return out
 
 
+class _Numbers(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key):
+        n = self[key] = len(self)
+        return n
+
+
+class _Table:
+    """Growing lists of ids, numbered; entry 0 is empty."""
+
+    def __init__(self):
+        self.flat, self.first, self.size = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def add(self, flat: np.ndarray, size: np.ndarray) -> None:
+        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
+        self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
+
+    def get(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists one after the other, and their sizes."""
+        size = self.size[index]
+        ends = np.cumsum(size)
+        at = np.repeat(self.first[index] - ends + size, size) + np.arange(int(ends[-1]) if len(ends) else 0)
+        return self.flat[at], size
+
+
 class Encoder:
-    """Ids of texts, encoding every distinct whitespace-delimited run once.
+    """Ids of texts (UTF-8), with every distinct word encoded once.
 
-    Right for tokenizers that never join what white space parts.
+    Right for tokenizers that join neither what white space parts nor letters
+    and the punctuation after them. Texts fall into runs without white space; a
+    run of letters with ASCII punctuation behind is the two parts, any other run
+    is one part, encoded by the library as it stands. If the tokenizer makes no
+    difference between ASCII cases, upper and lower case share their entry.
     """
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
         self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
+        self.mark = self._whole(_MARK)
+        self.folds = all(self._whole(w) == self._whole(w.lower()) for w in (*map(chr, range(65, 91)), "WORD", "Word."))
+        # Only text that cannot hold a special token is folded.
+        self.specials = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model, self.direct = self.tokenizer.model, None
         self._forget()
 
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def _forget(self):
-        self.known: dict[bytes, int] = {}
-        self.flat, self.first, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.runs, self.parts = _Numbers(), _Numbers({b"": 0})
+        self.part_ids, self.run_ids = _Table(), _Table()
+        self.run_ids.add(np.array([self.end_id], np.uint32), np.ones(1, np.int64))
+        self.runs[b""], self.runs[b" "] = 0, 1  # 1 is the end of a document
+
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        """Each word's ids by the whole tokenizer: one text, with a mark after each word."""
+        if len(self.mark) == 1 and not any(_MARK in w for w in words):
+            ids = np.array(self._whole(f" {_MARK} ".join([*words, ""])), np.uint32)
+            marks = np.flatnonzero(ids == self.mark[0])
+            if len(marks) == len(words):
+                return [x[:-1].tolist() for x in np.split(ids, marks[:-1] + 1)]
+        return [self._whole(w) for w in words]
+
+    def _by_model(self, pieces: list[str]) -> list[list[int]]:
+        tokenize = self.model.tokenize
+        return [[t.id for t in tokenize(x)] for x in pieces]
+
+    def _by_steps(self, words: list[str]) -> list[list[int]]:
+        """The ids of words of letters, by the tokenizer's own normaliser, splitter
+        and model: much faster, as no positions in the text are kept."""
+        if self.tokenizer.normalizer is None or self.tokenizer.pre_tokenizer is None:
+            return self._encode(words)
+        text = self.tokenizer.normalizer.normalize_str(" ".join(words))
+        pieces = [x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+        return self._by_model(pieces) if len(pieces) == len(words) else self._encode(words)
+
+    def _learn_parts(self, fresh: list[bytes]) -> None:
+        lists: list = [None] * len(fresh)
+        plain, letters, rest = [], [], []
+        for i, x in enumerate(fresh):
+            (plain if x.isalpha() else letters if not x.isascii() and x.decode().isalpha() else rest).append(i)
+        if self.direct is None and plain:  # whether plain ASCII words reach the model as they are
+            some = [fresh[i].decode() for i in plain[:200]]
+            self.direct = self._encode(some) == self._by_model(some)
+        for numbers, encode in ((plain, self._by_model if self.direct else self._by_steps), (letters, self._by_steps),
+                                (rest, self._encode)):
+            for k in range(0, len(numbers), _AT_ONCE):
+                some = numbers[k:k + _AT_ONCE]
+                for i, ids in zip(some, encode([fresh[i].decode() for i in some])):
+                    lists[i] = ids
+        size = np.fromiter(map(len, lists), np.int64, len(lists))
+        self.part_ids.add(np.fromiter(chain.from_iterable(lists), np.uint32, int(size.sum())), size)
 
     def _learn(self, fresh: list[bytes]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)]
-        size = np.array([len(x) for x in found], np.int64)
-        flat = np.fromiter((i for x in found for i in x), np.uint32, int(size.sum()))
-        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
-        self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        part, heads, tails, before = self.parts.__getitem__, [], [], len(self.parts)
+        for run in fresh:
+            head = run.rstrip(_PUNCTUATION)
+            if head.isalpha() or not head.isascii() and head.decode().isalpha():
+                heads.append(part(head))
+                tails.append(part(run[len(head):]) if len(head) < len(run) else 0)
+            else:
+                heads.append(part(run))
+                tails.append(0)
+        if len(self.parts) > before:
+            self._learn_parts(list(self.parts)[before:])
+        flat, size = self.part_ids.get(np.array([heads, tails], np.int64).T.ravel())
+        self.run_ids.add(flat, size.reshape(-1, 2).sum(axis=1))
+
+    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, with the end id after each text, and ids per text."""
-        if len(self.known) > _KNOWN:
+        if len(self.runs) > _KNOWN:
             self._forget()
-        if not self.known:  # entry 0 stands for the end of a document
-            self.known[b" "] = 0
-            self.first, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)
-            self.flat = np.array([self.end_id], np.uint32)
-        known, before, index, runs = self.known, len(self.known), [], []
+        number, before, index, counts = self.runs.__getitem__, len(self.runs), [], []
         for text in texts:
-            words = text.encode().split() if text else []
-            index.extend([known.setdefault(w, len(known)) for w in words])
-            index.append(0)
-            runs.append(len(words) + 1)
-        if len(known) > before:
-            self._learn(list(known)[before:])
-        index = np.array(index, np.int64)
-        size = self.size[index]
-        ends = np.cumsum(size)
-        at = np.repeat(self.first[index] - ends + size, size) + np.arange(int(ends[-1]) if len(ends) else 0)
-        sizes = np.add.reduceat(size, np.cumsum([0, *runs[:-1]])) if runs else np.zeros(0, np.int64)
-        return self.flat[at], sizes
+            text = text or b""
+            low = text.lower()
+            words = (low if self.folds and not any(x in low for x in self.specials) else text).split()
+            index.extend(map(number, words))
+            index.append(1)
+            counts.append(len(words) + 1)
+        if len(self.runs) > before:
+            self._learn(list(self.runs)[before:])
+        flat, size = self.run_ids.get(np.array(index, np.int64))
+        sizes = np.add.reduceat(size, np.cumsum([0, *counts[:-1]])) if counts else np.zeros(0, np.int64)
+        return flat, sizes
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, vocab_size: int) -> DataFrame:
@@ -233,9 +323,10 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
     start (ids in the shards before). The manifest is written beside the files.
     """
     spark, bits = docs.sparkSession, bits_for(vocab_size)
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
     ordered = _by_id(ordered).sortWithinPartitions("doc_id", "text")
     shard_dir = f"{folder}/shards"
+    bound_batches(spark)
 
     def write(batches):
         import pyarrow.compute  # noqa: F401
