@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..columns import COLS, FlightColumns
-from ..session import MAX_BROADCAST_BYTES, lookup_side, lookup_sides, sizes
+from ..session import are_small, lookup_sides
 
 TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -32,29 +32,29 @@ def _scanned(df: DataFrame) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if df.rdd.getNumPartitions() == 1 else df
 
 
-def raw_flights(spark: SparkSession, sf_dir: str, cols: FlightColumns = COLS) -> DataFrame:
+def _sides(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The tables joined to ``lineitem``: orders, customers, suppliers, parts."""
+    return [
+        table(spark, sf_dir, "orders").select(
+            "o_orderkey", "o_custkey", "o_orderdate", (F.col("o_orderstatus") != "O").alias("o_closed")),
+        table(spark, sf_dir, "customer").select(
+            "c_custkey", "c_nationkey", F.upper(F.substring("c_mktsegment", 1, 2)).alias("c_reason")),
+        table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"),
+        table(spark, sf_dir, "part").select("p_partkey", F.substring("p_type", 1, 1).alias("p_line"))]
+
+
+def raw_flights(spark: SparkSession, sf_dir: str, cols: FlightColumns = COLS,
+                sides: list[DataFrame] | None = None) -> DataFrame:
+    """One raw flight per ``lineitem`` row. Every side is broadcast only while its
+    measured bytes are small (``sides``: already measured)."""
     li = _scanned(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_returnflag", "l_linestatus"))
-    # Join order is written by hand (no CBO): orders meet customer first, so the
-    # lineitem-sized intermediate is shuffled once per remaining key at most.
-    # Each side is broadcast only while its measured bytes are small; orders with
-    # its customers is measured as joined, if orders alone is small.
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    sides = [
-        table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.substring("c_mktsegment", 1, 2).alias("c_segment")),
-        table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"),
-        table(spark, sf_dir, "part").select("p_partkey", F.substring("p_type", 1, 1).alias("p_line"))]
-    measured = sizes([orders, *sides])
-    small = measured[0] <= MAX_BROADCAST_BYTES
-    customer, supplier, part = lookup_sides(sides, measured=measured[1:])
-    oc = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
-        "o_orderkey", "o_orderdate", "c_nationkey",
-        F.when(F.col("o_orderstatus") != "O", F.upper("c_segment")).alias("reason"))
-    oc = lookup_side(oc) if small else oc
-    j = (li.join(oc, li.l_orderkey == oc.o_orderkey)
-           .join(supplier, li.l_suppkey == supplier.s_suppkey)
-           .join(part, li.l_partkey == part.p_partkey))
+    orders, customer, supplier, part = sides or lookup_sides(_sides(spark, sf_dir))
+    j = (li.join(orders, li.l_orderkey == F.col("o_orderkey"))
+           .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+           .join(supplier, li.l_suppkey == F.col("s_suppkey"))
+           .join(part, li.l_partkey == F.col("p_partkey")))
 
     dep = F.timestamp_add("HOUR", F.pmod(F.col("l_partkey"), F.lit(24)).cast("int"), F.col("o_orderdate"))
     shift = F.floor(F.col("l_quantity") * 3 - 30).cast("int")
@@ -74,7 +74,7 @@ def raw_flights(spark: SparkSession, sf_dir: str, cols: FlightColumns = COLS) ->
         F.date_format(F.timestamp_add("HOUR", two_h, dep), TEXT_FORMAT).alias(cols.arr_planned),
         F.date_format(F.timestamp_add("HOUR", two_h, real), TEXT_FORMAT).alias(cols.arr_real),
         F.when(F.col("l_returnflag") == "R", "CANCELADO").otherwise("REALIZADO").alias(cols.situation),
-        F.col("reason").alias(cols.reason_code),
+        F.when(F.col("o_closed"), F.col("c_reason")).alias(cols.reason_code),
     )
 
 
@@ -115,6 +115,9 @@ def events_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_flights(spark: SparkSession, sf_dir: str, parse_times: bool = True) -> DataFrame:
-    """The clean flights, built from the given tables."""
+    """The clean flights, built from the given tables; all lookups are measured in one job."""
     from .transform import transform
-    return transform(raw_flights(spark, sf_dir), airports(spark, sf_dir), airlines(spark, sf_dir), parse_times=parse_times)
+    sides = [*_sides(spark, sf_dir), airports(spark, sf_dir), airlines(spark, sf_dir)]
+    small = are_small(sides)
+    raw = raw_flights(spark, sf_dir, sides=[F.broadcast(df) if ok else df for df, ok in zip(sides[:4], small)])
+    return transform(raw, *sides[4:], parse_times=parse_times, broadcast=tuple(small[4:]))

@@ -17,28 +17,30 @@ from ..sources.sinks import write_clean
 
 
 def map_rows(flights: DataFrame, airports: DataFrame, airlines: DataFrame,
-             cols: FlightColumns = COLS, dedupe_lookups: bool = True) -> DataFrame:
+             cols: FlightColumns = COLS, dedupe_lookups: bool = True,
+             broadcast: tuple = (None, None)) -> DataFrame:
     """Airport enrich (+ known/non-heliport endpoints, size decode), code
     decodes, airline enrich."""
     return (flights
-            .transform(lambda d: enrich_airports(d, airports, cols, dedupe=dedupe_lookups))
+            .transform(lambda d: enrich_airports(d, airports, cols, broadcast=broadcast[0], dedupe=dedupe_lookups))
             .transform(lambda d: decode_codes(d, cols))
-            .transform(lambda d: enrich_airline(d, airlines, cols, dedupe=dedupe_lookups)))
+            .transform(lambda d: enrich_airline(d, airlines, cols, broadcast=broadcast[1], dedupe=dedupe_lookups)))
 
 
 def transform(flights: DataFrame, airports: DataFrame, airlines: DataFrame,
               cols: FlightColumns = COLS, zone: str = LOCAL_ZONE,
               strict_times: bool = False, parse_times: bool = True,
-              dedupe_lookups: bool = True) -> DataFrame:
+              dedupe_lookups: bool = True, broadcast: tuple = (None, None)) -> DataFrame:
     """Raw flights → clean flights (the 24-column table).
 
     Steps are written in the original order; Catalyst pushes the status and
     not-null predicates to the scan and the country / type predicates into
     the (broadcast) airport side, and turns the left joins into inner joins.
-    ``parse_times=False`` stops before the time parsing (times stay text).
+    ``broadcast`` says for airports and airlines how they are joined
+    (``session.lookup_side``). ``parse_times=False`` stops before the time parsing (times stay text).
     """
     out = (flights
-           .transform(lambda d: map_rows(d, airports, airlines, cols, dedupe_lookups))
+           .transform(lambda d: map_rows(d, airports, airlines, cols, dedupe_lookups, broadcast))
            .transform(lambda d: remove_invalid_flights(d, cols))
            .transform(lambda d: late_flag(d, cols))
            .transform(drop_unused))

@@ -86,8 +86,7 @@ def sizes(frames: Sequence[DataFrame]) -> list[int | None]:
     return [found[k] for k in range(len(frames))]
 
 
-def lookup_sides(frames: Sequence[DataFrame], limit: int = MAX_BROADCAST_BYTES,
-                 measured: Sequence[int | None] | None = None) -> list[DataFrame]:
+def lookup_sides(frames: Sequence[DataFrame], limit: int = MAX_BROADCAST_BYTES) -> list[DataFrame]:
     """How lookups join the fact table: broadcast while the measured bytes stay
     within ``limit``, else a shuffle join.
 
@@ -95,14 +94,19 @@ def lookup_sides(frames: Sequence[DataFrame], limit: int = MAX_BROADCAST_BYTES,
     multiplies join inputs and can miss a 25-row table, and adaptive execution
     would switch only after the fact table was already shuffled.
     """
-    return [F.broadcast(df) if size is not None and size <= limit else df
-            for df, size in zip(frames, sizes(frames) if measured is None else measured)]
+    return [F.broadcast(df) if small else df for df, small in zip(frames, are_small(frames, limit))]
+
+
+def are_small(frames: Sequence[DataFrame], limit: int = MAX_BROADCAST_BYTES) -> list[bool]:
+    return [size is not None and size <= limit for size in sizes(frames)]
 
 
 def lookup_side(df: DataFrame, broadcast: bool | int | None = None) -> DataFrame:
     """One lookup: ``None`` measures it against ``MAX_BROADCAST_BYTES``, an ``int``
-    against that many bytes; ``False`` leaves the choice to Spark's thresholds."""
+    against that many bytes; ``True`` is for a caller who has measured it, and
+    ``False`` leaves the choice to Spark's thresholds."""
+    if broadcast is True:
+        return F.broadcast(df)
     if broadcast is False:
         return df
-    limit = MAX_BROADCAST_BYTES if broadcast is None or broadcast is True else int(broadcast)
-    return lookup_sides([df], limit)[0]
+    return lookup_sides([df], MAX_BROADCAST_BYTES if broadcast is None else int(broadcast))[0]
