@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import materialize, schema, text_chunks
+from .common import bound_batches, materialize, schema, text_chunks
 
 ROLES = ("system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -163,6 +163,7 @@ def repair_chats(turns: DataFrame, chunk_turns: int = CHUNK_TURNS) -> DataFrame:
     input turn and per inserted turn; pieces concatenate by ``chunk, seq``."""
     rows = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct()
+    bound_batches(turns.sparkSession)
     # Null turn numbers sort behind the largest possible chunk.
     rows = rows.withColumn("chunk", F.coalesce(F.floor(F.col("turn") / chunk_turns), F.lit((1 << 62) // chunk_turns)).cast("long"))
     spans = rows.groupBy("conv_id").agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi")).where("lo < hi")

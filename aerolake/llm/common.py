@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import tempfile
 import uuid
@@ -92,6 +93,15 @@ def schema(first: StructField, rest: str) -> StructType:
     return StructType([first, *StructType.fromDDL(rest).fields])
 
 
+def release() -> None:
+    """Give the memory that a finished slice left free back to the system: Python
+    workers live on between tasks and would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType,
               text: str = "text") -> DataFrame:
     """``mapInArrow`` over slices of bounded text size."""
@@ -101,7 +111,7 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
         import pyarrow.compute  # noqa: F401  (pa.compute inside the worker)
         for chunk in text_chunks(batches, text):
             yield fn(chunk)
-            pa.default_memory_pool().release_unused()
+            release()
     return df.mapInArrow(run, schema)
 
 

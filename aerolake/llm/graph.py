@@ -13,10 +13,10 @@ def _larger_first(pairs: DataFrame) -> DataFrame:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Every node's larger neighbours hang on the smallest node around it."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return _larger_first(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+    """Every node's larger neighbours hang on its smallest neighbour, if that is
+    smaller than the node; else they stay. (Edges run from larger to smaller.)"""
+    least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "b")
+    return _larger_first(edges.join(least, "b", "left").select("a", F.coalesce("m", "b").alias("b")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, held_out, sampled, schema, ship
+from .common import arrow_map, bound_batches, held_out, release, sampled, schema, ship
 
 UNDETERMINED = "und"
 _START = "▁"  # the vocabulary's mark of a word start
@@ -218,6 +218,7 @@ def fit(docs: DataFrame, vocab_path: str, train_docs: int = 4000) -> Model:
     """
     known = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    bound_batches(docs.sparkSession)
     sizes = {r[0]: r[1] for r in known.groupBy("lang").count().collect()}
     each = max(1, train_docs // max(1, len(sizes)))
     pick = F.lit(False)
@@ -232,6 +233,7 @@ def fit(docs: DataFrame, vocab_path: str, train_docs: int = 4000) -> Model:
             yield pa.record_batch([pa.array([k[0] for k in bag], pa.string()),
                                    pa.array([k[1] for k in bag], pa.binary()),
                                    pa.array(bag.values(), pa.int64())], names=["lang", "word", "n"])
+            release()
 
     counts = (known.where(pick).select("text", "lang").mapInArrow(count, "lang string, word binary, n bigint")
               .groupBy("lang", "word").agg(F.sum("n").alias("n")))
@@ -240,14 +242,16 @@ def fit(docs: DataFrame, vocab_path: str, train_docs: int = 4000) -> Model:
     return Model.fit(vocabulary(vocab_path), order, sizes)
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, lang_pred, score`` of every row; ``doc_id`` may be of any type."""
+def identify(docs: DataFrame, model: Model, with_text: bool = False) -> DataFrame:
+    """``doc_id, lang_pred, score`` of every row, and its ``text`` if asked for;
+    ``doc_id`` may be of any type."""
     tables = ship(docs.sparkSession, model)
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
         langs, posts = tables().predict(batch.column(1).to_pylist())
-        return pa.record_batch([batch.column(0), pa.array(langs, pa.string()), pa.array(posts, pa.float64())],
-                               names=["doc_id", "lang_pred", "score"])
+        return pa.record_batch([*(batch.columns if with_text else batch.columns[:1]), pa.array(langs, pa.string()),
+                                pa.array(posts, pa.float64())],
+                               names=["doc_id", *(["text"] if with_text else []), "lang_pred", "score"])
 
     return arrow_map(docs.select("doc_id", F.col("text").cast("string").alias("text")), score,
-                     schema(docs.schema["doc_id"], "lang_pred string, score double"))
+                     schema(docs.schema["doc_id"], ("text string, " if with_text else "") + "lang_pred string, score double"))

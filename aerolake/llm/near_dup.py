@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, broadcast_if_small, materialize, schema, text_chunks
+from .common import arrow_map, bound_batches, broadcast_if_small, materialize, release, schema, text_chunks
 from .graph import components
 
 TREES, DEPTH, RECALL = 28, 8, 0.9995
@@ -156,6 +156,7 @@ def verify_tile(left: list[tuple[int, str]], right: list[tuple[int, str]] | None
 
 def _verify(candidates: DataFrame, threshold: float, n: int) -> DataFrame:
     """``doc_id, links, root, tiles`` from ``doc_id, component, size, text``."""
+    bound_batches(candidates.sparkSession)
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     tiles = candidates.withColumn("tiles", blocks).withColumn(
         "block", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int"))
@@ -191,6 +192,8 @@ def _verify(candidates: DataFrame, threshold: float, n: int) -> DataFrame:
                 yield flush()
         if rows:
             close()
+            rows = []
+        release()
         if out:
             yield flush()
 

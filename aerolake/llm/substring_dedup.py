@@ -38,7 +38,7 @@ NO_ID = (1 << 63) - 1
 # An anchor in this share of a sample of about SAMPLE_DOCS documents is frequent.
 FREQUENT, SAMPLE_DOCS = 0.01, 20_000
 _ODD, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_KNOWN = 1 << 19
+_KNOWN = 1 << 18
 _OWN, _REPEAT, _SPREAD = 0, 1, 2
 
 

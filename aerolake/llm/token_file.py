@@ -35,7 +35,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bound_batches, text_chunks
+from .common import bound_batches, release, text_chunks
 
 HEAD, HEAD_SIZE = "<4sIII", 16
 FOOT, FOOT_SIZE = "<QQQ4s", 28
@@ -45,6 +45,8 @@ NO_ID = -(1 << 63)
 _READ_IDS = 1 << 20
 # Distinct runs whose ids a task remembers, and words encoded in one call.
 _KNOWN, _AT_ONCE = 1 << 18, 2000
+# Bytes of text encoded in one numpy step.
+_SLICE = 1 << 20
 _MARK = "\x01"
 # ASCII punctuation but the apostrophe, which may start a contraction.
 _PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -332,13 +334,15 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
         import pyarrow.compute  # noqa: F401
         from pyspark import TaskContext
         encoder, writer = None, None
-        for chunk in text_chunks(batches):
+        for chunk in text_chunks(batches, limit=_SLICE):
             if writer is None:
                 encoder, writer = Encoder(tokenizer_path, end_id), ShardWriter(shard_dir, bits)
             docs = chunk.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
             writer.add(docs, *encoder.encode(chunk.column(1).to_pylist()))
         if writer is not None:
             name, n_docs, n_ids = writer.close()
+            encoder = writer = None
+            release()
             yield pa.record_batch([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([name]),
                                    pa.array([n_docs], pa.int64()), pa.array([n_ids], pa.int64())],
                                   names=["shard", "file", "n_docs", "n_ids"])
