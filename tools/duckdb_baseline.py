@@ -21,7 +21,7 @@ from compare_oracle import TABLES  # noqa: E402
 
 def main() -> None:
     import duckdb
-    from __spark_entry__ import oracle_sql
+    from sql_oracle import oracle_sql
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     reps = int(sys.argv[2]) if len(sys.argv) > 2 else 3
@@ -33,12 +33,11 @@ def main() -> None:
     out = {}
     for name, sql in oracle_sql().items():
         ts = []
-        for _ in range(reps + 1):
+        for _ in range(max(1, reps)):
             con.execute("DROP TABLE IF EXISTS answer")
             t0 = time.perf_counter()
             con.execute(f"CREATE TEMP TABLE answer AS {sql}")
             ts.append(time.perf_counter() - t0)
-        ts = ts[1:]
         out[name] = round(statistics.median(ts), 3)
     print(json.dumps({"engine": "duckdb " + duckdb.__version__, "threads": con.execute(
         "SELECT current_setting('threads')").fetchone()[0], "sf_dir": sf_dir,
