@@ -177,8 +177,8 @@ def repair_chats(turns: DataFrame, chunk_turns: int = CHUNK_TURNS) -> DataFrame:
                                   names=["conv_id", "chunk", "costs"])
 
     order = [F.col(c).asc_nulls_last() for c in ("conv_id", "chunk", "turn", "role", "text")]
-    long = rows.join(spans.select("conv_id"), "conv_id", "left_semi").select("conv_id", "chunk", "turn", "role", "text")
-    chunks = (long.repartition("conv_id", "chunk").sortWithinPartitions(*order).select("conv_id", "chunk", "turn", "role")
+    long = rows.join(spans.select(F.col("conv_id").alias("long_id")), F.col("conv_id").eqNullSafe(F.col("long_id")), "left_semi")
+    chunks = (long.select("conv_id", "chunk", "turn", "role", "text").repartition("conv_id", "chunk").sortWithinPartitions(*order).select("conv_id", "chunk", "turn", "role")
               .mapInArrow(sum_up, schema(conv_id, "chunk bigint, costs array<double>")))
     borders = _borders(materialize(chunks, "chat-chunks"))
 

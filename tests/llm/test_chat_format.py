@@ -97,5 +97,21 @@ def test_chunks_repair_like_the_whole(spark):
                 assert text.count(t) >= 1
 
 
+def test_null_conversation_of_several_chunks(spark):
+    rng = random.Random(6)
+    roles = [rng.choice(["user", "assistant", "system", "tool"]) for _ in range(50)]
+    rows = [(None, t, r, f"t{t}", "x") for t, r in enumerate(roles)] + [(None, None, "user", "no number", "x")]
+    rows += [(1, t, r, text, c) for _, t, r, text, c in rows]
+    df = spark.createDataFrame(rows, TURNS).repartition(4)
+    cost = {r[0]: r[1] for r in cf.repair_chats(df, chunk_turns=8).groupBy("conv_id").sum("cost").collect()}
+    least = sum(cost for *_, cost in cf.repair([*roles, "user"]))
+    assert cost == {None: least, 1: least}
+    got = rendered(cf.repair_chats(df, chunk_turns=8))
+    assert got[None] == got[1]
+    # One null turn beside numbered ones, in chunks of the default size.
+    few = spark.createDataFrame([(None, 0, "user", "a", "x"), (None, None, "assistant", "b", "x")], TURNS)
+    assert rendered(cf.repair_chats(few)) == {None: "<|user|>\na<|end|>\n<|assistant|>\nb<|end|>\n"}
+
+
 def test_empty(spark):
     assert cf.repair_chats(spark.createDataFrame([], TURNS)).collect() == []
