@@ -113,5 +113,26 @@ def test_null_conversation_of_several_chunks(spark):
     assert rendered(cf.repair_chats(few)) == {None: "<|user|>\na<|end|>\n<|assistant|>\nb<|end|>\n"}
 
 
+@pytest.mark.parametrize("number", [lambda i: i % 8, lambda i: None, lambda i: 10 ** 6 * i])
+def test_chunks_are_cut_by_place(spark, number):
+    """Repeated, null or far numbers: no chunk has more turns than the bound, and the
+    chunks, joined up in levels, cost what the whole does."""
+    rng = random.Random(8)
+    rows = [(conv, number(i), rng.choice(["user", "assistant", "system", "tool"]), f"t{i:03}", "x")
+            for conv, n in ((None, 300), (1, 140), (2, 5)) for i in range(n)]
+    df = spark.createDataFrame(rows + rows[:9], TURNS).repartition(4)
+    got = sorted(cf.repair_chats(df, chunk_turns=8, fan=3).collect(), key=lambda r: (str(r.conv_id), r.chunk, r.seq))
+    for conv in (None, 1, 2):
+        mine = [r for r in got if r.conv_id == conv]
+        ordered = sorted((t if t is not None else 10 ** 9, r, x) for c, t, r, x, _ in rows if c == conv)
+        places = [r.chunk for r in mine if r.role_in is not None]
+        assert places == [i // 8 for i in range(len(ordered))]
+        assert [r.role_in for r in mine if r.role_in is not None] == [r for _, r, _ in ordered]
+        assert sum(r.cost for r in mine) == sum(cost for *_, cost in cf.repair([r for _, r, _ in ordered]))
+        text = "".join(r.piece for r in mine)
+        roles = [cf.ROLES.index(p.split("|>")[0]) + 1 for p in text.split("<|")[1:] if not p.startswith("end")]
+        assert legal(roles) and text.endswith("<|end|>\n") and text.count("<|end|>") == len(roles)
+
+
 def test_empty(spark):
     assert cf.repair_chats(spark.createDataFrame([], TURNS)).collect() == []
