@@ -14,8 +14,9 @@ most two blocks of ``BLOCK`` sets, and a large group is many tiles.
 
 Defined cases: texts that are null or have no word have no set, link to nothing
 and are a class of their own each; repeated rows are copies; an id must not name
-different texts; a null id is skipped as a class name where there is another;
-other columns are ignored.
+different texts; rows with a null id are copies and links like any other, but
+their id is skipped as a class name where there is another, and a class without
+any id has a null name; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, bound_batches, broadcast_if_small, materialize, release, schema, text_chunks
@@ -89,7 +90,8 @@ def labels(flat: np.ndarray, ends: np.ndarray, trees: int = TREES, depth: int =
 
 
 def signatures(docs: DataFrame, n: int = 5) -> DataFrame:
-    """``doc_id, digest, labels``: a digest of the shingle set and its label in every tree."""
+    """``doc_id, digest, labels, spare``: a digest of the shingle set and its label in
+    every tree; ``spare`` stands for the missing id of a row without one."""
 
     def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
         flat, ends = shingles(batch.column(1).to_pylist(), n)
@@ -101,11 +103,16 @@ def signatures(docs: DataFrame, n: int = 5) -> DataFrame:
             for i, rows in zip(full.tolist(), labels(flat, ends[full])):
                 digests[i] = hashlib.md5(flat[starts[i]:ends[i]].tobytes()).digest()
                 marks[i] = [row.tobytes() for row in rows]
-        return pa.record_batch([batch.column(0), pa.array(digests, pa.binary()), pa.array(marks, pa.list_(pa.binary()))],
-                               names=["doc_id", "digest", "labels"])
+        return pa.record_batch([batch.column(0), pa.array(digests, pa.binary()), pa.array(marks, pa.list_(pa.binary())), batch.column(2)],
+                               names=["doc_id", "digest", "labels", "spare"])
 
-    return arrow_map(docs.select("doc_id", F.col("text").cast("string").alias("text")), sign,
-                     schema(docs.schema["doc_id"], "digest binary, labels array<binary>"))
+    text = F.col("text").cast("string")
+    return arrow_map(docs.select("doc_id", text.alias("text"), _spare(text).alias("spare")), sign,
+                     schema(docs.schema["doc_id"], "digest binary, labels array<binary>, spare string"))
+
+
+def _spare(text: Column) -> Column:
+    return F.when(F.col("doc_id").isNull(), F.sha2(text, 256))
 
 
 def verify_tile(left: list[tuple[int, str]], right: list[tuple[int, str]] | None, threshold: float, n: int):
@@ -155,15 +162,15 @@ def verify_tile(left: list[tuple[int, str]], right: list[tuple[int, str]] | None
 
 
 def _verify(candidates: DataFrame, threshold: float, n: int) -> DataFrame:
-    """``doc_id, links, root, tiles`` from ``doc_id, component, size, text``."""
+    """``node, links, root, tiles`` from ``node, component, size, text``."""
     bound_batches(candidates.sparkSession)
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     tiles = candidates.withColumn("tiles", blocks).withColumn(
-        "block", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int"))
+        "block", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     tiles = tiles.select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                         "block", "tiles", "doc_id", "text").repartition("component", "i", "j") \
-        .sortWithinPartitions("component", "i", "j", "block", "doc_id")
+                         "block", "tiles", "node", "text").repartition("component", "i", "j") \
+        .sortWithinPartitions("component", "i", "j", "block", "node")
 
     def run(batches):
         import pyarrow.compute  # noqa: F401
@@ -175,7 +182,7 @@ def _verify(candidates: DataFrame, threshold: float, n: int) -> DataFrame:
             out.extend((*r, parts) for r in verify_tile(left, right, threshold, n))
 
         def flush():
-            names = ["doc_id", "links", "root", "tiles"]
+            names = ["node", "links", "root", "tiles"]
             batch = pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
             out.clear()
             return batch
@@ -197,7 +204,7 @@ def _verify(candidates: DataFrame, threshold: float, n: int) -> DataFrame:
         if out:
             yield flush()
 
-    return tiles.mapInArrow(run, "doc_id bigint, links bigint, root bigint, tiles bigint")
+    return tiles.mapInArrow(run, "node bigint, links bigint, root bigint, tiles bigint")
 
 
 def jaccard_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5) -> DataFrame:
@@ -209,27 +216,38 @@ def jaccard_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5) -> Data
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = materialize(signatures(docs, n), "signatures")
+    # Sets are numbered, so that those of documents without id take part.
     sets = signed.where("digest is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"), F.first("labels").alias("labels"))
-    sets = materialize(sets, "sets")
+        F.min("doc_id").alias("rep"), F.min("spare").alias("spare"), F.count("*").alias("n_copies"), F.first("labels").alias("labels"))
+    sets = materialize(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
     depth = prefix_length(threshold)
-    nodes = sets.where("rep is not null").select("rep", F.posexplode("labels").alias("tree", "label")) \
-        .select("rep", "tree", F.substring("label", 1, 2 * depth).alias("prefix"))
-    hubs = nodes.groupBy("tree", "prefix").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    stars = nodes.join(hubs.select("tree", "prefix", "hub"), ["tree", "prefix"]).where("rep <> hub")
-    groups = materialize(components(stars.select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct())
-                         .select(F.col("id").alias("doc_id"), "component"), "candidates")
+    nodes = sets.select("node", F.posexplode("labels").alias("tree", "label")) \
+        .select("node", "tree", F.substring("label", 1, 2 * depth).alias("prefix"))
+    hubs = nodes.groupBy("tree", "prefix").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
+    stars = nodes.join(hubs.select("tree", "prefix", "hub"), ["tree", "prefix"]).where("node <> hub")
+    groups = materialize(components(stars.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
+                         .select(F.col("id").alias("node"), "component"), "candidates")
     sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
-    members = materialize(groups.join(sizes, "component"), "candidates")
-    found = materialize(_verify(docs.join(broadcast_if_small(members), "doc_id"), threshold, n), "links")
-    links = found.groupBy("doc_id").agg(F.sum("links").alias("n_links"), F.min("root").alias("root"),
-                                        F.max("tiles").alias("tiles"))
+    members = materialize(groups.join(sizes, "component").join(sets.select("node", "rep", "spare"), "node"), "candidates")
+    with_id = members.where("rep is not null").select("node", "component", "size", F.col("rep").alias("doc_id"))
+    texts = docs.join(broadcast_if_small(with_id), "doc_id").select("node", "component", "size", "text")
+    without = members.where("rep is null").select("node", "component", "size", "spare")
+    if not without.isEmpty():
+        # Copies of a text are one before they meet.
+        spares = docs.where("doc_id is null").withColumn("spare", _spare(F.col("text"))).join(broadcast_if_small(without), "spare")
+        texts = texts.unionByName(spares.groupBy("node", "component", "size").agg(F.min("text").alias("text")))
+    found = materialize(_verify(texts, threshold, n), "links")
+    links = found.groupBy("node").agg(F.sum("links").alias("n_links"), F.min("root").alias("root"),
+                                      F.max("tiles").alias("tiles"))
     # Links inside one tile are complete there; groups of several tiles are joined up.
     spread = found.where("tiles > 1")
-    joined = components(spread.select(F.col("doc_id").alias("a"), F.col("root").alias("b")))
-    links = links.join(joined.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        F.col("doc_id").alias("rep"), "n_links", F.coalesce("component", "root").alias("class_id"))
-    named = sets.select("digest", "rep", "n_copies").join(links, "rep", "left").select(
+    joined = components(spread.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    links = links.join(joined.withColumnRenamed("id", "node"), "node", "left").join(sets.select("node", "rep"), "node").select(
+        "node", "rep", "n_links", F.coalesce("component", "root").alias("class"))
+    links = materialize(links, "links")
+    names = links.groupBy("class").agg(F.min("rep").alias("class_id"))
+    links = links.join(names, "class").select("node", "n_links", "class_id")
+    named = sets.select("digest", "node", "rep", "n_copies").join(links, "node", "left").select(
         "digest", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
     return signed.select("doc_id", "digest").join(named, "digest", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),

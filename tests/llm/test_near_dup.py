@@ -43,6 +43,20 @@ def test_large_group_over_many_tiles(make_docs, tricky, monkeypatch):
     assert sorted(map(tuple, got), key=str) == expected(rows)
 
 
+def test_rows_without_id_link_like_others(make_docs, monkeypatch):
+    """The links and class sizes of a table whose ids are then taken away from some rows."""
+    words = [f"w{i}" for i in range(60)]
+    near = lambda at, word="x": " ".join([*words[:at], word, *words[at + 1:]])
+    other = " ".join(f"v{i}" for i in range(40))
+    rows = [(5, near(0)), (None, near(1)), (None, near(1)), (7, near(2)), (None, near(59)),
+            (None, other), (None, other + " more"), (None, "alone one two three"), (None, None), (8, "all by itself")]
+    want = [(5, 5, 3, 1), (None, 5, 3, 2), (None, 5, 3, 2), (7, 5, 3, 1), (None, 5, 3, 1),
+            (None, None, 1, 1), (None, None, 1, 1), (None, None, 0, 1), (None, None, 0, 1), (8, 8, 0, 1)]
+    assert sorted(map(tuple, near_dup.jaccard_classes(make_docs(rows)).collect()), key=str) == sorted(want, key=str)
+    monkeypatch.setattr(near_dup, "BLOCK", 2)
+    assert sorted(map(tuple, near_dup.jaccard_classes(make_docs(rows)).collect()), key=str) == sorted(want, key=str)
+
+
 def test_lonely_and_empty_tables(make_docs):
     assert near_dup.jaccard_classes(make_docs([])).collect() == []
     assert [tuple(r) for r in near_dup.jaccard_classes(make_docs([(3, "one two")])).collect()] == [(3, 3, 0, 1)]
