@@ -103,13 +103,13 @@ def release() -> None:
 
 
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType,
-              text: str = "text") -> DataFrame:
+              text: str = "text", limit: int = CHUNK_CHARS) -> DataFrame:
     """``mapInArrow`` over slices of bounded text size."""
     bound_batches(df.sparkSession)
 
     def run(batches):
         import pyarrow.compute  # noqa: F401  (pa.compute inside the worker)
-        for chunk in text_chunks(batches, text):
+        for chunk in text_chunks(batches, text, limit):
             yield fn(chunk)
             release()
     return df.mapInArrow(run, schema)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, decontaminate, exact_dedup, language_id, mixing, near_dup, quality, substring_dedup,
-               token_file, url_filter)
+from . import (chat_format, decontaminate, exact_dedup, language_id, mixing, near_dup, periodic, quality,
+               substring_dedup, token_file, url_filter)
 from .common import held_out, shared_dir
 from .sql import SQL, mix_sql  # noqa: F401
 
@@ -92,6 +92,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest run (ties: smallest start, then period) and digests of all."""
+    docs = table(spark, sf_dir, "documents")
+    found = periodic.periodic_runs(docs.select("doc_id", periodic.planted(F.col("doc_id"), F.col("text")).alias("text")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("best", best)
+    length, period = F.col("best.length"), -F.col("best.col3")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.col2")).alias("start"), length.alias("length"),
+        period.alias("period"), F.floor(length * 1000 / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -103,4 +117,5 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_decontaminate": op9_decontaminate,
     "op10_language_id": op10_language_id,
+    "op11_periodic_runs": op11_periodic_runs,
 }

@@ -151,6 +151,35 @@ URLS = f"""
            WHEN blocked THEN 'block' ELSE 'allow' END AS verdict
     FROM ruled JOIN judged USING (host)"""
 
+# crc32 of a decimal number, bit by bit; equal words q apart are found as equal
+# grams of six words, which every run of twelve words and two periods holds.
+RUNS = f"""
+    WITH crc AS (SELECT doc_id, {_WORDS} AS ws, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+            list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+            lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]),
+                lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) AS h FROM documents),
+    place AS (SELECT *, len(ws) AS n, (h // 10) % len(ws) AS a, (h // 10) % 8 AS m FROM crc),
+    period AS (SELECT *, 1 + (n - a) // (3 + m) AS p FROM place),
+    w AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(generate_series(0, n - 1),
+            lambda i: ws[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE ws END AS ws FROM period),
+    grams AS (SELECT doc_id, i, array_to_string(ws[i:i + 5], ' ') AS g
+        FROM (SELECT doc_id, ws, unnest(generate_series(1, n - 5)) AS i FROM w)),
+    same AS (SELECT a.doc_id, a.i, b.i - a.i AS q FROM grams a JOIN grams b ON a.doc_id = b.doc_id AND a.g = b.g AND b.i > a.i),
+    islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same),
+    stretches AS (SELECT doc_id, q, min(i) - 1 AS start, count(*) + 5 + q AS length FROM islands GROUP BY doc_id, q, island),
+    runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches WHERE length >= greatest(12, 2 * q)
+        GROUP BY doc_id, start, length),
+    listed AS (SELECT doc_id, count(*) AS n_runs, max(length) AS length, string_agg(start || ',' || length || ',' || period || chr(10), ''
+            ORDER BY start, period) AS lines FROM runs GROUP BY doc_id),
+    longest AS (SELECT doc_id, start, period FROM runs JOIN listed USING (doc_id, length)
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY start, period) = 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(generate_series(start + period + 1, start + length)) AS i FROM runs),
+    words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT w.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+           sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+    FROM w LEFT JOIN listed USING (doc_id) LEFT JOIN longest USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
 SQL: dict[str, str] = {
     "op1_exact_dedup": EXACT,
     "op2_substring_dedup": SUBSTRING,
@@ -158,4 +187,5 @@ SQL: dict[str, str] = {
     "op6_url_filter": URLS,
     "op8_jaccard_join": JACCARD,
     "op9_decontaminate": DECONTAMINATE,
+    "op11_periodic_runs": RUNS,
 }
