@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, decontaminate, exact_dedup, language_id, mixing, near_dup, periodic, quality,
-               substring_dedup, token_file, url_filter)
+from . import (chat_format, decontaminate, divergence, exact_dedup, language_id, mixing, near_dup, periodic,
+               quality, substring_dedup, token_file, url_filter)
 from .common import held_out, shared_dir
 from .sql import SQL, mix_sql  # noqa: F401
 
@@ -106,6 +106,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence_audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -118,4 +122,5 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_language_id": op10_language_id,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_divergence": op12_divergence,
 }

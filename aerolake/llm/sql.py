@@ -180,6 +180,30 @@ RUNS = f"""
            sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
     FROM w LEFT JOIN listed USING (doc_id) LEFT JOIN longest USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
+DIVERGENCE = """
+    WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+    words AS (SELECT id, lang, source, unnest(ws) AS term FROM d),
+    kept AS (SELECT lang, term, count(*) AS count FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+    own AS (SELECT lang, source, term, count(*) AS count FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+    langs AS (SELECT lang, CAST(sum(count) AS HUGEINT) AS n, count(*) AS v FROM kept GROUP BY lang),
+    groups AS (SELECT g.lang, g.source, coalesce(n, 0) AS n FROM (SELECT DISTINCT lang, source FROM d) g
+        LEFT JOIN (SELECT lang, source, CAST(sum(count) AS HUGEINT) AS n FROM own GROUP BY ALL) USING (lang, source)),
+    shares AS (SELECT g.lang, g.source, k.term, coalesce(o.count, 0) AS count,
+            1 + (1000000000 * (coalesce(o.count, 0) + 1)) // (g.n + l.v) AS p,
+            1 + (1000000000 * (k.count + 1)) // (l.n + l.v) AS q
+        FROM groups g JOIN kept k ON g.lang = k.lang JOIN langs l ON g.lang = l.lang
+        LEFT JOIN own o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term),
+    pairs AS (SELECT a.lang, a.source, b.source AS item FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source),
+    sums AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    parts AS (SELECT lang, source, 'pair' AS part, item, coalesce(value, 0) AS value FROM pairs LEFT JOIN sums USING (lang, source, item)
+        UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM shares WHERE count > 0 AND p > q),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+    FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
 SQL: dict[str, str] = {
     "op1_exact_dedup": EXACT,
     "op2_substring_dedup": SUBSTRING,
@@ -188,4 +212,5 @@ SQL: dict[str, str] = {
     "op8_jaccard_join": JACCARD,
     "op9_decontaminate": DECONTAMINATE,
     "op11_periodic_runs": RUNS,
+    "op12_divergence": DIVERGENCE,
 }
