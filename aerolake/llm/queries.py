@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (chat_format, decontaminate, divergence, exact_dedup, language_id, mixing, near_dup, periodic,
-               quality, substring_dedup, token_file, url_filter)
+               quality, substring_dedup, suffix_dedup, token_file, url_filter)
 from .common import held_out, shared_dir
 from .sql import SQL, mix_sql  # noqa: F401
 
@@ -110,6 +110,13 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence_audit(table(spark, sf_dir, "documents"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
+    return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -123,4 +130,5 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_divergence": op12_divergence,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }

@@ -204,6 +204,25 @@ DIVERGENCE = """
     SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
     FROM ranked WHERE part = 'pair' OR rank <= 200"""
 
+# Windows as hexadecimal digits, two a byte.
+SUFFIXES = """
+    WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+    windows AS (SELECT doc_id, i, doc_id * 4294967296 + i AS place, substr(x, 2 * i + 1, 200) AS g
+        FROM (SELECT doc_id, x, unnest(generate_series(0, len(x) // 2 - 100)) AS i FROM d)),
+    known AS (SELECT g, min(place) AS first FROM windows GROUP BY g),
+    repeated AS (SELECT doc_id, i FROM windows JOIN known USING (g) WHERE place > first),
+    begun AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM repeated),
+    numbered AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM begun),
+    spans AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM numbered GROUP BY doc_id, span),
+    pieces AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM spans
+        UNION ALL SELECT d.doc_id, coalesce(max(b), 0), any_value(len(x)) // 2 FROM d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id),
+    kept AS (SELECT doc_id, string_agg(substr(x, CAST(2 * a + 1 AS BIGINT), CAST(2 * (b - a) AS BIGINT)), '' ORDER BY a) AS y
+        FROM pieces JOIN d USING (doc_id) GROUP BY doc_id),
+    counted AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+    SELECT doc_id, len(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           sha256(unhex(y)) AS kept_sha256
+    FROM d JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id)"""
+
 SQL: dict[str, str] = {
     "op1_exact_dedup": EXACT,
     "op2_substring_dedup": SUBSTRING,
@@ -213,4 +232,5 @@ SQL: dict[str, str] = {
     "op9_decontaminate": DECONTAMINATE,
     "op11_periodic_runs": RUNS,
     "op12_divergence": DIVERGENCE,
+    "op13_suffix_dedup": SUFFIXES,
 }
