@@ -222,7 +222,8 @@ class Encoder:
     Right for tokenizers that join neither what white space parts nor letters
     and the punctuation after them. Texts fall into runs without white space; a
     run of letters with ASCII punctuation behind is the two parts, any other run
-    is one part, encoded by the library as it stands. If the tokenizer makes no
+    (also one whose letters are not all letters once normalised) is one part,
+    encoded by the library as it stands. If the tokenizer makes no
     difference between ASCII cases, upper and lower case share their entry.
     """
 
@@ -267,11 +268,19 @@ class Encoder:
         pieces = [x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
         return self._by_model(pieces) if len(pieces) == len(words) else self._encode(words)
 
+    def _is_word(self, run: bytes) -> bool:
+        """Whether a run is all letters, and still is when the tokenizer has normalised it
+        (some letters fall apart into a letter and marks)."""
+        if run.isascii():
+            return run.isalpha()
+        text, normal = run.decode(), self.tokenizer.normalizer
+        return text.isalpha() and (normal is None or normal.normalize_str(text).isalpha())
+
     def _learn_parts(self, fresh: list[bytes]) -> None:
         lists: list = [None] * len(fresh)
         plain, letters, rest = [], [], []
         for i, x in enumerate(fresh):
-            (plain if x.isalpha() else letters if not x.isascii() and x.decode().isalpha() else rest).append(i)
+            (plain if x.isalpha() else letters if self._is_word(x) else rest).append(i)
         if self.direct is None and plain:  # whether plain ASCII words reach the model as they are
             some = [fresh[i].decode() for i in plain[:200]]
             self.direct = self._encode(some) == self._by_model(some)
@@ -288,7 +297,7 @@ class Encoder:
         part, heads, tails, before = self.parts.__getitem__, [], [], len(self.parts)
         for run in fresh:
             head = run.rstrip(_PUNCTUATION)
-            if head.isalpha() or not head.isascii() and head.decode().isalpha():
+            if self._is_word(head):
                 heads.append(part(head))
                 tails.append(part(run[len(head):]) if len(head) < len(run) else 0)
             else:

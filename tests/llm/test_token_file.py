@@ -60,3 +60,20 @@ def test_random_access(spark, make_docs, tmpdir_str, monkeypatch):
 def test_empty_table(spark, make_docs, tmpdir_str):
     token_file.write_tokens(make_docs([]), tmpdir_str, public_tokenizer("word_bpe_49k.json"), 1, 49408)
     assert token_file.read_tokens(spark, tmpdir_str).collect() == []
+
+
+def test_every_letter_with_punctuation():
+    """Each letter alone, in a word, and with ASCII punctuation before and behind."""
+    import sys
+    from tokenizers import Tokenizer
+    path = public_tokenizer("word_bpe_49k.json")
+    tokenizer, encoder = Tokenizer.from_file(path), token_file.Encoder(path, 1)
+    letters = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalpha()]
+    # The ideographs and syllables without a normal form of their own are all alike: every seventh.
+    letters = [c for k, c in enumerate(letters) if ord(c) < 0x3400 or 0xF900 <= ord(c) < 0x17000 or k % 7 == 0]
+    texts = [f"{c} a{c}b, ({c} {c}, x{c}. {c}_" for c in letters]
+    want = [e.ids + [1] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    flat, sizes = encoder.encode([t.encode() for t in texts])
+    ends = np.cumsum(sizes)
+    wrong = [c for c, a, b, w in zip(letters, ends - sizes, ends, want) if flat[a:b].tolist() != w]
+    assert wrong == []
