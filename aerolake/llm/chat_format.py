@@ -13,7 +13,8 @@ compose, so a conversation too long for one task is cut into chunks by the place
 of its turns: its rows are sorted by ranges, the ranges' counts give every row
 its place, the chunks' matrices are summed up, level by level if they are many,
 the cheapest chain of states at the chunk borders follows, and each chunk is
-then repaired on its own. Of a chunk, a task holds the roles and a slice of texts.
+then repaired on its own. Matrices carry the order of equal costs too, so the
+repair does not depend on where a conversation is cut. Of a chunk, a task holds the roles and a slice of texts.
 
 Defined cases: null texts are empty; null or unknown roles fit no state and
 must be relabelled or merged; roles are compared in lower case without
@@ -83,13 +84,42 @@ def _number(role: str | None) -> int | None:
     return ROLES.index(name) + 1 if name in ROLES else None
 
 
+def composed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Costs and ranks of two stretches of turns, one after the other: (2, 4, 4).
+
+    ``[0, a, c]`` is the cheapest cost from state a to c. Of equal cost, ``repair``
+    takes the way whose states, read from the end, are lowest; ``[1, a, c]`` ranks
+    the states a by that, among ways into the same c, so that ties fall alike
+    wherever a conversation is cut."""
+    out = np.full((2, 4, 4), _NO)
+    for c in range(4):
+        ways = []
+        for a in range(4):
+            cost, rank, b = min((first[0, a, b] + second[0, b, c], second[1, b, c], b) for b in range(4))
+            if cost < _NO:
+                out[0, a, c] = cost
+                ways.append((rank, first[1, a, b], a))
+        for k, (_, _, a) in enumerate(sorted(ways)):
+            out[1, a, c] = k
+    return out
+
+
+def _one_turn(role: int | None) -> np.ndarray:
+    """Of one turn the way is its two states, so the state before is the rank."""
+    costs = np.array([[steps_of(role).get((a, b), (_NO,))[0] for b in range(4)] for a in range(4)])
+    return np.stack([costs, np.broadcast_to(np.arange(4.0)[:, None], (4, 4))])
+
+
+def _nothing() -> np.ndarray:
+    return np.stack([np.where(np.eye(4) > 0, 0.0, _NO), np.broadcast_to(np.arange(4.0)[:, None], (4, 4))])
+
+
 def matrix_of(roles: list[str | None]) -> np.ndarray:
-    """Cheapest costs from state to state over some turns, (4, 4)."""
-    one = {r: np.array([[steps_of(r).get((a, b), (_NO,))[0] for b in range(4)] for a in range(4)])
-           for r in (None, SYSTEM, USER, ASSISTANT)}
-    total = np.where(np.eye(4) > 0, 0.0, _NO)
+    """Cheapest costs from state to state over some turns, and their ranks: (2, 4, 4)."""
+    one = {r: _one_turn(r) for r in (None, SYSTEM, USER, ASSISTANT)}
+    total = _nothing()
     for role in roles:
-        total = (total[:, :, None] + one[_number(role)][None]).min(axis=1)
+        total = composed(total, one[_number(role)])
     return total
 
 
@@ -129,9 +159,9 @@ def _compose(chunks: DataFrame, fan: int) -> DataFrame:
     """The summed up costs of every ``fan`` consecutive chunks."""
     def compose(key, pdf):
         import pandas as pd
-        total = np.where(np.eye(4) > 0, 0.0, _NO)
+        total = _nothing()
         for costs in pdf.sort_values("chunk")["costs"]:
-            total = (total[:, :, None] + np.array(costs).reshape(4, 4)[None]).min(axis=1)
+            total = composed(total, np.array(costs).reshape(2, 4, 4))
         return pd.DataFrame({"conv_id": pdf["conv_id"].iloc[:1], "chunk": [pdf["up"].iloc[0]], "costs": [total.ravel().tolist()]})
     up = chunks.select("conv_id", F.floor(F.col("chunk") / fan).cast("long").alias("up"), "chunk", "costs")
     return up.groupBy("conv_id", "up").applyInPandas(compose, chunks.schema)
@@ -145,12 +175,11 @@ def _borders(chunks: DataFrame, fan: int = CHUNK_TURNS) -> DataFrame:
         import pandas as pd
         pdf = pdf.sort_values("chunk")
         enter, leave, last = (pdf[c].iloc[0] for c in ("enter", "leave", "last"))
-        matrices = [np.array(c).reshape(4, 4) for c in pdf["costs"]]
         best, back = np.where(np.arange(4) == enter, 0.0, _NO), []
-        for m in matrices:
-            through = best[:, None] + m
-            back.append(through.argmin(axis=0))
+        for costs, ranks in (np.array(c).reshape(2, 4, 4) for c in pdf["costs"]):
+            through = best[:, None] + costs
             best = through.min(axis=0)
+            back.append(np.where(through == best, ranks, _NO).argmin(axis=0))
         ends = ending()
         state = min((q for q in range(4) if best[q] < _NO), key=lambda q: (best[q] + ends[q][0], q)) if last else leave
         rows = []

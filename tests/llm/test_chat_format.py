@@ -50,7 +50,7 @@ def test_matrices_compose():
     rng = random.Random(4)
     roles = [rng.choice(["system", "user", "assistant", None]) for _ in range(30)]
     a, b = cf.matrix_of(roles[:11]), cf.matrix_of(roles[11:])
-    assert np.array_equal((a[:, :, None] + b[None]).min(axis=1), cf.matrix_of(roles))
+    assert np.array_equal(cf.composed(a, b), cf.matrix_of(roles))
 
 
 TURNS = "conv_id long, turn long, role string, text string, chunk string"
@@ -97,6 +97,23 @@ def test_chunks_repair_like_the_whole(spark):
                 assert text.count(t) >= 1
 
 
+@pytest.mark.parametrize("chunk_turns,fan", [(1, 2), (2, 3), (3, 1024), (7, 2)])
+def test_rows_do_not_depend_on_the_chunks(spark, chunk_turns, fan):
+    """Also where repairs cost the same."""
+    rng = random.Random(chunk_turns)
+    roles = ["user", "assistant", "system", "tool", None]
+    rows = [(conv, t, rng.choice(roles), f"t{t}", "x") for conv in range(150) for t in range(rng.randint(1, 14))]
+    rows += [(1000, t, r, "", "x") for t, r in enumerate(["tool", "system", "assistant", "tool", "system", "tool", None, "system"])]
+    df = spark.createDataFrame(rows, TURNS).repartition(4)
+
+    def steps(found):
+        out = {}
+        for r in sorted(found.collect(), key=lambda r: (r.conv_id, r.chunk, r.seq)):
+            out.setdefault(r.conv_id, []).append((r.turn, r.role_in, r.action, r.role, r.cost, r.piece))
+        return out
+    assert steps(cf.repair_chats(df, chunk_turns, fan)) == steps(cf.repair_chats(df))
+
+
 def test_null_conversation_of_several_chunks(spark):
     rng = random.Random(6)
     roles = [rng.choice(["user", "assistant", "system", "tool"]) for _ in range(50)]
