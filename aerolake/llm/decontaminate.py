@@ -8,7 +8,8 @@ that can end there, and these are compared word by word. Every search cursor
 of a slice of documents moves in the same numpy step.
 
 Defined cases: a null text has no words; a null or wordless item has no
-window; an item without id is skipped; repeated documents are reported each,
+window; the windows of an item without id are searched, and only its id is
+missing among the items found; repeated documents are reported each,
 repeated items once; other columns are ignored, whatever their names.
 """
 
@@ -26,6 +27,8 @@ _KEEP = bytes(c + 32 if 0x41 <= c <= 0x5A else
               c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20
               for c in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+# Text of the items in one search. Its windows and tables take some twenty times as much.
+BLOCK_BYTES = 8 << 20
 # Comparisons of a window with a pattern done in one numpy step.
 _TESTS = 1 << 18
 
@@ -111,19 +114,36 @@ class Patterns:
 class Benchmark:
     """All windows of a block of items, by length, with the items they come from."""
 
-    def __init__(self, items: list[tuple[str, str]], n: int):
-        owners: dict[tuple[bytes, ...], set[str]] = {}
+    def __init__(self, items: list[tuple[str | None, str]], n: int):
+        self.vocab: dict[bytes, int] = {}
+        self.names = sorted({i for i, _ in items if i is not None})
+        number = {name: k for k, name in enumerate(self.names)}
+        flat: list[int] = []
+        sizes, owner = [], []
         for item_id, text in items:
             words = words_of(text)
-            for i in range(max(1, len(words) - n + 1) if words else 0):
-                owners.setdefault(tuple(words[i:i + n]), set()).add(item_id)
-        self.vocab: dict[bytes, int] = {}
-        by_length: dict[int, list] = {}
-        for window, ids in sorted(owners.items()):
-            row = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in window]
-            by_length.setdefault(len(row), []).append((row, sorted(ids)))
-        self.sets = [(Patterns(np.array([r for r, _ in rows], np.int64)), [i for _, i in rows])
-                     for rows in by_length.values()]
+            flat += [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words]
+            sizes.append(len(words))
+            owner.append(number.get(item_id, -1))
+        ids, sizes, owner = np.array(flat, np.int32), np.array(sizes, np.int64), np.array(owner, np.int64)
+        begin, length = np.cumsum(sizes) - sizes, np.minimum(sizes, n)
+        self.sets = [self._set(ids, begin[length == m], sizes[length == m], owner[length == m], m)
+                     for m in np.unique(length[length > 0]).tolist()]
+
+    @staticmethod
+    def _set(ids, begin, sizes, owner, m):
+        """(patterns, first owner of each, owners): the different windows of ``m`` words."""
+        many = sizes - m + 1
+        at = np.repeat(begin, many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        rows, owner = ids[at[:, None] + np.arange(m)], np.repeat(owner, many)
+        order = np.lexsort((owner, *rows.T[::-1]))
+        rows, owner = rows[order], owner[order]
+        fresh = np.ones(len(rows), bool)
+        fresh[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+        window = np.cumsum(fresh) - 1
+        named = (owner >= 0) & (fresh | np.append(True, owner[1:] != owner[:-1]))
+        first = np.searchsorted(window[named], np.arange(int(fresh.sum()) + 1))
+        return Patterns(rows[fresh]), first, owner[named]
 
     def scan(self, texts: list[str | None]) -> list[tuple[int, list[tuple[int, int]], set[str]]]:
         """Per text: number of words, hit spans (first word, word after the last), items."""
@@ -138,18 +158,18 @@ class Benchmark:
         ids, starts = np.array(ids, np.int64), np.array(starts, np.int64)
         change = np.zeros(len(ids) + 1, np.int64)
         items: list[set[str]] = [set() for _ in texts]
-        for patterns, owners in self.sets:
+        for patterns, first, owners in self.sets:
             end, which = patterns.search(ids)
             np.add.at(change, end - patterns.m + 1, 1)
             np.add.at(change, end + 1, -1)
             doc = np.searchsorted(starts, end, side="right") - 1
             for d, w in {*zip(doc.tolist(), which.tolist())}:
-                items[d].update(owners[w])
+                items[d].update(self.names[k] for k in owners[first[w]:first[w + 1]].tolist())
         hit = np.diff((np.cumsum(change)[:-1] > 0).astype(np.int8), prepend=0, append=0)
-        first, after = np.flatnonzero(hit == 1), np.flatnonzero(hit == -1)
+        begins, after = np.flatnonzero(hit == 1), np.flatnonzero(hit == -1)
         spans: list[list] = [[] for _ in texts]
-        for d, a, b in zip((np.searchsorted(starts, first, side="right") - 1).tolist(),
-                           first.tolist(), after.tolist()):
+        for d, a, b in zip((np.searchsorted(starts, begins, side="right") - 1).tolist(),
+                           begins.tolist(), after.tolist()):
             spans[d].append((a - int(starts[d]), b - int(starts[d])))
         return list(zip(counts, spans, items))
 
@@ -169,7 +189,7 @@ _ARROW_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def benchmark_hits(docs: DataFrame, items: DataFrame, n: int = 10,
-                   block_bytes: int = 64 << 20) -> DataFrame:
+                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, text, n_words, spans, items``: which words of each document lie
     in a benchmark window, and the ids (as text, sorted) of the items found.
 
@@ -178,14 +198,14 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, n: int = 10,
     """
     spark = docs.sparkSession
     items = (items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-             .where("item_id is not null and text is not null"))
+             .where("text is not null"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = int(size // block_bytes) + 1
     out = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.lit(0).cast("bigint").alias("n_words"),
                       F.array().cast(_SPANS).alias("spans"), F.array().cast("array<string>").alias("items"))
     fields = schema(out.schema["doc_id"], f"text string, n_words bigint, spans {_SPANS}, items array<string>")
     for k in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
         tables = ship(spark, Benchmark([tuple(r) for r in part.collect()], n))
 
         def scan(batch: pa.RecordBatch, tables=tables) -> pa.RecordBatch:

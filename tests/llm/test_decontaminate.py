@@ -9,15 +9,15 @@ def expected(rows, items, n=10):
     windows = {}
     for i, t in items:
         w = words_of_letters(t)
-        for a in range(max(1, len(w) - n + 1) if w and i is not None else 0):
-            windows.setdefault(tuple(w[a:a + n]), set()).add(str(i))
+        for a in range(max(1, len(w) - n + 1) if w else 0):
+            windows.setdefault(tuple(w[a:a + n]), set()).update([str(i)] if i is not None else [])
     out = []
     for i, t in rows:
         w, hit, found = words_of_letters(t), set(), set()
         for m in {len(x) for x in windows}:
             for a in range(len(w) - m + 1):
                 owners = windows.get(tuple(w[a:a + m]))
-                if owners:
+                if owners is not None:
                     hit.update(range(a, a + m))
                     found |= owners
         out.append((i, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
@@ -32,10 +32,10 @@ def cases(seed=1):
     rng = random.Random(seed)
     word = lambda: rng.choice("ab") + rng.choice("cde")
     items = [(i, " ".join(word() for _ in range(rng.choice([1, 3, 9, 10, 11, 25])))) for i in range(12)]
-    items += [(None, "ac ad"), (20, None), (21, " ,.! "), (22, "Rare-Word"), (10, items[3][1]), (10, items[4][1])]
+    items += [(None, "ac ad"), (None, "only here without id"), (20, None), (21, " ,.! "), (22, "Rare-Word"), (10, items[3][1]), (10, items[4][1])]
     rows = [(i, " ".join(word() for _ in range(rng.randint(0, 60)))) for i in range(60)]
     rows += [(100, None), (101, ""), (102, "x RARE word; y"), (103, " ".join(t for _, t in items if t)), (103, "ac"), (103, "ac"),
-             (104, "éac\u0000ad Ünï 9")]
+             (105, "found only here without id indeed"), (104, "éac\u0000ad Ünï 9")]
     return rows, items
 
 
