@@ -123,5 +123,7 @@ def ship(spark: SparkSession, value) -> Callable:
     def get():
         if not opened:
             opened.append(pickle.loads(packed.value))
+            # The worker would keep the packed bytes of every broadcast it has seen.
+            packed.__dict__.pop("_value", None)
         return opened[0]
     return get
