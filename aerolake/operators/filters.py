@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..columns import COLS, FlightColumns, column_type, is_temporal
+from ..lineage import is_stored
 
 
 @dataclass(frozen=True)
@@ -39,7 +40,7 @@ class FilterSpec:
         return self.day_start is not None or self.day_end is not None
 
 
-def _day_text(d: str | dt.date) -> str:
+def day_text(d: str | dt.date) -> str:
     """``YYYY-MM-DD`` of a date, a datetime or a text that starts with a whole date."""
     if isinstance(d, dt.date):
         return d.strftime("%Y-%m-%d")
@@ -57,11 +58,11 @@ def day_condition(df: DataFrame, spec: FilterSpec, cols: FlightColumns = COLS,
     c = F.col(f"`{cols.dep_planned}`")
     if is_temporal(column_type(df, cols.dep_planned)):
         day = F.to_date(c)
-        bound = lambda d: F.lit(_day_text(d)).cast("date")
+        bound = lambda d: F.lit(day_text(d)).cast("date")
     else:
         # Textual times: compare the YYYY-MM-DD prefix so the end day is kept whole.
         day = F.substring(c, 1, 10)
-        bound = lambda d: F.lit(_day_text(d))
+        bound = lambda d: F.lit(day_text(d))
     conds = []
     if spec.day_start is not None:
         conds.append(day >= bound(spec.day_start))
@@ -70,9 +71,9 @@ def day_condition(df: DataFrame, spec: FilterSpec, cols: FlightColumns = COLS,
     # Extra predicate on a year partition column → partition pruning.
     if year_col and year_col in df.columns:
         if spec.day_start is not None:
-            conds.append(F.col(year_col) >= int(_day_text(spec.day_start)[:4]))
+            conds.append(F.col(year_col) >= int(day_text(spec.day_start)[:4]))
         if spec.day_end is not None:
-            conds.append(F.col(year_col) <= int(_day_text(spec.day_end)[:4]))
+            conds.append(F.col(year_col) <= int(day_text(spec.day_end)[:4]))
     return reduce(and_, conds)
 
 
@@ -94,9 +95,23 @@ def filter_condition(df: DataFrame, spec: FilterSpec, cols: FlightColumns = COLS
     return reduce(and_, conds) if conds else None
 
 
+def _computed_once(df: DataFrame, spec: FilterSpec, cols: FlightColumns) -> DataFrame:
+    """``df`` with the planned departure and the status, if the filter reads them and
+    they are computed from other columns, passed through a one-row generator:
+    Catalyst pushes no condition below it, where it would repeat the formatting and
+    parsing of times in the joins. Stored columns stay open to the scan."""
+    read = [c for c, wanted in ((cols.dep_planned, spec.has_dates), (cols.status, spec.statuses)) if wanted and c in df.columns]
+    pinned = [c for c in read if not is_stored(df, c)]
+    if not pinned or df.isStreaming:
+        return df
+    once = F.inline(F.array(F.struct(*[F.col(f"`{c}`").alias(c) for c in pinned])))
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in pinned], once).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def apply_filters(df: DataFrame, spec: FilterSpec | None, cols: FlightColumns = COLS,
                   year_col: str | None = None) -> DataFrame:
     if spec is None:
         return df
+    df = _computed_once(df, spec, cols)
     cond = filter_condition(df, spec, cols, year_col)
     return df if cond is None else df.filter(cond)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 
 from ..codes import ROUTE_MAP_TOP_DEFAULT, TOP_AIRLINES_PER_YEAR, TOP_DELAY_AIRPORTS
@@ -32,9 +34,10 @@ def delay_insights(base: DataFrame, base_without_dates: DataFrame | None = None,
 
 
 def route_bundle(df: DataFrame, fmt: str = "auto", top: int | None = ROUTE_MAP_TOP_DEFAULT,
-                 with_delay: bool = True, cols: FlightColumns = COLS) -> dict[str, DataFrame]:
-    """Routes, their nodes and intensities. The routes (few, already aggregated)
-    are persisted, so that the three outputs compute them once; unpersist them
-    when done."""
-    routes = route_map(df, fmt, top, with_delay, cols).persist()
-    return {"rotas": routes, "nos": route_nodes(routes), "intensidade": route_intensity(routes)}
+                 with_delay: bool = True, cols: FlightColumns = COLS,
+                 keep: Callable[[DataFrame], DataFrame] = DataFrame.persist) -> dict[str, DataFrame]:
+    """Routes, their nodes and intensities. ``keep`` holds on to the routes (few,
+    already aggregated), so that the three outputs compute them once: persisted
+    by default (unpersist them when done), or stored."""
+    routes = keep(route_map(df, fmt, top, with_delay, cols))
+    return {"rotas": routes, "nos": route_nodes(routes), "intensidade": route_intensity(routes, unlimited=top is None)}

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .lineage import identity
+
 # Settings every job relies on: wall-clock semantics need a UTC session zone,
 # ANSI keeps casts honest, AQE re-plans joins/partitions from runtime sizes.
 BASE_CONF: dict[str, str] = {
@@ -76,14 +78,46 @@ def row_bytes(df: DataFrame) -> Column:
     return width
 
 
-def sizes(frames: Sequence[DataFrame]) -> list[int | None]:
-    """Measured bytes of each frame, in one job: a one-row aggregate of each."""
-    one = None
+def _in_one_job(rows: list[DataFrame]) -> dict:
+    one = rows[0]
+    for row in rows[1:]:
+        one = one.unionAll(row)
+    return {r.k: r.value for r in one.collect()}
+
+
+# What was measured in this process, by session, plan and file versions.
+_MEASURED: dict[tuple, int | None] = {}
+
+
+def sizes(frames: Sequence[DataFrame], limit: int = MAX_BROADCAST_BYTES) -> list[int | None]:
+    """Measured bytes of each frame: None if nested, and more than ``limit``, but
+    otherwise not exact, for one whose row count alone is too large.
+
+    Rows are counted first, which reads no column of a file relation. Only
+    texts of frames with few enough rows are read, so no large table is. A frame
+    with the same plan over the same files is measured once in a session.
+    """
+    out: list[int | None] = [None] * len(frames)
+    keys = {}
     for k, df in enumerate(frames):
-        row = df.agg(F.lit(k).alias("k"), F.sum(row_bytes(df)).alias("bytes"), F.count("*").alias("n"))
-        one = row if one is None else one.unionAll(row)
-    found = {r.k: 0 if not r.n else r.bytes for r in one.collect()}
-    return [found[k] for k in range(len(frames))]
+        known = identity(df)
+        keys[k] = None if known is None else (df.sparkSession.sparkContext.applicationId, known.plan, known.versions, limit)
+    fresh = [k for k in keys if keys[k] is None or keys[k] not in _MEASURED]
+    plain = {k: all(isinstance(f.dataType, T.AtomicType) for f in frames[k].schema.fields) for k in fresh}
+    width = {k: 16 + 8 * len(frames[k].columns) for k in fresh}
+    one = lambda k, c: frames[k].agg(F.lit(k).alias("k"), c.cast("long").alias("value"))
+    measured = [k for k in fresh if plain[k]]
+    rows = _in_one_job([one(k, F.count("*")) for k in measured]) if measured else {}
+    found: dict = {k: rows[k] * width[k] for k in measured}
+    texts = [k for k in measured if 0 < found[k] <= limit and any(isinstance(f.dataType, T.StringType) for f in frames[k].schema.fields)]
+    if texts:
+        found.update(_in_one_job([one(k, F.sum(row_bytes(frames[k]))) for k in texts]))
+    for k in fresh:
+        if keys[k] is not None:
+            _MEASURED[keys[k]] = found.get(k)
+    for k in keys:
+        out[k] = found.get(k) if k in fresh else _MEASURED[keys[k]]
+    return out
 
 
 def lookup_sides(frames: Sequence[DataFrame], limit: int = MAX_BROADCAST_BYTES) -> list[DataFrame]:
@@ -98,7 +132,7 @@ def lookup_sides(frames: Sequence[DataFrame], limit: int = MAX_BROADCAST_BYTES)
 
 
 def are_small(frames: Sequence[DataFrame], limit: int = MAX_BROADCAST_BYTES) -> list[bool]:
-    return [size is not None and size <= limit for size in sizes(frames)]
+    return [size is not None and size <= limit for size in sizes(frames, limit)]
 
 
 def lookup_side(df: DataFrame, broadcast: bool | int | None = None) -> DataFrame:

@@ -3,6 +3,7 @@ any scheme that Spark reads works here too (local paths included)."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -62,3 +63,56 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.write(bytearray(data))
     finally:
         out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    reader = _fs(spark, path).open(_path(spark, path))
+    try:
+        return bytes(reader.readAllBytes()).decode()
+    finally:
+        reader.close()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless there is one; False if there was. The file appears
+    whole, under a name of its own first."""
+    fs, where = _fs(spark, path), _path(spark, path)
+    if fs.exists(where):
+        return False
+    part = f"{path}.{uuid.uuid4().hex}"
+    write_bytes(spark, part, text.encode())
+    if fs.exists(where) or not fs.rename(_path(spark, part), where):
+        fs.delete(_path(spark, part), False)
+        return False
+    return True
+
+
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, time of change) of the files at or below a path that Spark's
+    readers see; hidden ones and those in hidden folders are left out."""
+    fs, where = _fs(spark, path), _path(spark, path)
+    if not fs.exists(where):
+        return []
+    out, todo = [], list(fs.listStatus(where))
+    while todo:
+        status = todo.pop()
+        name = status.getPath().getName()
+        if name.startswith(".") or name.startswith("_") and "=" not in name:
+            continue
+        if status.isDirectory():
+            todo += list(fs.listStatus(status.getPath()))
+        else:
+            out.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return sorted(out)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    fs, where = _fs(spark, path), _path(spark, path)
+    if not fs.exists(where):
+        return []
+    return sorted(s.getPath().toString() for s in fs.listStatus(where) if s.isDirectory())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    _fs(spark, path).delete(_path(spark, path), True)
