@@ -17,6 +17,7 @@ from ..codes import QUANTILE_HIGH, QUANTILE_LOW, ROUTE_MAP_TOP_DEFAULT, SCALE_RA
 from ..columns import COLS, FlightColumns
 from ..functions.geo import in_box, with_lon_lat
 from .aggregates import empty_result
+from .quantiles import exact_quantiles
 
 ROUTE_KEYS = ["origem_lon", "origem_lat", "destino_lon", "destino_lat"]
 
@@ -36,8 +37,12 @@ def route_map(df: DataFrame, fmt: str = "auto", top: int | None = ROUTE_MAP_TOP_
     aggs = [F.count(F.lit(1)).alias("__n")]
     if use_delay:
         aggs += [F.sum("atraso_min").alias("__s"), F.count("atraso_min").alias("__c")]
-    by_text = df.groupBy(oc.alias("__oc"), dc.alias("__dc")).agg(*aggs)
+    return routes_of_texts(df.groupBy(oc.alias("__oc"), dc.alias("__dc")).agg(*aggs), fmt, top)
 
+
+def routes_of_texts(by_text: DataFrame, fmt: str = "auto", top: int | None = ROUTE_MAP_TOP_DEFAULT) -> DataFrame:
+    """Routes from flights counted per pair of coordinate texts: ``__oc, __dc, __n``
+    and, for mean delays, their sum ``__s`` and number ``__c``."""
     parsed = with_lon_lat(by_text, F.col("__oc"), "origem_lon", "origem_lat", fmt)
     parsed = with_lon_lat(parsed, F.col("__dc"), "destino_lon", "destino_lat", fmt)
     valid = (in_box(F.col("origem_lon"), F.col("origem_lat"))
@@ -48,7 +53,7 @@ def route_map(df: DataFrame, fmt: str = "auto", top: int | None = ROUTE_MAP_TOP_
     # would be pushed below the first group-by and re-parse every flight row.
     raggs = [F.sum("__n").cast("bigint").alias("quantidade"),
              F.max(F.coalesce(valid, F.lit(False))).alias("__ok")]
-    if use_delay:
+    if "__s" in by_text.columns:
         raggs.append((F.sum("__s") / F.sum("__c")).alias("atraso_medio"))
     routes = parsed.groupBy(*ROUTE_KEYS).agg(*raggs).filter(F.col("__ok")).drop("__ok")
     return routes if top is None else routes.orderBy(F.desc("quantidade"), *[F.asc(c) for c in ROUTE_KEYS]).limit(top)
@@ -68,18 +73,23 @@ def route_nodes(routes: DataFrame) -> DataFrame:
                   .groupBy("lon", "lat").agg(F.sum("q").cast("bigint").alias("quantidade")))
 
 
-def route_intensity(routes: DataFrame, metric: str | None = None) -> DataFrame:
+def route_intensity(routes: DataFrame, metric: str | None = None, unlimited: bool = False) -> DataFrame:
     """Robust 0-1 scaling of a route metric: ``(x − p05) / max(p95 − p05, 1e-6)``
     clipped to [0, 1]; the metric is the mean delay if present, else the count.
 
     The percentiles are a one-row aggregate that every row reads as a scalar;
     persist or write ``routes`` first if computing them is dear, they are read twice.
+    That aggregate keeps all values in one task: for routes without a limit,
+    ``unlimited`` finds the same two values by ranks, in a few jobs at once.
     """
     if metric is None:
         metric = "atraso_medio" if "atraso_medio" in routes.columns else "quantidade"
     x = F.col(metric).cast("double")
-    bounds = routes.agg(F.struct(F.percentile(x, F.lit(QUANTILE_LOW)).alias("lo"),
-                                 F.percentile(x, F.lit(QUANTILE_HIGH)).alias("hi"))).scalar()
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
+    if unlimited:
+        lo, hi = (F.lit(v).cast("double") for v in exact_quantiles(routes, metric, (QUANTILE_LOW, QUANTILE_HIGH)))
+    else:
+        bounds = routes.agg(F.struct(F.percentile(x, F.lit(QUANTILE_LOW)).alias("lo"),
+                                     F.percentile(x, F.lit(QUANTILE_HIGH)).alias("hi"))).scalar()
+        lo, hi = bounds.getField("lo"), bounds.getField("hi")
     scaled = (x - lo) / F.greatest(hi - lo, F.lit(SCALE_RANGE_FLOOR))
     return routes.withColumn("intensidade", F.least(F.greatest(scaled, F.lit(0.0)), F.lit(1.0)))

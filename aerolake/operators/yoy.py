@@ -61,9 +61,15 @@ def yoy_variation_with_fallback(base: DataFrame, in_range: Column | None, cols:
     if in_range is None:
         return yoy_variation(base, cols).withColumn("usou_fallback", F.lit(False))
     inside = F.count(F.when(in_range, F.lit(1))).alias("dentro")
+    return variation_of_counts(delays_per_year_airport(base, cols, inside))
+
+
+def variation_of_counts(per_year: DataFrame) -> DataFrame:
+    """The change from ``ano, aeroporto, qtd`` (all delays) and ``dentro`` (those in
+    the day range), with the fallback."""
     both = F.inline(F.array(F.struct(F.lit(0).alias("variante"), F.col("dentro").alias("qtd")),
                             F.struct(F.lit(1).alias("variante"), F.col("qtd").alias("qtd"))))
-    per_year = delays_per_year_airport(base, cols, inside).select("ano", "aeroporto", both).where("qtd > 0")
+    per_year = per_year.select("ano", "aeroporto", both).where("qtd > 0")
     chosen = F.min("variante").over(Window.partitionBy())
     out = _variation(per_year).withColumn("__first", chosen).where("variante = __first")
     return out.select(*[n for n, _ in FIELDS], (F.col("variante") == 1).alias("usou_fallback"))
