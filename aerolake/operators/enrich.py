@@ -2,7 +2,8 @@
 
 Lookups are dimension tables: they are de-duplicated, and broadcast if their
 measured bytes are few (the flight table then streams through map-side hash
-joins with no shuffle); a larger lookup is joined with a shuffle join.
+joins with no shuffle); a larger lookup is joined with a shuffle join that
+keeps heavy keys out of single tasks (:mod:`aerolake.operators.hotkeys`).
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from ..codes import (AIRPORT_SIZE_DEFAULT, AIRPORT_SIZES, CODE_NOT_FOUND, HELIPO
                      JUSTIFICATIONS, LINE_TYPES)
 from ..columns import AIRLINE_FIELDS, AIRPORT_FIELDS, COLS, FlightColumns
 from ..functions.decode import decode
-from ..session import lookup_side
+from ..session import MAX_BROADCAST_BYTES, are_small
+from .hotkeys import lookup_join
 from .projection import select_cast
 
 _ORD = "__ordinal"
@@ -69,10 +71,12 @@ def enrich_airports(flights: DataFrame, airports: DataFrame, cols: FlightColumns
     """Join origin and destination airport attributes, keep flights whose two
     endpoints are known and not heliports, and decode the airport size.
 
-    ``broadcast``: see :func:`aerolake.session.lookup_side`; ``dedupe=False``
+    ``broadcast``: see :func:`aerolake.operators.hotkeys.lookup_join`; ``dedupe=False``
     when ``airports`` already is an :func:`airport_dimension`."""
     dim = airport_dimension(airports) if dedupe else select_cast(airports, AIRPORT_FIELDS)
-    dim = lookup_side(dim, broadcast)
+    if broadcast is None or not isinstance(broadcast, bool):  # measured once for both ends
+        limit = MAX_BROADCAST_BYTES if broadcast is None else broadcast
+        broadcast = True if not flights.isStreaming and are_small([dim], limit)[0] else 0
     origin = _endpoint(dim, cols.origin_icao, {
         "name": cols.origin_name, "continent": cols.origin_continent,
         "iso_country": cols.origin_country, "municipality": cols.origin_city,
@@ -83,9 +87,8 @@ def enrich_airports(flights: DataFrame, airports: DataFrame, cols: FlightColumns
         "iso_country": cols.dest_country, "municipality": cols.dest_city,
         "gps_code": cols.dest_gps, "coordinates": cols.dest_coords,
         "type": cols.dest_size})
-    out = (flights
-           .join(origin, on=cols.origin_icao, how="left")
-           .join(dest, on=cols.dest_icao, how="left"))
+    out = lookup_join(flights, origin, cols.origin_icao, cols.origin_icao, broadcast)
+    out = lookup_join(out, dest, cols.dest_icao, cols.dest_icao, broadcast)
     out = known_endpoints(out, cols)
     if decode_sizes:
         out = out.withColumns({
@@ -110,11 +113,8 @@ def enrich_airline(flights: DataFrame, airlines: DataFrame, cols: FlightColumns
     """Left join of the airline name on the airline ICAO code; unmatched → null."""
     name, code = AIRLINE_FIELDS
     dim = airline_dimension(airlines) if dedupe else select_cast(airlines, AIRLINE_FIELDS)
-    dim = lookup_side(dim.select(F.col(name).alias("empresa_nome"),
-                                 F.col(code).alias("icao_empresa")), broadcast)
-    joined = flights.join(dim, F.col(f"`{cols.airline_icao}`") == dim["icao_empresa"], "left")
-    return (joined.withColumn(cols.airline, F.col("empresa_nome"))
-                  .drop("empresa_nome", "icao_empresa"))
+    dim = dim.select(F.col(name).alias(cols.airline), F.col(code).alias("icao_empresa"))
+    return lookup_join(flights.drop(cols.airline), dim, cols.airline_icao, "icao_empresa", broadcast)
 
 
 def decode_codes(df: DataFrame, cols: FlightColumns = COLS,
@@ -132,9 +132,7 @@ def decode_with_table(df: DataFrame, code_col: str, codes: DataFrame, out_col: s
                       broadcast: bool | int | None = None) -> DataFrame:
     """Decode through a (code, label) table, e.g. one read with ``read_code_map``,
     for code lists that are not known when the job is written; of equal codes the first counts."""
-    dim = lookup_side(first_by_key(codes.select("code", "label"), "code")
-                      .select(F.col("code").alias("__code"), F.col("label").alias("__label")), broadcast)
-    c = F.col(f"`{code_col}`")
-    joined = df.join(dim, c == F.col("__code"), "left")
+    dim = first_by_key(codes.select("code", "label"), "code").select("code", F.col("label").alias("__label"))
+    joined = lookup_join(df, dim, code_col, "code", broadcast)
     label = F.col("__label") if default is None else F.coalesce(F.col("__label"), F.lit(default))
-    return joined.withColumn(out_col, F.when(c.isNotNull(), label)).drop("__code", "__label")
+    return joined.withColumn(out_col, F.when(F.col(f"`{code_col}`").isNotNull(), label)).drop("__label")

@@ -7,8 +7,9 @@ schema, and the groups are unioned by name.
 
 Quotes inside quoted fields are doubled. A row with more or fewer fields than
 the header fails the job (``mode="FAILFAST"``); ``mode="DROPMALFORMED"`` and
-``"PERMISSIVE"`` are Spark's. Line breaks inside quotes need ``multi_line=True``,
-which reads a file as one split.
+``"PERMISSIVE"`` are Spark's. Line breaks inside quotes need ``multi_line=True``:
+UTF-8 files are then read by many tasks (:mod:`aerolake.sources.quoted`), others
+as one split a file.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 
 from ..columns import string_schema
 from .files import expand_glob, first_lines
+from .quoted import read_quoted_csv
 
 
 def split_header(line: str, sep: str) -> list[str]:
@@ -42,6 +44,12 @@ def _reader(spark: SparkSession, header: Sequence[str], sep: str, encoding: str,
             .option("quote", '"').option("escape", '"'))
 
 
+def _read(spark: SparkSession, paths: Sequence[str], header: Sequence[str], sep: str, encoding: str, mode: str, multi_line: bool) -> DataFrame:
+    if multi_line and encoding.upper().replace("-", "") == "UTF8" and mode != "DROPMALFORMED":
+        return read_quoted_csv(spark, paths, header, sep, mode)
+    return _reader(spark, header, sep, encoding, mode, multi_line).csv(list(paths))
+
+
 def read_flights_csv(spark: SparkSession, paths: str | Iterable[str], sep: str = ";", encoding: str = "UTF-8",
                      mode: str = "FAILFAST", multi_line: bool = False) -> DataFrame:
     """Read every CSV matched by ``paths`` (a glob or a list of files) and
@@ -50,7 +58,7 @@ def read_flights_csv(spark: SparkSession, paths: str | Iterable[str], sep: str =
     files = expand_glob(spark, paths) if isinstance(paths, str) else [str(p) for p in paths]
     if not files:
         raise FileNotFoundError(f"no CSV file matches {paths!r}")
-    return union_relaxed([_reader(spark, header, sep, encoding, mode, multi_line).csv(group)
+    return union_relaxed([_read(spark, group, header, sep, encoding, mode, multi_line)
                           for header, group in header_groups(spark, files, sep, encoding).items() if header])
 
 
@@ -61,7 +69,7 @@ def read_csv(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UT
     if not files:
         raise FileNotFoundError(f"no CSV file at {path!r}")
     header = split_header(first_lines(spark, files[:1], encoding)[0], sep)
-    return _reader(spark, header, sep, encoding, mode, multi_line).csv(path)
+    return _read(spark, [path], header, sep, encoding, mode, multi_line)
 
 
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
