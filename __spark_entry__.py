@@ -33,11 +33,14 @@ from aerolake.operators import (  # noqa: E402
     invalid_local_times, kpis, late_flag, localise, route_intensity, route_map, route_nodes,
     sample_rows, status_distribution, top_airlines_per_year, top_routes, unique_values, unparsable_times,
     yoy_decreases, yoy_increases, yoy_variation, yoy_variation_with_fallback)
-from aerolake.plans import load_or_build, report, run_batch, testbed  # noqa: E402
+from aerolake.operators.quantiles import exact_quantiles  # noqa: E402
+from aerolake.plans import ResultCatalogue, load_or_build, report, run_batch, testbed  # noqa: E402
 from aerolake.plans.report import map_input  # noqa: E402
 from aerolake.session import ensure_checkpoint_dir  # noqa: E402
-from aerolake.sources import (csv_to_ndjson, export_csv, read_code_map, read_csv, read_flights_csv,  # noqa: E402
-                              read_lookup_records, union_relaxed)
+from aerolake.sources import (YEAR_PARTITION, csv_to_ndjson, export_csv, export_parquet, head_in_source_order,  # noqa: E402
+                              read_code_map, read_csv, read_flights_csv, read_lookup_records, read_parquet,
+                              read_parquet_bytes, union_relaxed, write_clean)
+from aerolake.streaming import compact, read_rollups, rollup_report, stream_rollups  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -65,10 +68,14 @@ REPORT_COLUMNS = {
     "por_ano": (["ano"], ["quantidade_atrasos"]),
     "dias_semana": (["ano", "dia"], ["quantidade_atrasos"]),
     "periodos": (["ano", "periodo"], ["quantidade_atrasos"]),
+    "companhias_por_ano": (["ano", "empresa"], ["quantidade_atrasos"]),
     "companhias": (["ano", "empresa"], ["quantidade_atrasos"]),
-    "rotas": (["origem_lon", "origem_lat", "destino_lon", "destino_lat"], ["quantidade"]),
+    "rotas": (["origem_lon", "origem_lat", "destino_lon", "destino_lat"], ["quantidade", "atraso_medio"]),
     "nos": (["lon", "lat"], ["quantidade"]),
+    "intensidade": (["origem_lon", "origem_lat", "destino_lon", "destino_lat"], ["intensidade"]),
 }
+# Quotients are compared with six decimals.
+QUOTIENTS = ("atraso_medio", "intensidade")
 
 
 # ---------------------------------------------------------------- inputs
@@ -348,22 +355,94 @@ def q_route_intensity(spark, d):
     return out.withColumn("intensidade", F.round("intensidade", 6))
 
 
-def q_report(spark, d):
-    """Every output of the report as rows ``(nome, chave, valor)``."""
-    out = report(_clean(spark, d), REPORT_SPEC, persist=False)
+def _report_rows(out: dict) -> DataFrame:
+    """Every output of a report as rows ``(nome, chave, valor)``."""
+    def text(cols):
+        return F.concat_ws("|", *[F.coalesce((F.col(c).cast("decimal(18,6)") if c in QUOTIENTS else F.col(c)).cast("string"), F.lit("-"))
+                                  for c in cols])
     rows = None
     for name, (keys, values) in REPORT_COLUMNS.items():
-        df = to_ascii_names(out[name])
-        text = lambda cols: F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in cols])
-        part = df.select(F.lit(name).alias("nome"), text(keys).alias("chave"), text(values).alias("valor"))
-        rows = part if rows is None else rows.unionByName(part)
+        if name in out:
+            df = to_ascii_names(out[name])
+            part = df.select(F.lit(name).alias("nome"), text(keys).alias("chave"), text(values).alias("valor"))
+            rows = part if rows is None else rows.unionByName(part)
     return rows
 
 
+def _clean_table(spark, d) -> DataFrame:
+    """The clean table, written once under the shared folder and read back."""
+    path = _folder(spark, "clean")
+    write_clean(_clean(spark, d), path, partition_by_year=False)
+    return spark.read.parquet(path)
+
+
+def q_report(spark, d):
+    """Every output of the report over a published clean table."""
+    return _report_rows(report(_clean_table(spark, d), REPORT_SPEC, persist=False))
+
+
+def q_report_reuse(spark, d):
+    """A second report over the same clean table: every output comes from what the
+    first one stored."""
+    clean, store = _clean_table(spark, d), ResultCatalogue(spark, _folder(spark, "results"))
+    report(clean, REPORT_SPEC, store=store)
+    built = len(store.stored)
+    out = report(clean, REPORT_SPEC, store=store)
+    reused = len(store.hits) == built == len(store.stored) and not store.skipped
+    return _report_rows(out).withColumn("reutilizado", F.lit(reused))
+
+
+def q_report_incremental(spark, d):
+    """The report of a range of days from aggregates that a file stream keeps: four
+    extracts, two a batch, added up into a base and read."""
+    folder = _folder(spark, "rollups")
+    raw = _raw(spark, d)
+    raw.repartitionByRange(4, f"`{COLS.flight_number}`").write.option("header", True).option("sep", ";").option("escape", '"') \
+        .csv(f"{folder}/extracts")
+    stream_rollups(spark, f"{folder}/extracts", raw.columns, testbed.airports(spark, d), testbed.airlines(spark, d),
+                   f"{folder}/store", f"{folder}/log", name=f"rollups-{uuid.uuid4().hex}", files_per_batch=2).awaitTermination()
+    compact(spark, f"{folder}/store")
+    days = FilterSpec(day_start=REPORT_SPEC.day_start, day_end=REPORT_SPEC.day_end)
+    return _report_rows(rollup_report(read_rollups(spark, f"{folder}/store"), days))
+
+
+def q_airline_enrich_hot(spark, d):
+    """A third of all flights by one airline, joined with a lookup that counts as
+    too large to broadcast."""
+    raw = _raw(spark, d)
+    hot = F.substring(F.col(f"`{COLS.flight_number}`"), 4, 20).cast("long") % 3 == 0
+    raw = raw.withColumn(COLS.airline_icao, F.when(hot, F.lit("1")).otherwise(F.col(f"`{COLS.airline_icao}`")))
+    return to_ascii_names(enrich_airline(raw, testbed.airlines(spark, d), broadcast=0))
+
+
+def q_route_intensity_all(spark, d):
+    """All routes, their percentiles found by ranks."""
+    path = _folder(spark, "routes")
+    q_route_map_all(spark, d).write.parquet(path)
+    out = route_intensity(spark.read.parquet(path), unlimited=True)
+    return out.withColumn("intensidade", F.round("intensidade", 6))
+
+
+DELAY_SHARES = (0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0)
+
+
+def q_delay_quantiles(spark, d):
+    """Quantiles of the delays of all late flights, and of their mean speed over the
+    planned day (many different values)."""
+    path = _folder(spark, "delays")
+    _base(spark, d).select("atraso_min", (F.col("atraso_min") / (F.col("hora") + 1)).alias("por_hora")).write.parquet(path)
+    delays = spark.read.parquet(path)
+    found = {c: exact_quantiles(delays, c, DELAY_SHARES) for c in delays.columns}
+    row = lambda c, p, v: F.struct(F.lit(c).alias("medida"), F.lit(p).alias("parte"), F.round(F.lit(v).cast("double"), 6).alias("valor"))
+    return delays.limit(1).select(F.inline(F.array(*[row(c, p, v) for c, vs in found.items() for p, v in zip(DELAY_SHARES, vs)])))
+
+
 # ---------------------------------------------------------------- round trips through files
 def _local_folder() -> str:
     """For a local session without a shared folder (tests)."""
     import tempfile
+    if not SparkSession.getActiveSession().sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir is not set")
     return tempfile.mkdtemp(prefix="aerolake-")
 
 
@@ -400,21 +479,31 @@ def q_csv_export(spark, d):
 
 
 def q_ndjson_roundtrip(spark, d):
-    """A CSV export turned into JSON lines and read back."""
+    """A CSV export with line breaks in quotes turned into JSON lines and read back."""
     folder = _folder(spark, "ndjson")
-    raw = _awkward(_raw(spark, d)).drop(COLS.airline_icao)
+    raw = _awkward(_raw(spark, d))
     export_csv(raw, f"{folder}/csv")
     csv_to_ndjson(spark, f"{folder}/csv", f"{folder}/json")
     return to_ascii_names(read_lookup_records(spark, f"{folder}/json", raw.columns, "ndjson"))
 
 
+def _write_arrays(records: DataFrame, key: str, path: str) -> str:
+    """Records as files of one JSON array each, about a thousand records a file."""
+    arrays = records.groupBy(F.floor(F.col(key).cast("long") / 1000).alias("bloco")).agg(
+        F.to_json(F.sort_array(F.collect_list(F.struct(*records.columns))), {"ignoreNullFields": "false"}).alias("value"))
+    arrays.repartition("bloco").write.partitionBy("bloco").text(path)
+    return f"{path}/*/*"
+
+
 def q_lookup_records(spark, d):
-    """Airport records as one JSON array, read back and made unique."""
-    path = _folder(spark, "airports")
-    records = testbed.airports(spark, d).select(*AIRPORT_FIELDS)
-    whole = records.agg(F.to_json(F.sort_array(F.collect_list(F.struct(*AIRPORT_FIELDS))), {"ignoreNullFields": "false"}).alias("value"))
-    whole.write.text(path)
-    return first_by_key(read_lookup_records(spark, path, AIRPORT_FIELDS, "array"), "icao_code")
+    """A record per supplier with its airport's fields, as JSON arrays, read back and
+    made unique."""
+    ports = testbed.airports(spark, d).select(*AIRPORT_FIELDS)
+    supplier = testbed.table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("icao_code"))
+    records = supplier.join(ports, "icao_code").select(
+        F.col("s_suppkey").cast("string").alias("icao_code"), *[c for c in AIRPORT_FIELDS if c != "icao_code"])
+    files = _write_arrays(records, "icao_code", _folder(spark, "airports"))
+    return first_by_key(read_lookup_records(spark, files, AIRPORT_FIELDS, "array"), "icao_code")
 
 
 def q_code_map(spark, d):
@@ -432,7 +521,7 @@ def q_first_by_key_source_order(spark, d):
     path = _folder(spark, "ordered")
     customer = testbed.table(spark, d, "customer").select("c_mktsegment", "c_custkey")
     for name, part in (("a", customer.where("c_custkey % 3 = 0")), ("b", customer.where("c_custkey % 3 <> 0"))):
-        part.coalesce(1).sortWithinPartitions("c_custkey").write.json(f"{path}/{name}")
+        part.repartitionByRange("c_custkey").sortWithinPartitions("c_custkey").write.json(f"{path}/{name}")
     return first_by_key(spark.read.schema("c_mktsegment string, c_custkey long").json(f"{path}/*"), "c_mktsegment")
 
 
@@ -442,13 +531,46 @@ def q_batch_publish(spark, d):
     folder = _folder(spark, "batch")
     export_csv(_raw(spark, d), f"{folder}/extracts", sep=";")
     testbed.airports(spark, d).write.json(f"{folder}/airports")
-    names = testbed.airlines(spark, d)
-    names.agg(F.to_json(F.collect_list(F.struct("Nome", "Sigla"))).alias("value")).write.text(f"{folder}/airlines")
+    airlines = _write_arrays(testbed.airlines(spark, d), "Sigla", f"{folder}/airlines")
     clean = run_batch(spark, out_path=f"{folder}/clean", csv_glob=f"{folder}/extracts/part-*",
-                      airports_path=f"{folder}/airports", airlines_path=f"{folder}/airlines", airports_fmt="ndjson")
+                      airports_path=f"{folder}/airports", airlines_path=airlines, airports_fmt="ndjson")
     return to_ascii_names(load_or_build(spark, f"{folder}/clean") if clean.columns else clean)
 
 
+def q_sample_source_order(spark, d):
+    """The first customers with a debit in the order of the files, of which only the
+    first are read."""
+    path = _folder(spark, "sample")
+    testbed.table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal") \
+        .repartitionByRange(16, "c_custkey").sortWithinPartitions("c_custkey").write.parquet(path)
+    return head_in_source_order(spark.read.parquet(path), 40, F.col("c_acctbal") < 0)
+
+
+def q_clean_clustered(spark, d):
+    """A clean table clustered by origin and airline, filtered by lists of both."""
+    path = _folder(spark, "clustered")
+    write_clean(_clean(spark, d), path, cluster_by=(COLS.origin_icao, COLS.airline_icao))
+    lists = FilterSpec(origin_icao=("3", "7"), line_types=(LINE_TYPES["P"], LINE_TYPES["E"]), day_start="1996-03-01")
+    return to_ascii_names(apply_filters(spark.read.parquet(path), lists, year_col=YEAR_PARTITION)).drop(YEAR_PARTITION)
+
+
+def q_parquet_export(spark, d):
+    """The filtered flights exported as Parquet and read back."""
+    path = _folder(spark, "export-parquet")
+    export_parquet(apply_filters(_clean(spark, d), FILTER_SPEC), path)
+    return to_ascii_names(read_parquet(spark, path))
+
+
+def q_parquet_bytes(spark, d):
+    """A Parquet file handed over as bytes, as an upload is: customers counted by
+    nation and segment (few rows, whatever the number of customers)."""
+    path = _folder(spark, "upload")
+    testbed.table(spark, d, "customer").groupBy("c_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("n")) \
+        .coalesce(1).write.parquet(path)
+    content = spark.read.format("binaryFile").load(f"{path}/part-*").select("content").first()[0]
+    return read_parquet_bytes(spark, bytes(content))
+
+
 def q_union_relaxed_numeric(spark, d):
     """Columns of several numeric types, widened without loss."""
     customer = testbed.table(spark, d, "customer").select(
@@ -517,6 +639,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "code_map": q_code_map,
     "first_by_key_source_order": q_first_by_key_source_order,
     "batch_publish": q_batch_publish,
+    "report_reuse": q_report_reuse,
+    "report_incremental": q_report_incremental,
+    "airline_enrich_hot": q_airline_enrich_hot,
+    "route_intensity_all": q_route_intensity_all,
+    "delay_quantiles": q_delay_quantiles,
+    "sample_source_order": q_sample_source_order,
+    "clean_clustered": q_clean_clustered,
+    "parquet_export": q_parquet_export,
+    "parquet_bytes": q_parquet_bytes,
 }
 
 

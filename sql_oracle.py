@@ -544,9 +544,10 @@ def oracle_sql() -> dict[str, str]:
     blank = {c: f"nullif({q(c)}, '') AS {ASCII_NAMES[c]}" for c in ("Tamanho Origem", "Tamanho Destino")}
     d["csv_export"] = w(RAW, lines, awkward.format(src="lined")) + "SELECT " + ", ".join(
         blank.get(c, f"{q(c)} AS {ASCII_NAMES[c]}") for c in CLEAN_COLS) + " FROM awkward"
-    d["ndjson_roundtrip"] = w(RAW) + f"SELECT {ascii_select(RAW_COLS[1:])} FROM raw_flights"
+    d["ndjson_roundtrip"] = w(RAW, awkward.format(src="raw_flights")) + f"SELECT {ascii_select(RAW_COLS)} FROM awkward"
     d["lookup_records"] = w(RAW) + (
-        "SELECT icao_code, name, continent, iso_country, municipality, gps_code, coordinates, type FROM airports")
+        "SELECT CAST(s_suppkey AS VARCHAR) AS icao_code, name, continent, iso_country, municipality, gps_code, coordinates, type "
+        "FROM supplier JOIN airports ON CAST(s_nationkey AS VARCHAR) = icao_code")
     d["code_map"] = (
         "SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS codigo, "
         f"CASE WHEN c_nationkey IS NULL THEN NULL ELSE coalesce(n_name, {s(CODE_NOT_FOUND)}) END AS rotulo "
@@ -560,10 +561,32 @@ def oracle_sql() -> dict[str, str]:
         "CAST(c_nationkey AS DOUBLE) AS e FROM customer UNION ALL "
         "SELECT s_suppkey, CAST(CAST(s_acctbal AS FLOAT) AS DOUBLE), s_nationkey, s_acctbal FROM supplier")
     d["report"] = _report_sql()
+    d["report_reuse"] = _report_sql(more=", true AS reutilizado")
+    d["report_incremental"] = _report_sql(leave_out=("sample",))
+    d["airline_enrich_hot"] = w(RAW, "hot AS (SELECT * REPLACE (CASE WHEN CAST(substr(\"Número Voo\", 4) AS BIGINT) % 3 = 0 THEN '1' "
+                                     "ELSE \"ICAO Empresa Aérea\" END AS \"ICAO Empresa Aérea\") FROM raw_flights)") + (
+        f"SELECT {ascii_select(RAW_COLS, 'f.')}, al.nome AS empresa "
+        "FROM hot f LEFT JOIN airlines al ON f.\"ICAO Empresa Aérea\" = al.sigla")
+    d["route_intensity_all"] = w(RAW, base, _routes_cte(top=None), _SCALE) + _INTENSITY
+    d["delay_quantiles"] = w(RAW, base, "m AS (SELECT 'atraso_min' AS medida, CAST(atraso_min AS DOUBLE) AS x FROM base "
+                                        "UNION ALL SELECT 'por_hora', CAST(atraso_min AS DOUBLE) / (hora + 1) FROM base)") + " UNION ALL ".join(
+        f"SELECT medida, CAST({p} AS DOUBLE) AS parte, round(quantile_cont(x, {p}), 6) AS valor FROM m GROUP BY medida"
+        for p in (0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0))
+    d["sample_source_order"] = "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal < 0 ORDER BY c_custkey LIMIT 40"
+    d["clean_clustered"] = w(RAW) + (
+        f"SELECT {ascii_select(CLEAN_COLS)} FROM clean WHERE \"ICAO Aeródromo Origem\" IN ('3', '7') "
+        f"AND \"Tipo Linha\" IN ({s(LINE_TYPES['P'])}, {s(LINE_TYPES['E'])}) AND CAST(\"Partida Prevista\" AS DATE) >= DATE '1996-03-01'")
+    d["parquet_export"] = d["filter_flights"]
+    d["parquet_bytes"] = "SELECT c_nationkey, c_mktsegment, count(*) AS n FROM customer GROUP BY 1, 2"
     return d
 
 
-def _report_sql() -> str:
+_SCALE = ("qs AS (SELECT quantile_cont(atraso_medio, 0.05) AS lo, quantile_cont(atraso_medio, 0.95) AS hi FROM routes)")
+_INTENSITY = ("SELECT origem_lon, origem_lat, destino_lon, destino_lat, quantidade, atraso_medio, "
+              "round(least(greatest((atraso_medio - lo) / greatest(hi - lo, 1e-6), 0.0), 1.0), 6) AS intensidade FROM routes, qs")
+
+
+def _report_sql(leave_out: tuple = (), more: str = "") -> str:
     """The report's outputs for completed flights of 1995-06-01 to 1995-12-31; the
     year-over-year change falls back to all days, as there is one year only."""
     base = base_cte("filtered", "base")
@@ -571,9 +594,9 @@ def _report_sql() -> str:
     kept = ("filtered AS (SELECT * FROM clean WHERE \"Situação Voo\" = 'REALIZADO' AND "
             "CAST(\"Partida Prevista\" AS DATE) BETWEEN DATE '1995-06-01' AND DATE '1995-12-31')")
 
-    def part(name: str, keys: list[str], values: list[str], source: str) -> str:
+    def part(name: str, keys: list[str], values: list[str], source: str) -> tuple[str, str]:
         text = lambda cols: "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in cols) + ")"
-        return f"SELECT {s(name)} AS nome, {text(keys)} AS chave, {text(values)} AS valor FROM ({source})"
+        return name, f"SELECT {s(name)} AS nome, {text(keys)} AS chave, {text(values)} AS valor{more} FROM ({source})"
 
     n = "count(*) AS quantidade_atrasos"
     pair = "\"ICAO Aeródromo Origem\" AS origem, \"ICAO Aeródromo Destino\" AS destino"
@@ -601,9 +624,15 @@ def _report_sql() -> str:
         part("companhias", ["ano", "empresa"], ["quantidade_atrasos"],
              f"SELECT ano, empresa, quantidade_atrasos FROM (SELECT ano, \"Empresa Aérea\" AS empresa, {n}, {rank} "
              "FROM base GROUP BY 1, 2) WHERE rk <= 15"),
-        part("rotas", ["origem_lon", "origem_lat", "destino_lon", "destino_lat"], ["quantidade"], "SELECT * FROM routes"),
+        part("companhias_por_ano", ["ano", "empresa"], ["quantidade_atrasos"],
+             f"SELECT ano, \"Empresa Aérea\" AS empresa, {n} FROM base GROUP BY 1, 2"),
+        part("rotas", ["origem_lon", "origem_lat", "destino_lon", "destino_lat"], ["quantidade", "CAST(atraso_medio AS DECIMAL(18, 6))"],
+             "SELECT * FROM routes"),
+        part("intensidade", ["origem_lon", "origem_lat", "destino_lon", "destino_lat"], ["CAST(intensidade AS DECIMAL(18, 6))"],
+             _INTENSITY),
         part("nos", ["lon", "lat"], ["quantidade"],
              "SELECT lon, lat, CAST(sum(quantidade) AS BIGINT) AS quantidade FROM (SELECT origem_lon AS lon, origem_lat AS lat, quantidade "
              "FROM routes UNION ALL SELECT destino_lon, destino_lat, quantidade FROM routes) GROUP BY 1, 2"),
     ]
-    return w(RAW, kept, base, undated, _yoy_cte("base_all", "variation"), _routes_cte()) + " UNION ALL ".join(parts)
+    return w(RAW, kept, base, undated, _yoy_cte("base_all", "variation"), _routes_cte(), _SCALE) + " UNION ALL ".join(
+        sql for name, sql in parts if name not in leave_out)
