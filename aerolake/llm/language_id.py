@@ -8,8 +8,11 @@ text's score is the product over its words. The piece probabilities come from
 expectation-maximisation on a bounded sample of labelled documents.
 
 Words are the runs of ASCII letters and non-ASCII characters of the
-lower-cased text, each preceded by the vocabulary's word-start mark; longer
-runs are cut every ``_LONG`` characters.
+lower-cased text, each preceded by the vocabulary's word-start mark. All pieces
+of the vocabulary take part. Runs of more than ``_LONG`` characters are cut into
+parts of that size, scored like words: segmentations over such a cut are not
+summed (a run may be a whole text in scripts without spaces, and the forward
+sums of all of a slice's parts are taken side by side).
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0;
 with no labelled document at all, every text is ``und``; documents are judged
@@ -30,7 +33,6 @@ from .common import arrow_map, bound_batches, held_out, release, sampled, schema
 UNDETERMINED = "und"
 _START = "▁"  # the vocabulary's mark of a word start
 _LONG = 30         # characters of a word scored at once
-_PIECE = 12        # longest piece used
 _UNKNOWN = 1e-7    # probability of a character outside the vocabulary
 _LETTERS = bytes(c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 _P = 0x100000001B3
@@ -49,7 +51,8 @@ class Pieces:
     """The vocabulary, found by a hash of a piece's code points."""
 
     def __init__(self, pieces: list[str]):
-        self.pieces = sorted({p for p in pieces if 0 < len(p) <= _PIECE})
+        self.pieces = sorted({p for p in pieces if 0 < len(p) <= _LONG})
+        self.longest = max(map(len, self.pieces), default=1)
         with np.errstate(over="ignore"):
             self.powers = np.cumprod(np.full(_LONG + 2, _P, np.uint64)) * np.uint64(pow(_P, -1, 1 << 64))
             hashes = np.array([self._hash(p) for p in self.pieces], np.uint64)
@@ -91,7 +94,7 @@ class Pieces:
                 prefix[i + 1] = prefix[i] * np.uint64(_P) + codes[:, i]
             yield np.array(numbers), n, {
                 (end, size): self.find(prefix[end] - prefix[end - size] * self.powers[size])
-                for end in range(1, n + 1) for size in range(1, min(end, _PIECE) + 1)}
+                for end in range(1, n + 1) for size in range(1, min(end, self.longest) + 1)}
 
     def padded(self, probs: np.ndarray) -> np.ndarray:
         """(pieces + 1, languages): a last row for what is no piece."""
@@ -114,7 +117,7 @@ def word_scores(vocab: Pieces, probs: np.ndarray, words: list[str]) -> np.ndarra
             forward = np.zeros((n + 1, len(numbers), probs.shape[1]))
             forward[0] = 1.0
             for end in range(1, n + 1):
-                for size in range(1, min(end, _PIECE) + 1):
+                for size in range(1, min(end, vocab.longest) + 1):
                     forward[end] += forward[end - size] * _step(table, lattice[end, size], size, none)
             out[numbers] = np.log(np.maximum(forward[n], 1e-300))
     return out
@@ -130,10 +133,10 @@ def expected_counts(vocab: Pieces, probs: np.ndarray, words: list[str], weights:
             forward, backward = np.zeros((n + 1, len(numbers))), np.zeros((n + 1, len(numbers)))
             forward[0] = backward[n] = 1.0
             for end in range(1, n + 1):
-                for size in range(1, min(end, _PIECE) + 1):
+                for size in range(1, min(end, vocab.longest) + 1):
                     forward[end] += forward[end - size] * p[end, size]
             for end in range(n, 0, -1):
-                for size in range(1, min(end, _PIECE) + 1):
+                for size in range(1, min(end, vocab.longest) + 1):
                     backward[end - size] += backward[end] * p[end, size]
             share = weights[numbers] / np.maximum(forward[n], 1e-300)
             for (end, size), found in lattice.items():
@@ -214,7 +217,7 @@ def fit(docs: DataFrame, vocab_path: str, train_docs: int = 4000) -> Model:
     """Learn from the rows with a language that are not held out.
 
     At most about ``train_docs`` of them, an equal number per language, chosen
-    by a hash of the id; the words of these are counted on the executors.
+    by a hash of id and text; the words of these are counted on the executors.
     """
     known = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
@@ -223,7 +226,7 @@ def fit(docs: DataFrame, vocab_path: str, train_docs: int = 4000) -> Model:
     each = max(1, train_docs // max(1, len(sizes)))
     pick = F.lit(False)
     for lang, n in sizes.items():
-        pick = pick | ((F.col("lang") == lang) & sampled(F.col("doc_id"), min(1.0, each / n), "language"))
+        pick = pick | ((F.col("lang") == lang) & sampled(F.xxhash64("doc_id", "text"), min(1.0, each / n), "language"))
 
     def count(batches):
         for batch in batches:
