@@ -154,7 +154,9 @@ def _matrix(texts) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = 12000) -> Additive:
     """Learn from about ``train_rows`` labelled rows that are not held out,
-    chosen by a hash of the id; features are computed on the executors."""
+    chosen by a hash of the id; features are computed on the executors. Equal
+    rows count once, and an id's many texts are thinned out by their hash, so
+    that the sample stays bounded whatever the ids are."""
     known = (labels.select("doc_id", F.col("quality").cast("int").alias("quality"))
              .where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id"))))
     n = known.count()
@@ -165,10 +167,12 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = 12000) -> Additive
         x = _matrix(batch.column(0).to_pylist())
         return pa.record_batch([pa.array(list(x), pa.list_(pa.float64())), batch.column(1)], names=["x", "quality"])
 
-    # The sample's size is bounded by train_rows, so it may be broadcast.
-    rows = arrow_map(docs.select("doc_id", F.col("text").cast("string").alias("text"))
-                     .join(F.broadcast(some), "doc_id").select("text", "quality"),
-                     extract, "x array<double>, quality int").toArrow()
+    # The labels' number is bounded by train_rows, so they may be broadcast.
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id").distinct()
+    many = texts.count()
+    if many > 2 * train_rows:
+        texts = texts.where(sampled(F.xxhash64("doc_id", "text"), train_rows / many, "texts"))
+    rows = arrow_map(texts.select("text", "quality"), extract, "x array<double>, quality int").toArrow()
     x = np.array(rows["x"].to_pylist(), float).reshape(-1, len(FEATURES))
     y = rows["quality"].to_numpy().astype(float)
     order = np.lexsort([*x.T, y])  # the same model whatever order the rows came in

@@ -12,8 +12,10 @@ extended both ways to its context: all the words of the windows that chose it.
    other contexts of the same anchor: these windows are joined one by one.
 3. Adjacent repeats join into maximal ones, and their words are removed.
 
-Only hashes travel, 128 bits to a comparison; positions are found again from
-the text. Within a slice of documents only the smallest document of a context
+Only hashes travel, 128 bits to a comparison, built from 64-bit hashes of the
+words; positions are found again from the text. So the result is right but for
+the chance that two words that differ share a hash, about m * m / 2 ** 65 for m
+different words (3e-4 for a hundred million). Within a slice of documents only the smallest document of a context
 or window is sent on, the others are repeats already; anchors that a sample
 shows in many documents are spread by their contexts. So text shared by a third of
 all documents is a row per slice and not per document.
