@@ -39,7 +39,7 @@ from aerolake.plans.report import map_input  # noqa: E402
 from aerolake.session import ensure_checkpoint_dir  # noqa: E402
 from aerolake.sources import (YEAR_PARTITION, csv_to_ndjson, export_csv, export_parquet, head_in_source_order,  # noqa: E402
                               read_code_map, read_csv, read_flights_csv, read_lookup_records, read_parquet,
-                              read_parquet_bytes, union_relaxed, write_clean)
+                              read_parquet_bytes, read_parquet_relaxed, union_relaxed, write_clean)
 from aerolake.streaming import compact, read_rollups, rollup_report, stream_rollups  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -571,6 +571,24 @@ def q_parquet_bytes(spark, d):
     return read_parquet_bytes(spark, bytes(content))
 
 
+def q_parquet_drift(spark, d):
+    """Extracts of the orders whose columns and types changed over the years: whole
+    and broken keys, a priority only later, a status that was a number."""
+    path = _folder(spark, "drift")
+    orders = testbed.table(spark, d, "orders")
+    key, year = F.col("o_orderkey"), F.year("o_orderdate")
+    parts = {
+        "a": orders.where(year < 1994).select(key.cast("int").alias("chave"), F.col("o_totalprice").cast("int").alias("total")),
+        "b": orders.where((year >= 1994) & (year < 1997)).select(
+            key.alias("chave"), F.col("o_totalprice").alias("total"), (key % 3).alias("situacao")),
+        "c": orders.where(year >= 1997).select(
+            key.alias("chave"), F.col("o_totalprice").alias("total"), F.col("o_orderstatus").alias("situacao"),
+            F.col("o_orderpriority").alias("prioridade"))}
+    for name, part in parts.items():
+        part.write.parquet(f"{path}/{name}")
+    return read_parquet_relaxed(spark, path)
+
+
 def q_union_relaxed_numeric(spark, d):
     """Columns of several numeric types, widened without loss."""
     customer = testbed.table(spark, d, "customer").select(
@@ -648,6 +666,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_clustered": q_clean_clustered,
     "parquet_export": q_parquet_export,
     "parquet_bytes": q_parquet_bytes,
+    "parquet_drift": q_parquet_drift,
 }
 
 

@@ -1,6 +1,7 @@
 """Sources and sinks."""
 
 from .csv import common_type, read_csv, read_flights_csv, union_relaxed
+from .drift import read_parquet_relaxed, schema_groups
 from .files import expand_glob, first_lines, is_committed, path_exists
 from .lookups import read_code_map, read_lookup_records
 from .order import head_in_source_order

@@ -577,6 +577,10 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {ascii_select(CLEAN_COLS)} FROM clean WHERE \"ICAO Aeródromo Origem\" IN ('3', '7') "
         f"AND \"Tipo Linha\" IN ({s(LINE_TYPES['P'])}, {s(LINE_TYPES['E'])}) AND CAST(\"Partida Prevista\" AS DATE) >= DATE '1996-03-01'")
     d["parquet_export"] = d["filter_flights"]
+    d["parquet_drift"] = (
+        "SELECT o_orderkey AS chave, CASE WHEN year(o_orderdate) < 1994 THEN CAST(trunc(o_totalprice) AS DOUBLE) ELSE o_totalprice END AS total, "
+        "CASE WHEN year(o_orderdate) >= 1997 THEN o_orderstatus WHEN year(o_orderdate) >= 1994 THEN CAST(o_orderkey % 3 AS VARCHAR) END AS situacao, "
+        "CASE WHEN year(o_orderdate) >= 1997 THEN o_orderpriority END AS prioridade FROM orders")
     d["parquet_bytes"] = "SELECT c_nationkey, c_mktsegment, count(*) AS n FROM customer GROUP BY 1, 2"
     return d
 

@@ -253,3 +253,41 @@ def test_clustered_table_skips_row_groups(spark, tmp_path):
         read[name] = sum(m["numOutputRows"] for m in _scans(df))
     assert found["plain"] == found["sorted"] and found["plain"]
     assert read["sorted"] < read["plain"] / 3
+
+
+# ---------------------------------------------------------------- Parquet files that drift
+def drifting(spark, folder):
+    frames = [
+        spark.range(5).select(F.col("id").cast("int").alias("a"), F.lit("x").alias("b")),
+        spark.range(5, 9).select(F.col("id").cast("int").alias("a"), F.lit(1.5).alias("c")),
+        spark.range(9, 12).select((F.col("id") + 0.5).alias("a"), F.lit("y").alias("b")),
+        spark.range(12, 14).select(F.col("id").alias("a"), F.lit(3).alias("b")),
+        spark.range(14, 15).select(F.col("id").cast("int").alias("a"), F.lit(True).alias("d"))]
+    for k, df in enumerate(frames):
+        df.coalesce(1).write.parquet(f"{folder}/p{k}")
+
+
+def test_drifting_types_are_read_without_loss(spark, tmp_path):
+    from aerolake.sources import read_parquet_relaxed
+    drifting(spark, str(tmp_path))
+    df = read_parquet_relaxed(spark, str(tmp_path))
+    assert dict(df.dtypes) == {"a": "double", "b": "string", "c": "double", "d": "boolean"}
+    got = {r.a: (r.b, r.c, r.d) for r in df.collect()}
+    assert len(got) == 15 and got[3.0] == ("x", None, None) and got[6.0] == (None, 1.5, None) and got[9.5] == ("y", None, None)
+    assert got[13.0] == ("3", None, None) and got[14.0] == (None, None, True)
+    with pytest.raises(FileNotFoundError):
+        read_parquet_relaxed(spark, str(tmp_path / "none"))
+
+
+def test_agreeing_files_are_read_together_in_few_jobs(spark, tmp_path, monkeypatch):
+    import aerolake.sources.drift as drift
+    for k in range(16):
+        kind = "int" if k < 11 else "double"
+        spark.range(1).select(F.lit(k).cast(kind).alias("a"), F.lit(k).alias(f"only{k % 3}")).coalesce(1).write.parquet(f"{tmp_path}/p{k:02d}")
+    looks = []
+    real = drift._merged
+    monkeypatch.setattr(drift, "_merged", lambda s, p: looks.append(len(p)) or real(s, p))
+    files = [f for f, _, _ in drift.list_files(spark, str(tmp_path))]
+    groups = drift.schema_groups(spark, files)
+    assert sorted(len(p) for _, p in groups) == [5, 11] and len(looks) <= 9
+    assert all({"only0", "only1", "only2"} <= set(s.names) for s, _ in groups)
