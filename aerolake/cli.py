@@ -3,6 +3,10 @@
 ``build``  raw CSV extracts / raw Parquet + lookups → clean Parquet table.
 ``report`` clean table + filters → every report DataFrame written as Parquet.
 ``run``    reuse the clean table when present (else build it), then report.
+``update`` new CSV extracts → aggregates kept current, and the report of a range of
+           days from them, without reading earlier flights again.
+
+``report`` and ``run`` take ``--store``: a folder of results that later jobs reuse.
 """
 
 from __future__ import annotations
@@ -14,10 +18,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from .codes import DELAY_LIMIT_DEFAULT, ROUTE_MAP_TOP_DEFAULT
+from .columns import AIRLINE_FIELDS, AIRPORT_FIELDS
 from .operators.filters import FilterSpec
+from .plans.catalogue import ResultCatalogue
 from .plans.report import report, unpersist_report
 from .plans.transform import load_or_build, run_batch
 from .session import BASE_CONF
+from .sources.csv import split_header
+from .sources.files import expand_glob, first_lines
+from .sources.lookups import read_lookup_records
+from .streaming.rollup import compact, read_rollups, rollup_report, stream_rollups
 
 
 def _session() -> SparkSession:
@@ -62,13 +72,32 @@ def _build(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 
 def _report(spark: SparkSession, clean: DataFrame, a: argparse.Namespace) -> list[str]:
-    out = report(clean, spec_from_args(a), a.delay_limit, a.coord_format, a.map_top)
+    store = ResultCatalogue(spark, a.store) if a.store else None
+    out = report(clean, spec_from_args(a), a.delay_limit, a.coord_format, a.map_top, store=store)
     try:
         return write_report(out, a.out)
     finally:
         unpersist_report(out)
 
 
+def _update(spark: SparkSession, a: argparse.Namespace) -> list[str]:
+    files = expand_glob(spark, f"{a.csv_folder.rstrip('/')}/[!_.]*")
+    if not files:
+        raise FileNotFoundError(f"no CSV file in {a.csv_folder!r}")
+    header = split_header(first_lines(spark, files[:1])[0], ";")
+    query = stream_rollups(spark, a.csv_folder, header, read_lookup_records(spark, a.airports, AIRPORT_FIELDS, a.airports_fmt),
+                           read_lookup_records(spark, a.airlines, AIRLINE_FIELDS, "array"), a.rollups, f"{a.rollups.rstrip('/')}/log",
+                           limit=a.delay_limit)
+    query.awaitTermination()
+    compact(spark, a.rollups)
+    rollups = read_rollups(spark, a.rollups).persist()
+    try:
+        days = FilterSpec(day_start=a.day_start, day_end=a.day_end)
+        return write_report(rollup_report(rollups, days, a.coord_format, a.map_top), a.out)
+    finally:
+        rollups.unpersist()
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="aerolake")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -81,16 +110,20 @@ def parser() -> argparse.ArgumentParser:
         sp.add_argument("--airports-fmt", default="array", choices=("array", "ndjson"))
         sp.add_argument("--airlines", help="airline records (JSON array)")
 
-    def report_args(sp):
+    def output_args(sp):
         sp.add_argument("--out", required=True, help="folder for the report tables")
         sp.add_argument("--delay-limit", type=int, default=DELAY_LIMIT_DEFAULT)
         sp.add_argument("--coord-format", default="auto", choices=("auto", "lon,lat", "lat,lon"))
         sp.add_argument("--map-top", type=int, default=ROUTE_MAP_TOP_DEFAULT)
+        sp.add_argument("--day-start")
+        sp.add_argument("--day-end")
+
+    def report_args(sp):
+        output_args(sp)
+        sp.add_argument("--store", help="folder of results to reuse and add to")
         for name in ("airline-names", "situations", "statuses", "line-types", "origin-icao",
                      "dest-icao", "origin-names", "dest-names"):
             sp.add_argument(f"--{name}", help="comma-separated values")
-        sp.add_argument("--day-start")
-        sp.add_argument("--day-end")
 
     build_args(sub.add_parser("build", help="raw flights → clean table"))
     rp = sub.add_parser("report", help="clean table → report tables")
@@ -100,6 +133,13 @@ def parser() -> argparse.ArgumentParser:
     build_args(run)
     run.add_argument("--rebuild", action="store_true")
     report_args(run)
+    update = sub.add_parser("update", help="new extracts → aggregates kept current, then report")
+    update.add_argument("--csv-folder", required=True, help="folder to which extracts with one header are added")
+    update.add_argument("--rollups", required=True, help="folder of the aggregates")
+    update.add_argument("--airports", required=True, help="airport records (JSON)")
+    update.add_argument("--airports-fmt", default="array", choices=("array", "ndjson"))
+    update.add_argument("--airlines", required=True, help="airline records (JSON array)")
+    output_args(update)
     return p
 
 
@@ -110,6 +150,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         _build(spark, a)
     elif a.cmd == "report":
         _report(spark, spark.read.parquet(a.clean), a)
+    elif a.cmd == "update":
+        _update(spark, a)
     else:
         clean = load_or_build(spark, a.clean, lambda: _build(spark, a), rebuild=a.rebuild)
         _report(spark, clean, a)

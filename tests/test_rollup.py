@@ -112,3 +112,21 @@ def test_empty_store(spark, tmp_path):
     assert compact(spark, str(tmp_path / "none")) is None
     with pytest.raises(FileNotFoundError):
         read_rollups(spark, str(tmp_path / "none"))
+
+
+def test_update_and_stored_report_from_the_command_line(spark, world, tmp_path):
+    from aerolake.cli import main
+    folder = str(tmp_path)
+    world[1].coalesce(1).write.json(f"{folder}/airports")
+    world[2].agg(F.to_json(F.collect_list(F.struct("Nome", "Sigla"))).alias("value")).write.text(f"{folder}/airlines")
+    lookups = ["--airports", f"{folder}/airports", "--airports-fmt", "ndjson", "--airlines", f"{folder}/airlines"]
+    days = ["--day-start", "1995-01-01", "--day-end", "1995-12-31"]
+    for k in range(2):
+        extract(world[0], f"{folder}/in", k, 6)
+        assert main(["update", "--csv-folder", f"{folder}/in", "--rollups", f"{folder}/rollups", *lookups, *days,
+                     "--out", f"{folder}/increments"], spark) == 0
+    assert main(["build", "--clean", f"{folder}/clean", "--csv", f"{folder}/in/part-*", *lookups], spark) == 0
+    for _ in range(2):
+        assert main(["report", "--clean", f"{folder}/clean", "--out", f"{folder}/report", "--store", f"{folder}/results", *days], spark) == 0
+    for name in ("kpis", "per_day", "aeroportos", "rotas"):
+        assert rows(spark.read.parquet(f"{folder}/increments/{name}")) == rows(spark.read.parquet(f"{folder}/report/{name}")), name
