@@ -26,7 +26,7 @@ shared by a third of all documents is one entry per slab.
 
 Tuples are compared by 32 bits and the range's; a collision there only sends more to
 the next step. Triples and windows are compared by 96 bits of two hashes: the result is
-right but for a chance of about m * m / 2 ** 97 for m names, 1e-13 for a billion.
+right but for a chance of about m * m / 2 ** 97 for m names, 6e-12 for a billion.
 
 Defined cases: a null text has no bytes; rows with equal ids are not earlier than
 each other, a null id is later than any id, and rows without id are not
