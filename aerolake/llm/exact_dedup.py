@@ -3,12 +3,16 @@
 A streaming aggregation keeps one state entry per digest of the normalised
 text, on disk (RocksDB) and without expiry: the smallest document id, the file
 that holds that document (the content locator) and the number of documents.
-New files only add to the state. The state is read back as a table; documents
-whose digest it holds more than once are hits, and their full normalised bytes
-are compared before any is called a copy. Only Spark SQL functions are used.
+New files only add to the state. The state is read back as a table and gives the
+answers: documents whose digest it holds more than once are hits, kept under the
+state's id with the state's count, once their full normalised bytes have been
+compared with those of the document that the locator names. Digests that fail
+this (different texts of one digest, or files that changed after the state had
+seen them) are grouped by their bytes. Only Spark SQL functions are used.
 
 Copies are combined inside each task before every shuffle, so a text that a
-third of all rows share is one row per task.
+third of all rows share is one row per task. Hits too many to broadcast are joined
+by digest, the heavy ones, which the state's counts show, apart from the rest.
 
 Defined cases: a null text is empty; documents with equal ids are all kept or
 all dropped, and each counts in the group; a null id loses against any id;
@@ -23,6 +27,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.hotkeys import hot_key_join
 from .common import SPACES, materialize, shared_dir
 
 # Hits (digests with more than one document) that may be broadcast: 64 hex
@@ -96,32 +101,47 @@ def read_state(spark: SparkSession, state: str) -> DataFrame:
     return table.select("key.digest", "value.*").select("digest", "min.doc_id", "min.file", F.col("count").alias("n"))
 
 
+def _heavy(hits: DataFrame, rows: int) -> list[str]:
+    """Digests with a quarter of a task's even share of the rows, or more: at most four
+    times the number of tasks."""
+    tasks = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sorted(r.digest for r in hits.where(F.col("n") >= rows / (4 * tasks)).select("digest").collect())
+
+
 def deduplicate(spark: SparkSession, source: str, state: str | None = None,
                 digest: Callable[[Column], Column] = sha256, **batches) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, digest`` of every document of ``source``."""
     state = state or shared_dir(spark, "dedup-state")
     ingest(spark, source, state, digest, **batches)
     docs = spark.read.parquet(source)
-    hits = materialize(read_state(spark, state).where("n > 1").select("digest"), "dedup-hits")
+    # A hit's row is narrow: of its locator's path only a hash.
+    hits = materialize(read_state(spark, state).where("n > 1").select(
+        "digest", F.col("doc_id").alias("keep_id"), F.xxhash64("file").alias("keep_file"), "n"), "dedup-hits")
     few = hits.count() <= BROADCAST_HITS
-    keyed = _keyed(docs, digest)
-    # Full bytes of the hits: grouping by them compares them, copies first
-    # within each task. With too many hits to broadcast, all texts are grouped.
-    members = keyed.join(F.broadcast(hits), "digest", "left_semi") if few else keyed
-    texts = members.groupBy("digest", "text").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")).alias("first"), F.count("*").alias("n"))
-    groups = materialize(texts.groupBy("digest").agg(
-        F.count("*").alias("texts"), F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1"), "dedup-groups")
-    side = F.broadcast(groups) if few else groups
-    # A document beside the groups keeps itself.
-    out = (keyed.select("doc_id", "digest").join(side, "digest", "left").where("texts is null or texts = 1")
-           .select("doc_id", F.when(F.col("texts").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
-                   F.coalesce("n", F.lit(1)).cast("long").alias("group_size"), "digest"))
-    if not groups.where("texts > 1").isEmpty():
-        # Different texts with one digest: these alone are joined by their bytes.
-        mixed = keyed.join(groups.where("texts > 1").select("digest"), "digest", "left_semi")
-        by_text = mixed.groupBy("digest", "text").agg(
-            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")).alias("first"), F.count("*").alias("group_size"))
+    heavy = [] if few else _heavy(hits, docs.count())
+    keyed = _keyed(docs, digest, F.xxhash64("_metadata.file_path").alias("file"))
+
+    def by_digest(rows: DataFrame, side: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(side), "digest", "left") if few else hot_key_join(rows, side, "digest", "digest", heavy)
+
+    # Equal bytes are counted, copies first within each task. All documents of the
+    # digest must have the bytes of the one that the locator names.
+    members = by_digest(keyed, hits).where("n is not null")
+    located = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("file") == F.col("keep_file"))
+    equal = members.groupBy("digest", "keep_id", "n", "text").agg(
+        F.count("*").alias("equal"), F.max(located).alias("located"))
+    checked = equal.where("located and equal = n").select("digest", F.lit(True).alias("checked"))
+    answers = materialize(hits.join(checked, "digest", "left").select("digest", "keep_id", "n", F.coalesce(
+        "checked", F.lit(False)).alias("checked")), "dedup-answers")
+    # A document that is no hit keeps itself.
+    out = by_digest(keyed.select("doc_id", "file", "digest"), answers).where("checked is null or checked").select(
+        "doc_id", F.when(F.col("checked"), F.col("keep_id")).otherwise(F.col("doc_id")).alias("keep_id"),
+        F.coalesce("n", F.lit(1)).cast("long").alias("group_size"), "digest")
+    failed = answers.where("not checked")
+    if not failed.isEmpty():
+        # These alone are grouped and joined by their bytes.
+        mixed = keyed.join(failed.select("digest"), "digest", "left_semi")
+        by_text = mixed.groupBy("digest", "text").agg(F.min(_entry(F.col("file"))).alias("first"), F.count("*").alias("group_size"))
         out = out.unionByName(mixed.join(by_text, ["digest", "text"]).select(
             "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size", "digest"))
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")

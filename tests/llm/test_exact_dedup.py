@@ -67,6 +67,36 @@ def test_without_broadcast(spark, make_docs, tricky, tmpdir_str, monkeypatch):
     assert result(exact_dedup.deduplicate(spark, path)) == expected(tricky)
 
 
+def test_answers_come_from_the_state(spark, make_docs, tricky, tmpdir_str, monkeypatch):
+    """Digests that the state holds once are no hits, whatever the texts say."""
+    path, state = written(make_docs(tricky), f"{tmpdir_str}/documents.parquet"), f"{tmpdir_str}/state"
+    read = exact_dedup.read_state
+    monkeypatch.setattr(exact_dedup, "read_state", lambda *a: read(*a).withColumn(
+        "n", F.when(F.col("n") > 3, F.col("n")).otherwise(F.lit(1))))
+    got = result(exact_dedup.deduplicate(spark, path, state))
+    assert got == [r if r[2] > 3 else (r[0], r[0], 1, True, r[4]) for r in expected(tricky)]
+    assert any(r[2] > 3 for r in got)
+
+
+def test_files_removed_after_the_state_saw_them(spark, make_docs, tricky, tmpdir_str):
+    path, state = f"{tmpdir_str}/documents.parquet", f"{tmpdir_str}/state"
+    make_docs(tricky, 1).write.parquet(path)
+    exact_dedup.ingest(spark, path, state)
+    fewer = [r for r in tricky if r[0] != 1]
+    make_docs(fewer, 2).write.mode("overwrite").parquet(path)
+    assert result(exact_dedup.deduplicate(spark, path, state)) == expected(fewer)
+
+
+def test_hot_text_without_broadcast(spark, make_docs, tmpdir_str, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BROADCAST_HITS", 0)
+    rows = [(i, "hot text" if i % 3 == 0 else f"text {i // 2}") for i in range(600)]
+    path = written(make_docs(rows), f"{tmpdir_str}/documents.parquet")
+    state = f"{tmpdir_str}/state"
+    assert result(exact_dedup.deduplicate(spark, path, state)) == expected(rows)
+    hits = exact_dedup.read_state(spark, state).where("n > 1")
+    assert exact_dedup._heavy(hits, len(rows)) == [hashlib.sha256(b"hot text").hexdigest()]
+
+
 def test_empty_table(spark, make_docs, tmpdir_str):
     path = written(make_docs([], 1), f"{tmpdir_str}/documents.parquet")
     assert exact_dedup.deduplicate(spark, path).collect() == []
