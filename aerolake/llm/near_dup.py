@@ -2,12 +2,15 @@
 
 A document's set is its shingles of ``n`` consecutive words (a shorter one is
 a single shingle). Every tree of the forest labels a set with a sequence of
-min-hash values; sorted, the labels form a trie, and two sets meet at a node
-if their labels share its prefix. Starting from whole labels, the matched
-prefix is shortened until pairs at the threshold meet in some tree with the
-target probability. Sets that meet are linked to their node's smallest member,
-and the connected candidates are verified together: all their pairs, exactly,
-tile by tile, with only counts and spanning links leaving a task.
+min-hash values; the labels' prefixes are the nodes of a trie, and two sets meet
+at a node if their labels share its prefix. The descent starts at whole labels, and
+sets that meet are linked to their node's smallest member. The matched prefix is
+then shortened by one value at a time; nodes whose sets are all joined already are
+left alone. It ends as soon as the recall, measured on the pairs that met, reaches
+``MEASURED_RECALL``, and at the latest where every pair at the threshold meets
+with probability ``RECALL``. The connected candidates are verified together: all
+their pairs, exactly, tile by tile, with only counts and spanning links leaving a
+task.
 
 Equal sets are collapsed first, so copies never form pairs. A tile holds at
 most two blocks of ``BLOCK`` sets, and a large group is many tiles.
@@ -22,16 +25,21 @@ any id has a null name; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, bound_batches, broadcast_if_small, materialize, release, schema, text_chunks
+from .common import arrow_map, bound_batches, broadcast_if_small, materialize, release, sampled, schema, text_chunks
 from .graph import components
 
 TREES, DEPTH, RECALL = 28, 8, 0.9995
+# The descent ends above the shortest prefix if this share of the links has met. The
+# share is measured on about ``MEASURED`` pairs a level and counts ``PRIOR`` more pairs
+# just at the threshold, so that a few close pairs alone don't end it.
+MEASURED_RECALL, MEASURED, PRIOR = 0.9998, 20_000, 1000
 BLOCK = 256
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _COLUMNS = 1 << 13  # distinct shingles per step of a tile's products
@@ -40,11 +48,31 @@ _COLUMNS = 1 << 13  # distinct shingles per step of a tile's products
 def prefix_length(threshold: float, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
     """The longest prefix at which a pair at the threshold meets with probability ``recall``."""
     k = depth
-    while k > 1 and 1 - (1 - threshold ** k) ** trees < recall:
+    while k > 1 and meeting(threshold, k, trees) < recall:
         k -= 1
     return k
 
 
+def meeting(similarity: float, k: int, trees: int = TREES) -> float:
+    """The probability that two sets meet at a prefix of ``k`` values in some tree."""
+    return 1 - (1 - similarity ** k) ** trees
+
+
+def measured_recall(agreeing: dict[int, float], k: int, threshold: float, prior: float = PRIOR) -> float:
+    """The share of links that have met at prefixes of ``k`` values, given how many pairs
+    that met agree in how many of all label values.
+
+    Agreement estimates a pair's similarity, and this the probability with which it met:
+    a pair that meets with probability p stands for 1/p. Pairs up to two standard errors
+    below the threshold count, too.
+    """
+    values = TREES * DEPTH
+    least = threshold - 2 * (threshold * (1 - threshold) / values) ** 0.5
+    pairs = [(n, meeting(a / values, k)) for a, n in agreeing.items() if a >= least * values]
+    met = sum(n for n, _ in pairs) + prior * meeting(threshold, k)
+    return met / (sum(n / p for n, p in pairs) + prior)
+
+
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * _ODD
     return (h ^ (h >> np.uint64(29))) * _ODD
@@ -115,6 +143,67 @@ def _spare(text: Column) -> Column:
     return F.when(F.col("doc_id").isNull(), F.sha2(text, 256))
 
 
+def _meetings(sets: DataFrame, roots: DataFrame | None, k: int) -> DataFrame:
+    """``a, b``: the sets at each node of prefixes of ``k`` values, with the node's smallest.
+
+    ``roots`` (``node, root``) names what earlier levels have joined. A node is
+    known by a hash of its tree and prefix: equal hashes only add candidates.
+    """
+    joined = sets.withColumn("root", F.col("node")) if roots is None else sets.join(
+        broadcast_if_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    nodes = joined.select("node", "root", F.posexplode("labels").alias("tree", "label")).select(
+        F.xxhash64("tree", F.substring("label", 1, 2 * k)).alias("at"), "node", "root")
+    # Whole labels: every set is its own root.
+    ends = [F.min("node").alias("low"), F.max("node").alias("high")] if roots is None \
+        else [F.min("root").alias("low"), F.max("root").alias("high")]
+    hubs = nodes.groupBy("at").agg(F.min("node").alias("hub"), *ends).where("low < high")
+    return nodes.join(hubs.select("at", "hub"), "at").where("node <> hub").select(
+        F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+
+
+def _agreement(pairs: DataFrame, sets: DataFrame) -> Counter:
+    """How many pairs agree in how many label values, from a sample of about ``MEASURED``
+    pairs; only these counts reach the driver."""
+    share = min(1.0, MEASURED / max(1, pairs.count()))
+    some = materialize(pairs.where(sampled(F.xxhash64("a", "b"), share, "forest")), "measured")
+    ends = some.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    marks = materialize(sets.join(broadcast_if_small(ends), "node", "left_semi").select("node", "labels"), "measured")
+
+    def agree(batches):
+        for batch in filter(len, batches):
+            x, y = (np.frombuffer(b"".join(v for row in c.to_pylist() for v in row), ">u2").reshape(len(batch), -1)
+                    for c in batch.columns)
+            yield pa.record_batch([pa.array((x == y).sum(axis=1), pa.int64())], names=["agreeing"])
+
+    both = some.join(marks.select(F.col("node").alias("a"), F.col("labels").alias("x")), "a") \
+        .join(marks.select(F.col("node").alias("b"), F.col("labels").alias("y")), "b").select("x", "y")
+    return Counter({r.agreeing: r["count"] / share for r in
+                    both.mapInArrow(agree, "agreeing bigint").groupBy("agreeing").count().collect()})
+
+
+def _roots(pairs: DataFrame) -> DataFrame:
+    """``node, root``: the smallest set that a set met, or that this one met."""
+    least = pairs.groupBy("a").agg(F.min("b").alias("b"))
+    beyond = least.select(F.col("a").alias("b"), F.col("b").alias("c"))
+    return least.join(beyond, "b", "left").select(F.col("a").alias("node"), F.coalesce("c", "b").alias("root"))
+
+
+def descend(sets: DataFrame, threshold: float) -> tuple[DataFrame, int]:
+    """``a, b`` pairs that connect all sets that meet, and the prefix length at which
+    the descent of the forest ended. ``sets`` has ``node, labels``."""
+    last = prefix_length(threshold)
+    pairs, roots, agreeing = None, None, Counter()
+    for k in range(DEPTH, last - 1, -1):
+        met = materialize(_meetings(sets, roots, k), "meetings")
+        pairs = met if pairs is None else pairs.unionByName(met)
+        if k > last:
+            agreeing += _agreement(met, sets)
+            if measured_recall(agreeing, k, threshold) >= MEASURED_RECALL:
+                break
+            roots = materialize(_roots(pairs), "roots")
+    return pairs, k
+
+
 def verify_tile(left: list[tuple[int, str]], right: list[tuple[int, str]] | None, threshold: float, n: int):
     """Exact links of a tile: (id, number of links here, smallest id it is connected with here).
 
@@ -220,13 +309,8 @@ def jaccard_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5) -> Data
     sets = signed.where("digest is not null").groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.min("spare").alias("spare"), F.count("*").alias("n_copies"), F.first("labels").alias("labels"))
     sets = materialize(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
-    depth = prefix_length(threshold)
-    nodes = sets.select("node", F.posexplode("labels").alias("tree", "label")) \
-        .select("node", "tree", F.substring("label", 1, 2 * depth).alias("prefix"))
-    hubs = nodes.groupBy("tree", "prefix").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    stars = nodes.join(hubs.select("tree", "prefix", "hub"), ["tree", "prefix"]).where("node <> hub")
-    groups = materialize(components(stars.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
-                         .select(F.col("id").alias("node"), "component"), "candidates")
+    pairs, _ = descend(sets, threshold)
+    groups = materialize(components(pairs).select(F.col("id").alias("node"), "component"), "candidates")
     sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
     members = materialize(groups.join(sizes, "component").join(sets.select("node", "rep", "spare"), "node"), "candidates")
     with_id = members.where("rep is not null").select("node", "component", "size", F.col("rep").alias("doc_id"))

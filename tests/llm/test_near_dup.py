@@ -1,5 +1,7 @@
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from aerolake.llm import graph, near_dup
 from .plain_words import words_of_spaces
 
@@ -68,6 +70,64 @@ def test_prefix_is_shortened_until_the_target_recall():
     assert recall(k) >= near_dup.RECALL and (k == near_dup.DEPTH or recall(k + 1) < near_dup.RECALL)
 
 
+def test_descent_ends_where_the_measured_recall_is_met():
+    """Against random draws: pairs of given similarities that meet stand for all of them."""
+    rng = np.random.default_rng(3)
+    values = near_dup.TREES * near_dup.DEPTH
+    for similarity, k in [(0.8, 8), (0.85, 8), (0.8, 7), (0.95, 8)]:
+        same = rng.random((4000, near_dup.TREES, near_dup.DEPTH)) < similarity
+        met = same[:, :, :k].all(axis=2).any(axis=1)
+        counts = dict(zip(*np.unique(same[met].sum(axis=(1, 2)), return_counts=True)))
+        # Noise of the estimated similarities shows as recall that is too low, never too high.
+        assert -0.008 < near_dup.measured_recall(counts, k, 0.5, prior=0) - met.mean() < 0.001
+    close = {round(0.95 * values): 100_000}
+    assert near_dup.measured_recall(close, 8, 0.8) >= near_dup.MEASURED_RECALL
+    assert near_dup.measured_recall({round(0.95 * values): 10}, 8, 0.8) < near_dup.MEASURED_RECALL
+    assert near_dup.measured_recall({}, 8, 0.8) < near_dup.MEASURED_RECALL
+
+
+def _sets(spark, make_docs, rows):
+    signed = near_dup.signatures(make_docs(rows).select("doc_id", "text")).where("digest is not null")
+    return signed.select(F.col("doc_id").alias("node"), "labels").cache()
+
+
+def test_descent_joins_all_that_share_a_prefix(spark, make_docs, tricky, monkeypatch):
+    """Every level down to the shortest prefix gives the components of its plain form."""
+    sets = _sets(spark, make_docs, [r for r in tricky if r[0] is not None])
+    labels = {r.node: [bytes(x) for x in r.labels] for r in sets.collect()}
+    for ends in (False, True):
+        monkeypatch.setattr(near_dup, "measured_recall", lambda *a: float(ends))
+        pairs, k = near_dup.descend(sets, 0.8)
+        assert k == (near_dup.DEPTH if ends else near_dup.prefix_length(0.8))
+        first = {}
+        plain = [(i, first.setdefault((t, x[:2 * k]), i)) for i, row in sorted(labels.items()) for t, x in enumerate(row)]
+        want = graph.components(spark.createDataFrame(plain, "a long, b long"))
+        got = graph.components(pairs)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_joined_nodes_are_left_alone(spark, make_docs):
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join([*words[:40 * i], f"x{i}", *words[40 * i + 1:]])) for i in range(8)]
+    sets = _sets(spark, make_docs, rows)
+    met = near_dup._meetings(sets, None, 8)
+    roots = near_dup._roots(met)
+    assert {(r.node, r.root) for r in roots.collect()} == {(i, 0) for i in range(1, 8)}
+    assert near_dup._meetings(sets, None, 6).count() > 0 and near_dup._meetings(sets, roots, 6).count() == 0
+
+
+def test_agreement_counts_label_values(spark, make_docs, tricky):
+    sets = _sets(spark, make_docs, [r for r in tricky if r[0] in (1, 8, 9, 13)])
+    rows = {r.node: np.frombuffer(b"".join(map(bytes, r.labels)), ">u2") for r in sets.collect()}
+    pairs = [(8, 1), (9, 1), (13, 9)]
+    got = near_dup._agreement(spark.createDataFrame(pairs, "a long, b long"), sets)
+    want = {}
+    for a, b in pairs:
+        same = int((rows[a] == rows[b]).sum())
+        want[same] = want.get(same, 0) + 1
+    assert got == want
+
+
 def test_labels_agree_like_jaccard():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
