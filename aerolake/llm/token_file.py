@@ -27,7 +27,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,13 +43,13 @@ BLOCK_IDS = 1 << 14
 NO_ID = -(1 << 63)
 # Ids held at once while reading back.
 _READ_IDS = 1 << 20
-# Distinct runs whose ids a task remembers, and words encoded in one call.
+# Distinct parts whose ids a task remembers, and words encoded in one call.
 _KNOWN, _AT_ONCE = 1 << 18, 2000
-# Bytes of text encoded in one numpy step.
-_SLICE = 1 << 20
+# Bytes of text encoded in one numpy step, in which every different run is looked up once.
+_SLICE = 4 << 20
 _MARK = "\x01"
 # ASCII punctuation but the apostrophe, which may start a contraction.
-_PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def bits_for(vocab_size: int) -> int:
@@ -198,6 +198,10 @@ class _Numbers(dict):
         return n
 
 
+def _texts(values: pa.StringArray) -> list[str]:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 class _Table:
     """Growing lists of ids, numbered; entry 0 is empty."""
 
@@ -217,7 +221,7 @@ class _Table:
 
 
 class Encoder:
-    """Ids of texts (UTF-8), with every distinct word encoded once.
+    """Ids of texts (UTF-8), with every distinct word encoded once, and looked up once a slice.
 
     Right for tokenizers that join neither what white space parts nor letters
     and the punctuation after them. Texts fall into runs without white space; a
@@ -241,10 +245,7 @@ class Encoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _forget(self):
-        self.runs, self.parts = _Numbers(), _Numbers({b"": 0})
-        self.part_ids, self.run_ids = _Table(), _Table()
-        self.run_ids.add(np.array([self.end_id], np.uint32), np.ones(1, np.int64))
-        self.runs[b""], self.runs[b" "] = 0, 1  # 1 is the end of a document
+        self.parts, self.part_ids = _Numbers({"": 0}), _Table()
 
     def _encode(self, words: list[str]) -> list[list[int]]:
         """Each word's ids by the whole tokenizer: one text, with a mark after each word."""
@@ -268,63 +269,94 @@ class Encoder:
         pieces = [x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
         return self._by_model(pieces) if len(pieces) == len(words) else self._encode(words)
 
-    def _is_word(self, run: bytes) -> bool:
-        """Whether a run is all letters, and still is when the tokenizer has normalised it
+    def _are_words(self, heads: pa.StringArray) -> np.ndarray:
+        """Whether each is all letters, and still is when the tokenizer has normalised it
         (some letters fall apart into a letter and marks)."""
-        if run.isascii():
-            return run.isalpha()
-        text, normal = run.decode(), self.tokenizer.normalizer
-        return text.isalpha() and (normal is None or normal.normalize_str(text).isalpha())
+        import pyarrow.compute as pc
+        out = pc.ascii_is_alpha(heads).to_numpy(zero_copy_only=False)
+        beyond = np.flatnonzero(~pc.string_is_ascii(heads).to_numpy(zero_copy_only=False))
+        alpha = [(i, x) for i, x in zip(beyond.tolist(), _texts(heads.take(pa.array(beyond)))) if x.isalpha()]
+        normal = self.tokenizer.normalizer
+        for k in range(0, len(alpha), _AT_ONCE):
+            some = alpha[k:k + _AT_ONCE]
+            # Letters don't join over a space, so that many are normalised in one call.
+            words = [x for _, x in some] if normal is None else normal.normalize_str(" ".join([x for _, x in some])).split(" ")
+            if len(words) != len(some):
+                words = [normal.normalize_str(x) for _, x in some]
+            out[[i for i, _ in some]] = [x.isalpha() for x in words]
+        return out
 
-    def _learn_parts(self, fresh: list[bytes]) -> None:
+    def _learn_parts(self, fresh: list[str], words: set[str]) -> None:
+        """``words``: the parts that are all letters."""
         lists: list = [None] * len(fresh)
         plain, letters, rest = [], [], []
         for i, x in enumerate(fresh):
-            (plain if x.isalpha() else letters if self._is_word(x) else rest).append(i)
+            (rest if x not in words else plain if x.isascii() else letters).append(i)
         if self.direct is None and plain:  # whether plain ASCII words reach the model as they are
-            some = [fresh[i].decode() for i in plain[:200]]
+            some = [fresh[i] for i in plain[:200]]
             self.direct = self._encode(some) == self._by_model(some)
         for numbers, encode in ((plain, self._by_model if self.direct else self._by_steps), (letters, self._by_steps),
                                 (rest, self._encode)):
             for k in range(0, len(numbers), _AT_ONCE):
                 some = numbers[k:k + _AT_ONCE]
-                for i, ids in zip(some, encode([fresh[i].decode() for i in some])):
+                for i, ids in zip(some, encode([fresh[i] for i in some])):
                     lists[i] = ids
         size = np.fromiter(map(len, lists), np.int64, len(lists))
         self.part_ids.add(np.fromiter(chain.from_iterable(lists), np.uint32, int(size.sum())), size)
 
-    def _learn(self, fresh: list[bytes]) -> None:
-        part, heads, tails, before = self.parts.__getitem__, [], [], len(self.parts)
-        for run in fresh:
-            head = run.rstrip(_PUNCTUATION)
-            if self._is_word(head):
-                heads.append(part(head))
-                tails.append(part(run[len(head):]) if len(head) < len(run) else 0)
-            else:
-                heads.append(part(run))
-                tails.append(0)
+    def _numbers(self, runs: pa.StringArray) -> np.ndarray:
+        """The numbers of the two parts of each run; what is new is encoded."""
+        import pyarrow.compute as pc
+        part, before = self.parts.__getitem__, len(self.parts)
+        heads = pc.ascii_rtrim(runs, characters=_PUNCTUATION)
+        cut = pc.dictionary_encode(heads)
+        words = self._are_words(cut.dictionary)
+        at = cut.indices.to_numpy()
+        out, of_head = np.zeros((len(runs), 2), np.int64), np.zeros(len(words), np.int64)
+        texts = _texts(cut.dictionary.filter(pa.array(words)))
+        of_head[words] = np.fromiter(map(part, texts), np.int64, len(texts))
+        out[:, 0] = of_head[at]
+        whole = np.flatnonzero(~words[at])
+        out[whole, 0] = np.fromiter(map(part, _texts(runs.take(pa.array(whole)))), np.int64, len(whole))
+        longer = pc.greater(pc.binary_length(runs), pc.binary_length(heads)).to_numpy(zero_copy_only=False)
+        tailed = pa.array(np.flatnonzero(words[at] & longer))
+        # Few different tails: each is looked up once.
+        tails = pc.dictionary_encode(pa.array([run[len(head):] for run, head in zip(_texts(runs.take(tailed)), _texts(heads.take(tailed)))],
+                                              pa.string()))
+        if len(tailed):
+            out[tailed.to_numpy(), 1] = np.array([part(x) for x in tails.dictionary.to_pylist()], np.int64)[tails.indices.to_numpy()]
         if len(self.parts) > before:
-            self._learn_parts(list(self.parts)[before:])
-        flat, size = self.part_ids.get(np.array([heads, tails], np.int64).T.ravel())
-        self.run_ids.add(flat, size.reshape(-1, 2).sum(axis=1))
+            self._learn_parts(list(islice(self.parts, before, None)), set(texts))
+        return out
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, with the end id after each text, and ids per text."""
-        if len(self.runs) > _KNOWN:
+        import pyarrow.compute as pc
+        if not texts:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if len(self.parts) > _KNOWN:
             self._forget()
-        number, before, index, counts = self.runs.__getitem__, len(self.runs), [], []
+        folded = []
         for text in texts:
             text = text or b""
             low = text.lower()
-            words = (low if self.folds and not any(x in low for x in self.specials) else text).split()
-            index.extend(map(number, words))
-            index.append(1)
-            counts.append(len(words) + 1)
-        if len(self.runs) > before:
-            self._learn(list(self.runs)[before:])
-        flat, size = self.run_ids.get(np.array(index, np.int64))
-        sizes = np.add.reduceat(size, np.cumsum([0, *counts[:-1]])) if counts else np.zeros(0, np.int64)
-        return flat, sizes
+            folded.append(low if self.folds and not any(x in low for x in self.specials) else text)
+        # Every different run of the slice once; white space at an end leaves an empty run.
+        split = pc.ascii_split_whitespace(pa.array(folded, pa.string()))
+        runs = pc.dictionary_encode(split.flatten())
+        numbers = self._numbers(runs.dictionary)
+        flat, size = self.part_ids.get(numbers.ravel())
+        ids = _Table()
+        ids.add(np.append(flat, self.end_id).astype(np.uint32), np.append(size.reshape(-1, 2).sum(axis=1), 1))
+        counts = np.diff(split.offsets.to_numpy()) + 1
+        index = np.zeros(int(counts.sum()), np.int64)
+        ends = np.cumsum(counts) - 1
+        inside = np.ones(len(index), bool)
+        inside[ends] = False
+        index[inside] = runs.indices.to_numpy() + 1
+        index[ends] = len(runs.dictionary) + 1
+        flat, size = ids.get(index)
+        return flat, np.add.reduceat(size, ends - counts + 1)
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, vocab_size: int) -> DataFrame:

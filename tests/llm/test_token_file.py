@@ -77,3 +77,30 @@ def test_every_letter_with_punctuation():
     ends = np.cumsum(sizes)
     wrong = [c for c, a, b, w in zip(letters, ends - sizes, ends, want) if flat[a:b].tolist() != w]
     assert wrong == []
+
+
+def test_many_words_are_normalised_in_one_call():
+    """Ids equal to the library's, without a call of the normaliser for every word."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, encoder = Tokenizer.from_file(path), token_file.Encoder(path, 1)
+    calls = []
+
+    class Counted:
+        def __init__(self, held):
+            self.held = held
+
+        def __getattr__(self, name):
+            value = getattr(self.held, name)
+            if name == "normalize_str":
+                calls.append(1)
+            return Counted(value) if name == "normalizer" else value
+
+    encoder.tokenizer = Counted(encoder.tokenizer)
+    words = [chr(0xE0 + i % 20) + "é" * (i % 3) + f"{'abcdefghij'[i // 20 % 10]}{'klmnopqrst'[i // 200 % 10]}" for i in range(2000)]
+    texts = [" ".join(words), " " + ",\t".join(words[:50]) + "!? \n", "", "x́y क़ " + words[3] + "...",]
+    flat, sizes = encoder.encode([t.encode() for t in texts])
+    want = [tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    assert flat.tolist() == [i for ids in want for i in ids] and sizes.tolist() == list(map(len, want))
+    assert len(calls) < 20
