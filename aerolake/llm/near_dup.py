@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, bound_batches, broadcast_if_small, materialize, release, sampled, schema, text_chunks
+from .common import arrow_map, bound_batches, broadcast_if_small, materialize, release, schema, text_chunks
 from .graph import components
 
 TREES, DEPTH, RECALL = 28, 8, 0.9995
 # The descent ends above the shortest prefix if this share of the links has met. The
-# share is measured on about ``MEASURED`` pairs a level and counts ``PRIOR`` more pairs
-# just at the threshold, so that a few close pairs alone don't end it.
-MEASURED_RECALL, MEASURED, PRIOR = 0.9998, 20_000, 1000
+# share is measured on all pairs that met and counts ``PRIOR`` more pairs just at the
+# threshold, so that a few close pairs alone don't end it.
+MEASURED_RECALL, PRIOR = 0.9998, 1000
 BLOCK = 256
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _COLUMNS = 1 << 13  # distinct shingles per step of a tile's products
@@ -162,22 +162,21 @@ def _meetings(sets: DataFrame, roots: DataFrame | None, k: int) -> DataFrame:
 
 
 def _agreement(pairs: DataFrame, sets: DataFrame) -> Counter:
-    """How many pairs agree in how many label values, from a sample of about ``MEASURED``
-    pairs; only these counts reach the driver."""
-    share = min(1.0, MEASURED / max(1, pairs.count()))
-    some = materialize(pairs.where(sampled(F.xxhash64("a", "b"), share, "forest")), "measured")
-    ends = some.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    marks = materialize(sets.join(broadcast_if_small(ends), "node", "left_semi").select("node", "labels"), "measured")
+    """How many of all the pairs agree in how many label values; only these counts reach
+    the driver."""
 
     def agree(batches):
         for batch in filter(len, batches):
-            x, y = (np.frombuffer(b"".join(v for row in c.to_pylist() for v in row), ">u2").reshape(len(batch), -1)
-                    for c in batch.columns)
+            x, y = (np.frombuffer(b"".join(c.to_pylist()), ">u2").reshape(len(batch), -1) for c in batch.columns)
             yield pa.record_batch([pa.array((x == y).sum(axis=1), pa.int64())], names=["agreeing"])
 
-    both = some.join(marks.select(F.col("node").alias("a"), F.col("labels").alias("x")), "a") \
-        .join(marks.select(F.col("node").alias("b"), F.col("labels").alias("y")), "b").select("x", "y")
-    return Counter({r.agreeing: r["count"] / share for r in
+    bound_batches(pairs.sparkSession)
+    pairs = broadcast_if_small(pairs)
+    # Labels of a tree stand one after the other: one value a row travels.
+    marks = sets.select("node", F.concat(*[F.element_at("labels", t + 1) for t in range(TREES)]).alias("marks"))
+    end = lambda c, name: marks.join(pairs, marks["node"] == pairs[c]).select("a", "b", F.col("marks").alias(name))
+    both = end("a", "x").join(end("b", "y"), ["a", "b"]).select("x", "y")
+    return Counter({r.agreeing: r["count"] for r in
                     both.mapInArrow(agree, "agreeing bigint").groupBy("agreeing").count().collect()})
 
 

@@ -128,6 +128,20 @@ def test_agreement_counts_label_values(spark, make_docs, tricky):
     assert got == want
 
 
+def test_agreement_counts_every_pair(spark, make_docs, monkeypatch):
+    """Counts of many pairs are whole, not those of a share of the pairs."""
+    monkeypatch.setattr(near_dup, "MEASURED", 20, raising=False)
+    words = [f"w{i}" for i in range(300)]
+    sets = _sets(spark, make_docs, [(i, " ".join([*words[:i], f"x{i}", *words[i + 1:]])) for i in range(60)])
+    rows = {r.node: np.frombuffer(b"".join(map(bytes, r.labels)), ">u2") for r in sets.collect()}
+    pairs = [(i, 0) for i in range(1, 60)] + [(i, 1) for i in range(2, 60)]
+    want = {}
+    for a, b in pairs:
+        same = int((rows[a] == rows[b]).sum())
+        want[same] = want.get(same, 0) + 1
+    assert near_dup._agreement(spark.createDataFrame(pairs, "a long, b long"), sets) == want
+
+
 def test_labels_agree_like_jaccard():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
