@@ -40,6 +40,7 @@ from aerolake.session import ensure_checkpoint_dir  # noqa: E402
 from aerolake.sources import (YEAR_PARTITION, csv_to_ndjson, export_csv, export_parquet, head_in_source_order,  # noqa: E402
                               read_code_map, read_csv, read_flights_csv, read_lookup_records, read_parquet,
                               read_parquet_bytes, read_parquet_relaxed, union_relaxed, write_clean)
+from aerolake.sources.files import list_files  # noqa: E402
 from aerolake.streaming import compact, read_rollups, rollup_report, stream_rollups  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -392,15 +393,21 @@ def q_report_reuse(spark, d):
     return _report_rows(out).withColumn("reutilizado", F.lit(reused))
 
 
+# Flights of an extract, about 75 MB of text.
+EXTRACT_ROWS = 1_000_000
+
+
 def q_report_incremental(spark, d):
     """The report of a range of days from aggregates that a file stream keeps: four
-    extracts, two a batch, added up into a base and read."""
+    extracts, or more of bounded size, half of them a batch, added up into a base and read."""
     folder = _folder(spark, "rollups")
     raw = _raw(spark, d)
-    raw.repartitionByRange(4, f"`{COLS.flight_number}`").write.option("header", True).option("sep", ";").option("escape", '"') \
+    extracts = max(4, -(-testbed.table(spark, d, "lineitem").count() // EXTRACT_ROWS))
+    raw.repartitionByRange(extracts, f"`{COLS.flight_number}`").write.option("header", True).option("sep", ";").option("escape", '"') \
         .csv(f"{folder}/extracts")
+    half = -(-len(list_files(spark, f"{folder}/extracts")) // 2)
     stream_rollups(spark, f"{folder}/extracts", raw.columns, testbed.airports(spark, d), testbed.airlines(spark, d),
-                   f"{folder}/store", f"{folder}/log", name=f"rollups-{uuid.uuid4().hex}", files_per_batch=2).awaitTermination()
+                   f"{folder}/store", f"{folder}/log", name=f"rollups-{uuid.uuid4().hex}", files_per_batch=half or None).awaitTermination()
     compact(spark, f"{folder}/store")
     days = FilterSpec(day_start=REPORT_SPEC.day_start, day_end=REPORT_SPEC.day_end)
     return _report_rows(rollup_report(read_rollups(spark, f"{folder}/store"), days))

@@ -130,3 +130,15 @@ def test_update_and_stored_report_from_the_command_line(spark, world, tmp_path):
         assert main(["report", "--clean", f"{folder}/clean", "--out", f"{folder}/report", "--store", f"{folder}/results", *days], spark) == 0
     for name in ("kpis", "per_day", "aeroportos", "rotas"):
         assert rows(spark.read.parquet(f"{folder}/increments/{name}")) == rows(spark.read.parquet(f"{folder}/report/{name}")), name
+
+
+def test_extracts_grow_in_number_with_the_flights(spark, tmp_path, monkeypatch):
+    """The query's extracts hold a bounded number of flights each, and still come in two batches."""
+    import __spark_entry__ as entry
+    monkeypatch.setattr(entry, "EXTRACT_ROWS", 600, raising=False)
+    monkeypatch.setattr(entry, "_folder", lambda spark, name: f"{tmp_path}/{name}")
+    got = entry.q_report_incremental(spark, SF001).where("nome = 'kpis'").collect()
+    files = [f for f in os.listdir(f"{tmp_path}/rollups/extracts") if f.startswith("part-")]
+    assert len(files) > 8 and sorted(os.listdir(f"{tmp_path}/rollups/store/lote")) == [f"lote-{k:012d}" for k in (0, 1)]
+    rows_in = [sum(1 for _ in open(f"{tmp_path}/rollups/extracts/{f}", encoding="utf-8")) for f in files]
+    assert max(rows_in) < 1500 and len(got) == 1
