@@ -486,11 +486,11 @@ def q_csv_export(spark, d):
 
 
 def q_ndjson_roundtrip(spark, d):
-    """A CSV export with line breaks in quotes turned into JSON lines and read back."""
+    """A CSV export with line breaks in quotes turned into compressed JSON lines and read back."""
     folder = _folder(spark, "ndjson")
     raw = _awkward(_raw(spark, d))
     export_csv(raw, f"{folder}/csv")
-    csv_to_ndjson(spark, f"{folder}/csv", f"{folder}/json")
+    csv_to_ndjson(spark, f"{folder}/csv", f"{folder}/json", compression="gzip")
     return to_ascii_names(read_lookup_records(spark, f"{folder}/json", raw.columns, "ndjson"))
 
 

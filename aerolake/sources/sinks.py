@@ -56,10 +56,15 @@ def export_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ","
 
 
 def csv_to_ndjson(spark: SparkSession, src: str, dst: str, mode: str = "overwrite", sep: str = ",",
-                  encoding: str = "UTF-8", multi_line: bool = True) -> None:
+                  encoding: str = "UTF-8", multi_line: bool = True, compression: str = "none",
+                  rows_per_file: int = 1_000_000) -> None:
     """CSV with header → newline-delimited JSON (one object per row). Any valid CSV:
-    quoted fields may hold line breaks, unless ``multi_line=False`` rules them out."""
-    read_csv(spark, src, sep, encoding, multi_line=multi_line).write.mode(mode).json(dst)
+    quoted fields may hold line breaks, unless ``multi_line=False`` rules them out.
+
+    Every row repeats all names, so the files are several times the CSV's: ``compression="gzip"``
+    keeps them small. A compressed file is read by one task, hence the bound on its rows."""
+    options = {"compression": compression} | ({} if compression == "none" else {"maxRecordsPerFile": rows_per_file})
+    read_csv(spark, src, sep, encoding, multi_line=multi_line).write.mode(mode).options(**options).json(dst)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

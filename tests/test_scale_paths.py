@@ -197,6 +197,18 @@ def test_ndjson_of_any_csv(spark, tmp_path):
         sorted((r[0], r[1].replace("\r\n", "\n")) for r in data)
 
 
+def test_ndjson_compressed_in_files_of_bounded_rows(spark, tmp_path):
+    write_csv(str(tmp_path / "a.csv"), ["id", "x", "y", "z"], awkward_rows(random.Random(5), 400))
+    csv_to_ndjson(spark, str(tmp_path / "a.csv"), str(tmp_path / "plain"))
+    csv_to_ndjson(spark, str(tmp_path / "a.csv"), str(tmp_path / "small"), compression="gzip", rows_per_file=100)
+    files = {k: glob.glob(f"{tmp_path}/{k}/part-*") for k in ("plain", "small")}
+    size = {k: sum(os.path.getsize(f) for f in v) for k, v in files.items()}
+    assert len(files["small"]) >= 4 and size["small"] < 0.7 * size["plain"]
+    schema = "id string, x string, y string, z string"
+    got = {k: sorted(map(str, spark.read.schema(schema).json(f"{tmp_path}/{k}").collect())) for k in files}
+    assert got["small"] == got["plain"] and len(got["plain"]) == 400
+
+
 # ---------------------------------------------------------------- first rows in source order
 def test_head_reads_only_the_first_files(spark, tmp_path):
     path = str(tmp_path / "t")
