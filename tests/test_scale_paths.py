@@ -197,6 +197,30 @@ def test_ndjson_of_any_csv(spark, tmp_path):
         sorted((r[0], r[1].replace("\r\n", "\n")) for r in data)
 
 
+def test_only_torn_ranges_are_read_again(spark, tmp_path):
+    """No job runs to plan the read, and ranges that no record crosses are assembled once."""
+    from aerolake.sources import quoted
+    plain, broken = str(tmp_path / "plain.csv"), str(tmp_path / "broken.csv")
+    write_csv(plain, ["id", "x"], [[i, 'a "b", c'] for i in range(300)])
+    write_csv(broken, ["id", "x"], [[i, "text\n" * 300 if i == 150 else "a"] for i in range(300)])
+    keys = {"spark.sql.files.maxPartitionBytes": "512", "spark.sql.files.openCostInBytes": "0"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("quoted-plan", "planning only")
+        records = [quoted.quoted_records(spark, [p]) for p in (plain, broken)]
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("quoted-plan")) == []
+        assert [r.count() for r in records] == [300, 300]
+        starts = [quoted._starts(quoted._lines(spark, [p])) for p in (plain, broken)]
+        assert starts[0].where("torn").count() == 0 and starts[0].count() > 5
+        assert 2 <= starts[1].where("torn").count() < starts[1].count()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_ndjson_compressed_in_files_of_bounded_rows(spark, tmp_path):
     write_csv(str(tmp_path / "a.csv"), ["id", "x", "y", "z"], awkward_rows(random.Random(5), 400))
     csv_to_ndjson(spark, str(tmp_path / "a.csv"), str(tmp_path / "plain"))
