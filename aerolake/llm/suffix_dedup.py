@@ -14,8 +14,10 @@ whose remainders are in the cover, and these sampled places have
    in a window, the tuple, and what may lie behind. Equal triples are equal
    in all windows through the tuple: only the earliest stays.
 3. The remaining suffixes are merged through the next sampled place. Where the
-   earliest triples of one tuple differ, they can still share some windows: those
-   windows are sorted, and adjacent ones compared.
+   earliest triples of one tuple differ, they can still share some windows. All
+   windows of a half, by the tuple's place in them, have ``WINDOW - v / 2`` bytes in
+   common: these are sorted and counted as the tuples were, and halves that occur once
+   leave. The windows of the others are sorted, and adjacent ones compared.
 
 Sorting is distributed by ranges of names (``bucket``). Names travel as sorted
 columns of a slab of documents, one row for a slab and range, and the answers
@@ -24,10 +26,14 @@ slabs, written once, bucketed by slab, and read beside the answers without anoth
 shuffle. A slab sends a name once with its smallest id and count: text
 shared by a third of all documents is one entry per slab.
 
-Tuples are compared by 32 bits and the range's; a collision there only sends more to
-the next step. Triples and windows are compared by 96 bits of two hashes: the result is
+Tuples and halves are compared by 32 bits and the range's; a collision there only sends
+more to the next step. Triples and windows are compared by 96 bits of two hashes: the result is
 right but for a chance of about m * m / 2 ** 97 for m names, 6e-12 for a billion.
 
+Names grow faster than the text, as more of them repeat by chance; most of those end with
+their half. The shuffle files of a step are removed when its answers are written, so
+the disk holds the slabs, the answers and one step's names.
+
 Defined cases: a null text has no bytes; rows with equal ids are not earlier than
 each other, a null id is later than any id, and rows without id are not
 earlier than each other; repeated rows are reported each; other columns are
@@ -44,12 +50,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialize, release, shared_dir, text_chunks
+from .common import bound_batches, materialize, release, shared_dir, shuffles_removed, text_chunks
 
 WINDOW = 100
 # A cover of all differences modulo 73: each but 0 is met exactly once.
 MODULUS, COVER = 73, (0, 1, 12, 20, 26, 30, 33, 35, 57)
 NAME = WINDOW - MODULUS + 1
+# A tuple's least and largest place in the windows of each half.
+HALVES = ((0, MODULUS // 2), (MODULUS // 2 + 1, MODULUS - 1))
 NO_ID = (1 << 63) - 1
 # Bytes of text in a slab and a range of names: about the square root of all text, between these.
 SLAB, RANGE = (2 << 20, 64 << 20), (4 << 20, 512 << 20)
@@ -81,23 +89,28 @@ class Slab:
     def documents(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.begin, at, "right") - 1
 
-    def hashes(self, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two hashes of the ``size`` (at least 8) bytes from ``at`` on."""
+    def hashes(self, at: np.ndarray, size: np.ndarray, second: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes, or the first only, of the ``size`` (at least 8) bytes from ``at`` on."""
         h, g = size.astype(np.uint64), size.astype(np.uint64) * _SIX
         longest, least = (int(size.max()), int(size.min())) if len(size) else (0, 0)
         for i in range(longest // 8):
             some = slice(None) if 8 * (i + 1) <= least else np.flatnonzero(size >= 8 * (i + 1))
             word = self.words[at[some] + 8 * i]
             h[some] = _mixed(h[some] + word)
-            g[some] = _mixed(g[some] ^ (word * _SIX))
+            if second:
+                g[some] = _mixed(g[some] ^ (word * _SIX))
         word = self.words[at + size - 8]
-        return _mixed(h + word), _mixed(g ^ (word * _SIX))
+        return _mixed(h + word), _mixed(g ^ (word * _SIX)) if second else g
 
-    def names(self, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(distinct names, number of each sampled tuple's name, counts)."""
-        h, _ = self.hashes(self.sampled, np.full(len(self.sampled), NAME))
+    def names(self, at: np.ndarray, size: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(distinct names, number of the name of the ``size`` bytes from each ``at`` on, counts)."""
+        h, _ = self.hashes(at, size, second=False)
         return np.unique(h >> np.uint64(32 - bits), return_inverse=True, return_counts=True)
 
+    def tuples(self, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The names of the sampled tuples."""
+        return self.names(self.sampled, np.full(len(self.sampled), NAME), bits)
+
     def reach(self, at: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The first and last window through the tuples at ``at``."""
         begin = self.begin[doc]
@@ -165,14 +178,21 @@ def _entries(slab: int, bucket: np.ndarray, columns: list[Callable[[slice], byte
                            names=["slab", "bucket", "names", "rest", "ids", "counts"])
 
 
+def _counted(slab: int, names: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    short = (names & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    empty = lambda s: b""
+    return _entries(slab, (names >> np.uint64(32)).astype(np.int64), [
+        lambda s: _steps(short[s]), empty, empty, lambda s: _pack(counts[s].astype(np.uint32))])
+
+
 def _named(slab: int, names: Names, bits: int) -> pa.RecordBatch:
     bucket = (names.h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(names.h), np.int64)
     return _entries(slab, bucket, [lambda s: _steps(names.h[s]), lambda s: _pack(names.g[s]),
                                    lambda s: _pack(names.least[s]), lambda s: _pack(names.count[s])])
 
 
-def _count_tuples(rows: list[dict]) -> list[np.ndarray]:
-    """How often each tuple occurs in all slabs, up to ``_MANY``."""
+def _total(rows: list[dict]) -> list[np.ndarray]:
+    """How often each tuple or half occurs in all slabs, up to ``_MANY``."""
     parts = [_unsteps(r["names"], np.uint32) for r in rows]
     names, number = np.unique(np.concatenate(parts), return_inverse=True)
     total = np.bincount(number, np.concatenate([_unpack(r["counts"], np.uint32) for r in rows]), len(names))
@@ -215,8 +235,9 @@ def _answers(entries: DataFrame, answer: Callable[[list[dict]], list[np.ndarray]
             yield reply()
 
     replies = entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "slab bigint, bucket bigint, reply binary")
-    return materialize(replies.groupBy("slab").agg(F.sort_array(F.collect_list(F.struct("bucket", "reply"))).alias("r"))
-                       .select("slab", F.transform("r", lambda x: x["reply"]).alias(column)), column)
+    with shuffles_removed(entries.sparkSession):
+        return materialize(replies.groupBy("slab").agg(F.sort_array(F.collect_list(F.struct("bucket", "reply"))).alias("r"))
+                           .select("slab", F.transform("r", lambda x: x["reply"]).alias(column)), column)
 
 
 def _packed(docs: DataFrame, slab_bytes: int) -> DataFrame:
@@ -255,15 +276,16 @@ def _packed(docs: DataFrame, slab_bytes: int) -> DataFrame:
 def _stored(slabs: DataFrame, parts: int) -> DataFrame:
     """Slabs written once, bucketed by slab."""
     spark, name = slabs.sparkSession, f"slabs_{uuid.uuid4().hex}"
-    slabs.withColumn("slab", F.monotonically_increasing_id()).repartition(parts, "slab").write.format("parquet") \
-        .option("path", shared_dir(spark, "slabs")).bucketBy(parts, "slab").sortBy("slab").saveAsTable(name)
+    with shuffles_removed(spark):
+        slabs.withColumn("slab", F.monotonically_increasing_id()).repartition(parts, "slab").write.format("parquet") \
+            .option("path", shared_dir(spark, "slabs")).bucketBy(parts, "slab").sortBy("slab").saveAsTable(name)
     return spark.table(name)
 
 
 def _over(slabs: DataFrame, work: Callable, out: str) -> DataFrame:
     """``work(number, slab, answers)`` for every slab."""
     bound_batches(slabs.sparkSession)
-    columns = [c for c in slabs.columns if c in ("tuples", "triples", "windows")]
+    columns = [c for c in slabs.columns if c in ("tuples", "triples", "halves", "windows")]
     ordered = slabs.select("slab", "ids", "sizes", "n", "text", *columns)
 
     def run(batches):
@@ -282,29 +304,46 @@ class Found:
     """What the answers say of a slab: its repeated and its open windows."""
 
     def __init__(self, slab: Slab, bits: int, tuples: np.ndarray):
-        _, number, _ = slab.names(bits)
+        _, number, _ = slab.tuples(bits)
         total = tuples[number] if len(number) else np.zeros(0, np.uint8)
-        self.slab, self.at, self.total = slab, slab.sampled[total > 1], total[total > 1]
+        self.slab, self.bits, self.at, self.total = slab, bits, slab.sampled[total > 1], total[total > 1]
         doc = slab.documents(self.at)
         self.first, self.last = slab.reach(self.at, doc)
         h, g = slab.hashes(self.first, self.last + WINDOW - self.first)
         shift = (self.at - self.first).astype(np.uint64)
         self.triples = Names(slab, _mixed(h + shift), _mixed(g + shift), self.at)
 
-    def marks(self, chosen: np.ndarray) -> np.ndarray:
-        """The windows through the chosen tuples."""
+    def marks(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """The windows from each ``first`` to its ``last``."""
         change = np.zeros(len(self.slab.text) + 1, np.int32)
-        np.add.at(change, self.first[chosen], 1)
-        np.add.at(change, self.last[chosen] + 1, -1)
+        np.add.at(change, first, 1)
+        np.add.at(change, last + 1, -1)
         return np.cumsum(change)[:-1] > 0
 
-    def windows(self, triples: np.ndarray) -> tuple[np.ndarray, np.ndarray, Names]:
-        """(windows that are repeated, open ones, the names of these)."""
+    def halves(self, triples: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple]:
+        """(windows that are repeated, the first and the last of each open half, the names of these)."""
         repeated = self.triples.repeated(triples == 0)
         same = self.triples.spread(triples)
         lone = (same == self.total) & (self.total < _MANY)  # all equal tuples are equal triples
-        known = self.marks(repeated)
-        open_ = np.flatnonzero(self.marks(~repeated & ~lone) & ~known)
+        known = self.marks(self.first[repeated], self.last[repeated])
+        unknown = np.append(np.int32(0), np.cumsum(~known, dtype=np.int32))  # of the windows before each
+        some = ~repeated & ~lone
+        at, first, last, common, size = self.at[some], [], [], [], []
+        for low, high in HALVES:
+            a, b = np.maximum(self.first[some], at - high), np.minimum(self.last[some], at - low)
+            own = unknown[np.maximum(a, b + 1)] > unknown[a]
+            first.append(a[own])
+            last.append(b[own])
+            common.append(at[own] - low)
+            size.append(np.full(len(common[-1]), WINDOW - (high - low)))
+        names = self.slab.names(np.concatenate(common), np.concatenate(size), self.bits)
+        return known, np.concatenate(first), np.concatenate(last), names
+
+    def windows(self, triples: np.ndarray, halves: np.ndarray) -> tuple[np.ndarray, np.ndarray, Names]:
+        """(windows that are repeated, open ones, the names of these)."""
+        known, first, last, (_, number, _) = self.halves(triples)
+        again = halves[number] > 1
+        open_ = np.flatnonzero(self.marks(first[again], last[again]) & ~known)
         return known, open_, Names(self.slab, *self.slab.hashes(open_, np.full(len(open_), WINDOW)), open_)
 
 
@@ -322,26 +361,29 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     slabs = _stored(_packed(base, slab_bytes), parts)
 
     def tuples(number, slab):
-        names, _, counts = slab.names(bits)
-        short = (names & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        empty = lambda s: b""
-        return _entries(number, (names >> np.uint64(32)).astype(np.int64), [
-            lambda s: _steps(short[s]), empty, empty, lambda s: _pack(counts[s].astype(np.uint32))])
+        names, _, counts = slab.tuples(bits)
+        return _counted(number, names, counts)
 
     def triples(number, slab, *answers):
         return _named(number, Found(slab, bits, *answers).triples, bits)
 
-    def windows(number, slab, first, second):
-        return _named(number, Found(slab, bits, first).windows(second)[2], bits)
+    def halves(number, slab, first, second):
+        names, _, counts = Found(slab, bits, first).halves(second)[-1]
+        return _counted(number, names, counts)
+
+    def windows(number, slab, first, *answers):
+        return _named(number, Found(slab, bits, first).windows(*answers)[2], bits)
 
-    slabs = slabs.join(_answers(_over(slabs, tuples, _ENTRY), _count_tuples, "tuples"), "slab", "left")
+    slabs = slabs.join(_answers(_over(slabs, tuples, _ENTRY), _total, "tuples"), "slab", "left")
     slabs = slabs.join(_answers(_over(slabs, triples, _ENTRY), _earliest, "triples"), "slab", "left")
+    slabs = slabs.join(_answers(_over(slabs, halves, _ENTRY), _total, "halves"), "slab", "left")
     slabs = slabs.join(_answers(_over(slabs, windows, _ENTRY), _earliest, "windows"), "slab", "left")
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
-    def remove(number, slab, first, second, third):
-        known, open_, names = Found(slab, bits, first).windows(second)
-        known[open_] = names.repeated(third == 0)
+    def remove(number, slab, first, *answers):
+        *answers, last = answers
+        known, open_, names = Found(slab, bits, first).windows(*answers)
+        known[open_] = names.repeated(last == 0)
         change = np.zeros(len(slab.text) + WINDOW + 1, np.int32)
         change[:len(known)] += known
         change[WINDOW:WINDOW + len(known)] -= known

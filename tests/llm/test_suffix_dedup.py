@@ -1,5 +1,7 @@
 import hashlib
+import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -89,3 +91,38 @@ def test_empty_and_short(make_docs):
     assert result(suffix_dedup.repeated_bytes(make_docs([]))) == []
     rows = [(1, None), (2, ""), (3, "a" * 99), (4, "a" * 99)]
     assert result(suffix_dedup.repeated_bytes(make_docs(rows))) == expected(rows)
+
+
+def test_chance_repeats_end_before_the_windows(make_docs, monkeypatch):
+    """Passages of 40 bytes repeat in other surroundings: tuples that occur again, but no window does."""
+    rng = random.Random(3)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    pool = [text(40) for _ in range(6)]
+    rows = [(i, "".join(text(70) + p for p in rng.sample(pool, 6))) for i in range(60)]
+    sent, answers = {}, suffix_dedup._answers
+
+    def counting(entries, answer, column):
+        sent[column] = entries.selectExpr("coalesce(sum(octet_length(rest)), 0) / 4").first()[0]
+        return answers(entries, answer, column)
+    monkeypatch.setattr(suffix_dedup, "_answers", counting)
+    monkeypatch.setattr(suffix_dedup, "SLAB", (2000, 2000))
+    assert result(suffix_dedup.repeated_bytes(make_docs(rows))) == expected(rows)
+    assert sent["triples"] > 100 and sent["windows"] == 0
+
+
+def test_shuffle_files_go_with_their_step(spark, make_docs):
+    """Nothing is left for the driver's garbage collection, which may come late."""
+    docs = make_docs(passages(4)).localCheckpoint()
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {n for n in blocks.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in n and n.endswith(".data") and os.path.getsize(n) > 1000}
+    before, key = shuffled(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    set_before = spark.conf.get(key, None)
+    suffix_dedup.repeated_bytes(docs)
+    for _ in range(50):
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(key, None) == set_before
