@@ -60,7 +60,8 @@ NAME = WINDOW - MODULUS + 1
 HALVES = ((0, MODULUS // 2), (MODULUS // 2 + 1, MODULUS - 1))
 NO_ID = (1 << 63) - 1
 # Bytes of text in a slab and a range of names: about the square root of all text, between these.
-SLAB, RANGE = (2 << 20, 64 << 20), (4 << 20, 512 << 20)
+# A worker holds one or the other, with arrays of several times its size.
+SLAB, RANGE = (2 << 20, 8 << 20), (4 << 20, 16 << 20)
 _ODD, _TWO, _SIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _MANY = 255
 
@@ -318,7 +319,7 @@ class Found:
         change = np.zeros(len(self.slab.text) + 1, np.int32)
         np.add.at(change, first, 1)
         np.add.at(change, last + 1, -1)
-        return np.cumsum(change)[:-1] > 0
+        return np.cumsum(change, out=change)[:-1] > 0
 
     def halves(self, triples: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple]:
         """(windows that are repeated, the first and the last of each open half, the names of these)."""
@@ -326,7 +327,8 @@ class Found:
         same = self.triples.spread(triples)
         lone = (same == self.total) & (self.total < _MANY)  # all equal tuples are equal triples
         known = self.marks(self.first[repeated], self.last[repeated])
-        unknown = np.append(np.int32(0), np.cumsum(~known, dtype=np.int32))  # of the windows before each
+        unknown = np.zeros(len(known) + 1, np.int32)  # of the windows before each
+        np.cumsum(~known, out=unknown[1:])
         some = ~repeated & ~lone
         at, first, last, common, size = self.at[some], [], [], [], []
         for low, high in HALVES:
@@ -387,7 +389,7 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
         change = np.zeros(len(slab.text) + WINDOW + 1, np.int32)
         change[:len(known)] += known
         change[WINDOW:WINDOW + len(known)] -= known
-        gone = np.cumsum(change)[:len(slab.text)] > 0
+        gone = np.cumsum(change, out=change)[:len(slab.text)] > 0
         data = np.frombuffer(slab.text, np.uint8)
         spans, kept = [], []
         for a, n in zip(slab.begin.tolist(), slab.sizes.tolist()):
